@@ -6,17 +6,24 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ._store import table
 from .jaccard_join import jaccard_components
+from .quality_rules import fit_field, judge_quality
 
 
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return judge_quality(documents, fit_field(documents, table(spark, sf_dir, "labels")))
+
+
 QUERIES = {
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
+    "op10_quality_rules": op10_quality_rules,
 }
 
-_WORDS6 = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), w -> w <> '')"
+_WORDS6 = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
 ORACLES = {
     "op6_ngram_jaccard_join": f"""
