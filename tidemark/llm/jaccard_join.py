@@ -40,6 +40,8 @@ from ._store import materialise
 from .components import components
 
 SKETCH_BITS = 22
+#: A table of ids is broadcast only if it has been counted and has so many rows at most.
+BROADCAST_ROWS = 1_000_000
 _CHUNK = 1 << 16
 _CELLS = 256
 _PAD = np.zeros(0, np.uint64)
@@ -134,7 +136,7 @@ def _short_lists(size: int, threshold: float, classes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_cell, seen = classes.value, set()
         for batch in batches:
-            keys, cls, n, rare = [], [], [], []
+            keys, cls, rare = [], [], []
             for s in _sets(batch, size):
                 d = _digest(s)
                 if not len(s) or d in seen:
@@ -143,11 +145,10 @@ def _short_lists(size: int, threshold: float, classes):
                 key, share = _ordered(s, by_cell)
                 keys.append(key[: len(s) - required(len(s), threshold) + 1])
                 cls.append(d)
-                n.append(len(s))
                 rare.append(share)
             lengths = [len(k) for k in keys]
             joined = np.concatenate(keys) if keys else _PAD
-            yield pa.record_batch([pa.array(joined.view(np.int64)), pa.array(np.repeat(np.array(cls, np.int64), lengths)), pa.array(np.repeat(np.array(n, np.int64), lengths)), pa.array(np.repeat(np.array(rare, np.float32), lengths))], names=["key", "cls", "n", "rare"])
+            yield pa.record_batch([pa.array(joined.view(np.int64)), pa.array(np.repeat(np.array(cls, np.int64), lengths)), pa.array(np.repeat(np.array(rare, np.float32), lengths))], names=["key", "cls", "rare"])
 
     return run
 
@@ -205,18 +206,26 @@ def _probe(threshold: float):
     return run
 
 
+def _small(frame: DataFrame) -> DataFrame:
+    """A written table of ids; broadcast where its counted size allows, else joined by shuffle."""
+    return F.broadcast(frame) if frame.count() <= BROADCAST_ROWS else frame
+
+
 class _Verifier:
     def __init__(self, documents: DataFrame, members: DataFrame, size: int, threshold: float):
         self.documents, self.size, self.threshold = documents, size, threshold
-        self.profiles = members.where("profile is not null").groupBy("cls").agg(F.min_by("profile", "doc_id").alias("profile"), F.min("doc_id").alias("doc_id"))
+        self.members = members
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """The pairs ``a, b, na, nb`` that reach the threshold."""
-        p = self.profiles
+        named = _small(materialise(pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct(), "named"))
+        p = self.members.where("profile is not null").join(named, "cls").groupBy("cls").agg(F.min_by("profile", "doc_id").alias("profile"), F.min("doc_id").alias("doc_id"))
+        p = materialise(p, "profiles")
         near = pairs.join(p.select(F.col("cls").alias("a"), F.col("profile").alias("pa")), "a").join(p.select(F.col("cls").alias("b"), F.col("profile").alias("pb")), "b")
         near = materialise(near.select("a", "b", "na", "nb", "pa", "pb").mapInArrow(_far_apart(self.threshold), "a long, b long, na long, nb long"), "near")
         wanted = near.select(F.col("a").alias("cls")).union(near.select("b")).distinct()
-        texts = self.documents.join(p.join(wanted, "cls").select("doc_id", F.col("cls").alias("_cls")), "doc_id").select("text")
+        wanted = _small(materialise(p.join(wanted, "cls").select("doc_id"), "wanted"))
+        texts = self.documents.join(wanted, "doc_id").select("text")
         sets = materialise(texts.mapInArrow(_class_sets(self.size), "cls long, shingles binary").dropDuplicates(["cls"]), "sets")
         both = near.join(sets.select(F.col("cls").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("cls").alias("b"), F.col("shingles").alias("sb")), "b")
         return both.select("a", "b", "sa", "sb").mapInArrow(_probe(self.threshold), "a long, b long")
@@ -251,10 +260,12 @@ def jaccard_components(documents: DataFrame, size: int = 5, threshold: float = 0
     summary = materialise(documents.mapInArrow(_summarise(size), _PER_DOCUMENT), "summary")
     members = summary.where("chunk is null").select("doc_id", "n", "cls", "profile")
     classes = spark.sparkContext.broadcast(_frequency_classes(summary))
-    lists = materialise(documents.select("text").mapInArrow(_short_lists(size, threshold, classes), "key long, cls long, n long, rare float"), "lists")
-    shared = lists.groupBy("key").agg(F.min("cls").alias("low"), F.max("cls").alias("high")).where("low <> high").select("key")
-    met = materialise(lists.join(shared, "key").groupBy("key", "cls").agg(F.first("n").alias("n"), F.first("rare").alias("rare")), "met")
-    verifier = _Verifier(documents, members.where("doc_id is not null"), size, threshold)
+    lists = materialise(documents.select("text").mapInArrow(_short_lists(size, threshold, classes), "key long, cls long, rare float"), "lists")
+    shared = lists.groupBy("key").agg(F.count("*").alias("k")).where("k > 1").select("key")
+    sized = members.where("n > 0").groupBy("cls").agg(F.first("n").alias("n"))
+    met = lists.join(shared, "key").groupBy("key", "cls").agg(F.first("rare").alias("rare"))
+    met = materialise(met.join(sized, "cls").select("key", "cls", "n", "rare"), "met")
+    verifier = _Verifier(documents, members, size, threshold)
 
     pivots = met.groupBy("key").agg(F.min(F.struct("rare", "cls", "n")).alias("p")).select("key", F.col("p.cls").alias("y"), F.col("p.n").alias("ny"))
     stars = materialise(_pairs(met.join(pivots, "key").select(F.col("cls").alias("x"), F.col("n").alias("nx"), "y", "ny"), threshold), "stars")
