@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ._store import table
 from .jaccard_join import jaccard_components
 from .quality_rules import fit_field, judge_quality
+from .toxicity import fit_toxicity, held_out, score_toxicity
 
 
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,9 +19,16 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(documents, fit_field(documents, table(spark, sf_dir, "labels")))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    scored = score_toxicity(documents, fit_toxicity(documents, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted", "sentence_score", "sentence")
+
+
 QUERIES = {
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op10_quality_rules": op10_quality_rules,
+    "op9_toxicity": op9_toxicity,
 }
 
 _WORDS6 = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
