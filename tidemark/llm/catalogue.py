@@ -5,11 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ._store import table
+from .decontamination import contaminated
 from .jaccard_join import jaccard_components
 from .quality_rules import fit_field, judge_quality
 from .toxicity import fit_toxicity, held_out, score_toxicity
 
 
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -26,6 +31,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op10_quality_rules": op10_quality_rules,
     "op9_toxicity": op9_toxicity,
@@ -33,7 +39,23 @@ QUERIES = {
 
 _WORDS6 = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
+_ALNUM = r"list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')"
+
 ORACLES = {
+    "op2_benchmark_decontamination": f"""
+WITH d AS (SELECT doc_id, {_ALNUM} AS ws FROM documents),
+b AS (SELECT item_id, ws, len(ws) AS n, least(5, len(ws)) AS s FROM (SELECT item_id, {_ALNUM} AS ws FROM benchmark WHERE item_id IS NOT NULL) WHERE len(ws) > 0),
+bs AS (SELECT item_id, n, s, array_to_string(ws[i : i + s - 1], ' ') AS sh, count(*) AS k
+       FROM (SELECT *, unnest(range(1, n - s + 2)) AS i FROM b) GROUP BY ALL),
+ds AS (SELECT doc_id, len(ws) AS m, s, i, array_to_string(ws[i : i + s - 1], ' ') AS sh
+       FROM (SELECT d.doc_id, d.ws, z.s, unnest(range(1, len(d.ws) - z.s + 2)) AS i FROM d, (SELECT DISTINCT s FROM b) z WHERE len(d.ws) >= z.s)),
+h AS (SELECT ds.doc_id, ds.m, ds.i, bs.* FROM ds JOIN bs ON ds.sh = bs.sh AND ds.s = bs.s),
+p AS (SELECT *, unnest(range(greatest(1, i - (n - s)), least(i, m - n + 1) + 1)) AS a FROM h),
+c AS (SELECT doc_id, item_id, n, s, a, sh, least(count(*), any_value(k)) AS k FROM p GROUP BY doc_id, item_id, n, s, a, sh),
+w AS (SELECT doc_id, item_id, a, sum(k)::BIGINT AS o, (2 * (n - s + 1) - sum(k))::BIGINT AS u FROM c GROUP BY doc_id, item_id, n, s, a),
+v AS (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY o DESC, a) AS r FROM w WHERE 10 * o >= 8 * u)
+SELECT doc_id, item_id, o / u AS similarity, o AS overlap, u AS union_size, a - 1 AS first_word FROM v WHERE r = 1
+""",
     "op6_ngram_jaccard_join": f"""
 WITH RECURSIVE w AS (SELECT doc_id, {_WORDS6} AS ws FROM documents),
 s AS (SELECT DISTINCT doc_id, array_to_string(ws[i : i + 4], ' ') AS sh
