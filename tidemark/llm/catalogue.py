@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ._store import table
 from .decontamination import contaminated
 from .jaccard_join import jaccard_components
+from .mixing import mix_sources
 from .quality_rules import fit_field, judge_quality
 from .toxicity import fit_toxicity, held_out, score_toxicity
 
@@ -15,6 +16,11 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix_sources(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -32,6 +38,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
+    "op3_mix_sources": op3_mix_sources,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op10_quality_rules": op10_quality_rules,
     "op9_toxicity": op9_toxicity,
