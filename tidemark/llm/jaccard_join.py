@@ -42,6 +42,8 @@ from .components import components
 SKETCH_BITS = 22
 #: A table of ids is broadcast only if it has been counted and has so many rows at most.
 BROADCAST_ROWS = 1_000_000
+#: The bitmap of shared keys has two to the power of this many bits at most.
+MOST_BITS = 28
 _CHUNK = 1 << 16
 _CELLS = 256
 _PAD = np.zeros(0, np.uint64)
@@ -122,7 +124,7 @@ def _frequency_classes(summary: DataFrame) -> np.ndarray:
     cells = np.zeros(1 << SKETCH_BITS, np.float64)
     for row in added.toLocalIterator():
         cells[row.chunk * _CHUNK : (row.chunk + 1) * _CHUNK] = np.frombuffer(zlib.decompress(row.counts), np.uint32)
-    usual = 32 + 8 * cells.mean()
+    usual = 8 + cells.mean() + 4 * np.sqrt(cells.mean())
     return np.where(cells < usual, 0, 1 + np.floor(np.log2(np.maximum(cells, 1) / usual))).astype(np.uint8)
 
 
@@ -136,7 +138,7 @@ def _short_lists(size: int, threshold: float, classes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_cell, seen = classes.value, set()
         for batch in batches:
-            keys, cls, rare = [], [], []
+            keys, cls, rare, at = [], [], [], [_PAD.astype(np.int32)]
             for s in _sets(batch, size):
                 d = _digest(s)
                 if not len(s) or d in seen:
@@ -146,13 +148,63 @@ def _short_lists(size: int, threshold: float, classes):
                 keys.append(key[: len(s) - required(len(s), threshold) + 1])
                 cls.append(d)
                 rare.append(share)
+                at.append(np.arange(len(keys[-1]), dtype=np.int32))
             lengths = [len(k) for k in keys]
             joined = np.concatenate(keys) if keys else _PAD
-            yield pa.record_batch([pa.array(joined.view(np.int64)), pa.array(np.repeat(np.array(cls, np.int64), lengths)), pa.array(np.repeat(np.array(rare, np.float32), lengths))], names=["key", "cls", "rare"])
+            yield pa.record_batch([pa.array(joined.view(np.int64)), pa.array(np.repeat(np.array(cls, np.int64), lengths)), pa.array(np.repeat(np.array(rare, np.float32), lengths)), pa.array(np.concatenate(at))], names=["key", "cls", "rare", "at"])
 
     return run
 
 
+def _mark_bits(bits: int):
+    """A task's bitmap of the keys it sees, in chunks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        there = np.zeros(1 << bits, dtype=bool)
+        for batch in batches:
+            there[_cell(batch.column("key"), bits)] = True
+        packed = np.packbits(there)
+        chunks = [(k, packed[k * _CHUNK : (k + 1) * _CHUNK]) for k in range(-(-len(packed) // _CHUNK))]
+        chunks = [(k, zlib.compress(c.tobytes(), 1)) for k, c in chunks if c.any()]
+        yield pa.record_batch([pa.array([k for k, _ in chunks], pa.int32()), pa.array([c for _, c in chunks], pa.binary())], names=["chunk", "counts"])
+
+    return run
+
+
+def _cell(keys: pa.Array, bits: int) -> np.ndarray:
+    return (mix(keys.to_numpy().view(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _either(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = None
+    for batch in batches:
+        for counts in batch.column("counts"):
+            own = np.frombuffer(zlib.decompress(counts.as_py()), np.uint8)
+            total = own if total is None else total | own
+    yield pa.record_batch([pa.array([key[0].as_py()], pa.int32()), pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())], names=["chunk", "counts"])
+
+
+def _sieve(lists: DataFrame, shared: DataFrame) -> DataFrame:
+    """The postings of ``lists`` whose key may be in ``shared``, by a broadcast bitmap of bounded size.
+
+    It spares a shuffle of all postings; keys that pass by chance go in the exact join that follows.
+    """
+    bits = min(MOST_BITS, max(16, (16 * shared.count()).bit_length()))
+    there = np.zeros(1 << (bits - 3), np.uint8)
+    for row in shared.mapInArrow(_mark_bits(bits), "chunk int, counts binary").groupBy("chunk").applyInArrow(_either, "chunk int, counts binary").toLocalIterator():
+        own = np.frombuffer(zlib.decompress(row.counts), np.uint8)
+        there[row.chunk * _CHUNK : row.chunk * _CHUNK + len(own)] = own
+    bitmap = lists.sparkSession.sparkContext.broadcast(there)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks = bitmap.value
+        for batch in batches:
+            cell = _cell(batch.column("key"), bits)
+            yield batch.filter(pa.array((marks[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1 == 1))
+
+    return lists.mapInArrow(run, lists.schema)
+
+
 def _class_sets(size: int):
     """The sorted shingles of each document of the batch."""
 
@@ -231,13 +283,23 @@ class _Verifier:
         return both.select("a", "b", "sa", "sb").mapInArrow(_probe(self.threshold), "a long, b long")
 
 
-def _alike(x: str, y: str, threshold: float):
-    return (F.least(x, y) >= F.greatest(x, y) * F.lit(threshold) - 1e-9) if threshold else F.lit(True)
+def _alike(threshold: float):
+    """Whether two postings of one list can belong to a linked pair.
+
+    Both sets are in one order, so if this is the first shingle they share, the
+    overlap is at most this one and what follows it in the shorter rest. A linked
+    pair passes on the list of its first shared shingle.
+    """
+    need = F.ceil((F.col("nx") + F.col("ny")) * F.lit(threshold / (1 + threshold)) - 1e-9)
+    return (F.least("nx", "ny") >= F.greatest("nx", "ny") * F.lit(threshold) - 1e-9) & (F.least(F.col("nx") - F.col("ax"), F.col("ny") - F.col("ay")) >= need)
+
+
+def _side(frame: DataFrame, name: str, *more: str) -> DataFrame:
+    return frame.select("key", F.col("cls").alias(name), F.col("n").alias(f"n{name}"), F.col("at").alias(f"a{name}"), *more)
 
 
-def _pairs(frame: DataFrame, threshold: float) -> DataFrame:
-    """Distinct pairs ``a < b`` of columns ``x, nx, y, ny`` whose sizes allow the threshold."""
-    ok = frame.where("x <> y").where(_alike("nx", "ny", threshold))
+def _pairs(ok: DataFrame) -> DataFrame:
+    """Distinct pairs ``a < b`` of columns ``x, nx, y, ny``."""
     return ok.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.when(F.col("x") < F.col("y"), F.col("nx")).otherwise(F.col("ny")).alias("na"), F.when(F.col("x") < F.col("y"), F.col("ny")).otherwise(F.col("nx")).alias("nb")).distinct()
 
 
@@ -260,25 +322,25 @@ def jaccard_components(documents: DataFrame, size: int = 5, threshold: float = 0
     summary = materialise(documents.mapInArrow(_summarise(size), _PER_DOCUMENT), "summary")
     members = summary.where("chunk is null").select("doc_id", "n", "cls", "profile")
     classes = spark.sparkContext.broadcast(_frequency_classes(summary))
-    lists = materialise(documents.select("text").mapInArrow(_short_lists(size, threshold, classes), "key long, cls long, rare float"), "lists")
-    shared = lists.groupBy("key").agg(F.count("*").alias("k")).where("k > 1").select("key")
+    lists = materialise(documents.select("text").mapInArrow(_short_lists(size, threshold, classes), "key long, cls long, rare float, at int"), "lists")
+    shared = materialise(lists.groupBy("key").agg(F.count("*").alias("k")).where("k > 1").select("key"), "shared")
     sized = members.where("n > 0").groupBy("cls").agg(F.first("n").alias("n"))
-    met = lists.join(shared, "key").groupBy("key", "cls").agg(F.first("rare").alias("rare"))
-    met = materialise(met.join(sized, "cls").select("key", "cls", "n", "rare"), "met")
+    met = _sieve(lists, shared).join(shared, "key").groupBy("key", "cls").agg(F.first("rare").alias("rare"), F.first("at").alias("at"))
+    met = materialise(met.join(sized, "cls").select("key", "cls", "n", "rare", "at"), "met")
     verifier = _Verifier(documents, members, size, threshold)
 
-    pivots = met.groupBy("key").agg(F.min(F.struct("rare", "cls", "n")).alias("p")).select("key", F.col("p.cls").alias("y"), F.col("p.n").alias("ny"))
-    stars = materialise(_pairs(met.join(pivots, "key").select(F.col("cls").alias("x"), F.col("n").alias("nx"), "y", "ny"), threshold), "stars")
+    pivots = met.groupBy("key").agg(F.min(F.struct("rare", "cls", "n", "at")).alias("p")).select("key", "p.cls", "p.n", "p.at")
+    stars = materialise(_pairs(_side(met, "x").join(_side(pivots, "y"), "key").where("x <> y").where(_alike(threshold))), "stars")
     links = materialise(verifier.links(stars), "links")
     roots = components(links)
 
-    placed = materialise(met.join(roots.withColumnRenamed("node", "cls"), "cls", "left").select("key", "cls", "n", F.coalesce("root", "cls").alias("root")), "placed")
+    placed = materialise(met.join(roots.withColumnRenamed("node", "cls"), "cls", "left").select("key", "cls", "n", "at", F.coalesce("root", "cls").alias("root")), "placed")
     by_root = placed.groupBy("key", "root").agg(F.count("*").alias("k"))
     mixed = by_root.groupBy("key").agg(F.count("*").alias("roots"), F.max(F.struct("k", "root")).getField("root").alias("main")).where("roots > 1").select("key", "main")
     apart = placed.join(mixed, "key")
-    minor = apart.where("root <> main").select("key", F.col("cls").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"))
-    crossing = minor.join(apart.select("key", F.col("cls").alias("y"), F.col("n").alias("ny"), F.col("root").alias("ry")), "key").where("rx <> ry").where(_alike("nx", "ny", threshold))
-    rest = _pairs(crossing, threshold).join(stars.select("a", "b"), ["a", "b"], "left_anti")
+    minor = _side(apart.where("root <> main"), "x", F.col("root").alias("rx"))
+    crossing = minor.join(_side(apart, "y", F.col("root").alias("ry")), "key").where("rx <> ry").where(_alike(threshold))
+    rest = _pairs(crossing).join(stars.select("a", "b"), ["a", "b"], "left_anti")
     links = links.union(verifier.links(rest))
     roots = components(links)
 
