@@ -120,30 +120,40 @@ def noisy_or(p: np.ndarray, document: np.ndarray, n: int) -> np.ndarray:
     return -np.expm1(np.bincount(document, weights=np.log1p(-np.minimum(p, 1 - 1e-12)), minlength=n)) + 0.0
 
 
-def train_model(bags: list[Sentences], labels: np.ndarray, rounds: int = _ROUNDS) -> Model:
-    """Adagrad on the negative log likelihood of the documents' labels."""
+def train_model(texts: list[tuple[np.ndarray, np.ndarray]], labels: list[np.ndarray], rounds: int = _ROUNDS) -> Model:
+    """Adagrad on the negative log likelihood of the documents' labels.
+
+    ``texts`` are offsets and bytes of batches. Features are counted a slice at a
+    time; only those that tell toxic documents from others are kept for training.
+    """
     model = Model.untrained()
-    if not len(labels) or labels.min() == labels.max():
+    y = np.concatenate([np.zeros(0, np.int64), *labels])
+    if not len(y) or y.min() == y.max():
         return model
-    documents, sentences, b, of, doc = 0, 0, [], [], []
-    for s in bags:
-        for x, y in zip(s.buckets, s.of, strict=True):
-            b.append(x.astype(np.int32))
-            of.append((y + sentences).astype(np.int32))
-        doc.append(s.document + documents)
-        sentences += len(s.document)
-        documents += int(s.document.max(initial=-1)) + 1
-    b, of, doc = np.concatenate(b), np.concatenate(of), np.concatenate(doc)
-    pairs = np.unique(b.astype(np.int64) * documents + doc[of])
-    feature, bag = pairs // documents, pairs % documents
-    having = np.bincount(feature, minlength=1 << BUCKET_BITS)
-    toxic = np.bincount(feature, weights=labels[bag], minlength=1 << BUCKET_BITS)
-    expected = having * labels.mean()
-    lead = (toxic - expected) / np.sqrt(np.maximum(expected * (1 - labels.mean()), 1e-9))
+    rate = y.mean()
+    having, toxic = np.zeros(1 << BUCKET_BITS, np.int64), np.zeros(1 << BUCKET_BITS)
+    for (offsets, data), own in zip(texts, labels, strict=True):
+        for i, j in slices(offsets):
+            s = cut(offsets, data, i, j)
+            pairs = np.unique(np.concatenate([np.zeros(0, np.int64)] + [x.astype(np.int64) * (j - i) + s.document[z] for x, z in zip(s.buckets, s.of, strict=True)]))
+            having += np.bincount(pairs // (j - i), minlength=len(having))
+            toxic += np.bincount(pairs // (j - i), weights=own[i:j][pairs % (j - i)], minlength=len(toxic))
+    expected = having * rate
+    lead = (toxic - expected) / np.sqrt(np.maximum(expected * (1 - rate), 1e-9))
     lead[having < LEAST_DOCUMENTS] = 0
     told = lead >= max(LEAST_LEAD, np.partition(lead, -MOST_FEATURES)[-MOST_FEATURES])
-    keep = told[b]
-    b, of = b[keep], of[keep]
+    documents, sentences, b, of, doc = 0, 0, [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for offsets, data in texts:
+        for i, j in slices(offsets):
+            s = cut(offsets, data, i, j)
+            for x, z in zip(s.buckets, s.of, strict=True):
+                k = np.flatnonzero(told[x])
+                b.append(x[k].astype(np.int64))
+                of.append(z[k] + sentences)
+            doc.append(s.document + documents)
+            sentences += len(s.document)
+            documents += j - i
+    b, of, doc, labels = np.concatenate(b), np.concatenate(of), np.concatenate(doc), y
     used, b = np.unique(b, return_inverse=True)
     if not len(used):
         return model
@@ -170,16 +180,11 @@ def train_model(bags: list[Sentences], labels: np.ndarray, rounds: int = _ROUNDS
 
 
 def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    bags, labels = [], []
+    texts, labels = [], []
     for batch in batches:
-        offsets, data = text_buffers(batch.column("text"))
-        for i, j in slices(offsets):
-            full = np.flatnonzero(np.diff(offsets[i : j + 1]) > 0)
-            s = cut(offsets, data, i, j)
-            s.document = np.searchsorted(full, s.document)
-            bags.append(s)
-            labels.append(batch.column("toxic").to_numpy(zero_copy_only=False)[i:j][full])
-    model = train_model(bags, np.concatenate(labels) if labels else np.zeros(0))
+        texts.append(text_buffers(batch.column("text")))
+        labels.append(batch.column("toxic").to_numpy(zero_copy_only=False).astype(np.int64))
+    model = train_model(texts, labels)
     there = np.flatnonzero(model.weights)
     yield pa.record_batch([pa.array([there.tolist()], pa.list_(pa.int32())), pa.array([model.weights[there].tolist()], pa.list_(pa.float32())), pa.array([model.bias], pa.float64())], names=["places", "weights", "bias"])
 
