@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ._store import table
 from .decontamination import contaminated
+from .html_extraction import extract_pages
 from .jaccard_join import jaccard_components
 from .mixing import mix_sources
 from .quality_rules import fit_field, judge_quality
@@ -21,6 +22,10 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -39,6 +44,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_mix_sources": op3_mix_sources,
+    "op5_html_extraction": op5_html_extraction,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op10_quality_rules": op10_quality_rules,
     "op9_toxicity": op9_toxicity,
@@ -62,6 +68,14 @@ c AS (SELECT doc_id, item_id, n, s, a, sh, least(count(*), any_value(k)) AS k FR
 w AS (SELECT doc_id, item_id, a, sum(k)::BIGINT AS o, (2 * (n - s + 1) - sum(k))::BIGINT AS u FROM c GROUP BY doc_id, item_id, n, s, a),
 v AS (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY o DESC, a) AS r FROM w WHERE 10 * o >= 8 * u)
 SELECT doc_id, item_id, o / u AS similarity, o AS overlap, u AS union_size, a - 1 AS first_word FROM v WHERE r = 1
+""",
+    "op5_html_extraction": r"""
+WITH a AS (SELECT page_id, url, regexp_replace(regexp_extract(coalesce(html, ''), '(?s)<article>(.*)', 1), '(?s)</article.*|<[a-zA-Z/][^>]*$', '') AS body FROM pages),
+b AS (SELECT page_id, url, string_split(regexp_replace(regexp_replace(body, '</?(p|h1)>', chr(1), 'g'), '<br>', ' ', 'g'), chr(1)) AS parts FROM a),
+c AS (SELECT page_id, url, list_transform(parts, lambda x: regexp_replace(regexp_replace(regexp_replace(x, '<[^>]*>', '', 'g'), '&quot;?', '"', 'g'), '&amp;?', '&', 'g')) AS parts FROM b),
+d AS (SELECT page_id, url, list_filter(list_transform(parts, lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'))), lambda x: x <> '') AS parts FROM c),
+e AS (SELECT page_id, url, coalesce(array_to_string(parts, chr(10)), '') AS text FROM d)
+SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM e
 """,
     "op6_ngram_jaccard_join": f"""
 WITH RECURSIVE w AS (SELECT doc_id, {_WORDS6} AS ws FROM documents),
