@@ -11,6 +11,7 @@ from .jaccard_join import jaccard_components
 from .mixing import mix_sources
 from .quality_rules import fit_field, judge_quality
 from .toxicity import fit_toxicity, held_out, score_toxicity
+from .warc import archive_round_trip
 
 
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,6 +36,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(documents, fit_field(documents, table(spark, sf_dir, "labels")))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     scored = score_toxicity(documents, fit_toxicity(documents, table(spark, sf_dir, "labels")))
@@ -46,6 +51,7 @@ QUERIES = {
     "op3_mix_sources": op3_mix_sources,
     "op5_html_extraction": op5_html_extraction,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
+    "op8_warc": op8_warc,
     "op10_quality_rules": op10_quality_rules,
     "op9_toxicity": op9_toxicity,
 }
@@ -87,5 +93,11 @@ l AS (SELECT o.a, o.b FROM o JOIN n x ON x.doc_id = o.a JOIN n y ON y.doc_id = o
 r(doc_id, c) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.b FROM r JOIN l ON l.a = r.c)
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, m.c AS component_id
 FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(c) AS c FROM r GROUP BY doc_id) m USING (doc_id)
+""",
+    "op8_warc": """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+m AS (SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to FROM m
 """,
 }
