@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ._store import table
 from .decontamination import contaminated
 from .html_extraction import extract_pages
 from .jaccard_join import jaccard_components
+from .lm_scoring import lm_scores
 from .mixing import mix_sources
 from .quality_rules import fit_field, judge_quality
 from .toxicity import fit_toxicity, held_out, score_toxicity
@@ -36,6 +38,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(documents, fit_field(documents, table(spark, sf_dir, "labels")))
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = lm_scores(table(spark, sf_dir, "documents"))
+    return scored.select("doc_id", "n_words", F.round("mean_log_score", 6).alias("mean_log_score"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
@@ -51,6 +58,7 @@ QUERIES = {
     "op3_mix_sources": op3_mix_sources,
     "op5_html_extraction": op5_html_extraction,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
+    "op7_lm_scoring": op7_lm_scoring,
     "op8_warc": op8_warc,
     "op10_quality_rules": op10_quality_rules,
     "op9_toxicity": op9_toxicity,
@@ -93,6 +101,21 @@ l AS (SELECT o.a, o.b FROM o JOIN n x ON x.doc_id = o.a JOIN n y ON y.doc_id = o
 r(doc_id, c) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.b FROM r JOIN l ON l.a = r.c)
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, m.c AS component_id
 FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(c) AS c FROM r GROUP BY doc_id) m USING (doc_id)
+""",
+    "op7_lm_scoring": f"""
+WITH w AS (SELECT doc_id, {_WORDS6} AS ws FROM documents),
+t AS (SELECT doc_id, i, ws[i] AS g1, CASE WHEN i > 1 THEN array_to_string(ws[i - 1 : i], ' ') END AS g2, CASE WHEN i > 2 THEN array_to_string(ws[i - 2 : i], ' ') END AS g3
+      FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM w)),
+a AS (SELECT *, count(*) OVER () - count(*) OVER (PARTITION BY doc_id) AS n,
+      count(*) OVER (PARTITION BY g1) - count(*) OVER (PARTITION BY g1, doc_id) AS c1,
+      count(*) OVER (PARTITION BY g2) - count(*) OVER (PARTITION BY g2, doc_id) AS c2,
+      count(*) OVER (PARTITION BY g3) - count(*) OVER (PARTITION BY g3, doc_id) AS c3 FROM t),
+h AS (SELECT *, lag(c1) OVER d AS h1, lag(c2) OVER d AS h2 FROM a WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+s AS (SELECT doc_id, CASE WHEN g3 IS NOT NULL AND c3 > 0 THEN ln(c3 / h2)
+      WHEN g2 IS NOT NULL AND c2 > 0 THEN ln(c2 / h1) + CASE WHEN g3 IS NOT NULL THEN ln(0.4) ELSE 0 END
+      ELSE CASE WHEN c1 > 0 THEN ln(c1 / n) ELSE -ln(n + 1) END + least(i - 1, 2) * ln(0.4) END AS x FROM h)
+SELECT d.doc_id, len(d.ws)::BIGINT AS n_words, round(m.x / len(d.ws), 6) AS mean_log_score
+FROM w d LEFT JOIN (SELECT doc_id, sum(x) AS x FROM s GROUP BY doc_id) m USING (doc_id)
 """,
     "op8_warc": """
 WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
