@@ -12,6 +12,7 @@ from .jaccard_join import jaccard_components
 from .lm_scoring import lm_scores
 from .mixing import mix_sources
 from .quality_rules import fit_field, judge_quality
+from .token_counts import token_counts
 from .toxicity import fit_toxicity, held_out, score_toxicity
 from .warc import archive_round_trip
 
@@ -25,6 +26,10 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"))
+
+
 def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(table(spark, sf_dir, "pages"))
 
@@ -56,6 +61,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_mix_sources": op3_mix_sources,
+    "op4_token_counts": op4_token_counts,
     "op5_html_extraction": op5_html_extraction,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op7_lm_scoring": op7_lm_scoring,
