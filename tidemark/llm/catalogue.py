@@ -9,6 +9,7 @@ from ._store import table
 from .decontamination import contaminated
 from .html_extraction import extract_pages
 from .jaccard_join import jaccard_components
+from .license_scan import fit_licences, scan_licences
 from .lm_scoring import lm_scores
 from .mixing import mix_sources
 from .quality_rules import fit_field, judge_quality
@@ -17,6 +18,11 @@ from .toxicity import fit_toxicity, held_out, score_toxicity
 from .warc import archive_round_trip
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return scan_licences(documents, fit_licences(documents))
+
+
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -59,6 +65,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_mix_sources": op3_mix_sources,
     "op4_token_counts": op4_token_counts,
