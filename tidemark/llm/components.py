@@ -28,7 +28,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """For each node of ``edges(a, b)`` the smallest node it is connected with.
 
-    Returns ``node, root`` for nodes that have an edge to another node. Edges
+    Returns ``node, root`` for every node but the roots. Edges
     may repeat and loop; null ends are ignored. Each round rewrites the edge
     table in the shared folder, so lineage does not grow, and moves every edge
     towards a star around the component's smallest node; the rounds end when

@@ -25,68 +25,61 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._hashing import Words, mix, text_buffers, window_hashes
+from ._store import materialise
 
 ORDER = 3
 BACKOFF = 0.4
 BATCH_BYTES = 6 << 20
 #: Batches grow with the table up to this, as there is an array for each batch and bucket.
 MOST_BATCH_BYTES = 128 << 20
-#: Hashes travel as 32 and 16 bits beside their bucket.
+#: Hashes travel as 32 and 16 bits beside their bucket, which the upper bits give.
 _REST = 48
 _TOTAL = np.uint64(0)
 
 
-def _ngrams(offsets: np.ndarray, data: np.ndarray, order: int) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
-    """For each n up to ``order`` the n-gram hashes of the documents and the place of each one's last word; and the words' documents."""
+def _ngrams(offsets: np.ndarray, data: np.ndarray, order: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """For each n up to ``order`` the hash of the n-gram that ends at each word (0 where the text has not begun), and the words' documents."""
     words = Words(offsets, data, 0, len(offsets) - 1)
     h = words.hashes()
     doc = np.repeat(np.arange(words.rows), np.diff(words.first))
-    grams, places = [], []
+    grams = []
     for n in range(1, order + 1):
-        w = mix(window_hashes(h, n) ^ np.uint64(n))
-        at = np.arange(len(w))
-        at = at[doc[: len(w)] == doc[n - 1 :]] if len(w) else at
-        g = w[at]
-        g[g == _TOTAL] = np.uint64(1)
+        g = np.zeros(len(h), np.uint64)
+        if len(h) >= n:
+            w = mix(window_hashes(h, n) ^ np.uint64(n))
+            w[w == _TOTAL] = np.uint64(1)
+            g[n - 1 :] = np.where(doc[: len(w)] == doc[n - 1 :], w, _TOTAL)
         grams.append(g)
-        places.append(at + n - 1)
-    return grams, places, doc
+    return grams, doc
 
 
 def _bucket(h: np.ndarray, buckets: int) -> np.ndarray:
     return ((h >> np.uint64(_REST)) % np.uint64(buckets)).astype(np.int64)
 
 
-def _distinct(grams: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    return np.unique(np.concatenate([np.zeros(0, np.uint64), *grams]), return_counts=True)
+def _by_bucket(h: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    b = _bucket(h, buckets)
+    by = np.argsort(b, kind="stable")
+    return by, np.searchsorted(b[by], np.arange(buckets + 1))
 
 
-def _requests(order: int, buckets: int):
-    """The distinct n-grams of a batch of documents with their counts, one row for each bucket."""
+_REQUEST = "batch long, bucket long, phase int, grams binary, counts binary"
 
-    def run(key: tuple, batch: pa.Table) -> pa.Table:
-        offsets, data = text_buffers(batch.column("text"))
-        grams, _, doc = _ngrams(offsets, data, order)
-        h, counts = _distinct(grams)
-        h, counts = np.append(h, _TOTAL), np.append(counts, len(doc))
-        b = _bucket(h, buckets)
-        by = np.argsort(b, kind="stable")
-        edges = np.searchsorted(b[by], np.arange(buckets + 1))
-        rows = []
-        for k in range(buckets):
-            own = by[edges[k] : edges[k + 1]]
-            if len(own):
-                rest = h[own]
-                rows.append((k, (rest >> np.uint64(32)).astype(np.uint32).tobytes() + (rest & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes(), counts[own].astype(np.uint32).tobytes()))
-        return pa.table({"batch": pa.array([key[0].as_py()] * len(rows), pa.int64()), "bucket": pa.array([r[0] for r in rows], pa.int64()), "grams": pa.array([r[1] for r in rows], pa.binary()), "counts": pa.array([r[2] for r in rows], pa.binary())})
 
-    return run
+def _request(batch: int, phase: int, h: np.ndarray, counts: np.ndarray, buckets: int) -> pa.Table:
+    """One row for each bucket that has some of these n-grams."""
+    by, edges = _by_bucket(h, buckets)
+    rows = []
+    for k in np.flatnonzero(np.diff(edges)).tolist():
+        own = by[edges[k] : edges[k + 1]]
+        rest = h[own]
+        rows.append((k, (rest & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes() + (rest >> np.uint64(32)).astype(np.uint16).tobytes(), counts[own].astype(np.uint32).tobytes()))
+    return pa.table({"batch": pa.array([batch] * len(rows), pa.int64()), "bucket": pa.array([r[0] for r in rows], pa.int64()), "phase": pa.array([phase] * len(rows), pa.int32()), "grams": pa.array([r[1] for r in rows], pa.binary()), "counts": pa.array([r[2] for r in rows], pa.binary())})
 
 
 def _hashes(raw: bytes) -> np.ndarray:
-    x = np.frombuffer(raw, np.uint32).astype(np.uint64)
-    half = len(x) // 2
-    return (x[:half] << np.uint64(32)) | x[half:]
+    n = len(raw) // 6
+    return np.frombuffer(raw, np.uint32, n).astype(np.uint64) | (np.frombuffer(raw, np.uint16, n, 4 * n).astype(np.uint64) << np.uint64(32))
 
 
 def _count(key: tuple, requests: pa.Table) -> pa.Table:
@@ -94,46 +87,88 @@ def _count(key: tuple, requests: pa.Table) -> pa.Table:
     grams = [_hashes(g) for g in requests.column("grams").to_pylist()]
     counts = [np.frombuffer(c, np.uint32) for c in requests.column("counts").to_pylist()]
     known, place = np.unique(np.concatenate(grams), return_inverse=True)
-    total = np.bincount(place, weights=np.concatenate(counts), minlength=len(known)).astype(np.uint64)
+    total = np.bincount(place, weights=np.concatenate(counts), minlength=len(known))
     edges = np.cumsum([0, *map(len, grams)])
     answers = [np.minimum(total[place[a:b]], 0xFFFFFFFF).astype(np.uint32).tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
-    return pa.table({"batch": requests.column("batch"), "bucket": requests.column("bucket"), "totals": pa.array(answers, pa.binary())})
+    return pa.table({"batch": requests.column("batch"), "bucket": requests.column("bucket"), "phase": requests.column("phase"), "totals": pa.array(answers, pa.binary())})
+
+
+class _Batch:
+    """The n-grams of a batch, and how often each occurs in other documents as far as answers tell.
+
+    Words and pairs are asked for first. A longer n-gram can occur in another
+    document only if the two n-grams one shorter within it do, so only those are asked for.
+    """
+
+    def __init__(self, documents: pa.Table, order: int, buckets: int):
+        offsets, data = text_buffers(documents.column("text"))
+        self.rows, self.buckets, self.order = len(offsets) - 1, buckets, order
+        self.grams, self.doc = _ngrams(offsets, data, order)
+        self.less: list[np.ndarray] = []
+
+    def wanted(self, phase: int) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct n-grams to ask for in a phase, with their counts in the batch."""
+        if phase == 0:
+            g = np.concatenate(self.grams[:2])
+        else:
+            last, n = self.less[-1], phase + 2
+            g = self.grams[n - 1].copy()
+            before = np.zeros(len(g), np.int64)
+            before[1:] = last[:-1]
+            g[(last <= 0) | (before <= 0)] = _TOTAL
+        return np.unique(g[g != _TOTAL], return_counts=True)
+
+    def answer(self, phase: int, answers: pa.Table) -> None:
+        h, _ = self.wanted(phase)
+        by, edges = _by_bucket(h, self.buckets)
+        totals = np.zeros(len(h), np.int64)
+        for k, p, raw in zip(answers.column("bucket").to_pylist(), answers.column("phase").to_pylist(), answers.column("totals").to_pylist(), strict=True):
+            if p == phase:
+                totals[by[edges[k] : edges[k + 1]]] = np.frombuffer(raw, np.uint32)
+        for n in (1, 2)[: self.order] if phase == 0 else (phase + 2,):
+            g = self.grams[n - 1]
+            place = np.minimum(np.searchsorted(h, g), max(len(h) - 1, 0))
+            there = (g != _TOTAL) & (h[place] == g) if len(h) else np.zeros(len(g), dtype=bool)
+            full = np.zeros(len(g), np.int64)
+            _, own, mine = np.unique(self.doc[there].astype(np.int64) * max(len(h), 1) + place[there], return_inverse=True, return_counts=True)
+            full[there] = totals[place[there]] - mine[own]
+            self.less.append(full)
+
+
+def _ask_first(order: int, buckets: int):
+    """The requests of words and pairs."""
+
+    def run(key: tuple, documents: pa.Table) -> pa.Table:
+        return _request(key[0].as_py(), 0, *_Batch(documents, order, buckets).wanted(0), buckets)
+
+    return run
+
+
+def _ask_more(order: int, buckets: int, phase: int):
+    """The requests of a later phase, from the answers of those before it."""
+
+    def run(key: tuple, documents: pa.Table, answers: pa.Table) -> pa.Table:
+        batch = _Batch(documents, order, buckets)
+        for p in range(phase):
+            batch.answer(p, answers)
+        return _request(key[0].as_py(), phase, *batch.wanted(phase), buckets)
+
+    return run
 
 
 def _score(order: int, buckets: int, words: int):
     """Scores the documents of a batch with the totals that came back."""
 
     def run(key: tuple, documents: pa.Table, answers: pa.Table) -> pa.Table:
-        offsets, data = text_buffers(documents.column("text"))
-        grams, places, doc = _ngrams(offsets, data, order)
-        rows = len(offsets) - 1
-        h, _ = _distinct(grams)
-        b = _bucket(h, buckets)
-        by = np.argsort(b, kind="stable")
-        edges = np.searchsorted(b[by], np.arange(buckets + 1))
-        zero = int(_bucket(np.array([_TOTAL]), buckets)[0])
-        totals = np.zeros(len(h), np.int64)
-        for k, raw in zip(answers.column("bucket").to_pylist(), answers.column("totals").to_pylist(), strict=True):
-            own = np.frombuffer(raw, np.uint32)
-            if k == zero:
-                own = own[:-1]
-            totals[by[edges[k] : edges[k + 1]]] = own
+        batch = _Batch(documents, order, buckets)
+        for p in range(max(1, order - 1)):
+            batch.answer(p, answers)
+        doc, less, rows = batch.doc, batch.less, batch.rows
         n_words = np.bincount(doc, minlength=rows)
-        score = np.zeros(len(doc))
         others = words - n_words[doc]
-        level = np.full(len(doc), -1.0)
-        done = np.zeros(len(doc), dtype=bool)
-        less = []
-        for g, at in zip(grams, places, strict=True):
-            place = np.searchsorted(h, g)
-            pair, own = np.unique(doc[at].astype(np.int64) * len(h) + place, return_inverse=True)
-            rest = totals[place] - np.bincount(own, minlength=len(pair))[own]
-            full = np.zeros(len(doc), np.int64)
-            full[at] = rest
-            less.append(full)
+        score, level, done = np.zeros(len(doc)), np.full(len(doc), -1.0), np.zeros(len(doc), dtype=bool)
         for n in range(order, 0, -1):
-            has = np.zeros(len(doc), dtype=bool)
-            has[places[n - 1]] = True
+            has = batch.grams[n - 1] != _TOTAL
             level[has & (level < 0)] = 0
             if n > 1:
                 history = np.zeros(len(doc), np.int64)
@@ -142,11 +177,11 @@ def _score(order: int, buckets: int, words: int):
                 score[hit] = np.log(less[n - 1][hit] / history[hit]) + level[hit] * np.log(BACKOFF)
             else:
                 hit = ~done
-                c = less[0][hit]
-                score[hit] = np.where(c > 0, np.log(np.maximum(c, 1) / np.maximum(others[hit], 1)), -np.log(others[hit] + 1.0)) + level[hit] * np.log(BACKOFF)
+                c, rest = less[0][hit], np.maximum(others[hit], 0)
+                score[hit] = np.where(c > 0, np.log(np.maximum(c, 1) / np.maximum(rest, 1)), -np.log(rest + 1.0)) + level[hit] * np.log(BACKOFF)
             done |= hit
             level[~done & (level >= 0)] += 1
-        total = np.bincount(doc, weights=score, minlength=rows)
+        total = np.bincount(doc, weights=score, minlength=rows).astype(np.float64)
         mean = np.where(n_words > 0, total / np.maximum(n_words, 1), np.nan)
         return pa.table({"row": documents.column("row"), "n_words": pa.array(n_words.astype(np.int64)), "log_score": pa.array(total), "mean_log_score": pa.array(mean, from_pandas=True)})
 
@@ -172,8 +207,15 @@ def lm_scores(documents: DataFrame, order: int = ORDER, carry: list[str] | None
     held = max(batch_bytes, min(MOST_BATCH_BYTES, (size.b or 0) >> 12))
     parts = max(1, -(-(size.b or 0) // held))
     dealt = documents.withColumn("batch", F.pmod(F.xxhash64("row", "text"), F.lit(parts).cast("long")))
-    requests = dealt.groupBy("batch").applyInArrow(_requests(order, parts), "batch long, bucket long, grams binary, counts binary")
-    answers = requests.groupBy("bucket").applyInArrow(_count, "batch long, bucket long, totals binary")
+    answers = None
+    for phase in range(max(1, order - 1)):
+        if phase == 0:
+            asked = dealt.groupBy("batch").applyInArrow(_ask_first(order, parts), _REQUEST)
+        else:
+            asked = dealt.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(_ask_more(order, parts, phase), _REQUEST)
+        answered = asked.groupBy("bucket").applyInArrow(_count, "batch long, bucket long, phase int, totals binary")
+        answered = materialise(answered, "answers")  # small, and read again by each later phase
+        answers = answered if answers is None else answers.union(answered)
     kind = documents.schema["row"].dataType.simpleString()
     scored = dealt.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(_score(order, parts, int(size.w or 0)), f"row {kind}, n_words long, log_score double, mean_log_score double")
     return scored.select("row.*", "n_words", "log_score", "mean_log_score")
