@@ -58,14 +58,23 @@ def _words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(f"({_WORDS})"))
 
 
-def _windows(words: Column, n: int) -> Column:
+def _each(words: Column, body) -> Column:
+    """``body`` of the words, which are found once however often it names them."""
+    return F.transform(F.array(words), body)[0]
+
+
+def _runs(words: Column, n: int) -> Column:
     whole = F.transform(F.sequence(F.lit(1), F.size(words) - n + 1), lambda i: F.array_join(F.slice(words, i, n), " "))
     return F.when(F.size(words) >= n, whole).otherwise(F.array().cast("array<string>"))
 
 
+def _windows(words: Column, n: int) -> Column:
+    return _each(words, lambda w: _runs(w, n))
+
+
 def _grams(words: Column) -> Column:
     """The distinct one- to three-word sequences."""
-    return F.array_distinct(F.concat(*(_windows(words, n) for n in (1, 2, 3))))
+    return _each(words, lambda w: F.array_distinct(F.concat(*(_runs(w, n) for n in (1, 2, 3)))))
 
 
 def _literal(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
@@ -103,12 +112,15 @@ class LicenceModel:
         return r"(?i)(?<![A-Za-z0-9])(?:" + "|".join(sorted({w["gram"].split()[w["rare"]] for w in self.weights})) + ")(?![A-Za-z0-9])" if self.weights else r"(?!)"
 
 
-def _probabilities(scores: Column, model_temperature: Column | float) -> Column:
+def _probabilities(scores: Column, temperature: float) -> Column:
     """Softmax over an array of struct(family, z)."""
-    top = F.array_max(F.transform(scores, lambda s: s["z"]))
-    powers = F.transform(scores, lambda s: F.struct(F.exp((s["z"] - top) / model_temperature).alias("p"), s["family"].alias("family")))
-    total = F.aggregate(powers, F.lit(0.0), lambda a, s: a + s["p"])
-    return F.transform(powers, lambda s: F.struct((s["p"] / total).alias("p"), s["family"].alias("family")))
+    def powers(s: Column) -> Column:
+        return _each(F.array_max(F.transform(s, lambda x: x["z"])), lambda top: F.transform(s, lambda x: F.struct(F.exp((x["z"] - top) / temperature).alias("p"), x["family"].alias("family"))))
+
+    def shares(p: Column) -> Column:
+        return _each(F.aggregate(p, F.lit(0.0), lambda a, x: a + x["p"]), lambda total: F.transform(p, lambda x: F.struct((x["p"] / total).alias("p"), x["family"].alias("family"))))
+
+    return _each(_each(scores, powers), shares)
 
 
 def _score(paragraphs: DataFrame, model: LicenceModel) -> DataFrame:
