@@ -348,8 +348,8 @@ def test_viterbi_is_the_best_labelling():
 
 
 def test_field_learns(spark):
-    good = "\n".join("This is a plain sentence of words number %d." % i for i in range(6))
-    bad = "\n".join("buy | now | %d | *** | click" % i for i in range(6))
+    good = "\n".join(" ".join(f"plain{i}{j}" for j in range(9)) + "." for i in range(6))
+    bad = "\n".join(" | ".join(f"buy{i}{j}" for j in range(5)) + " ***" for i in range(6))
     docs = spark.createDataFrame([(k, good if k % 2 else bad, "s") for k in range(60)], SCHEMA)
     labels = spark.createDataFrame([(k, k % 2, 0) for k in range(40)], "doc_id long, quality int, toxic int")
     field = quality_rules.fit_field(docs, labels)

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._hashing import Words, _power_tables, mix, slices, text_buffers, window_hashes
+from ._store import Carried
 
 #: The rules' own limits.
 LEAST_WORDS = 10
@@ -255,10 +256,10 @@ def fit_field(documents: DataFrame, labels: DataFrame, most: int = TRAIN_DOCUMEN
 _RESULT = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, content_share double, kept boolean"
 
 
-def _judge(field: Field, others: list[str]):
+def _judge(field: Field, others: list[str], name: str = "text"):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            offsets, data = text_buffers(batch.column("text"))
+            offsets, data = text_buffers(batch.column(name))
             parts = [[] for _ in range(8)]
             for i, j in slices(offsets):
                 m = measure(offsets, data, i, j)
@@ -282,9 +283,5 @@ def judge_quality(documents: DataFrame, field: Field, keep_columns: list[str] |
     or blank text has no words, so it fails the base rules and is not kept.
     Repeated rows are judged one by one; an empty table gives an empty result.
     """
-    passed = keep_columns or ["doc_id"]
-    extra = [c for c in passed if c != "text"]
-    frame = documents.select(*extra, "text")
-    kinds = dict((f.name, f.dataType.simpleString()) for f in frame.schema)
-    schema = ", ".join([f"`{c}` {kinds[c]}" for c in passed] + [_RESULT])
-    return frame.mapInArrow(_judge(field, passed), schema)
+    carried = Carried(documents, keep_columns or ["doc_id"])
+    return carried.restore(carried.frame.mapInArrow(_judge(field, carried.inner, carried.text), f"{carried.schema}, {_RESULT}"))

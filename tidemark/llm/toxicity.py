@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._hashing import Words, slices, text_buffers
+from ._store import Carried
 
 #: So many labelled documents at most train the model, those of the smallest hash of doc_id.
 TRAIN_DOCUMENTS = 6000
@@ -208,12 +209,11 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, most: int = TRAIN_DOCU
     return model
 
 
-def _score(shared, others: list[str]):
+def _score(shared, others: list[str], name: str = "text"):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            column = batch.column("text")
-            offsets, data = text_buffers(column)
+            offsets, data = text_buffers(batch.column(name))
             scores, worst, from_, to = [np.zeros(0)], [np.zeros(0)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for i, j in slices(offsets, 1 << 19):
                 s = cut(offsets, data, i, j)
@@ -245,8 +245,7 @@ def score_toxicity(documents: DataFrame, model: Model, keep_columns: list[str] |
     predicted is 1, else null). A null or empty text scores 0. Repeated rows are
     scored one by one; an empty table gives an empty result.
     """
-    passed = keep_columns or ["doc_id"]
-    frame = documents.select(*[c for c in passed if c != "text"], "text")
-    kinds = dict((f.name, f.dataType.simpleString()) for f in frame.schema)
-    schema = ", ".join([f"`{c}` {kinds[c]}" for c in passed] + ["score double", "predicted int", "sentence_score double", "sentence string"])
-    return frame.mapInArrow(_score(documents.sparkSession.sparkContext.broadcast(model), passed), schema)
+    carried = Carried(documents, keep_columns or ["doc_id"])
+    shared = documents.sparkSession.sparkContext.broadcast(model)
+    schema = carried.schema + ", score double, predicted int, sentence_score double, sentence string"
+    return carried.restore(carried.frame.mapInArrow(_score(shared, carried.inner, carried.text), schema))
