@@ -25,7 +25,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._hashing import Words, mix, text_buffers, window_hashes
-from ._store import materialise
 
 ORDER = 3
 BACKOFF = 0.4
@@ -96,8 +95,8 @@ def _count(key: tuple, requests: pa.Table) -> pa.Table:
 class _Batch:
     """The n-grams of a batch, and how often each occurs in other documents as far as answers tell.
 
-    Words and pairs are asked for first. A longer n-gram can occur in another
-    document only if the two n-grams one shorter within it do, so only those are asked for.
+    Words are asked for first. A longer n-gram can occur in another document only if
+    the two n-grams one shorter within it do, so only those are asked for.
     """
 
     def __init__(self, documents: pa.Table, order: int, buckets: int):
@@ -108,11 +107,9 @@ class _Batch:
 
     def wanted(self, phase: int) -> tuple[np.ndarray, np.ndarray]:
         """The distinct n-grams to ask for in a phase, with their counts in the batch."""
-        if phase == 0:
-            g = np.concatenate(self.grams[:2])
-        else:
-            last, n = self.less[-1], phase + 2
-            g = self.grams[n - 1].copy()
+        g = self.grams[phase].copy()
+        if phase:
+            last = self.less[-1]
             before = np.zeros(len(g), np.int64)
             before[1:] = last[:-1]
             g[(last <= 0) | (before <= 0)] = _TOTAL
@@ -125,18 +122,17 @@ class _Batch:
         for k, p, raw in zip(answers.column("bucket").to_pylist(), answers.column("phase").to_pylist(), answers.column("totals").to_pylist(), strict=True):
             if p == phase:
                 totals[by[edges[k] : edges[k + 1]]] = np.frombuffer(raw, np.uint32)
-        for n in (1, 2)[: self.order] if phase == 0 else (phase + 2,):
-            g = self.grams[n - 1]
-            place = np.minimum(np.searchsorted(h, g), max(len(h) - 1, 0))
-            there = (g != _TOTAL) & (h[place] == g) if len(h) else np.zeros(len(g), dtype=bool)
-            full = np.zeros(len(g), np.int64)
-            _, own, mine = np.unique(self.doc[there].astype(np.int64) * max(len(h), 1) + place[there], return_inverse=True, return_counts=True)
-            full[there] = totals[place[there]] - mine[own]
-            self.less.append(full)
+        g = self.grams[phase]
+        place = np.minimum(np.searchsorted(h, g), max(len(h) - 1, 0))
+        there = (g != _TOTAL) & (h[place] == g) if len(h) else np.zeros(len(g), dtype=bool)
+        full = np.zeros(len(g), np.int64)
+        _, own, mine = np.unique(self.doc[there].astype(np.int64) * max(len(h), 1) + place[there], return_inverse=True, return_counts=True)
+        full[there] = totals[place[there]] - mine[own]
+        self.less.append(full)
 
 
 def _ask_first(order: int, buckets: int):
-    """The requests of words and pairs."""
+    """The requests of words."""
 
     def run(key: tuple, documents: pa.Table) -> pa.Table:
         return _request(key[0].as_py(), 0, *_Batch(documents, order, buckets).wanted(0), buckets)
@@ -161,7 +157,7 @@ def _score(order: int, buckets: int, words: int):
 
     def run(key: tuple, documents: pa.Table, answers: pa.Table) -> pa.Table:
         batch = _Batch(documents, order, buckets)
-        for p in range(max(1, order - 1)):
+        for p in range(order):
             batch.answer(p, answers)
         doc, less, rows = batch.doc, batch.less, batch.rows
         n_words = np.bincount(doc, minlength=rows)
@@ -208,13 +204,12 @@ def lm_scores(documents: DataFrame, order: int = ORDER, carry: list[str] | None
     parts = max(1, -(-(size.b or 0) // held))
     dealt = documents.withColumn("batch", F.pmod(F.xxhash64("row", "text"), F.lit(parts).cast("long")))
     answers = None
-    for phase in range(max(1, order - 1)):
+    for phase in range(order):
         if phase == 0:
             asked = dealt.groupBy("batch").applyInArrow(_ask_first(order, parts), _REQUEST)
         else:
             asked = dealt.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(_ask_more(order, parts, phase), _REQUEST)
         answered = asked.groupBy("bucket").applyInArrow(_count, "batch long, bucket long, phase int, totals binary")
-        answered = materialise(answered, "answers")  # small, and read again by each later phase
         answers = answered if answers is None else answers.union(answered)
     kind = documents.schema["row"].dataType.simpleString()
     scored = dealt.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(_score(order, parts, int(size.w or 0)), f"row {kind}, n_words long, log_score double, mean_log_score double")
