@@ -220,6 +220,26 @@ def test_html(spark):
     assert [r.text for r in got] == [text, "", "", "plain < text", text, "a\nb c", ""] and all(r.n_chars == len(r.text) for r in got)
 
 
+LONG = "The river rose again in the night, and by morning the lower road, the mill and the old bridge were under water. Nobody had seen it so high, they said, since the year of the great flood."
+
+
+def test_html_blocks_are_chosen_by_their_paths():
+    body = f"<p>{LONG}</p><p>{LONG}</p>"
+    links = "".join(f'<li><a href="/{k}">Another story {k}</a></li>' for k in range(6))
+    comment = '<article class="comment"><p>What a story, I was there, and it is all true!</p></article>'
+    both = f"{LONG}\n{LONG}"
+    assert html_extraction.main_text(f'<main><article>{body}</article><ul class="more">{links}</ul></main>') == both
+    assert html_extraction.main_text(f"<main><article><h2>High water</h2>{body}</article><h2>More</h2><ul>{links}</ul></main>") == f"High water\n{both}"
+    # comments as articles: beside the article, in it, in main beside plain text
+    for page in (f"<article>{body}</article>{comment}", f"<article>{body}{comment}</article>", f"<main>{body}{comment}</main>", f"<div>{body}</div>{comment}"):
+        assert html_extraction.main_text(page) == both
+    # an article that only has such a name is the page's own
+    assert html_extraction.main_text(f'<main><article class="post sidebar">{body}</article><p>Print</p></main>') == both
+    # neither element: content of several containers, one of them short
+    assert html_extraction.main_text(f"<div id=a>{body * 6}</div><ul>{links}</ul><div id=b><div><p>{LONG}</p></div></div>") == "\n".join([LONG] * 13)
+    assert html_extraction.main_text(f"<ul>{links}</ul>") == ""
+
+
 def brute_lm(rows, order=3):
     docs = [words(t) for _, t, _ in rows]
     count = Counter()

@@ -4,10 +4,12 @@ A page is cut into blocks, each with the path of block elements from the root
 to it. For every path of a page the text length, its part inside links, the
 punctuation and the number of blocks are added up; the ratios of text and of
 punctuation to blocks are the path's weight. Weights are smoothed along the page,
-fused with the unsmoothed ones, and paths whose fused weight passes a threshold
-are content. The content's container, the deepest element that holds nearly
-all of it, gives the article; what the page itself marks as something
-else (menus, adverts, forms, comments and so on) never counts.
+fused with the unsmoothed ones, and every block whose path's fused weight passes
+a threshold is content. Where the page has an article (or else a main) element, paths
+inside weigh more and paths outside less; a path without text beyond its links
+stays at zero. A heading is content if the block after it is. What
+the page itself marks as something else (menus, adverts, forms, comments and so
+on) never counts.
 """
 
 from __future__ import annotations
@@ -33,15 +35,19 @@ PARTS = re.compile(r"(?:^|[\s_-])(?:nav|navbar|navigation|menu|sidebar|side|asid
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "thead": set(), "tbody": {"tr", "td", "th", "thead"}}
 _PUNCTUATION = re.compile(r"[.,;:!?、。，！？]")
 
-LEAST_SHARE = 0.9
+OWN = frozenset(("article", "main"))
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 THRESHOLD = 0.5
 
 
 class _Element:
-    __slots__ = ("apart", "name", "parent", "path")
+    __slots__ = ("apart", "doubtful", "name", "parent", "path", "within")
 
-    def __init__(self, name: str, parent: _Element | None, apart: bool, mark: str = ""):
+    def __init__(self, name: str, parent: _Element | None, apart: bool, mark: str = "", part: bool = False):
         self.name, self.parent, self.apart = name, parent, apart
+        #: The outermost article with the name of another part that this is in, and which of article and main it is in, or is.
+        self.doubtful = (parent.doubtful if parent else None) or (self if part else None)
+        self.within: frozenset[str] = (parent.within if parent else frozenset()) | (OWN & {name})
         self.path = f"{parent.path if parent else ''}/{name}{mark}"
 
 
@@ -60,13 +66,36 @@ def _marked(name: str, attributes: str, parent: _Element) -> tuple[bool, str]:
         key = key.lower()
         if key == "role" and value.lower() in ROLES:
             return True, first
-        if key != "role" and name not in ("html", "body", "article", "main") and PARTS.search(value):
+        if key != "role" and name not in ("html", "body", *OWN) and PARTS.search(value):
             return True, first
         if key == "class" and value.split():
             first = "." + value.split()[0]
     return False, first
 
 
+def _part(name: str, attributes: str) -> bool:
+    """Whether an article or main has the name of another part of a page."""
+    return name in OWN and any(k.lower() != "role" and PARTS.search(v.strip("\"'")) for k, v in _MARKS.findall(attributes))
+
+
+def _settled(found: list[_Block]) -> list[_Block]:
+    """Drops articles named as another part, unless the largest of them is longer than all text beside them."""
+    sizes: dict[_Element | None, int] = {}
+    for b in found:
+        sizes[b.element.doubtful] = sizes.get(b.element.doubtful, 0) + max(0, len(b.text) - b.links)
+    plain = [b for b in found if b.element.doubtful is None]
+    within = any("article" in b.element.within for b in plain)
+    if within or sizes.pop(None, 0) >= max(sizes.values(), default=0):
+        return plain
+    return found
+
+
+def _upwards(e: _Element | None) -> Iterator[_Element]:
+    while e is not None:
+        yield e
+        e = e.parent
+
+
 def blocks(page: str) -> list[_Block]:
     """The text blocks of a page in order, those of parts that are not content left out."""
     root = _Element("", None, False)
@@ -128,14 +157,16 @@ def blocks(page: str) -> list[_Block]:
         anchors = 0
         apart, mark = _marked(name, m[3], at)
         inside = at
-        while name == "header" and inside is not root and inside.name not in ("article", "main"):
+        while name == "header" and inside is not root and inside.name not in OWN:
             inside = inside.parent
+        part = _part(name, m[3])
+        apart = apart or (part and "article" in at.within)
         apart = apart or name in OUTSIDE or (name == "header" and inside is root)
         if m[0].endswith("/>") and name not in ("p", "div", "li"):
             continue
-        at = _Element(name, at, at.apart or apart, mark)
+        at = _Element(name, at, at.apart or apart, mark, part)
     close()
-    return found
+    return _settled(found)
 
 
 def _weights(parts: list[_Block]) -> list[float]:
@@ -156,11 +187,17 @@ def _weights(parts: list[_Block]) -> list[float]:
     fused: dict[str, list[float]] = {}
     for b, x, y in zip(parts, raw, smooth, strict=True):
         fused.setdefault(b.element.path, []).append(math.sqrt(x * y))
-    return [sum(f := fused[b.element.path]) / len(f) for b in parts]
+    weights = [sum(f := fused[b.element.path]) / len(f) for b in parts]
+    own = next((x for x in ("article", "main") if any(x in b.element.within for b in parts)), None)
+    if own is None:
+        return weights
+    # only raises or lowers: half way up to the greatest weight on a log scale, and half
+    most = max(weights)
+    return [math.sqrt(w * most) if own in b.element.within else w / 2 for b, w in zip(parts, weights, strict=True)]
 
 
 def main_text(page: str | None) -> str:
-    """The article's blocks, one a line; empty if the page has none."""
+    """The content's blocks, one a line; empty if the page has none."""
     parts = blocks(page or "")
     if not parts:
         return ""
@@ -169,34 +206,10 @@ def main_text(page: str | None) -> str:
     spread = math.sqrt(sum((w - mean) ** 2 for w in weights) / len(weights))
     limit = min(THRESHOLD * spread, max(weights))
     content = [w >= limit and w > 0 for w in weights]
-    within: dict[_Element, int] = {}
-    total = 0
-    for b, good in zip(parts, content, strict=True):
-        if good:
-            total += len(b.text)
-            e = b.element
-            while e is not None:
-                within[e] = within.get(e, 0) + len(b.text)
-                e = e.parent
-    if not total:
-        return ""
-    named = [e for e in within if e.name in ("article", "main")]
-    if named:
-        held = set(named)
-    else:
-        depth = lambda e: e.path.count("/")
-        held = {max((e for e, x in within.items() if x >= LEAST_SHARE * total), key=depth)}
-        deepest = next(iter(held))
-        if deepest.name not in ("", "html", "body") and deepest.name in ("p", "li", "td", "blockquote", "pre") and deepest.parent:
-            held = {deepest.parent}
-    lines = []
-    for b, good in zip(parts, content, strict=True):
-        e = b.element
-        while e is not None and e not in held:
-            e = e.parent
-        if e is not None and (good or named or 2 * b.links < len(b.text)):
-            lines.append(b.text)
-    return "\n".join(lines)
+    for k in reversed(range(len(parts) - 1)):
+        if any(e.name in HEADINGS for e in _upwards(parts[k].element)):
+            content[k] = content[k] or content[k + 1]
+    return "\n".join(b.text for b, good in zip(parts, content, strict=True) if good)
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
