@@ -85,6 +85,16 @@ def test_jaccard_join(odd, empty):
     assert jaccard_join.jaccard_components(empty).count() == 0
 
 
+def test_jaccard_join_without_ids(spark):
+    other = " ".join(f"second{i}" for i in range(60))
+    third = " ".join(f"third{i}" for i in range(60))
+    rows = [(None, BASE.replace("word9 ", "null "), "a"), (1, BASE, "a"), (None, BASE.replace("word50 ", "null "), "b"), (5, BASE.replace("word50 ", "null "), "b")]
+    rows += [(None, other, "a"), (None, other.replace("second30 ", "x "), "a"), (7, third, "a"), (7, third.replace("third3 ", "x "), "a"), (7, BASE.replace("word2 ", "y "), "a"), (None, None, "a")]
+    for some in (rows, rows[::-1]):
+        got = Counter(tuple(r) for r in jaccard_join.jaccard_components(spark.createDataFrame(some, SCHEMA).coalesce(1)).collect())
+        assert got == brute_components(some)
+
+
 def test_jaccard_join_edited_copies(spark):
     rng = np.random.default_rng(3)
     rows = []

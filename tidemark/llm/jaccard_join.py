@@ -271,14 +271,19 @@ class _Verifier:
     def links(self, pairs: DataFrame) -> DataFrame:
         """The pairs ``a, b, na, nb`` that reach the threshold."""
         named = _small(materialise(pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct(), "named"))
-        p = self.members.where("profile is not null").join(named, "cls").groupBy("cls").agg(F.min_by("profile", "doc_id").alias("profile"), F.min("doc_id").alias("doc_id"))
+        p = self.members.where("profile is not null").join(named, "cls").groupBy("cls").agg(F.first("profile").alias("profile"), F.min("doc_id").alias("doc_id"))
         p = materialise(p, "profiles")
         near = pairs.join(p.select(F.col("cls").alias("a"), F.col("profile").alias("pa")), "a").join(p.select(F.col("cls").alias("b"), F.col("profile").alias("pb")), "b")
         near = materialise(near.select("a", "b", "na", "nb", "pa", "pb").mapInArrow(_far_apart(self.threshold), "a long, b long, na long, nb long"), "near")
         wanted = near.select(F.col("a").alias("cls")).union(near.select("b")).distinct()
-        wanted = _small(materialise(p.join(wanted, "cls").select("doc_id"), "wanted"))
-        texts = self.documents.join(wanted, "doc_id").select("text")
-        sets = materialise(texts.mapInArrow(_class_sets(self.size), "cls long, shingles binary").dropDuplicates(["cls"]), "sets")
+        wanted = materialise(p.join(wanted, "cls").select("cls", "doc_id"), "wanted")
+        texts = self.documents.join(_small(wanted.where("doc_id is not null").select("doc_id")), "doc_id").select("text")
+        sets = texts.mapInArrow(_class_sets(self.size), "cls long, shingles binary")
+        lost = wanted.where("doc_id is null").select("cls")
+        if not lost.isEmpty():  # no id to fetch by: the class is found again among the rows without one
+            nameless = self.documents.where("doc_id is null").select("text").mapInArrow(_class_sets(self.size), "cls long, shingles binary")
+            sets = sets.union(nameless.join(_small(lost), "cls", "left_semi"))
+        sets = materialise(sets.dropDuplicates(["cls"]), "sets")
         both = near.join(sets.select(F.col("cls").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("cls").alias("b"), F.col("shingles").alias("sb")), "b")
         return both.select("a", "b", "sa", "sb").mapInArrow(_probe(self.threshold), "a long, b long")
 
