@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm._store import shared_folder, table
+from tidemark.llm._store import materialise, shared_folder, table
 from tidemark.llm.decontamination import contaminated
 from tidemark.llm.jaccard_join import jaccard_components
 from tidemark.llm.mixing import mix_sources
@@ -29,16 +29,29 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return score_toxicity(docs, model, COLUMNS).where("predicted = 0").select(*COLUMNS)
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """The rows with a written ``row_id``, which is never null and never repeats."""
+    return materialise(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row_id")), "numbered")
+
+
+def _as_documents(rows: DataFrame) -> DataFrame:
+    return rows.select(F.col("row_id").alias("doc_id"), "text")
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, that of the smallest doc_id; a repeated doc_id stays once."""
-    kept = jaccard_components(docs).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*COLUMNS)
+    """One row of each group of near duplicates, that of the smallest doc_id; doc_ids may be null or repeat."""
+    rows = _numbered(docs)
+    groups = jaccard_components(_as_documents(rows)).select(F.col("doc_id").alias("row_id"), "component_id")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_id")
+    kept = rows.select("row_id", "doc_id").join(groups, "row_id").groupBy("component_id").agg(F.min(order).getField("row_id").alias("row_id"))
+    return rows.join(kept.select("row_id"), "row_id", "left_semi").select(*COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
-    leaks = contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(leaks, "doc_id", "left_anti").select(*COLUMNS)
+    """Rows without a passage of the benchmark; doc_ids may be null or repeat."""
+    rows = _numbered(docs)
+    leaks = contaminated(_as_documents(rows), table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("row_id")).distinct()
+    return rows.join(leaks, "row_id", "left_anti").select(*COLUMNS)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -38,6 +38,20 @@ def test_stages(spark):
     assert len(clean) > 0.8 * len(rows)
 
 
+def test_stages_with_null_and_repeated_ids(spark):
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
+    one, two, three = (" ".join(f"{w}{k}" for k in range(40)) for w in ("one", "two", "three"))
+    near = one.replace("one0 ", "other ")
+    rows = [(None, one), (None, two), (3, near), (7, near), (7, three), (7, three), (8, None), (8, None)]
+    docs = spark.createDataFrame([(d, t, "en", "web", len(t or "")) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.near_duplicates(spark, docs, SF).select("doc_id", "text").collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(3, near), (None, two), (7, three), (8, None), (8, None)], key=str)
+    rows = [(None, f"x {item} y"), (None, one), (7, f"x {item} y"), (7, two), (9, item)]
+    docs = spark.createDataFrame([(d, t, "en", "web", len(t)) for d, t in rows], docs.schema)
+    got = corpus_pipeline.decontamination(spark, docs, SF).select("doc_id", "text").collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(None, one), (7, two)], key=str)
+
+
 def test_run(spark):
     assert corpus_pipeline.ORACLE_SQL is None and len(corpus_pipeline.STAGES) == 5
     got = corpus_pipeline.run(spark, SF)
