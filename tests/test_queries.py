@@ -43,3 +43,11 @@ def test_query(spark, duck, name):
 def test_queries_without_sql_have_rows(spark):
     for name in sorted(set(catalogue.QUERIES) - set(catalogue.ORACLES)):
         assert catalogue.QUERIES[name](spark, SF).count() > 0
+
+
+def test_grids_hold_every_event(spark, tmp_path):
+    times = ["2024-01-01 00:00:00", "2024-01-25 06:30:00", "2024-02-20 12:00:00"]
+    rows = spark.createDataFrame([(k, t, k, "click", 1.0, None) for k, t in enumerate(times)], "event_id long, ts string, user_id long, event_type string, value double, props string")
+    rows.withColumn("ts", rows.ts.cast("timestamp_ntz")).write.parquet(f"{tmp_path}/events.parquet")
+    assert sum(r.n for r in catalogue.QUERIES["k2_indicator_whole"](spark, str(tmp_path)).collect()) == 3
+    assert sum(r["mean"] is not None for r in catalogue.QUERIES["w8_marks_per_bin"](spark, str(tmp_path)).collect()) == 3

@@ -45,6 +45,15 @@ def filter_by_criteria(units: DataFrame, criteria: dict[str, list[tuple[str, obj
     return units
 
 
+def group_spikes(trains: DataFrame, units: DataFrame, sorting: str, unit: str, t: str, labels: str, include: list[str], exclude: list[str], criteria: dict[str, list[tuple[str, object]]], time_slice: tuple[int, int] | None = None) -> DataFrame:
+    """Spikes of the units that pass labels and criteria, in the closed slice if there is one; ``unit`` counts from 0 in each sorting."""
+    kept = filter_by_criteria(filter_by_label(units, labels, include, exclude), criteria).select(sorting, unit)
+    number = F.row_number().over(Window.partitionBy(sorting).orderBy(unit)) - 1
+    kept = kept.select(sorting, F.col(unit).alias("_id"), number.cast("long").alias("unit"))
+    inside = trains if time_slice is None else trains.where(F.col(t).between(*time_slice))
+    return inside.select(sorting, F.col(unit).alias("_id"), t).join(kept, [sorting, "_id"]).select(sorting, "unit", t)
+
+
 def labels_from_metrics(metrics: DataFrame, unit: str, rules: list[tuple[str, str, float, list[str]]]) -> DataFrame:
     """Labels of each unit by rules ``(metric, op, value, labels)``, in the order of the rules, each once."""
     parts = [F.when(criterion(m, op, v), F.array(*map(F.lit, names))).otherwise(F.array().cast("array<string>")) for m, op, v, names in rules]

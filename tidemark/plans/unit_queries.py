@@ -18,6 +18,18 @@ def k2_indicator(s, d):
     return K.indicator(ev, "event_type", "t", a, HOUR, 500)
 
 
+def _grid(ev, step):
+    """The first time, and the number of grid times from there until one lies after the last event."""
+    a, b = ev.agg(F.min("t"), F.max("t")).first()
+    return (0, 1) if a is None else (a, (b - a) // step + 2)
+
+
+def k2_indicator_whole(s, d):
+    ev = events(s, d)
+    a, bins = _grid(ev, HOUR)
+    return K.indicator(ev, "event_type", "t", a, HOUR, bins)
+
+
 def _units(s, d):
     return read(s, d, "part").select(F.col("p_partkey").alias("unit"), F.col("p_retailprice").alias("snr"), "p_size", F.split("p_type", " ").alias("labels"), "p_brand")
 
@@ -37,6 +49,14 @@ def k6_group_spikes(s, d):
     return ev.select("event_type", number.alias("unit"), "t")
 
 
+def k6_group_spikes_whole(s, d):
+    ev = events(s, d)
+    a, b = ev.agg(F.min("t"), F.max("t")).first()
+    units = ev.groupBy("event_type", "user_id").agg(F.count("*").alias("n"), F.min("value").alias("least"), F.max("value").alias("most"))
+    units = units.withColumn("labels", F.array_compact(F.array(F.when(F.col("most") > 90, "high"), F.when(F.col("n") >= 20, "active"), F.when(F.col("least") < 0.1, "low"))))
+    return K.group_spikes(ev, units, "event_type", "user_id", "t", "labels", ["high", "active"], ["low"], {"n": [(">", 1)], "most": [("between", (50, 99.99))]}, None if a is None else (a + DAY, b - DAY))
+
+
 def k12_labels(s, d):
     return K.labels_from_metrics(read(s, d, "supplier"), "s_suppkey", RULES)
 
@@ -81,8 +101,8 @@ def w7_mark_threshold(s, d):
 
 def w8_marks_per_bin(s, d):
     ev = events(s, d)
-    a = ev.agg(F.min("t")).first()[0]
-    return K.marks_per_bin(ev, "event_type", "t", "value", a, DAY, 31).select("event_type", "bin", F.round("mean", 6).alias("mean"))
+    a, bins = _grid(ev, DAY)
+    return K.marks_per_bin(ev, "event_type", "t", "value", a, DAY, bins).select("event_type", "bin", F.round("mean", 6).alias("mean"))
 
 
 def _decode(s, d):
@@ -181,7 +201,7 @@ def v20_unique(s, d):
     return Q.unique_ids(read(s, d, "orders").select(F.col("o_custkey").alias("id"), "o_orderkey"), "id", "o_orderkey")
 
 
-QUERIES = {f.__name__: f for f in (k2_indicator, k4_filter_by_label, k5_filter_by_criteria, k6_group_spikes, k12_labels, k14_num_spikes, k15_isi, k17_peak, k20_sort_groups, k22_pooled_isi, k23_correlogram, k24_asymmetry, w7_mark_threshold, w8_marks_per_bin, b2_place_fields, b3_posterior, b4_map, b11_quantise, a1_ingest, a2_select_objects, a3_overlay, a4_require, a5_validate, a6_upsert, a10_epochs, v7_storage, v9_content, v10_diff, v11_tag, v12_eligible, v19_sanitise, v20_unique)}
+QUERIES = {f.__name__: f for f in (k2_indicator, k2_indicator_whole, k4_filter_by_label, k5_filter_by_criteria, k6_group_spikes, k6_group_spikes_whole, k12_labels, k14_num_spikes, k15_isi, k17_peak, k20_sort_groups, k22_pooled_isi, k23_correlogram, k24_asymmetry, w7_mark_threshold, w8_marks_per_bin, b2_place_fields, b3_posterior, b4_map, b11_quantise, a1_ingest, a2_select_objects, a3_overlay, a4_require, a5_validate, a6_upsert, a10_epochs, v7_storage, v9_content, v10_diff, v11_tag, v12_eligible, v19_sanitise, v20_unique)}
 
 _COR = f"co AS (SELECT a.event_type AS a, b.event_type AS b, floor((b.t - a.t) / {HOUR // 10})::BIGINT AS bin, count(*) AS n FROM ev a JOIN ev b ON a.event_type <> b.event_type AND b.t - a.t >= {-HOUR // 2} AND b.t - a.t < {HOUR // 2} GROUP BY ALL)"
 _DEC = f"""de AS (SELECT event_type, t // {HOUR} AS hour, least(9, floor(value / 10))::BIGINT AS bin FROM ev), oc AS (SELECT bin, count(*) AS o FROM de GROUP BY bin), ct AS (SELECT event_type, bin, count(*) AS n FROM de GROUP BY ALL),
@@ -193,9 +213,13 @@ _CH = """o AS (SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders), n
 ORACLES = {
     "k2_indicator": sql(f"""a AS (SELECT min(t) AS a FROM ev), c AS (SELECT event_type, least(498, (t - a) // {HOUR}) AS bin, count(*) AS n FROM ev, a WHERE t <= a + {HOUR} * 499 GROUP BY ALL),
 g AS (SELECT event_type, unnest(range(0, 500)) AS bin FROM (SELECT DISTINCT event_type FROM ev)) SELECT g.event_type, g.bin, coalesce(n, 0) AS n FROM g LEFT JOIN c ON c.event_type = g.event_type AND c.bin = g.bin"""),
+    "k2_indicator_whole": sql(f"""a AS (SELECT min(t) AS a, max(t) AS b FROM ev), c AS (SELECT event_type, (t - a) // {HOUR} AS bin, count(*) AS n FROM ev, a GROUP BY ALL),
+g AS (SELECT event_type, unnest(range(0, (b - a) // {HOUR} + 2)) AS bin FROM (SELECT DISTINCT event_type FROM ev), a) SELECT g.event_type, g.bin, coalesce(n, 0) AS n FROM g LEFT JOIN c ON c.event_type = g.event_type AND c.bin = g.bin"""),
     "k4_filter_by_label": "WITH u AS (SELECT p_partkey AS unit, string_split(p_type, ' ') AS l FROM part) SELECT unit FROM u WHERE list_has_any(l, ['STEEL', 'BRASS']) AND NOT list_has_any(l, ['SMALL'])",
     "k5_filter_by_criteria": "SELECT p_partkey AS unit FROM part WHERE p_partkey % 11 <> 0 AND p_retailprice > 950 AND p_retailprice <> 1000 AND p_size BETWEEN 5 AND 40 AND p_size NOT IN (7, 8)",
     "k6_group_spikes": sql("x AS (SELECT event_type, dense_rank() OVER (PARTITION BY event_type ORDER BY user_id) - 1 AS unit, t FROM ev WHERE t % 2 = 0) SELECT * FROM x"),
+    "k6_group_spikes_whole": sql(f"""a AS (SELECT min(t) + {DAY} AS a, max(t) - {DAY} AS b FROM ev), u AS (SELECT event_type, user_id FROM ev GROUP BY ALL HAVING (max(value) > 90 OR count(*) >= 20) AND NOT min(value) < 0.1 AND count(*) > 1 AND max(value) BETWEEN 50 AND 99.99),
+r AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY user_id) - 1 AS unit FROM u) SELECT r.event_type, r.unit, ev.t FROM r JOIN ev USING (event_type, user_id), a WHERE ev.t BETWEEN a AND b"""),
     "k12_labels": """WITH l AS (SELECT s_suppkey, list_concat(CASE WHEN s_acctbal > 8000 THEN ['rich', 'accept'] ELSE [] END, CASE WHEN s_acctbal < 0 THEN ['reject'] ELSE [] END, CASE WHEN s_nationkey <= 4 THEN ['near', 'accept'] ELSE [] END) AS l FROM supplier)
 SELECT s_suppkey, coalesce(array_to_string(list_filter(l, lambda x, i: list_position(l, x) = i), ','), '') AS labels FROM l""",
     "k14_num_spikes": "SELECT user_id, count(*) AS n FROM events GROUP BY user_id",
