@@ -48,9 +48,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows without a passage of the benchmark; doc_ids may be null or repeat."""
+    """Rows without a passage of the benchmark, cut off or whole; doc_ids may be null or repeat."""
     rows = _numbered(docs)
-    leaks = contaminated(_as_documents(rows), table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("row_id")).distinct()
+    leaks = contaminated(_as_documents(rows), table(spark, sf_dir, "benchmark"), short=True).select(F.col("doc_id").alias("row_id")).distinct()
     return rows.join(leaks, "row_id", "left_anti").select(*COLUMNS)
 
 

@@ -128,6 +128,21 @@ def test_decontamination(spark, odd, empty):
     assert decontamination.contaminated(empty, bench).count() == 0 and decontamination.contaminated(odd, bench.limit(0)).count() == 0
 
 
+def test_decontamination_of_documents_shorter_than_the_item(spark):
+    item = [f"bench{i}" for i in range(64)]
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    cuts = {1: item[:60], 2: item[4:], 3: item[:52], 4: item[:51], 5: item[:30] + ["new"] + item[30:60], 6: item[:3], 7: item}
+    docs = spark.createDataFrame([(d, " ".join(w), "s") for d, w in cuts.items()], SCHEMA)
+    expected = set()
+    for d, w in cuts.items():
+        a, b = shingles(" ".join(w)), shingles(" ".join(item))
+        o = len(a & b) if len(w) >= 5 else 0
+        if 10 * o >= 8 * (len(a) + len(b) - o):
+            expected.add((d, o, len(a) + len(b) - o))
+    assert {d for d, _, _ in expected} == {1, 2, 3, 5, 7}
+    assert {(r.doc_id, r.overlap, r.union_size) for r in decontamination.contaminated(docs, bench, short=True).collect()} == expected
+
+
 def test_hamming_blocks_miss_nothing():
     rng = np.random.default_rng(1)
     items = [" ".join(f"i{k}w{j}" for j in range(12)) for k in range(50)]

@@ -103,12 +103,32 @@ class Index:
         place = np.minimum(np.searchsorted(self.known, h[maybe]), len(self.known) - 1)
         return maybe[self.known[place] == h[maybe]]
 
-    def matches(self, words: np.ndarray, hits: dict[int, np.ndarray]) -> Iterator[tuple[int, int, int, int]]:
+    def _short(self, words: np.ndarray, n: int, size: int, at: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """The items of ``n`` words that a shorter text matches as one window."""
+        width, item_width = len(words) - size + 1, n - size + 1
+        need = THRESHOLD / (1 + THRESHOLD) * (width + item_width) - 1e-9
+        if width < THRESHOLD * item_width - 1e-9 or len(at) < need:
+            return
+        s = window_hashes(words, size)
+        window = _pack(_bits(s).sum(axis=0, keepdims=True))
+        ids, counts, prints = self.items[n]
+        here = Counter(s.tolist())
+        for item in np.flatnonzero(_distance(window, prints) <= RADIUS).tolist():
+            shared = sum(min(c, here[x]) for x, c in counts[item].items() if x in here)
+            union = width + item_width - shared
+            if shared >= THRESHOLD * union - 1e-9:
+                yield ids[item], shared, union, 0
+
+    def matches(self, words: np.ndarray, hits: dict[int, np.ndarray], short: bool = False) -> Iterator[tuple[int, int, int, int]]:
         """For the words of one document and the hit positions by shingle size: item, overlap, union and first word of each verified window."""
         for n in self.sizes:
             size = min(SIZE, n)
             at = hits.get(size)
-            if at is None or len(words) < n:
+            if at is None:
+                continue
+            if len(words) < n:
+                if short:
+                    yield from self._short(words, n, size, at)
                 continue
             width = n - size + 1
             need = math.ceil(2 * THRESHOLD / (1 + THRESHOLD) * width - 1e-9)
@@ -139,7 +159,7 @@ class Index:
                         yield ids[item], shared, union, int(part[w])
 
 
-def _scan(shared):
+def _scan(shared, short: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index: Index = shared.value
         sizes = sorted({min(SIZE, n) for n in index.sizes})
@@ -161,7 +181,7 @@ def _scan(shared):
                         by_doc.setdefault(d, {})[size] = at[owner == d] - words.first[d]
                 for d, hits in by_doc.items():
                     best: dict[int, tuple] = {}
-                    for item, overlap, union, first in index.matches(h[words.first[d] : words.first[d + 1]], hits):
+                    for item, overlap, union, first in index.matches(h[words.first[d] : words.first[d + 1]], hits, short):
                         new = (overlap / union, -first, overlap, union)
                         best[item] = max(best.get(item, new), new)
                     rows += [(ids[i + d], item, o, u, -f) for item, (_, f, o, u) in best.items()]
@@ -171,7 +191,7 @@ def _scan(shared):
     return run
 
 
-def contaminated(documents: DataFrame, benchmark: DataFrame, items_a_pass: int = ITEMS_A_PASS) -> DataFrame:
+def contaminated(documents: DataFrame, benchmark: DataFrame, items_a_pass: int = ITEMS_A_PASS, short: bool = False) -> DataFrame:
     """The documents that hold a passage of the benchmark, with the item.
 
     Reads ``doc_id, text`` and ``item_id, text``; further columns are not read.
@@ -182,6 +202,9 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, items_a_pass: int =
     best window, from 0. Words are maximal runs of letters and digits, lower-cased;
     ASCII punctuation separates them.
 
+    With ``short``, a document of fewer words than the item is compared as a whole,
+    its only window; without, it does not match.
+
     Null, empty or wordless documents and items match nothing; an item of fewer
     than five words is one shingle. Repeated document rows give their rows again;
     an item_id that repeats gives a row for each of its texts that matches, a null
@@ -199,5 +222,5 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, items_a_pass: int =
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k).collect()
         own.sort(key=lambda r: (r.item_id, r.text or ""))
         index = spark.sparkContext.broadcast(Index([r.item_id for r in own], [r.text for r in own]))
-        found.append(documents.mapInArrow(_scan(index), schema))
+        found.append(documents.mapInArrow(_scan(index, short), schema))
     return reduce(DataFrame.union, found).select("doc_id", "item_id", (F.col("overlap") / F.col("union_size")).alias("similarity"), "overlap", "union_size", "first_word")
