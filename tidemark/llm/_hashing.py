@@ -22,6 +22,8 @@ _LOWER[ord("A") : ord("Z") + 1] += 32
 #: Lower case, and every ASCII character that is neither letter nor digit becomes a space.
 _ALNUM = _LOWER.copy()
 _ALNUM[[i for i in range(128) if not chr(i).isalnum()]] = 0x20
+#: Bytes whose words are hashed at a time.
+_STRETCH = 1 << 17
 _powers: dict[str, np.ndarray] = {}
 
 
@@ -93,13 +95,19 @@ class Words:
         self.at = at
 
     def hashes(self) -> np.ndarray:
-        n = len(self.data)
-        if not len(self.start):
-            return np.zeros(0, dtype=np.uint64)
-        up, down = _power_tables(n + 1)
-        total = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * up[:n], out=total[1:])
-        return mix((total[self.end] - total[self.start]) * down[self.start])
+        """A hash of each word, whatever the words around it; made a stretch of words at a time, so that the sums stay small."""
+        out, i = np.zeros(len(self.start), dtype=np.uint64), 0
+        while i < len(out):
+            base = int(self.start[i])
+            j = max(i + 1, int(np.searchsorted(self.end, base + _STRETCH, side="right")))
+            start, end = self.start[i:j] - base, self.end[i:j] - base
+            n = int(end[-1])
+            up, down = _power_tables(n + 1)
+            total = np.zeros(n + 1, dtype=np.uint64)
+            np.cumsum((self.data[base : base + n].astype(np.uint64) + np.uint64(1)) * up[:n], out=total[1:])
+            out[i:j] = mix((total[end] - total[start]) * down[start])
+            i = j
+        return out
 
 
 _STEP = np.uint64(0xBF58476D1CE4E5B9)

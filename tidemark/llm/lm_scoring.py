@@ -3,9 +3,12 @@
 The corpus' n-grams are exploded, counted in tables partitioned by hash, and
 joined back to the n-grams of each document, whose scores are summed. So that no
 table has a row for each of the corpus' words, n-grams travel packed: documents
-are dealt into batches by a hash, each batch sends its distinct n-grams with
-their counts to the hash's buckets (an array a batch and bucket), each bucket adds up the
-counts of all batches, and sends the totals back in the order of the request. Very frequent
+are dealt into batches by a hash, each batch pre-aggregates its n-grams of all
+orders and sends the distinct ones to the hash ranges of the count table (one sorted,
+gap-coded list a batch and range; counts of one take no space). A range adds up the
+counts of all batches and joins the totals back to each list in its order; n-grams that
+no other batch has return as one bit. The texts are shuffled once, and there are never
+more lists than n-grams, so what travels stays in proportion to the input. Very frequent
 n-grams are one entry for each batch, however often they occur.
 
 A document is scored by the rest of the corpus: its own n-grams are taken off the
@@ -17,200 +20,219 @@ its score after the history without the first word, and at last c(w) / N, or
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._hashing import Words, mix, text_buffers, window_hashes
+from ._hashing import Words, mix, slices, text_buffers, window_hashes
 
 ORDER = 3
 BACKOFF = 0.4
-BATCH_BYTES = 6 << 20
-#: Batches grow with the table up to this, as there is an array for each batch and bucket.
-MOST_BATCH_BYTES = 128 << 20
-#: Hashes travel as 32 and 16 bits beside their bucket, which the upper bits give.
-_REST = 48
-_TOTAL = np.uint64(0)
-
-
-def _ngrams(offsets: np.ndarray, data: np.ndarray, order: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """For each n up to ``order`` the hash of the n-gram that ends at each word (0 where the text has not begun), and the words' documents."""
-    words = Words(offsets, data, 0, len(offsets) - 1)
-    h = words.hashes()
-    doc = np.repeat(np.arange(words.rows), np.diff(words.first))
-    grams = []
-    for n in range(1, order + 1):
-        g = np.zeros(len(h), np.uint64)
-        if len(h) >= n:
-            w = mix(window_hashes(h, n) ^ np.uint64(n))
-            w[w == _TOTAL] = np.uint64(1)
-            g[n - 1 :] = np.where(doc[: len(w)] == doc[n - 1 :], w, _TOTAL)
-        grams.append(g)
-    return grams, doc
+BATCH_BYTES = 16 << 20
+#: An n-gram's hash has so many bits more than the logarithm of the corpus' words (64 at most).
+_SPARE_BITS = 24
+_NO_GRAM = np.uint64(0)
+_BIG = 255
 
 
-def _bucket(h: np.ndarray, buckets: int) -> np.ndarray:
-    return ((h >> np.uint64(_REST)) % np.uint64(buckets)).astype(np.int64)
+def _pack_small(x: np.ndarray) -> bytes:
+    """Numbers as bytes, those from 255 up in full behind them."""
+    big = x >= _BIG
+    return np.where(big, _BIG, x).astype(np.uint8).tobytes() + x[big].astype(np.uint64).tobytes()
 
 
-def _by_bucket(h: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    b = _bucket(h, buckets)
-    by = np.argsort(b, kind="stable")
-    return by, np.searchsorted(b[by], np.arange(buckets + 1))
+def _unpack_small(raw: bytes, n: int) -> np.ndarray:
+    x = np.frombuffer(raw, np.uint8, n).astype(np.int64)
+    x[x == _BIG] = np.frombuffer(raw, np.uint64, -1, n)
+    return x
 
 
-_REQUEST = "batch long, bucket long, phase int, grams binary, counts binary"
+def pack_sparse(x: np.ndarray) -> bytes:
+    """Numbers of which many are zero: a bit each, and the others."""
+    return np.packbits(x > 0).tobytes() + _pack_small(x[x > 0])
 
 
-def _request(batch: int, phase: int, h: np.ndarray, counts: np.ndarray, buckets: int) -> pa.Table:
-    """One row for each bucket that has some of these n-grams."""
-    by, edges = _by_bucket(h, buckets)
-    rows = []
-    for k in np.flatnonzero(np.diff(edges)).tolist():
-        own = by[edges[k] : edges[k + 1]]
-        rest = h[own]
-        rows.append((k, (rest & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes() + (rest >> np.uint64(32)).astype(np.uint16).tobytes(), counts[own].astype(np.uint32).tobytes()))
-    return pa.table({"batch": pa.array([batch] * len(rows), pa.int64()), "bucket": pa.array([r[0] for r in rows], pa.int64()), "phase": pa.array([phase] * len(rows), pa.int32()), "grams": pa.array([r[1] for r in rows], pa.binary()), "counts": pa.array([r[2] for r in rows], pa.binary())})
+def unpack_sparse(raw: bytes, n: int) -> np.ndarray:
+    there = np.unpackbits(np.frombuffer(raw, np.uint8, -(-n // 8)), count=n).astype(bool)
+    x = np.zeros(n, np.int64)
+    x[there] = _unpack_small(raw[-(-n // 8) :], int(there.sum()))
+    return x
 
 
-def _hashes(raw: bytes) -> np.ndarray:
-    n = len(raw) // 6
-    return np.frombuffer(raw, np.uint32, n).astype(np.uint64) | (np.frombuffer(raw, np.uint16, n, 4 * n).astype(np.uint64) << np.uint64(32))
+def pack_sorted(h: np.ndarray) -> bytes:
+    """Ascending numbers by their gaps: low bits as they are, the rest of each gap in unary.
 
-
-def _count(key: tuple, requests: pa.Table) -> pa.Table:
-    """One bucket of the count tables: adds up all requests and answers each."""
-    grams = [_hashes(g) for g in requests.column("grams").to_pylist()]
-    counts = [np.frombuffer(c, np.uint32) for c in requests.column("counts").to_pylist()]
-    known, place = np.unique(np.concatenate(grams), return_inverse=True)
-    total = np.bincount(place, weights=np.concatenate(counts), minlength=len(known))
-    edges = np.cumsum([0, *map(len, grams)])
-    answers = [np.minimum(total[place[a:b]], 0xFFFFFFFF).astype(np.uint32).tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
-    return pa.table({"batch": requests.column("batch"), "bucket": requests.column("bucket"), "phase": requests.column("phase"), "totals": pa.array(answers, pa.binary())})
+    The first bytes are the count and the number of low bits.
+    """
+    n = len(h)
+    gaps = np.diff(h, prepend=np.uint64(0))
+    low = max(0, int(h[-1] // np.uint64(n)).bit_length() - 1) if n else 0
+    high = (gaps >> np.uint64(low)).astype(np.int64)
+    unary = np.zeros(int(high.sum()) + n, dtype=bool)
+    unary[np.cumsum(high + 1) - 1] = True
+    planes = [((gaps >> np.uint64(8 * k)) & np.uint64(255)).astype(np.uint8).tobytes() for k in range(low // 8)]
+    rest = low % 8
+    bits = np.unpackbits((gaps >> np.uint64(low - rest)).astype(np.uint8)[:, None], axis=1)[:, 8 - rest :]
+    return b"".join([np.array([n, low], np.uint32).tobytes(), *planes, np.packbits(bits).tobytes(), np.packbits(unary).tobytes()])
+
+
+def unpack_sorted(raw: bytes) -> np.ndarray:
+    n, low = (int(x) for x in np.frombuffer(raw, np.uint32, 2))
+    gaps, at, rest = np.zeros(n, np.uint64), 8, low % 8
+    for k in range(low // 8):
+        gaps |= np.frombuffer(raw, np.uint8, n, at).astype(np.uint64) << np.uint64(8 * k)
+        at += n
+    size = -(-n * rest // 8)
+    bits = np.zeros((n, 8), np.uint8)
+    bits[:, 8 - rest :] = np.unpackbits(np.frombuffer(raw, np.uint8, size, at), count=n * rest).reshape(n, rest)
+    gaps |= np.packbits(bits, axis=1)[:, 0].astype(np.uint64) << np.uint64(low - rest)
+    ends = np.flatnonzero(np.unpackbits(np.frombuffer(raw, np.uint8, -1, at + size)))[:n]
+    gaps += (np.diff(ends, prepend=-1) - 1).astype(np.uint64) << np.uint64(low)
+    return np.cumsum(gaps, dtype=np.uint64)
+
+
+def _add_up(h: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct hashes in order, and the sum of the counts of each."""
+    order = np.argsort(h, kind="stable")
+    h, counts = h[order], counts[order]
+    first = np.flatnonzero(np.diff(h, prepend=~h[:1]) != 0)
+    return h[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
 class _Batch:
-    """The n-grams of a batch, and how often each occurs in other documents as far as answers tell.
+    """The n-grams of a batch of texts: those of each slice of documents, and the distinct ones of all with their counts."""
 
-    Words are asked for first. A longer n-gram can occur in another document only if
-    the two n-grams one shorter within it do, so only those are asked for.
-    """
-
-    def __init__(self, documents: pa.Table, order: int, buckets: int):
+    def __init__(self, documents: pa.Table, order: int, bits: int):
         offsets, data = text_buffers(documents.column("text"))
-        self.rows, self.buckets, self.order = len(offsets) - 1, buckets, order
-        self.grams, self.doc = _ngrams(offsets, data, order)
-        self.less: list[np.ndarray] = []
-
-    def wanted(self, phase: int) -> tuple[np.ndarray, np.ndarray]:
-        """The distinct n-grams to ask for in a phase, with their counts in the batch."""
-        g = self.grams[phase].copy()
-        if phase:
-            last = self.less[-1]
-            before = np.zeros(len(g), np.int64)
-            before[1:] = last[:-1]
-            g[(last <= 0) | (before <= 0)] = _TOTAL
-        return np.unique(g[g != _TOTAL], return_counts=True)
-
-    def answer(self, phase: int, answers: pa.Table) -> None:
-        h, _ = self.wanted(phase)
-        by, edges = _by_bucket(h, self.buckets)
-        totals = np.zeros(len(h), np.int64)
-        for k, p, raw in zip(answers.column("bucket").to_pylist(), answers.column("phase").to_pylist(), answers.column("totals").to_pylist(), strict=True):
-            if p == phase:
-                totals[by[edges[k] : edges[k + 1]]] = np.frombuffer(raw, np.uint32)
-        g = self.grams[phase]
-        place = np.minimum(np.searchsorted(h, g), max(len(h) - 1, 0))
-        there = (g != _TOTAL) & (h[place] == g) if len(h) else np.zeros(len(g), dtype=bool)
-        full = np.zeros(len(g), np.int64)
-        _, own, mine = np.unique(self.doc[there].astype(np.int64) * max(len(h), 1) + place[there], return_inverse=True, return_counts=True)
-        full[there] = totals[place[there]] - mine[own]
-        self.less.append(full)
-
-
-def _ask_first(order: int, buckets: int):
-    """The requests of words."""
+        self.rows, self.order, self.bits = len(offsets) - 1, order, bits
+        #: for each slice: first row, rows, document of each word, place among the slice's n-grams of the n-gram ending at each word by order (-1: none), the slice's n-grams
+        self.slices = []
+        hashes, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for i, j in slices(offsets):
+            words = Words(offsets, data, i, j)
+            h = words.hashes()
+            doc = np.repeat(np.arange(j - i, dtype=np.int32), np.diff(words.first))
+            grams = np.stack([self._grams(h, doc, n) for n in range(1, order + 1)])
+            own, place, k = np.unique(grams, return_inverse=True, return_counts=True)
+            place = place.reshape(grams.shape).astype(np.int32)
+            if len(own) and own[0] == _NO_GRAM:
+                own, place, k = own[1:], place - 1, k[1:]
+            self.slices.append((i, j - i, doc, place, own))
+            hashes.append(own)
+            counts.append(k)
+        self.h, self.counts = _add_up(np.concatenate(hashes), np.concatenate(counts))
+
+    def _grams(self, h: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
+        """The hash of the n-gram that ends at each word, 0 where the text has not begun."""
+        g = np.zeros(len(h), np.uint64)
+        if len(h) >= n:
+            w = mix(window_hashes(h, n) ^ np.uint64(n)) >> np.uint64(64 - self.bits)
+            w[w == _NO_GRAM] = np.uint64(1)
+            g[n - 1 :] = np.where(doc[: len(w)] == doc[n - 1 :], w, _NO_GRAM)
+        return g
 
-    def run(key: tuple, documents: pa.Table) -> pa.Table:
-        return _request(key[0].as_py(), 0, *_Batch(documents, order, buckets).wanted(0), buckets)
+    def ranges(self, buckets: int) -> np.ndarray:
+        """Where each of the hash ranges begins among the n-grams, and the end."""
+        return np.append(np.searchsorted(self.h, np.array([_begin(k, buckets, self.bits) for k in range(buckets)], np.uint64)), len(self.h))
 
-    return run
 
+def _begin(bucket: int, buckets: int, bits: int) -> int:
+    return -(-(bucket << bits) // buckets)
 
-def _ask_more(order: int, buckets: int, phase: int):
-    """The requests of a later phase, from the answers of those before it."""
 
-    def run(key: tuple, documents: pa.Table, answers: pa.Table) -> pa.Table:
-        batch = _Batch(documents, order, buckets)
-        for p in range(phase):
-            batch.answer(p, answers)
-        return _request(key[0].as_py(), phase, *batch.wanted(phase), buckets)
+_REQUEST = "batch long, bucket long, grams binary, counts binary"
+
+
+def _ask(order: int, buckets: int, bits: int):
+    """The distinct n-grams of a batch, by range of the count table."""
+
+    def run(key: tuple, documents: pa.Table) -> pa.Table:
+        batch = _Batch(documents, order, bits)
+        edges, rows = batch.ranges(buckets), []
+        for k in np.flatnonzero(np.diff(edges)).tolist():
+            own = slice(edges[k], edges[k + 1])
+            rows.append((k, pack_sorted(batch.h[own] - np.uint64(_begin(k, buckets, bits))), pack_sparse(batch.counts[own] - 1)))
+        return pa.table({"batch": pa.array([key[0].as_py()] * len(rows), pa.int64()), "bucket": pa.array([r[0] for r in rows], pa.int64()), "grams": pa.array([r[1] for r in rows], pa.binary()), "counts": pa.array([r[2] for r in rows], pa.binary())})
 
     return run
 
 
-def _score(order: int, buckets: int, words: int):
+def _count(key: tuple, requests: pa.Table) -> pa.Table:
+    """One range of the count table: adds up all lists, and answers each with the counts of the other batches."""
+    grams = [unpack_sorted(g) for g in requests.column("grams").to_pylist()]
+    counts = [unpack_sparse(c, len(g)) + 1 for c, g in zip(requests.column("counts").to_pylist(), grams, strict=True)]
+    known, total = _add_up(np.concatenate(grams), np.concatenate(counts))
+    answers = [pack_sparse(total[np.searchsorted(known, g)] - c) for g, c in zip(grams, counts, strict=True)]
+    return pa.table({"batch": requests.column("batch"), "bucket": requests.column("bucket"), "others": pa.array(answers, pa.binary())})
+
+
+def _score(order: int, buckets: int, bits: int, words: int):
     """Scores the documents of a batch with the totals that came back."""
 
     def run(key: tuple, documents: pa.Table, answers: pa.Table) -> pa.Table:
-        batch = _Batch(documents, order, buckets)
-        for p in range(order):
-            batch.answer(p, answers)
-        doc, less, rows = batch.doc, batch.less, batch.rows
-        n_words = np.bincount(doc, minlength=rows)
-        others = words - n_words[doc]
-        score, level, done = np.zeros(len(doc)), np.full(len(doc), -1.0), np.zeros(len(doc), dtype=bool)
-        for n in range(order, 0, -1):
-            has = batch.grams[n - 1] != _TOTAL
-            level[has & (level < 0)] = 0
-            if n > 1:
-                history = np.zeros(len(doc), np.int64)
-                history[1:] = less[n - 2][:-1]
-                hit = has & ~done & (less[n - 1] > 0)
-                score[hit] = np.log(less[n - 1][hit] / history[hit]) + level[hit] * np.log(BACKOFF)
-            else:
-                hit = ~done
-                c, rest = less[0][hit], np.maximum(others[hit], 0)
-                score[hit] = np.where(c > 0, np.log(np.maximum(c, 1) / np.maximum(rest, 1)), -np.log(rest + 1.0)) + level[hit] * np.log(BACKOFF)
-            done |= hit
-            level[~done & (level >= 0)] += 1
-        total = np.bincount(doc, weights=score, minlength=rows).astype(np.float64)
+        batch = _Batch(documents, order, bits)
+        edges, totals = batch.ranges(buckets), batch.counts
+        for k, raw in zip(answers.column("bucket").to_pylist(), answers.column("others").to_pylist(), strict=True):
+            totals[edges[k] : edges[k + 1]] += unpack_sparse(raw, int(edges[k + 1] - edges[k]))
+        n_words, total = np.zeros(batch.rows, np.int64), np.zeros(batch.rows)
+        for first, rows, doc, place, own in batch.slices:
+            n = np.bincount(doc, minlength=rows)
+            n_words[first : first + rows] = n
+            total[first : first + rows] = np.bincount(doc, weights=_word_scores(doc, place, totals[np.searchsorted(batch.h, own)], words - n[doc]), minlength=rows)
         mean = np.where(n_words > 0, total / np.maximum(n_words, 1), np.nan)
-        return pa.table({"row": documents.column("row"), "n_words": pa.array(n_words.astype(np.int64)), "log_score": pa.array(total), "mean_log_score": pa.array(mean, from_pandas=True)})
+        return pa.table({"row": documents.column("row"), "n_words": pa.array(n_words), "log_score": pa.array(total), "mean_log_score": pa.array(mean, from_pandas=True)})
 
     return run
 
 
+def _word_scores(doc: np.ndarray, place: np.ndarray, totals: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """The score of each word of a slice, from the counts of its n-grams in the whole corpus."""
+    order, less = len(place), np.zeros(place.shape, np.int64)
+    for n in range(order):
+        there = np.flatnonzero(place[n] >= 0)
+        _, own, mine = np.unique(doc[there].astype(np.int64) * max(len(totals), 1) + place[n][there], return_inverse=True, return_counts=True)
+        less[n][there] = totals[place[n][there]] - mine[own]
+    score, level, done = np.zeros(len(doc)), np.full(len(doc), -1.0), np.zeros(len(doc), dtype=bool)
+    for n in range(order - 1, 0, -1):
+        has = place[n] >= 0
+        level[has & (level < 0)] = 0
+        history = np.zeros(len(doc), np.int64)
+        history[1:] = less[n - 1][:-1]
+        hit = has & ~done & (less[n] > 0)
+        score[hit] = np.log(less[n][hit] / history[hit]) + level[hit] * np.log(BACKOFF)
+        done |= hit
+        level[~done & (level >= 0)] += 1
+    rest = ~done
+    c, n = less[0][rest], np.maximum(others[rest], 0)
+    score[rest] = np.where(c > 0, np.log(np.maximum(c, 1) / np.maximum(n, 1)), -np.log(n + 1.0)) + np.maximum(level[rest], 0) * np.log(BACKOFF)
+    return score
+
+
 def lm_scores(documents: DataFrame, order: int = ORDER, carry: list[str] | None = None, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """Scores every document by the other documents of the table.
 
     Reads ``text``; returns the columns of ``carry`` (``doc_id`` unless told
-    otherwise, any names), ``n_words``, ``log_score`` (the sum of the words' natural
-    logarithms) and ``mean_log_score`` (a word's mean, null without words).
+    otherwise, any names but those added), ``n_words``, ``log_score`` (the sum of the
+    words' natural logarithms) and ``mean_log_score`` (a word's mean, null without words).
     Words are lower-cased in A-Z. A null, empty or blank text has no words and a
     score of 0. Repeated rows score each other; the one document of a table
     scores its words as unseen. An empty table gives an empty result.
 
-    N-grams are compared by hashes of 48 bits within their bucket. Batches and buckets
-    grow in number with the table; a batch holds about ``batch_bytes`` of text,
-    or one longer text.
+    N-grams are compared by hashes whose bits grow with the corpus: an n-gram is taken
+    for another one with a chance of about ``order / 2 ** 24`` up to ``2 ** 40`` words, and
+    ``order * words / 2 ** 64`` beyond. Batches and hash ranges grow in number with the
+    table; a batch holds about ``batch_bytes`` of text, or one longer text. Equal rows
+    are dealt apart by the partition that reads them.
     """
-    documents = documents.select(F.struct(*(carry or ["doc_id"])).alias("row"), "text")
+    names = carry or ["doc_id"]
+    documents = documents.select(F.struct(*(F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names))).alias("row"), "text")
     size = documents.select(F.sum(F.octet_length("text")).alias("b"), F.sum(F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"))).alias("w")).first()
-    held = max(batch_bytes, min(MOST_BATCH_BYTES, (size.b or 0) >> 12))
-    parts = max(1, -(-(size.b or 0) // held))
-    dealt = documents.withColumn("batch", F.pmod(F.xxhash64("row", "text"), F.lit(parts).cast("long")))
-    answers = None
-    for phase in range(order):
-        if phase == 0:
-            asked = dealt.groupBy("batch").applyInArrow(_ask_first(order, parts), _REQUEST)
-        else:
-            asked = dealt.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(_ask_more(order, parts, phase), _REQUEST)
-        answered = asked.groupBy("bucket").applyInArrow(_count, "batch long, bucket long, phase int, totals binary")
-        answers = answered if answers is None else answers.union(answered)
+    parts, words = max(1, -(-(size.b or 0) // batch_bytes)), int(size.w or 0)
+    bits = min(64, max(40, words.bit_length() + _SPARE_BITS))
+    dealt = documents.withColumn("batch", F.pmod(F.xxhash64("row", "text", F.spark_partition_id()), F.lit(parts).cast("long")))
+    asked = dealt.groupBy("batch").applyInArrow(_ask(order, parts, bits), _REQUEST)
+    answers = asked.groupBy("bucket").applyInArrow(_count, "batch long, bucket long, others binary")
     kind = documents.schema["row"].dataType.simpleString()
-    scored = dealt.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(_score(order, parts, int(size.w or 0)), f"row {kind}, n_words long, log_score double, mean_log_score double")
-    return scored.select("row.*", "n_words", "log_score", "mean_log_score")
+    scored = dealt.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(_score(order, parts, bits, words), f"row {kind}, n_words long, log_score double, mean_log_score double")
+    return scored.select(*(F.col(f"row.c{k}").alias(c) for k, c in enumerate(names)), "n_words", "log_score", "mean_log_score")
