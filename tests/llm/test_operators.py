@@ -1,7 +1,10 @@
 """Each operator against brute force, and on nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns."""
 
+import gzip
 import hashlib
 import re
+import time
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -265,6 +268,41 @@ def test_html_blocks_are_chosen_by_their_paths():
     assert html_extraction.main_text(f"<ul>{links}</ul>") == ""
 
 
+def test_html_names_only_move_weights():
+    body, both = f"<p>{LONG}</p><p>{LONG}</p>", f"{LONG}\n{LONG}"
+    assert html_extraction.main_text(f'<body><div class="page no-sidebar"><article>{body}</article></div></body>') == both
+    assert html_extraction.main_text(f'<article>{body}<section id="ad-hoc-queries"><p>{LONG}</p></section></article>') == f"{both}\n{LONG}"
+    assert html_extraction.main_text(f'<article>{body}<div class="ad-slot">Buy two now</div><div class="post-comments"><p>{LONG}</p></div></article>') == both
+    assert html_extraction.main_text(f'<div>{body}</div><div class="promo"><p>{LONG}</p></div>') == both
+    assert html_extraction.main_text(f'<article>{body}<ul><li><a href="/1">More one</a></li><li><a href="/2">More two</a></li></ul></article>') == both
+
+
+def test_html_that_does_not_close():
+    body, both = f"<p>{LONG}</p>", f"{LONG}\n{LONG}"
+    for name in ("video", "audio", "canvas", "object", "svg"):
+        assert html_extraction.main_text(f"<article>{body}<{name} src=x>{body}</article>") == both
+        assert html_extraction.main_text(f"<article>{body}<{name} src=x>not this</{name}>{body}</article>") == both
+    assert html_extraction.main_text(f"<article>{body}<b title='5 > 4'>{LONG}</b></article>") == both
+    assert html_extraction.main_text(f"<article>{body}<p title=\"open>{LONG}</p></article>").startswith(LONG)
+    assert html_extraction.main_text("<p>1 < 2 and a <b") == "1 < 2 and a"
+    for piece in ("<a ", '<a "', "<div>", "</x>", "<svg>", "<div></x>", "<header>", "<p>a</q>", "<h1>a"):
+        took = []
+        for size in (1 << 16, 1 << 18):
+            began = time.process_time()
+            html_extraction.main_text(piece * (size // len(piece)))
+            took.append(time.process_time() - began)
+        assert took[1] < 0.3 + 10 * took[0], piece  # in proportion to the length, not to its square
+
+
+def test_html_long_and_empty(spark):
+    schema = "page_id long, url string, html string"
+    assert html_extraction.extract_pages(spark.createDataFrame([], schema)).count() == 0
+    deep = "<div>" * 20000 + f"<p>{LONG}</p>"
+    long = "<article>" + f"<p>{LONG}</p>" * 5000 + "</article>"
+    got = html_extraction.extract_pages(spark.createDataFrame([(1, "u", deep), (2, "u", long)], schema)).collect()
+    assert [r.text for r in got] == [LONG, "\n".join([LONG] * 5000)]
+
+
 def brute_lm(rows, order=3):
     docs = [words(t) for _, t, _ in rows]
     count = Counter()
@@ -320,13 +358,54 @@ def test_warc_salvage():
     assert [warc.describe(*g[3])[0] for g in got if g[0] == "record"] == [0, 1, 3, 4, 5]
     cut = b"".join(records)[: -5]
     assert [g[0] for g in warc.salvage(cut)] == ["record"] * 5 + ["gap"]
-    import zlib
-
     plain = b"".join(zlib.decompress(r, 31) for r in records)
     broken = plain.replace(b"WARC-Type: response\r\nWARC-Record-ID: <urn:tidemark:page:3>", b"WARC-Type: response\r\nWARC-Record-ID: <urn:tidemark:page:3>\r\nContent-Length: 1", 1)
     assert [g[0] for g in warc.salvage(broken)] == ["record"] * 3 + ["gap"] + ["record"] * 2
 
 
+def test_warc_members_of_several_records():
+    bodies = [b"z" * k * 500 for k in range(1, 6)]
+    plain = [zlib.decompress(warc.encode_record(k, "http://a/", b, hashlib.sha1(b).hexdigest(), None), 31) for k, b in enumerate(bodies)]
+    whole = gzip.compress(b"".join(plain))
+    assert [warc.describe(*g[3])[0] for g in warc.salvage(whole * 2)] == [0, 1, 2, 3, 4] * 2
+    inner = bytearray(b"".join(plain))
+    inner[inner.index(b"zzz", len(plain[0])) + 3] = 0  # one block is changed: its digest fails, the others stay
+    got = list(warc.salvage(gzip.compress(bytes(inner))))
+    assert [warc.describe(*g[3])[0] if g[0] == "record" else g[0] for g in got] == [0, 2, 3, 4, "gap"]
+
+
+def test_warc_salvage_takes_time_in_proportion():
+    body = b"q" * 400
+    record = warc.encode_record(1, "http://a/", body, hashlib.sha1(body).hexdigest(), None)
+    for one in (record, zlib.decompress(record, 31), b"\x1f\x8b\x08\0" * 40 + record):
+        took = []
+        for n in (500, 2000):
+            began = time.process_time()
+            assert sum(g[0] == "record" for g in warc.salvage(one * n)) == n
+            took.append(time.process_time() - began)
+        assert took[1] < 0.3 + 10 * took[0]
+
+
+def test_warc_reads_damaged_archives(spark, tmp_path):
+    schema = "page_id long, url string, html string"
+    pages = spark.createDataFrame([(k, "http://a/", f"page {k} " * 200) for k in range(60)], schema)
+    folder = f"file://{tmp_path}"
+    archives = warc.write_archives(warc.plan_records(pages).repartition(3), folder)
+    files = sorted(tmp_path.glob("*.warc.gz"))
+    sound = {r.page_id: r for r in warc.read_archives(archives, folder).collect()}
+    assert set(sound) == set(range(60)) and len(files) == 3
+    hit = files[0]
+    victims = sorted((r for r in sound.values() if r.path.endswith(hit.name)), key=lambda r: r.start)
+    data = bytearray(hit.read_bytes())
+    data[victims[2].start + 20 : victims[4].start + 30] = b"\xff" * (victims[4].start + 10 - victims[2].start)  # three records
+    hit.write_bytes(bytes(data[: victims[-1].end - 7]))  # and the last one is cut short
+    got = warc.read_archives(archives, folder).collect()
+    lost = {victims[k].page_id for k in (2, 3, 4, len(victims) - 1)}
+    assert {r.page_id for r in got if r.gap is None} == set(sound) - lost
+    gaps = sorted((r.start, r.end) for r in got if r.gap is not None)
+    assert gaps == [(victims[2].start, victims[5].start), (victims[-1].start, victims[-1].end - 7)]
+
+
 def labelled(spark):
     rng = np.random.default_rng(0)
     common = [f"w{i}a" for i in range(200)]

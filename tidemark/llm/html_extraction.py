@@ -5,11 +5,12 @@ to it. For every path of a page the text length, its part inside links, the
 punctuation and the number of blocks are added up; the ratios of text and of
 punctuation to blocks are the path's weight. Weights are smoothed along the page,
 fused with the unsmoothed ones, and every block whose path's fused weight passes
-a threshold is content. Where the page has an article (or else a main) element, paths
+a threshold is content. What a page says about itself only moves weights: an element
+named like another part of a page (an advert, comments and so on) weighs less with
+all that is in it; where the page has an article (or else a main) element, paths
 inside weigh more and paths outside less; a path without text beyond its links
-stays at zero. A heading is content if the block after it is. What
-the page itself marks as something else (menus, adverts, forms, comments and so
-on) never counts.
+stays at zero. A heading is content if the block after it is. Elements that
+are never an article's text (menus, footers, forms and so on) are left out.
 """
 
 from __future__ import annotations
@@ -17,38 +18,53 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*?)/?>|<(?=/?[a-zA-Z])[^<>]*\Z", re.S)
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/<>]*)")
+#: The rest of a tag; a second form, in which no quoted value holds "<", for pages whose quotes do not close.
+_REST = re.compile(r"""((?:[^>"']|"[^"]*"|'[^']*')*+)>""")
+_REST_PLAIN = re.compile(r"""((?:[^<>"']|"[^"<]*"|'[^'<]*')*+)>|([^<>]*+)>""")
 _MARKS = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 
 # Element names of HTML and customary names of page parts.
-RAW = frozenset("script style noscript template textarea iframe svg math object canvas audio video title".split())
+RAW = frozenset("script style textarea title".split())
+EMBEDDED = frozenset("noscript template iframe svg math object canvas audio video".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr img br ruby rt rp".split())
 OUTSIDE = frozenset("nav footer aside form button select option menu menuitem dialog fieldset".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
-PARTS = re.compile(r"(?:^|[\s_-])(?:nav|navbar|navigation|menu|sidebar|side|aside|footer|masthead|ad|ads|adv|advert|adverts|advertisement|advertising|sponsor|sponsored|promo|banner|cookie|cookies|gdpr|consent|notice|notices|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|comment|comments|commentlist|respond|reply|replies|disqus|share|sharing|social|related|recommended|breadcrumb|breadcrumbs|widget|pagination|pager|copyright|legal|disclaimer|skip)(?=$|[\s_-])", re.I)
+PARTS = frozenset("nav navbar navigation menu sidebar footer masthead advert adverts advertisement advertising sponsor sponsored cookie cookies gdpr consent popup modal overlay newsletter subscribe subscription signup login comment comments commentlist respond disqus sharing recommended breadcrumb breadcrumbs pagination pager copyright disclaimer".split())
+#: Names that mean another part if they stand alone, and may do so within a longer name.
+VAGUE = frozenset("side aside ad ads adv promo banner notice notices reply replies share social related widget legal skip".split())
+WITHOUT = frozenset("no not non has with without hide".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "thead": set(), "tbody": {"tr", "td", "th", "thead"}}
 _PUNCTUATION = re.compile(r"[.,;:!?、。，！？]")
 
 OWN = frozenset(("article", "main"))
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 THRESHOLD = 0.5
+#: The weight of a path whose blocks are one unlinked character long.
+LEAST = 1.0
+#: What is left of the weight inside an element with the name of another part, and with one that may be such a name.
+PART, DOUBT = 0.02, 0.1
 
 
 class _Element:
-    __slots__ = ("apart", "doubtful", "name", "parent", "path", "within")
+    __slots__ = ("apart", "doubtful", "factor", "heading", "name", "parent", "path", "within")
 
-    def __init__(self, name: str, parent: _Element | None, apart: bool, mark: str = "", part: bool = False):
-        self.name, self.parent, self.apart = name, parent, apart
+    def __init__(self, name: str, parent: _Element | None, path: int, apart: bool = False, factor: float = 1.0, part: bool = False):
+        self.name, self.parent, self.path, self.apart = name, parent, path, apart
+        self.factor = factor * (parent.factor if parent else 1.0)
+        self.heading = name in HEADINGS or (parent is not None and parent.heading)
         #: The outermost article with the name of another part that this is in, and which of article and main it is in, or is.
         self.doubtful = (parent.doubtful if parent else None) or (self if part else None)
-        self.within: frozenset[str] = (parent.within if parent else frozenset()) | (OWN & {name})
-        self.path = f"{parent.path if parent else ''}/{name}{mark}"
+        self.within: frozenset[str] = parent.within if parent else frozenset()
+        if name in OWN:
+            self.within = self.within | {name}
 
 
 class _Block:
@@ -58,120 +74,180 @@ class _Block:
         self.element, self.text, self.links = element, text, links
 
 
-def _marked(name: str, attributes: str, parent: _Element) -> tuple[bool, str]:
-    """Whether the element says that it is not content, and its class for the path."""
-    first = ""
+def _factor(value: str) -> float:
+    """What a class or id leaves of the weight."""
+    left = 1.0
+    for token in value.lower().split():
+        words = re.split(r"[_-]+", token)
+        if words[0] in WITHOUT:
+            continue
+        if any(w in PARTS for w in words) or token in VAGUE:
+            return PART
+        if words[0] in VAGUE or words[-1] in VAGUE:
+            left = DOUBT
+    return left
+
+
+def _marked(attributes: str) -> tuple[bool, float, str]:
+    """Whether the role says that this is no content, what the names leave of the weight, and the class for the path."""
+    apart, factor, first = False, 1.0, ""
     for key, value in _MARKS.findall(attributes):
-        value = value.strip("\"'")
-        key = key.lower()
-        if key == "role" and value.lower() in ROLES:
-            return True, first
-        if key != "role" and name not in ("html", "body", *OWN) and PARTS.search(value):
-            return True, first
+        key, value = key.lower(), value.strip("\"'")
+        if key == "role":
+            apart = apart or value.lower() in ROLES
+            continue
+        factor = min(factor, _factor(value))
         if key == "class" and value.split():
-            first = "." + value.split()[0]
-    return False, first
+            first = value.split()[0]
+    return apart, factor, first
+
+
+class _Page:
+    """The text blocks of a page in order, found in one pass; each step either moves ahead in the page or closes elements."""
+
+    def __init__(self, page: str):
+        self.page, self.blocks = page, []
+        self.paths: dict[tuple[int, str, str], int] = {}
+        self.at = self.root = _Element("", None, 0)
+        self.open: Counter[str] = Counter()
+        self.run, self.linked, self.anchors = [], 0, 0
+        self.low: str | None = None
+        self.quotes_close = True
+        self._read()
+
+    def _text(self, a: int, b: int) -> None:
+        if b > a and not self.at.apart:
+            text = html.unescape(self.page[a:b])
+            self.run.append(text)
+            if self.anchors:
+                self.linked += len(text)
+
+    def _close_block(self) -> None:
+        text = " ".join("".join(self.run).split())
+        if text:
+            self.blocks.append(_Block(self.at, text, self.linked))
+        self.run, self.linked = [], 0
+
+    def _up(self) -> None:
+        self.open[self.at.name] -= 1
+        self.at = self.at.parent
+
+    def _end_of(self, name: str, at: int, otherwise: int) -> int:
+        """Where the element that was opened before ``at`` ends."""
+        if self.low is None:
+            self.low = self.page.lower()
+        stop = self.low.find(f"</{name}", at)
+        if stop < 0:
+            return otherwise
+        stop = self.page.find(">", stop)
+        return stop + 1 if stop >= 0 else len(self.page)
+
+    def _read(self) -> None:
+        page, n, i, missing = self.page, len(self.page), 0, set()
+        while i < n:
+            start = page.find("<", i)
+            if start < 0:
+                self._text(i, n)
+                break
+            self._text(i, start)
+            i = start
+            if page.startswith("<!--", i):
+                stop = page.find("-->", i + 4)
+                i = stop + 3 if stop >= 0 else n
+                continue
+            if page.startswith(("<!", "<?"), i):
+                stop = page.find(">", i)
+                i = stop + 1 if stop >= 0 else n
+                continue
+            tag = _NAME.match(page, i)
+            if not tag:
+                self._text(i, i + 1)
+                i += 1
+                continue
+            rest = _REST.match(page, tag.end()) if self.quotes_close else None
+            if rest is None:
+                self.quotes_close = False
+                rest = _REST_PLAIN.match(page, tag.end())
+            if rest is None:  # the tag does not end: it goes, up to the next
+                stop = page.find("<", tag.end())
+                i = stop if stop >= 0 else n
+                continue
+            i = rest.end()
+            name, attributes = tag[2].lower(), rest[1] if rest[1] is not None else rest[2]
+            if tag[1]:
+                self._closing(name)
+            elif name in RAW:
+                i = i if attributes.endswith("/") else self._end_of(name, i, n)
+            elif name in EMBEDDED:
+                if name not in missing and not attributes.endswith("/"):
+                    stop = self._end_of(name, i, -1)
+                    if stop < 0:  # never closed: what follows is not in it
+                        missing.add(name)
+                    else:
+                        i = stop
+            else:
+                self._opening(name, attributes)
+        self._close_block()
+
+    def _closing(self, name: str) -> None:
+        if name == "a":
+            self.anchors = max(0, self.anchors - 1)
+        if name in INLINE or name in RAW or name in EMBEDDED:
+            return
+        self._close_block()
+        if self.open[name] > 0:
+            while self.at.name != name:
+                self._up()
+            self._up()
+            self.anchors = 0
+
+    def _opening(self, name: str, attributes: str) -> None:
+        if name == "br":
+            if not self.at.apart:
+                self.run.append(" ")
+            return
+        if name == "a":
+            self.anchors += 1
+        if name in INLINE:
+            return
+        self._close_block()
+        if name in VOID:
+            return
+        if self.at.name == "p":
+            self._up()
+        while self.at.name in CLOSES.get(name, ()):
+            self._up()
+        self.anchors = 0
+        at = self.at
+        apart, factor, mark = _marked(attributes)
+        part = name in OWN and factor < 1
+        apart = apart or (part and "article" in at.within) or name in OUTSIDE or (name == "header" and not at.within)
+        if name in OWN or name in ("html", "body"):
+            factor = 1.0
+        if attributes.endswith("/") and name not in ("p", "div", "li"):
+            return
+        path = self.paths.setdefault((at.path, name, mark), len(self.paths) + 1)
+        self.at = _Element(name, at, path, at.apart or apart, factor, part)
+        self.open[name] += 1
 
 
-def _part(name: str, attributes: str) -> bool:
-    """Whether an article or main has the name of another part of a page."""
-    return name in OWN and any(k.lower() != "role" and PARTS.search(v.strip("\"'")) for k, v in _MARKS.findall(attributes))
+def blocks(page: str) -> list[_Block]:
+    return _Page(page).blocks
 
 
-def _settled(found: list[_Block]) -> list[_Block]:
-    """Drops articles named as another part, unless the largest of them is longer than all text beside them."""
+def _doubted(found: list[_Block]) -> set[_Element]:
+    """Articles named as another part, unless the largest of them is longer than all text beside them."""
     sizes: dict[_Element | None, int] = {}
     for b in found:
         sizes[b.element.doubtful] = sizes.get(b.element.doubtful, 0) + max(0, len(b.text) - b.links)
-    plain = [b for b in found if b.element.doubtful is None]
-    within = any("article" in b.element.within for b in plain)
-    if within or sizes.pop(None, 0) >= max(sizes.values(), default=0):
-        return plain
-    return found
-
-
-def _upwards(e: _Element | None) -> Iterator[_Element]:
-    while e is not None:
-        yield e
-        e = e.parent
-
-
-def blocks(page: str) -> list[_Block]:
-    """The text blocks of a page in order, those of parts that are not content left out."""
-    root = _Element("", None, False)
-    at, found, run, linked, anchors = root, [], [], 0, 0
-    i, n = 0, len(page)
-
-    def close() -> None:
-        nonlocal run, linked
-        text = " ".join("".join(run).split())
-        if text and not at.apart:
-            found.append(_Block(at, text, linked))
-        run, linked = [], 0
-
-    while i < n:
-        m = _TAG.search(page, i)
-        end = m.start() if m else n
-        if end > i and not at.apart:
-            text = html.unescape(page[i:end])
-            run.append(text)
-            if anchors:
-                linked += len(text)
-        if not m:
-            break
-        i = m.end()
-        name = (m[2] or "").lower()
-        if not name:
-            continue
-        if m[1]:
-            if name == "a":
-                anchors = max(0, anchors - 1)
-            if name in INLINE or name in RAW:
-                continue
-            opened = at
-            while opened is not root and opened.name != name:
-                opened = opened.parent
-            close()
-            if opened is not root:
-                at, anchors = opened.parent, 0
-            continue
-        if name in RAW:
-            stop = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, i)
-            if not m[0].endswith("/>"):
-                i = stop.end() if stop else n
-            continue
-        if name == "br":
-            run.append(" ")
-            continue
-        if name == "a":
-            anchors += 1
-        if name in INLINE:
-            continue
-        close()
-        if name in VOID:
-            continue
-        if at.name == "p":
-            at = at.parent
-        while at.name in CLOSES.get(name, ()):
-            at = at.parent
-        anchors = 0
-        apart, mark = _marked(name, m[3], at)
-        inside = at
-        while name == "header" and inside is not root and inside.name not in OWN:
-            inside = inside.parent
-        part = _part(name, m[3])
-        apart = apart or (part and "article" in at.within)
-        apart = apart or name in OUTSIDE or (name == "header" and inside is root)
-        if m[0].endswith("/>") and name not in ("p", "div", "li"):
-            continue
-        at = _Element(name, at, at.apart or apart, mark, part)
-    close()
-    return _settled(found)
+    beside = sizes.pop(None, 0)
+    within = any("article" in b.element.within for b in found if b.element.doubtful is None)
+    return set(sizes) if within or beside >= max(sizes.values(), default=0) else set()
 
 
 def _weights(parts: list[_Block]) -> list[float]:
-    """The fused weight of each block's path."""
-    sums: dict[str, list[int]] = {}
+    """The weight of each block: its path's fused weight, moved by what the page says about the block's elements."""
+    sums: dict[int, list[int]] = {}
     for b in parts:
         x = sums.setdefault(b.element.path, [0, 0, 0, 0])
         x[0] += len(b.text)
@@ -184,11 +260,13 @@ def _weights(parts: list[_Block]) -> list[float]:
     for k in range(len(raw)):
         near = [(raw[k + d], w) for d, w in ((-1, 1), (0, 2), (1, 1)) if 0 <= k + d < len(raw)]
         smooth.append(sum(x * w for x, w in near) / sum(w for _, w in near))
-    fused: dict[str, list[float]] = {}
+    fused: dict[int, list[float]] = {}
     for b, x, y in zip(parts, raw, smooth, strict=True):
         fused.setdefault(b.element.path, []).append(math.sqrt(x * y))
-    weights = [sum(f := fused[b.element.path]) / len(f) for b in parts]
-    own = next((x for x in ("article", "main") if any(x in b.element.within for b in parts)), None)
+    mean = {p: sum(f) / len(f) for p, f in fused.items()}
+    doubted = _doubted(parts)
+    weights = [mean[b.element.path] * b.element.factor * (PART if b.element.doubtful in doubted else 1.0) for b in parts]
+    own = next((x for x in ("article", "main") if any(x in b.element.within for b in parts if b.element.doubtful not in doubted)), None)
     if own is None:
         return weights
     # only raises or lowers: half way up to the greatest weight on a log scale, and half
@@ -205,9 +283,9 @@ def main_text(page: str | None) -> str:
     mean = sum(weights) / len(weights)
     spread = math.sqrt(sum((w - mean) ** 2 for w in weights) / len(weights))
     limit = min(THRESHOLD * spread, max(weights))
-    content = [w >= limit and w > 0 for w in weights]
+    content = [w >= max(limit, LEAST) for w in weights]
     for k in reversed(range(len(parts) - 1)):
-        if any(e.name in HEADINGS for e in _upwards(parts[k].element)):
+        if parts[k].element.heading and parts[k].element.factor >= parts[k + 1].element.factor:
             content[k] = content[k] or content[k + 1]
     return "\n".join(b.text for b, good in zip(parts, content, strict=True) if good)
 
@@ -223,8 +301,10 @@ def extract_pages(pages: DataFrame) -> DataFrame:
 
     Character references are decoded, white space inside a block (line breaks
     included) is one space, blocks follow in page order with one line feed
-    between them; nothing is capped. A null, empty or blank page, or one without
-    an article, has an empty text and 0 characters. Null ids and urls stay, rows
+    between them; nothing is capped. A null, empty or blank page, or one whose
+    blocks are all left out, has an empty text and 0 characters. Tags that do not end go,
+    text that follows an element which is never closed stays. The time grows with
+    the page's length, however its elements nest. Null ids and urls stay, rows
     that repeat are extracted one by one, an empty table gives an empty result,
     and further columns are not read.
     """
