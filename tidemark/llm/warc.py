@@ -9,6 +9,7 @@ from there, and logs the bytes between as a quarantined gap.
 from __future__ import annotations
 
 import hashlib
+import io
 import re
 import uuid
 import zlib
@@ -29,6 +30,9 @@ VERSION = b"WARC/1.1"
 MAGIC = b"\x1f\x8b\x08"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _START = re.compile(rb"(?<![^\n])WARC/1\.[01]\r?\n")
+_BEGIN = re.compile(rb"\x1f\x8b\x08|(?<![^\n])WARC/1\.[01]\r?\n")
+#: Bytes in which a version line or the start of a member is seen, and headers of a record.
+_LONGEST, MOST_HEADER = 16, 1 << 16
 _LENGTH = re.compile(rb"^content-length:\s*(\d+)\s*$", re.I | re.M)
 
 
@@ -99,7 +103,7 @@ def _write(folder: str):
                 if out is None:
                     # a name of this attempt's own: what a failed attempt leaves is never listed
                     path = f"{base}/{uuid.uuid4().hex}.warc.gz"
-                    out = store.open_output_stream(path)
+                    out = store.open_output_stream(path, compression=None)  # members are compressed already
                 out.write(record)
                 size, count = size + len(record), count + 1
         finish()
@@ -118,20 +122,62 @@ class BadRecord(ValueError):
     pass
 
 
-def parse_record(raw: bytes) -> tuple[dict[str, str], bytes, int]:
-    """Headers, block and the length of the record at the start of ``raw``; raises BadRecord where a check fails."""
-    if not _START.match(raw):
+class Source:
+    """A file that is read in windows, so that no more of it is held than a record."""
+
+    def __init__(self, file, size: int, window: int = 1 << 20):
+        self.file, self.size, self.window, self.held, self.at = file, size, window, b"", 0
+
+    def get(self, at: int, n: int) -> bytes:
+        """Up to ``n`` bytes from ``at``."""
+        n = max(0, min(n, self.size - at))
+        if at < self.at or at + n > self.at + len(self.held):
+            self.file.seek(at)
+            self.held, self.at = self.file.read(max(n, self.window)), at
+        return self.held[at - self.at : at - self.at + n]
+
+    def next_start(self, at: int) -> int:
+        """The first place from ``at`` where a member or a version line begins; the end if there is none."""
+        while at < self.size:
+            before = at > 0  # one byte more, to see whether a line begins
+            found = _BEGIN.search(self.get(at - before, self.window - _LONGEST), before)
+            if found:
+                return at - before + found.start()
+            at += max(1, self.window - 3 * _LONGEST)
+        return self.size
+
+
+def header_length(raw: bytes, whole: bool) -> tuple[int, int] | None:
+    """Where the block begins and its length; None if the headers go on beyond ``raw``, unless that is the whole."""
+    if not _START.match(raw) and (whole or len(raw) >= _LONGEST):
         raise BadRecord("no version line")
-    end = raw.find(b"\r\n\r\n")
-    length = _LENGTH.search(raw, 0, end) if end >= 0 else None
+    end = raw.find(b"\r\n\r\n", 0, MOST_HEADER)
+    if end < 0:
+        if whole or len(raw) >= MOST_HEADER:
+            raise BadRecord("no end of headers")
+        return None
+    length = _LENGTH.search(raw, 0, end)
     if not length:
-        raise BadRecord("no end of headers or no length")
-    start, size = end + 4, int(length[1])
-    block = raw[start : start + size]
+        raise BadRecord("no length")
+    return end + 4, int(length[1])
+
+
+def parse_record(raw: bytes, whole: bool = True) -> tuple[dict[str, str], bytes, int] | None:
+    """Headers, block and the length of the record at the start of ``raw``; raises BadRecord where a check fails.
+
+    None if the record goes on beyond ``raw``, unless that is the whole.
+    """
+    sizes = header_length(raw, whole)
+    if sizes is None:
+        return None
+    start, size = sizes
+    if len(raw) < start + size + 4 and not whole:
+        return None
+    block = bytes(raw[start : start + size])
     if len(block) < size or raw[start + size : start + size + 4] != b"\r\n\r\n":
         raise BadRecord("the block has another length")
     head = {}
-    for line in raw[:end].split(b"\r\n")[1:]:
+    for line in bytes(raw[: start - 4]).split(b"\r\n")[1:]:
         key, _, value = line.decode("utf-8", "replace").partition(":")
         head[key.strip().lower()] = value.strip()
     declared = head.get("warc-block-digest", "").partition(":")
@@ -140,38 +186,84 @@ def parse_record(raw: bytes) -> tuple[dict[str, str], bytes, int]:
     return head, block, start + size + 4
 
 
-def salvage(data: bytes) -> Iterator[tuple[str, int, int, object]]:
-    """``("record", start, end, (headers, block))`` of each valid record and ``("gap", start, end, reason)`` of what lies between."""
-    at, gap, reason = 0, None, ""
-    while at < len(data):
+def _member(source: Source, at: int) -> Iterator[tuple]:
+    """The valid records of a gzip member, inflated in steps; last ``("end", place, problem, whether the member itself is whole)``."""
+    inflate, raw, pos, step, problem, held = zlib.decompressobj(31), bytearray(), at, 1 << 12, None, None
+    while not inflate.eof:
+        chunk = source.get(pos, step)
+        if not chunk:
+            problem = problem or "the member is cut short"
+            break
         try:
-            if data.startswith(MAGIC, at):
-                inflate = zlib.decompressobj(31)
-                raw = inflate.decompress(memoryview(data)[at:])
-                if not inflate.eof:
-                    raise BadRecord("the member is cut short")
-                end = len(data) - len(inflate.unused_data)
-                head, block, length = parse_record(raw)
-                if length != len(raw):
-                    raise BadRecord("the member holds more than its record")
-            else:
-                head, block, length = parse_record(data[at:])
-                end = at + length
-        except (zlib.error, BadRecord) as problem:
-            if gap is None:
-                gap, reason = at, str(problem)
-            line = _START.search(data, at + 1)
-            member = data.find(MAGIC, at + 1)
-            found = [x for x in (line.start() if line else -1, member) if x >= 0]
-            at = min(found, default=len(data))
-            continue
-        if gap is not None:
-            yield "gap", gap, at, reason
-            gap = None
-        yield "record", at, end, (head, block)
-        at = end
+            raw += inflate.decompress(chunk)
+        except zlib.error as bad:
+            problem = problem or str(bad)
+            break
+        pos, step = pos + len(chunk), min(1 << 16, 2 * step)
+        while raw:
+            try:
+                got = parse_record(raw, inflate.eof)
+            except BadRecord as bad:
+                problem = problem or str(bad)
+                line = _START.search(raw, 1)
+                del raw[: line.start() if line else max(1, len(raw) - _LONGEST)]
+                if not line:
+                    break
+                continue
+            if got is None:
+                break
+            if held:
+                yield "record", at, pos, held
+            held = got[:2]
+            del raw[: got[2]]
+    end = pos - len(inflate.unused_data)
+    if held and inflate.eof:  # the last record counts only if the member's own checks hold
+        yield "record", at, end, held
+    if inflate.eof and not held:
+        problem = problem or "the member holds no record"
+    yield "end", end, problem, inflate.eof
+
+
+def _plain(source: Source, at: int) -> Iterator[tuple]:
+    """The record outside gzip that starts here, then as ``_member``."""
+    try:
+        start, size = header_length(source.get(at, MOST_HEADER), True)
+        if source.get(at + start + size, 4) != b"\r\n\r\n":
+            raise BadRecord("the block has another length")
+        head, block, length = parse_record(source.get(at, start + size + 4))
+    except BadRecord as bad:
+        yield "end", at, str(bad), False
+        return
+    yield "record", at, at + length, (head, block)
+    yield "end", at + length, None, True
+
+
+def salvage(data: bytes | Source) -> Iterator[tuple[str, int, int, object]]:
+    """``("record", start, end, (headers, block))`` of each valid record and ``("gap", start, end, reason)`` of what lies between.
+
+    A member may hold several records; each valid one counts, and the member is a gap
+    as well if others in it, or the member itself, fail. The time grows with the
+    file's length, and what is held with its longest record.
+    """
+    source = Source(io.BytesIO(data), len(data)) if isinstance(data, bytes) else data
+    at, gap, reason = 0, None, ""
+    while at < source.size:
+        for kind, *what in _member(source, at) if source.get(at, 3) == MAGIC else _plain(source, at):
+            if kind == "record":
+                if gap is not None and gap < at:
+                    yield "gap", gap, at, reason
+                gap = None
+                yield kind, *what
+                continue
+            end, problem, whole = what
+            if problem and gap is None:
+                gap, reason = at, problem
+            if problem and whole:  # what is wrong is inside the member
+                yield "gap", gap, end, reason
+                gap = None
+            at = end if whole else source.next_start(at + 1)
     if gap is not None:
-        yield "gap", gap, len(data), reason
+        yield "gap", gap, source.size, reason
 
 
 def _page_of(urn: str) -> int | None:
@@ -195,22 +287,31 @@ _READ = "path string, start long, end long, gap string, page_id long, url string
 _TYPES = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64()]
 
 
+_ROWS = 1 << 12
+
+
+def _made(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) if rows else [[]] * len(_TYPES)
+    return pa.record_batch([pa.array(c, t) for c, t in zip(columns, _TYPES, strict=True)], names=[x.split()[0] for x in _READ.split(", ")])
+
+
 def _read(folder: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, _ = pyarrow.fs.FileSystem.from_uri(folder)
         for batch in batches:
             for path in batch.column("path").to_pylist():
-                with store.open_input_stream(path) as f:
-                    data = f.read()
-                rows = []
-                for kind, start, end, what in salvage(data):
-                    try:
-                        row = (None, *describe(*what)) if kind == "record" else (what, *[None] * 6)
-                    except BadRecord as problem:
-                        row = (str(problem), *[None] * 6)
-                    rows.append((path, start, end, *row))
-                columns = list(zip(*rows, strict=True)) if rows else [[]] * len(_TYPES)
-                yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, _TYPES, strict=True)], names=[x.split()[0] for x in _READ.split(", ")])
+                with store.open_input_file(path) as f:
+                    rows = []
+                    for kind, start, end, what in salvage(Source(f, f.size())):
+                        try:
+                            row = (None, *describe(*what)) if kind == "record" else (what, *[None] * 6)
+                        except BadRecord as problem:
+                            row = (str(problem), *[None] * 6)
+                        rows.append((path, start, end, *row))
+                        if len(rows) == _ROWS:
+                            yield _made(rows)
+                            rows = []
+                    yield _made(rows)
 
     return run
 
@@ -218,13 +319,13 @@ def _read(folder: str):
 def read_archives(archives: DataFrame, folder: str) -> DataFrame:
     """All records of the archives and, with ``gap`` set to the reason, the byte ranges that were quarantined.
 
-    ``archives`` has the column ``path``; each file is bounded by ``ARCHIVE_BYTES``
-    (or one record) and is read by one task. Records of valid archives have a null
+    ``archives`` has the column ``path`` (in the file system of ``folder``); the files are
+    dealt out evenly and each is read by one task, a window at a time. Valid records have a null
     ``gap``; a damaged part gives one row with its range and reason, and the records
     after it are recovered.
     """
     paths = archives.select("path")
-    return paths.repartition(F.col("path")).mapInArrow(_read(folder), _READ)
+    return paths.repartition(max(1, paths.count())).mapInArrow(_read(folder), _READ)
 
 
 def archive_round_trip(pages: DataFrame) -> DataFrame:
