@@ -20,7 +20,7 @@ import pyarrow.fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._store import materialise, shared_folder
+from ._store import materialise, own_folder
 
 LEAST_REVISIT_BYTES = 1000
 ARCHIVE_BYTES = 32 << 20
@@ -337,6 +337,6 @@ def archive_round_trip(pages: DataFrame) -> DataFrame:
     largest page_id of a payload are all responses; null html is an empty
     payload; an empty table gives an empty result; further columns are not read.
     """
-    folder = f"{shared_folder(pages.sparkSession)}/tidemark-warc-{uuid.uuid4().hex}"
+    folder = own_folder(pages.sparkSession, "warc")
     archives = write_archives(plan_records(pages), folder)
     return read_archives(archives, folder).where("gap is null").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "path", "start", "end")
