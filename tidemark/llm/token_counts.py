@@ -11,15 +11,17 @@ from __future__ import annotations
 
 import base64
 import functools
+import re
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._store import materialise
+from ._store import materialise, own_folder
 
 #: A file of byte-level BPE ranks; its last id, one past the ranks, is free for the separator.
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -27,6 +29,8 @@ SEPARATOR = 50256
 # Fixed value: the pattern that goes with the ranks.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 BLOCK_TOKENS = 1 << 19
+#: Blocks that one task reads, one after the other.
+_BLOCKS_A_TASK = 16
 #: Blocks whose summaries one task scans.
 _GROUP = 256
 
@@ -40,62 +44,81 @@ def encoder(ranks: str, pattern: str):
     return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens={})
 
 
-def _pack(ranks: str, pattern: str, separator: int, block_tokens: int, dtype: str):
+def _write(folder: str, ranks: str, pattern: str, separator: int, dtype: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(ranks, pattern).encode_ordinary
-        stream, block, ordinal, held, count = TaskContext.get().partitionId(), 0, 0, [], 0
-        end = np.array([separator], dtype=dtype)
-
-        def rows(blocks: list[np.ndarray], ids: list | None) -> pa.RecordBatch:
-            nonlocal block
-            n = len(blocks)
-            numbers = list(range(block, block + n))
-            block += n
-            more = ids is not None
-            return pa.record_batch([pa.array([stream] * (n + more), pa.int64()), pa.array(numbers + [None] * more, pa.int64()), pa.array([b.tobytes() for b in blocks] + [None] * more, pa.binary()), pa.array([None] * n + [ordinal] * more, pa.int64()), pa.array([None] * n + [ids] * more, pa.list_(pa.int64()))], names=["stream", "block", "tokens", "ordinal", "doc_ids"])
-
-        def cut(all_of_it: bool) -> list[np.ndarray]:
-            nonlocal held, count
-            flat = np.concatenate(held) if held else end[:0]
-            full = len(flat) // block_tokens * block_tokens
-            out = [flat[k : k + block_tokens] for k in range(0, full, block_tokens)]
-            held, count = [flat[full:]], len(flat) - full
-            if all_of_it and count:
-                out.append(held[0])
-                held, count = [], 0
-            return out
-
+        encode, end = encoder(ranks, pattern).encode_ordinary, np.array([separator], dtype=dtype).tobytes()
+        store, base = pyarrow.fs.FileSystem.from_uri(folder)
+        out, path, size, ordinal = None, "", 0, 0
         for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
+            if out is None:
+                # a name of this attempt's own: what a failed attempt leaves is never listed
+                path = f"{base}/{uuid.uuid4().hex}.tokens"
+                out = store.open_output_stream(path, compression=None)
             for text in batch.column("text").to_pylist():
-                held.append(np.array(encode(text or ""), dtype=dtype))
-                held.append(end)
-                count += len(held[-2]) + 1
-                if count >= 4 * block_tokens:
-                    yield rows(cut(False), None)
-            yield rows(cut(False), ids)
+                tokens = np.array(encode(text or ""), dtype=dtype).tobytes() + end
+                out.write(tokens)
+                size += len(tokens)
+            ids = batch.column("doc_id")
+            yield pa.record_batch([pa.array([path], pa.string()), pa.array([None], pa.int64()), pa.array([ordinal], pa.int64()), pa.array([ids.to_pylist()], pa.list_(pa.int64()))], names=_WRITTEN)
             ordinal += len(ids)
-        yield rows(cut(True), None)
+        if out is not None:
+            out.close()
+            yield pa.record_batch([pa.array([path], pa.string()), pa.array([size], pa.int64()), pa.array([None], pa.int64()), pa.array([None], pa.list_(pa.int64()))], names=_WRITTEN)
 
     return run
 
 
-def write_flat_tokens(documents: DataFrame, ranks: str = RANKS, pattern: str = PATTERN, separator: int = SEPARATOR, block_tokens: int = BLOCK_TOKENS, dtype: str = "uint16") -> DataFrame:
-    """Tokenises ``doc_id, text`` into flat streams, one for each partition, stored as blocks in the shared folder.
+_WRITTEN = ["stream", "length", "ordinal", "doc_ids"]
+
 
-    Rows are blocks (``stream, block, tokens``) or lists of the documents in the
-    order of the stream (``stream, ordinal, doc_ids``), which only name what the
+def write_flat_files(documents: DataFrame, folder: str, ranks: str = RANKS, pattern: str = PATTERN, separator: int = SEPARATOR, dtype: str = "uint16") -> DataFrame:
+    """Tokenises ``doc_id, text`` into flat files in ``folder`` (a URI that executors reach), one for each partition.
+
+    Rows are files (``stream``, the path, and ``length`` in bytes) or lists of documents in the
+    order of the file (``stream, ordinal, doc_ids``), which only name what the
     scan finds.
     """
-    packed = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_pack(ranks, pattern, separator, block_tokens, dtype), "stream long, block long, tokens binary, ordinal long, doc_ids array<long>")
-    return materialise(packed, "tokens")
+    pyarrow.fs.FileSystem.from_uri(folder)[0].create_dir(pyarrow.fs.FileSystem.from_uri(folder)[1], recursive=True)
+    written = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_write(folder, ranks, pattern, separator, dtype), "stream string, length long, ordinal long, doc_ids array<long>")
+    return materialise(written, "tokens")
+
+
+def _ranges(folder: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, _ = pyarrow.fs.FileSystem.from_uri(folder)
+        for batch in batches:
+            for stream, block, start, n in zip(*(batch.column(c).to_pylist() for c in ("stream", "block", "start", "n")), strict=True):
+                with store.open_input_file(re.sub(r"^[A-Za-z0-9.+-]+:(//[^/]*)?", "", stream)) as f:
+                    f.seek(start)
+                    yield pa.record_batch([pa.array([stream]), pa.array([block], pa.int64()), pa.array([f.read(n)], pa.binary())], names=["stream", "block", "tokens"])
+
+    return run
+
+
+def read_blocks(files: DataFrame, folder: str, block_tokens: int = BLOCK_TOKENS, dtype: str = "uint16") -> DataFrame:
+    """The files of ``stream, length`` in blocks of so many tokens: ``stream, block, tokens``.
+
+    Only names and lengths are listed; each task reads the byte ranges of its own blocks, so files
+    of any size are read in parallel and no task holds more than a block. A file that
+    ends within a token fails the job.
+    """
+    width = np.dtype(dtype).itemsize
+    size = block_tokens * width
+    whole = F.when(F.col("length") % width == 0, F.col("length")).otherwise(F.raise_error(F.concat(F.lit("ends within a token: "), "stream")).cast("long"))
+    files = files.select("stream", whole.alias("length")).where("length > 0")
+    total = files.agg(F.sum(F.ceil(F.col("length") / size))).first()[0] or 0
+    blocks = files.select("stream", "length", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("length") - 1) / size))).alias("block"))
+    start = F.col("block") * size
+    ranges = blocks.select("stream", "block", start.alias("start"), F.least(F.lit(size), F.col("length") - start).alias("n"))
+    return ranges.repartition(max(1, -(-total // _BLOCKS_A_TASK))).mapInArrow(_ranges(folder), "stream string, block long, tokens binary")
 
 
-def read_flat_files(spark: SparkSession, path: str, block_bytes: int = 2 * BLOCK_TOKENS) -> DataFrame:
-    """Blocks of existing flat files: ``stream`` (the file's path), ``block``, ``tokens``."""
-    files = spark.read.format("binaryFile").load(path).select(F.col("path").alias("stream"), "content", "length").where("length > 0")
-    blocks = files.select("stream", "content", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("length") - 1) / block_bytes))).alias("block"))
-    return blocks.select("stream", "block", F.expr(f"substring(content, cast(block * {block_bytes} + 1 as int), {block_bytes})").alias("tokens"))
+def read_flat_files(spark: SparkSession, path: str, block_tokens: int = BLOCK_TOKENS, dtype: str = "uint16") -> DataFrame:
+    """Blocks of existing flat files (a path or pattern of a file system that executors reach): ``stream`` (the file's path), ``block``, ``tokens``."""
+    files = spark.read.format("binaryFile").load(path).select(F.col("path").alias("stream"), "length")  # without the content
+    first = files.select("stream").first()
+    folder = re.sub(r"^(\w+):/(?!/)", r"\1:///", first.stream.rsplit("/", 1)[0]) if first else "file:///"
+    return read_blocks(files, folder, block_tokens, dtype)
 
 
 def _search(separator: int, dtype: str):
@@ -146,14 +169,15 @@ def scan_separators(blocks: DataFrame, separator: int = SEPARATOR, dtype: str =
 
 
 def token_counts(documents: DataFrame, ranks: str = RANKS, pattern: str = PATTERN, separator: int = SEPARATOR, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """Tokens of every document, found by writing flat token streams and scanning them.
+    """Tokens of every document, found by writing flat token files and scanning them.
 
     Reads ``doc_id, text``; returns ``doc_id, n_tokens`` for every row. A null or
     empty text has 0 tokens. Repeated rows and null ids are counted row by row; an
     empty table gives an empty result; further columns are not read.
     """
-    stored = write_flat_tokens(documents, ranks, pattern, separator, block_tokens)
-    counted = scan_separators(stored.where("block is not null"), separator)
+    folder = own_folder(documents.sparkSession, "tokens")
+    stored = write_flat_files(documents, folder, ranks, pattern, separator)
+    counted = scan_separators(read_blocks(stored.where("length is not null"), folder, block_tokens), separator)
     named = stored.where("ordinal is not null").select("stream", "ordinal", F.posexplode("doc_ids").alias("i", "doc_id"))
     named = named.select("stream", (F.col("ordinal") + F.col("i")).alias("ordinal"), "doc_id")
     return named.join(counted, ["stream", "ordinal"]).select("doc_id", "n_tokens")
