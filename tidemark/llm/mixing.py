@@ -24,7 +24,10 @@ from pyspark.sql import functions as F
 from ._store import materialise
 
 BLOCK_WORDS = 20_000
-SHARDS = 16
+#: A shard of the mix has about so many words.
+SHARD_WORDS = 20_000_000
+#: Levels of the splitting tree that one task works on before the nodes are dealt out again.
+_LEVELS = 6
 _GROUP = 1024
 MOST_REPEATS = 3
 WEIGHTS = (1, 2, 3)
@@ -78,30 +81,35 @@ def uniform(*keys: Column) -> Column:
 
 
 def splitting_tree(counts: DataFrame, shards: int) -> DataFrame:
-    """Splits ``source, n`` among ``shards``: rows ``source, shard, n`` whose sums over the shards are the counts exactly."""
-    root = counts.select(F.struct("source", F.col("n").cast("long").alias("n")).alias("x")).agg(F.sort_array(F.collect_list("x")).alias("xs"))
+    """Splits ``source, n`` among ``shards``: rows ``source, shard, n`` whose sums over the shards are the counts exactly.
+
+    One plan, with a shuffle of the nodes every few levels; a node lists only the
+    sources that have something left in it, so a level is no larger than the counts.
+    """
+    root = counts.where("n > 0").select(F.struct("source", F.col("n").cast("long").alias("n")).alias("x")).agg(F.sort_array(F.collect_list("x")).alias("xs"))
     nodes = root.select("xs", F.lit(0).alias("a"), F.lit(shards).alias("b"))
-    while True:
+    for level in range(max(0, shards - 1).bit_length()):
         middle = F.floor((F.col("a") + F.col("b")) / 2).cast("int")
         total = F.aggregate("xs", F.lit(0).cast("long"), lambda s, x: s + x["n"])
         half = F.floor(total * (middle - F.col("a")) / (F.col("b") - F.col("a"))).cast("long")
         empty = F.array().cast("array<bigint>")
         drawn = F.aggregate(
-            F.transform("xs", lambda x, i: F.struct(x["n"].alias("n"), i.alias("i"))),
+            F.transform("xs", lambda x, i: F.struct(x["n"].alias("n"), x["source"].alias("source"))),
             F.struct(empty.alias("left"), total.alias("total"), half.alias("half")),
             lambda s, x: _let(
-                hypergeometric(s["total"], x["n"], s["half"], uniform(F.col("a"), F.col("b"), x["i"])),
+                hypergeometric(s["total"], x["n"], s["half"], uniform(F.col("a"), F.col("b"), x["source"])),
                 lambda k: F.struct(F.concat(s["left"], F.array(k)).alias("left"), (s["total"] - x["n"]).alias("total"), (s["half"] - k).alias("half")),
             ),
             lambda s: s["left"],
         )
         split = nodes.withColumn("left", F.when(F.col("b") - F.col("a") > 1, drawn))
-        child = lambda side: F.transform("xs", lambda x, i: F.struct(x["source"].alias("source"), (F.col("left")[i] if side else x["n"] - F.col("left")[i]).alias("n")))
+        child = lambda side: F.filter(F.transform("xs", lambda x, i: F.struct(x["source"].alias("source"), (F.col("left")[i] if side else x["n"] - F.col("left")[i]).alias("n"))), lambda x: x["n"] > 0)
         children = F.when(F.col("left").isNull(), F.array(F.struct("xs", "a", "b"))).otherwise(F.array(F.struct(child(True).alias("xs"), F.col("a"), middle.alias("b")), F.struct(child(False).alias("xs"), middle.alias("a"), F.col("b"))))
-        nodes = materialise(split.select(F.inline(children).alias("xs", "a", "b")), "tree")
-        shards = (shards + 1) // 2
-        if shards <= 1:
-            return nodes.select(F.col("a").alias("shard"), F.inline("xs").alias("source", "n"))
+        nodes = split.select(F.inline(children).alias("xs", "a", "b"))
+        if level % _LEVELS == _LEVELS - 1:
+            nodes = nodes.repartition("a")
+    leaves = nodes.select(F.col("a").alias("shard"), F.inline("xs").alias("source", "n"))
+    return leaves.unionByName(counts.where("n = 0").select(F.lit(0).alias("shard"), "source", F.col("n").cast("long").alias("n")))
 
 
 def source_targets(sizes: DataFrame) -> DataFrame:
@@ -123,7 +131,7 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     return full.select("source", "source_size", F.when(F.col("full"), F.col("limit").cast("double")).otherwise(F.col("weight") * left / free).alias("target"))
 
 
-def mix_sources(documents: DataFrame, carry: list[str] | None = None, shards: int = SHARDS, block_words: int = BLOCK_WORDS) -> DataFrame:
+def mix_sources(documents: DataFrame, carry: list[str] | None = None, shards: int | None = None, block_words: int = BLOCK_WORDS) -> DataFrame:
     """Draws the mix and says for each document row how it is taken.
 
     Reads ``doc_id, source, text``. Returns the columns of ``carry`` (``doc_id``
@@ -137,12 +145,13 @@ def mix_sources(documents: DataFrame, carry: list[str] | None = None, shards: in
     drawn. A source's taken words are its target, rounded: the document where the
     last pass ends is taken in part. Repeated rows are drawn as documents of
     their own; an empty table gives an empty result. Carried columns may have any
-    names. The sources, not the documents, are ranked in one task and put in one
-    array.
+    names but those added, dots included. There is a shard for each ``SHARD_WORDS`` words of
+    the mix unless ``shards`` is given. The sources, not the documents, are ranked in one task
+    and put in one array; the number of sources must allow that.
     """
     names = carry or ["doc_id"]
     same = lambda a, b: F.col(a).eqNullSafe(F.col(b))
-    sized = documents.select(F.struct(*names).alias("row"), F.col("source"), F.regexp_count(F.coalesce("text", F.lit("")), F.lit(_WORD)).cast("long").alias("size"), F.xxhash64(F.lit(SEED), "doc_id", "text").alias("h"))
+    sized = documents.select(F.struct(*(F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names))).alias("row"), F.col("source"), F.regexp_count(F.coalesce("text", F.lit("")), F.lit(_WORD)).cast("long").alias("size"), F.xxhash64(F.lit(SEED), "doc_id", "text").alias("h"))
     sized = materialise(sized, "sized")
     targets = source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")))
     quota = F.round("target").cast("long")
@@ -170,6 +179,8 @@ def mix_sources(documents: DataFrame, carry: list[str] | None = None, shards: in
     drawn = F.concat(F.when(F.col("passes") > 0, full_pass).otherwise(none), last_pass)
     instances = ranked.join(filled.withColumnRenamed("source", "s"), same("source", "s")).select("source", "block", F.col("words").alias("block_words"), F.inline(drawn).alias("pos", "budget"))
     instances = materialise(instances, "instances")
+    if shards is None:
+        shards = max(1, -(-(instances.agg(F.sum("budget")).first()[0] or 0) // SHARD_WORDS))
 
     leaves = splitting_tree(instances.groupBy("source").agg(F.count("*").alias("n")), shards)
     ends = Window.partitionBy("source").orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)
@@ -184,10 +195,21 @@ def mix_sources(documents: DataFrame, carry: list[str] | None = None, shards: in
     copies = F.filter(F.coalesce(copies, F.array().cast("array<struct<shard:int,words:bigint,place:bigint>>")), lambda x: x["words"] > 0)
     out = met.join(plan.select(F.col("s").alias("s2"), "source_size", "target"), same("source", "s2"), "left")
     out = out.select("row", "size", "source_size", "target", copies.alias("copies"))
-    return out.select("row.*", "size", "source_size", "target", F.aggregate("copies", F.lit(0).cast("long"), lambda s, x: s + x["words"]).alias("taken"), "copies")
+    return out.select(*(F.col(f"row.c{k}").alias(c) for k, c in enumerate(names)), "size", "source_size", "target", F.aggregate("copies", F.lit(0).cast("long"), lambda s, x: s + x["words"]).alias("taken"), "copies")
+
+
+def deal_shards(mixed: DataFrame) -> DataFrame:
+    """One row for each copy that the mix draws, in its shard and in the shard's shuffled order.
+
+    Takes the result of ``mix_sources`` with whatever it carries; ``copies`` gives way to ``shard``
+    and ``place``, by which the shard is shuffled, and ``taken`` becomes the words of this copy
+    (the document's first ones; all but for the document where its source's target is met). A shard
+    is in one partition, sorted by ``place``; documents that are not drawn are left out.
+    """
+    rows = mixed.drop("taken").select("*", F.inline("copies").alias("shard", "taken", "place")).drop("copies")
+    return rows.repartition("shard").sortWithinPartitions("shard", "place")
 
 
-def write_shards(mixed: DataFrame, path: str, shards: int = SHARDS) -> None:
+def write_shards(mixed: DataFrame, path: str) -> None:
     """Writes each shard's documents in their shuffled order, one row for each copy."""
-    rows = mixed.select("*", F.inline("copies").alias("shard", "words", "place")).drop("copies", "taken")
-    rows.repartition(shards, "shard").sortWithinPartitions("shard", "place").write.partitionBy("shard").parquet(path)
+    deal_shards(mixed).write.partitionBy("shard").parquet(path)
