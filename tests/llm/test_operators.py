@@ -149,16 +149,57 @@ def test_decontamination_of_documents_shorter_than_the_item(spark):
 def test_hamming_blocks_miss_nothing():
     rng = np.random.default_rng(1)
     items = [" ".join(f"i{k}w{j}" for j in range(12)) for k in range(50)]
-    index = decontamination.Index(list(range(50)), items)
-    prints = index.items[12][2]
-    noisy = prints.copy()
+    own = decontamination.Index(list(range(50)), items).items[12]
+    noisy = own.prints.copy()
     for k in range(50):
         for bit in rng.choice(64, size=decontamination.RADIUS, replace=False):
             noisy[k] ^= np.uint64(1 << int(bit))
-    near = np.zeros((50, 50), dtype=bool)
-    for k in range(decontamination.BLOCKS):
-        near |= index.tables[12][k][decontamination._block(noisy, k)]
-    assert near[decontamination._distance(noisy[:, None], prints[None]) <= decontamination.RADIUS].all()
+    got = {p for w, i in own.near(noisy) for p in zip(w.tolist(), i.tolist(), strict=True)}
+    w, i = np.nonzero(decontamination._distance(noisy[:, None], own.prints[None]) <= decontamination.RADIUS)
+    assert got == set(zip(w.tolist(), i.tolist(), strict=True)) and {(k, k) for k in range(50)} <= got
+
+
+def brute_decontamination(docs, items):
+    """The best window of each item in each document, by exact weighted similarity."""
+    cut = lambda t: re.findall(r"[a-z0-9\x80-\U0010ffff]+", (t or "").lower())
+    found = {}
+    for d, text, _ in docs:
+        w = cut(text)
+        for item, t in items:
+            x = cut(t)
+            size = min(5, len(x))
+            if not x or len(w) < size:
+                continue
+            runs = lambda v: [tuple(v[i : i + size]) for i in range(len(v) - size + 1)]  # noqa: B023, E731
+            own, n = Counter(runs(x)), min(len(x), len(w))
+            for a in range(len(w) - n + 1):
+                here = Counter(runs(w[a : a + n]))
+                o = sum((own & here).values())
+                u = sum(own.values()) + sum(here.values()) - o
+                if 10 * o >= 8 * u:
+                    found[d, item] = max(found.get((d, item), (0, 0, 0, 0)), (o / u, -a, o, u))
+    return {k: (o, u, -a) for k, (_, a, o, u) in found.items()}
+
+
+def test_decontamination_against_brute_force(spark):
+    rng = np.random.default_rng(4)
+    vocabulary = [f"v{k}" for k in range(400)]
+    items = [(k, " ".join(rng.choice(vocabulary, int(rng.integers(3, 40))))) for k in range(30)]
+    docs = []
+    for d in range(120):
+        w = list(rng.choice(vocabulary, int(rng.integers(0, 60))))
+        for _ in range(int(rng.integers(0, 3))):  # passages with some words changed, cut off, or twice
+            x = items[int(rng.integers(30))][1].split()
+            for at in rng.choice(len(x), size=int(rng.integers(0, 2)), replace=False):
+                x[at] = "changed"
+            w[len(w) // 2 : len(w) // 2] = x[int(rng.integers(0, 2)) :] * int(rng.integers(1, 3))
+        docs.append((d, " ".join(w), "s"))
+    # a benchmark item through and through, many windows long
+    docs.append((500, (items[5][1] + " ") * 3000, "s"))
+    got = {(r.doc_id, r.item_id): (r.overlap, r.union_size, r.first_word) for r in decontamination.contaminated(spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(items, "item_id long, text string"), short=True).collect()}
+    expected = brute_decontamination(docs[:-1], items)
+    assert len(expected) > 40 and {k: v for k, v in got.items() if k[0] != 500} == expected
+    assert (500, 5) in got
 
 
 def water_fill(sizes):
@@ -192,7 +233,34 @@ def test_mixing(spark, odd, empty):
     assert mixing.mix_sources(empty).count() == 0
 
 
+def test_mixing_shards(spark, odd, tmp_path):
+    mixed = mixing.mix_sources(odd.withColumn("a.b", F.col("doc_id")).select("doc_id", "`a.b`", "source", "text"), ["doc_id", "a.b", "source"], shards=4, block_words=50)
+    rows = mixed.collect()
+    mixing.write_shards(mixed, str(tmp_path / "out"))
+    dealt = spark.read.parquet(str(tmp_path / "out")).collect()
+    taken, words_of = Counter(), Counter()
+    for r in rows:
+        taken[r.doc_id] += r.taken
+        assert r["a.b"] == r.doc_id and r.taken == sum(c.words for c in r.copies)
+    for r in dealt:
+        words_of[r.doc_id] += r.taken
+    assert words_of == +taken and len(dealt) == sum(len(r.copies) for r in rows) and {r.shard for r in dealt} <= set(range(4))
+    parts = mixing.deal_shards(mixed).select("shard", "place", F.spark_partition_id().alias("part")).collect()
+    for shard in {r.shard for r in parts}:
+        own = [r for r in parts if r.shard == shard]
+        assert len({r.part for r in own}) == 1 and [r.place for r in own] == sorted(r.place for r in own)
+    sizes = Counter(r.shard for r in dealt)
+    assert len(sizes) > 1
+    assert len({c.shard for r in mixing.mix_sources(odd).collect() for c in r.copies}) == 1  # few words are one shard
+
+
 def test_splitting_tree(spark):
+    for shards in (1, 2, 100):
+        rows = mixing.splitting_tree(spark.createDataFrame([("a", 5000), (None, 3)], "source string, n long"), shards).collect()
+        by = Counter()
+        for r in rows:
+            by[r.source] += r.n
+        assert dict(by) == {"a": 5000, None: 3} and max(r.shard for r in rows) == shards - 1
     counts = spark.createDataFrame([("a", 1000), ("b", 37), (None, 1), ("c", 0)], "source string, n long")
     rows = mixing.splitting_tree(counts, 7).collect()
     by = Counter()
@@ -230,11 +298,23 @@ def test_separator_scan_of_flat_files(spark, tmp_path):
         lengths = [len(parts[0])] + [len(p) - 1 for p in parts[1:]]
         expected[name] = lengths if lengths[-1] else lengths[:-1]
     (tmp_path / "c").write_bytes(b"")
-    got = token_counts.scan_separators(token_counts.read_flat_files(spark, str(tmp_path), block_bytes=200)).collect()
-    by = {}
-    for r in sorted(got, key=lambda r: r.ordinal):
-        by.setdefault(r.stream[-1], []).append(r.n_tokens)
-    assert by == expected
+    for block in (100, 37, 1, 1 << 19):  # cut at odd places
+        got = token_counts.scan_separators(token_counts.read_flat_files(spark, str(tmp_path), block_tokens=block)).collect()
+        by = {}
+        for r in sorted(got, key=lambda r: r.ordinal):
+            by.setdefault(r.stream[-1], []).append(r.n_tokens)
+        assert by == expected
+    (tmp_path / "d").write_bytes(b"\1\2\3")
+    with pytest.raises(Exception, match="ends within a token"):
+        token_counts.read_flat_files(spark, str(tmp_path)).collect()
+
+
+def test_flat_files_of_wide_tokens(spark, tmp_path):
+    x = np.array([7, 70000, 1, 2, 70000, 70000, 5], dtype=np.uint32)
+    (tmp_path / "x").write_bytes(x.tobytes())
+    blocks = token_counts.read_flat_files(spark, f"file://{tmp_path}", block_tokens=2, dtype="uint32")
+    got = token_counts.scan_separators(blocks, separator=70000, dtype="uint32").orderBy("ordinal").collect()
+    assert [r.n_tokens for r in got] == [1, 2, 0, 1]
 
 
 PAGE = """<html><head><title>T</title></head><body><nav><li>x</nav><div class="ad">buy</div><article><h1>Head &amp; tail</h1><p>One
@@ -482,6 +562,63 @@ def test_field_learns(spark):
     assert quality_rules.judge_quality(docs, quality_rules.fit_field(docs, labels.limit(0))).where("content_share < 1").count() == 0
 
 
+def brute_licence(text, model):
+    """A document's licence from the model's weights: paragraphs, softmax, and the nearest template."""
+    cut = lambda t: re.findall(r"[a-z0-9]+", t.lower())
+    runs = lambda w, n: {" ".join(w[i : i + n]) for i in range(len(w) - n + 1)}
+    marked = lambda w: runs(["^", "^", *w, "$", "$"], 3)
+    rare = {w["gram"].split()[w["rare"]] for w in model.weights}
+    paragraphs, run = [], []
+    for line in [*(text or "").split("\n"), ""]:
+        if rare & set(cut(line)):
+            run.append(" ".join(line.split()))
+        elif run:
+            paragraphs.append(" ".join(run))
+            run = []
+    best = []
+    for paragraph in paragraphs:
+        w = cut(paragraph)
+        grams, z = runs(w, 1) | runs(w, 2) | runs(w, 3), Counter(model.intercepts)
+        for x in model.weights:
+            if x["gram"] in grams:
+                z[x["family"]] += x["weight"]
+        p = {f: np.exp((z[f] - max(z.values())) / model.temperature) for f in license_scan.FAMILIES}
+        p = {f: x / sum(p.values()) for f, x in p.items()}
+        family = max(p, key=lambda f: (p[f], f))
+        if family == license_scan.NONE:
+            continue
+        own = marked(w)
+        alike = max(max(len(own & s) / len(own), len(own & s) / len(s)) for f, t, _ in license_scan._templates() if f == family for s in [marked(cut(t))])
+        sure = p[family] >= model.sure and alike >= license_scan.ALIKE and family != license_scan.UNKNOWN
+        best.append((not sure, -p[family], family if sure else license_scan.UNKNOWN, paragraph, alike))
+    return (min(best)[2], round(-min(best)[1], 6), round(min(best)[4], 6), len(best)) if best else (license_scan.NONE, None, None, 0)
+
+
+def test_license_scan_against_brute_force(spark):
+    docs, _ = labelled(spark)
+    mit = license_scan.TEMPLATES["MIT"][3]
+    wrapped = "\n".join(" ".join(mit.split()[k : k + 6]) for k in range(0, len(mit.split()), 6))
+    texts = [t for _, t, _ in license_scan._templates()]
+    texts += [f"some words\n{wrapped}\nand others", "License: GPL-3.0", "SPDX-License-Identifier: Apache-2.0", "MIT License", "Licensed under the terms of some other agreement.", f"{texts[0]}\n\n{texts[4]}", f"{texts[0]}\nx\n{texts[0]}", "GNU", "version 2.0", "", "all rights reserved " * 2000]
+    rows = docs.limit(80).union(spark.createDataFrame([(1000 + k, t, "s") for k, t in enumerate(texts)], SCHEMA))
+    model = license_scan.fit_licences(rows)
+    by_id = {r.doc_id: r.text for r in rows.collect()}
+    got = {r.doc_id: (r.license, None if r.probability is None else round(r.probability, 6), None if r.similarity is None else round(r.similarity, 6), r.n_paragraphs) for r in license_scan.scan_licences(rows, model).collect()}
+    assert got == {d: brute_licence(t, model) for d, t in by_id.items()}
+    named = [got[1000 + k][0] for k in range(len(license_scan._templates()))]
+    right = [f for f, _, _ in license_scan._templates()]
+    assert sum(a == b for a, b in zip(named, right, strict=True)) >= 0.9 * len(right)
+    assert [got[1000 + len(right) + k][0] for k in (0, 1, 2, 3)] == ["MIT", "GPL", "Apache-2.0", "MIT"] and got[1000 + len(right)][3] == 1
+    assert all(r[0] == "none" for d, r in got.items() if d < 1000)
+    assert 0.2 <= model.sure <= 0.9
+
+
+def test_one_of():
+    some = ["a", "ab", "abc", "b2", "bcd", "xyz"]
+    pattern = re.compile(f"(?<![a-z0-9]){license_scan.one_of(some)}(?![a-z0-9])")
+    assert [w for w in [*some, "abd", "b", "xy", "xyzz", "c"] if pattern.fullmatch(w)] == some
+
+
 def test_license_scan(spark, odd, empty):
     docs, _ = labelled(spark)
     lines = [("MIT", "Released under the MIT License."), ("Apache-2.0", "licensed under the Apache License, version 2.0!"), ("unknown", "All rights reserved."), ("none", "the mit of it")]

@@ -1,9 +1,11 @@
 """The stages against brute force on the smallest table."""
 
 import re
+from collections import Counter
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
@@ -52,6 +54,43 @@ def test_stages_with_null_and_repeated_ids(spark):
     assert sorted(map(tuple, got), key=str) == sorted([(None, one), (7, two)], key=str)
 
 
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+PROSE = " ".join(f"Sentence {k} tells of something{k} that nobody{k} has told before." for k in range(12))
+ROWS = [(1, PROSE), (None, PROSE.replace("tells", "speaks")), (1, "x"), (2, None), (3, ""), (4, "One two three. " * 3000), (5, PROSE), (5, PROSE)]
+
+
+@pytest.fixture(scope="module")
+def odd_docs(spark):
+    rows = [(d, t, "en", None if d == 5 else "web", len(t or "")) for d, t in ROWS]
+    return spark.createDataFrame(rows, SCHEMA).withColumns({c: F.lit("clash") for c in ("row_id", "component_id", "kept", "score", "size", "taken", "shard")})
+
+
+def test_each_stage_on_odd_rows(spark, odd_docs):
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    given = Counter((r.doc_id, r.text) for r in odd_docs.collect())
+    quality = corpus_pipeline.quality(spark, odd_docs, SF)
+    field = corpus_pipeline.fit_field(odd_docs, labels)
+    judged = corpus_pipeline.judge_quality(odd_docs, field, ["doc_id", "text"]).where("kept").collect()
+    assert Counter((r.doc_id, r.text) for r in quality.collect()) == Counter((r.doc_id, r.text) for r in judged)
+    assert quality.columns == corpus_pipeline.COLUMNS and quality.where("text is null or text = '' or text = 'x'").count() == 0
+    toxic = corpus_pipeline.toxicity(spark, odd_docs, SF)
+    assert toxic.columns == corpus_pipeline.COLUMNS and Counter((r.doc_id, r.text) for r in toxic.collect()) == given
+    alone = corpus_pipeline.near_duplicates(spark, odd_docs, SF)
+    assert alone.columns == corpus_pipeline.COLUMNS
+    assert Counter((r.doc_id, r.text) for r in alone.collect()) == Counter({k: 1 for k in given if k[0] != 5 or k[1] != PROSE}) | Counter({(2, None): 1, (3, ""): 1})
+    clean = corpus_pipeline.decontamination(spark, odd_docs, SF)
+    assert clean.columns == corpus_pipeline.COLUMNS and Counter((r.doc_id, r.text) for r in clean.collect()) == given
+    mixed = corpus_pipeline.mixing(spark, odd_docs, SF).collect()
+    assert mixed and all(r.text and 0 < r.taken <= r["size"] for r in mixed)
+    most = Counter((r.doc_id, r.text) for r in mixed)
+    assert all(n <= 3 * given[k] for k, n in most.items())
+
+
+def test_each_stage_on_an_empty_table(spark, odd_docs):
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, odd_docs.limit(0), SF).count() == 0
+
+
 def test_run(spark):
     assert corpus_pipeline.ORACLE_SQL is None and len(corpus_pipeline.STAGES) == 5
     got = corpus_pipeline.run(spark, SF)

@@ -24,12 +24,12 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), short=True)
 
 
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(table(spark, sf_dir, "documents"))
-    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,9 +90,9 @@ bs AS (SELECT item_id, n, s, array_to_string(ws[i : i + s - 1], ' ') AS sh, coun
 ds AS (SELECT doc_id, len(ws) AS m, s, i, array_to_string(ws[i : i + s - 1], ' ') AS sh
        FROM (SELECT d.doc_id, d.ws, z.s, unnest(range(1, len(d.ws) - z.s + 2)) AS i FROM d, (SELECT DISTINCT s FROM b) z WHERE len(d.ws) >= z.s)),
 h AS (SELECT ds.doc_id, ds.m, ds.i, bs.* FROM ds JOIN bs ON ds.sh = bs.sh AND ds.s = bs.s),
-p AS (SELECT *, unnest(range(greatest(1, i - (n - s)), least(i, m - n + 1) + 1)) AS a FROM h),
-c AS (SELECT doc_id, item_id, n, s, a, sh, least(count(*), any_value(k)) AS k FROM p GROUP BY doc_id, item_id, n, s, a, sh),
-w AS (SELECT doc_id, item_id, a, sum(k)::BIGINT AS o, (2 * (n - s + 1) - sum(k))::BIGINT AS u FROM c GROUP BY doc_id, item_id, n, s, a),
+p AS (SELECT *, unnest(range(greatest(1, i - (n - s)), least(i, greatest(m - n, 0) + 1) + 1)) AS a FROM h),
+c AS (SELECT doc_id, item_id, m, n, s, a, sh, least(count(*), any_value(k)) AS k FROM p GROUP BY doc_id, item_id, m, n, s, a, sh),
+w AS (SELECT doc_id, item_id, a, sum(k)::BIGINT AS o, (n - s + 1 + least(n, m) - s + 1 - sum(k))::BIGINT AS u FROM c GROUP BY doc_id, item_id, m, n, s, a),
 v AS (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY o DESC, a) AS r FROM w WHERE 10 * o >= 8 * u)
 SELECT doc_id, item_id, o / u AS similarity, o AS overlap, u AS union_size, a - 1 AS first_word FROM v WHERE r = 1
 """,
