@@ -7,10 +7,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm._store import materialise, shared_folder, table
+from tidemark.llm._store import clear, materialise, shared_folder, table
 from tidemark.llm.decontamination import contaminated
 from tidemark.llm.jaccard_join import jaccard_components
-from tidemark.llm.mixing import mix_sources
+from tidemark.llm.mixing import deal_shards, mix_sources
 from tidemark.llm.quality_rules import fit_field, judge_quality
 from tidemark.llm.toxicity import fit_toxicity, score_toxicity
 
@@ -18,13 +18,21 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose quality verdict is to keep them."""
+    """Documents whose quality verdict is to keep them.
+
+    A null or empty text has no words and goes. Each row is judged by its text alone, whatever its
+    doc_id (null and repeated ones stay as they are); an empty table gives an empty result; further columns are not passed on.
+    """
     field = fit_field(docs, table(spark, sf_dir, "labels"))
     return judge_quality(docs, field, COLUMNS).where("kept").select(*COLUMNS)
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not predicted toxic."""
+    """Documents that are not predicted toxic.
+
+    A null or empty text is not toxic and stays. Each row is scored by its text alone, whatever its
+    doc_id; an empty table gives an empty result; further columns are not passed on.
+    """
     model = fit_toxicity(docs, table(spark, sf_dir, "labels"))
     return score_toxicity(docs, model, COLUMNS).where("predicted = 0").select(*COLUMNS)
 
@@ -39,7 +47,11 @@ def _as_documents(rows: DataFrame) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near duplicates, that of the smallest doc_id; doc_ids may be null or repeat."""
+    """One row of each group of near duplicates, that of the smallest doc_id (null last), of equal ones the first row.
+
+    Rows are told apart by a written row id, so doc_ids may be null or repeat. Texts without words
+    are near nothing and all stay; an empty table gives an empty result.
+    """
     rows = _numbered(docs)
     groups = jaccard_components(_as_documents(rows)).select(F.col("doc_id").alias("row_id"), "component_id")
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_id")
@@ -48,15 +60,23 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows without a passage of the benchmark, cut off or whole; doc_ids may be null or repeat."""
+    """Rows without a passage of the benchmark, cut off or whole.
+
+    Rows are told apart by a written row id, so doc_ids may be null or repeat. Texts without words
+    hold no passage and stay; an empty table, of documents or of items, takes nothing away.
+    """
     rows = _numbered(docs)
     leaks = contaminated(_as_documents(rows), table(spark, sf_dir, "benchmark"), short=True).select(F.col("doc_id").alias("row_id")).distinct()
     return rows.join(leaks, "row_id", "left_anti").select(*COLUMNS)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix takes, with the words taken of each."""
-    return mix_sources(docs, COLUMNS).where("taken > 0").drop("copies")
+    """The copies that the mix draws, dealt into shuffled shards: the documents' columns with ``size``, ``source_size``, ``target``, ``shard``, ``taken`` (words of this copy) and ``place``.
+
+    A null source is a source of its own; a document without words is never drawn; repeated rows
+    are drawn as documents of their own; an empty table gives an empty result.
+    """
+    return deal_shards(mix_sources(docs, COLUMNS))
 
 
 STAGES = [
@@ -72,12 +92,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on ``documents``."""
+    """All stages on ``documents``; what a stage wrote for itself is deleted once its result is written."""
     docs = table(spark, sf_dir, "documents")
     folder = f"{shared_folder(spark)}/tidemark-pipeline-{uuid.uuid4().hex}"
     for k, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
         docs = spark.read.parquet(f"{folder}/{k}")
+        clear()
     return docs
 
 
