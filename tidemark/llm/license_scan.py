@@ -174,12 +174,12 @@ def _score(paragraphs: DataFrame, model: LicenceModel) -> DataFrame:
 
 
 def _fit(rows: DataFrame) -> LicenceModel:
-    """A fit on ``family, grams``; the features are the n-grams of at least two notices that other text hardly has."""
+    """A fit on ``family, grams``; the features are the n-grams of at least two notices that other text hardly has, with a word that it hardly has."""
     usual = rows.where(F.col("family") == NONE).count()
     seen = rows.select((F.col("family") == NONE).alias("other"), F.explode("grams").alias("gram")).groupBy("gram").agg(F.sum(F.col("other").cast("long")).alias("k"), F.sum((~F.col("other")).cast("long")).alias("n"))
     seen = seen.where("n > 0").orderBy(F.desc("n"), "gram").collect()  # bounded by the notices
-    terms = [r.gram for r in seen if r.n >= 2 and r.k <= 0.001 * usual]
-    common = {r.gram: r.k for r in seen if " " not in r.gram}
+    common, most = {r.gram: r.k for r in seen if " " not in r.gram}, 0.001 * usual
+    terms = [r.gram for r in seen if r.n >= 2 and r.k <= most and min(common[w] for w in r.gram.split()) <= most]
     code = F.array(*(F.lit(f) for f in FAMILIES))
     shares = F.when(F.col("family") == NONE, 1.0).otherwise(F.lit(usual / max(1, len(FAMILIES)) / 20.0 + 1.0))
     vectors = CountVectorizerModel.from_vocabulary(terms, "grams", "features").setBinary(True)
@@ -190,7 +190,7 @@ def _fit(rows: DataFrame) -> LicenceModel:
     weights = []
     for j, gram in enumerate(terms):
         words = gram.split()
-        least = min(range(len(words)), key=lambda i: common.get(words[i], 0))
+        least = min(range(len(words)), key=lambda i: common[words[i]])
         weights += [{"gram": gram, "family": f, "weight": float(matrix[k, j]), "rare": least} for k, f in enumerate(FAMILIES) if k < len(matrix) and abs(matrix[k, j]) > 1e-3]
     return LicenceModel(weights, {f: float(fitted.interceptVector[k]) for k, f in enumerate(FAMILIES) if k < len(matrix)})
 
