@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import no_nan
 from ..functions.islands import number_islands
+from .signal import interpolate, moving_mean
 
 
 def speed(df: DataFrame, key: list[str], order: str, x: str, y: str, step: float) -> DataFrame:
@@ -51,13 +54,135 @@ def two_point_orientation(df: DataFrame, a: tuple[str, str], b: tuple[str, str])
     return df.withColumn("orientation", F.atan2(F.col(a[1]) - F.col(b[1]), F.col(a[0]) - F.col(b[0])))
 
 
-def centroid(df: DataFrame, points: list[tuple[str, str]], limit: float) -> DataFrame:
-    """Adds ``cx, cy``: the mean of two points that are closer than ``limit``, or the only one there is."""
-    (x1, y1), (x2, y2) = points
-    one, two = no_nan(F.col(x1)).isNotNull(), no_nan(F.col(x2)).isNotNull()
-    far = F.sqrt((F.col(x1) - F.col(x2)) ** 2 + (F.col(y1) - F.col(y2)) ** 2)
-    mean = lambda p, q: F.when(one & two & (far < limit), (F.col(p) + F.col(q)) / 2).when(one & ~two, F.col(p)).when(two & ~one, F.col(q))
-    return df.withColumn("cx", mean(x1, x2)).withColumn("cy", mean(y1, y2))
+def bisector_orientation(df: DataFrame, one: tuple[str, str], two: tuple[str, str], three: tuple[str, str], close: float = 1e-8) -> DataFrame:
+    """Adds the direction across the line from ``two`` to ``one``; where that is level, up or down by the side of ``three``.
+
+    Level is a difference of ``close`` at most. All three at one height have no direction, which fails the job; a missing point gives none.
+    """
+    dx, dy = F.col(one[0]) - F.col(two[0]), F.col(one[1]) - F.col(two[1])
+    above = F.col(three[1]) - F.col(one[1])
+    level = F.abs(dy) <= close
+    lost = F.raise_error(F.lit("the direction of the head cannot be told")).cast("double")
+    up = F.when(F.abs(F.col(three[1]) - F.col(two[1])) <= close, lost).when(above > 0, math.pi / 2).when(above < 0, -math.pi / 2)
+    there = no_nan(F.col(one[1])).isNotNull() & no_nan(F.col(two[1])).isNotNull()
+    return df.withColumn("orientation", F.when(there & level, up).when(there, F.atan2(dx, -dy)))
+
+
+def _near(a: tuple[str, str], b: tuple[str, str], limit: float) -> Column:
+    return F.sqrt((F.col(a[0]) - F.col(b[0])) ** 2 + (F.col(a[1]) - F.col(b[1])) ** 2) < limit
+
+
+def _there(p: tuple[str, str]) -> Column:
+    return no_nan(F.col(p[0])).isNotNull() & no_nan(F.col(p[1])).isNotNull()
+
+
+def centroid(df: DataFrame, points: list[tuple[str, str]], limit: float | None = None) -> DataFrame:
+    """Adds ``cx, cy`` from one, two or four points (the front, then back centre, left and right).
+
+    One point stands for itself. Of two the mean if both are there and closer than ``limit``, else
+    the only one there is. Of four, in this order: front and centre; without a centre the middle of
+    left and right with the front, or the only side with the front; without front and centre
+    the middle of left and right; without a front the centre. Points of one mean must all be
+    closer than ``limit``; nothing that fits is no centroid.
+    """
+    if len(points) not in (1, 2, 4) or (limit is None and len(points) > 1):
+        raise ValueError("one, two or four points, and a limit for more than one")
+    mean = lambda *ps: tuple(sum(F.col(p[k]) for p in ps) / len(ps) for k in (0, 1))
+    if len(points) == 1:
+        cases = [(_there(points[0]), mean(points[0]))]
+    elif len(points) == 2:
+        a, b = points
+        cases = [(_there(a) & _there(b) & _near(a, b, limit), mean(a, b)), (_there(a) & ~_there(b), mean(a)), (_there(b) & ~_there(a), mean(b))]
+    else:
+        front, centre, left, right = points
+        f, c, lt, rt = map(_there, points)
+        middle = mean(left, right)
+        sides = tuple((m + F.col(front[k])) / 2 for k, m in enumerate(middle))
+        cases = [
+            (f & c & _near(front, centre, limit), mean(front, centre)),
+            (f & ~c & lt & rt & _near(left, right, limit) & _near(left, front, limit) & _near(right, front, limit), sides),
+            (~f & ~c & lt & rt & _near(left, right, limit), middle),
+            (f & ~c & lt & ~rt & _near(left, front, limit), mean(left, front)),
+            (f & ~c & rt & ~lt & _near(right, front, limit), mean(right, front)),
+            (~f & c, mean(centre)),
+        ]
+    for k, name in enumerate(("cx", "cy")):
+        out = F.lit(None).cast("double")
+        for test, value in reversed(cases):
+            out = F.when(F.coalesce(test, F.lit(False)), value[k]).otherwise(out)
+        df = df.withColumn(name, out)
+    return df
+
+
+def two_point_track(df: DataFrame, key: list[str], t: str, one: tuple[str, str], two: tuple[str, str], cm: float, apart: float, most_speed: float, width: int, step: float) -> DataFrame:
+    """Position, orientation and speed from two tracked points: ``x, y, orientation, vx, vy, speed`` by ``key, t``.
+
+    Rows without a time go. Points become centimetres (``cm`` a unit); both are missing where they are ``apart`` or
+    more from each other, and each where it is faster than ``most_speed`` from the row before (``step`` is the
+    time between rows in seconds); gaps are filled linearly, then a mean of ``width`` rows is taken.
+    """
+    w = Window.partitionBy(*key).orderBy(t)
+    names = [*one, *two]
+    rows = df.where(F.col(t).isNotNull()).select(*key, t, *(no_nan(F.col(c) * cm).alias(c) for c in names))
+    far = F.coalesce(~_near(one, two, apart), F.lit(False))
+    rows = rows.withColumn("_far", far).select(*key, t, *(F.when(~F.col("_far"), F.col(c)).alias(c) for c in names))
+    jump = lambda p: F.sqrt((F.col(p[0]) - F.lag(p[0]).over(w)) ** 2 + (F.col(p[1]) - F.lag(p[1]).over(w)) ** 2) / step > most_speed
+    rows = rows.withColumn("_fast", F.coalesce(jump(one), F.lit(False)) | F.coalesce(jump(two), F.lit(False)))
+    rows = rows.select(*key, t, *(F.when(~F.col("_fast"), F.col(c)).alias(c) for c in names))
+    for c in names:
+        rows = moving_mean(interpolate(rows, key, t, c, c), key, t, c, width, c)
+    rows = two_point_orientation(rows, one, two).select(*key, t, ((F.col(one[0]) + F.col(two[0])) / 2).alias("x"), ((F.col(one[1]) + F.col(two[1])) / 2).alias("y"), "orientation")
+    n = rows.withColumn("_n", F.row_number().over(w))
+    v = F.greatest(F.lit(1), F.coalesce(F.lead("_n").over(w), F.col("_n")) - F.coalesce(F.lag("_n").over(w), F.col("_n"))) * step
+    slope = lambda c: (F.coalesce(F.lead(c).over(w), F.col(c)) - F.coalesce(F.lag(c).over(w), F.col(c))) / v
+    n = n.withColumn("vx", slope("x")).withColumn("vy", slope("y")).drop("_n")
+    return n.withColumn("speed", F.sqrt(F.col("vx") * F.col("vx") + F.col("vy") * F.col("vy")))
+
+
+def frame_times(poses: DataFrame, video: DataFrame, positions: DataFrame, frame: str, t: str) -> DataFrame:
+    """Poses with the time of their video frame, from the first frame at or after the first position; ``video(frame, t)`` lists the frames. Frames without a time go."""
+    first = positions.agg(F.min(t).alias("_first"))
+    timed = video.crossJoin(F.broadcast(first)).where(F.col(t) >= F.col("_first")).select(frame, t)  # one row
+    return poses.join(timed, frame)
+
+
+def stack_parts(parts: dict[str, DataFrame], key: list[str]) -> DataFrame:
+    """The frames of several body parts as one row a key, columns named ``part_column``."""
+    out = None
+    for name, df in parts.items():
+        own = df.select(*key, *(F.col(c).alias(f"{name}_{c}") for c in df.columns if c not in key))
+        out = own if out is None else out.join(own, key, "full_outer")
+    return out
+
+
+def with_orientation(position: DataFrame, orientation: DataFrame, key: list[str]) -> DataFrame:
+    """Positions with the orientation of their key; either may be missing."""
+    return position.join(orientation, key, "full_outer")
+
+
+def normalise_pose(poses: DataFrame, series: list[str], frame: str, part: str, front: list[str], back: list[str]) -> DataFrame:
+    """Points relative to the body's centre over the mean distance of the centres of ``front`` and ``back`` parts, the centre added again.
+
+    Takes ``series, frame, part, x, y``. A series whose mean distance is not above zero fails the job.
+    """
+    mean = lambda names: tuple(F.avg(F.when(F.col(part).isin(names), F.col(c))) for c in ("x", "y"))
+    (fx, fy), (bx, by) = mean(front), mean(back)
+    centres = poses.groupBy(*series, frame).agg(F.avg("x").alias("_cx"), F.avg("y").alias("_cy"), F.sqrt((fx - bx) ** 2 + (fy - by) ** 2).alias("_l"))
+    length = centres.groupBy(*series).agg(F.avg("_l").alias("_m")).withColumn("_m", F.when(F.col("_m") > 0, F.col("_m")).otherwise(F.raise_error(F.lit("a body without length")).cast("double")))
+    rows = poses.join(centres.drop("_l"), [*series, frame]).join(length, series)
+    return rows.select(*series, frame, part, *(((F.col(c) - F.col(f"_c{c}")) / F.col("_m") + F.col(f"_c{c}")).alias(c) for c in ("x", "y")))
+
+
+def keypoints(poses: DataFrame, key: list[str], part: str, parts: list[str], values: list[str]) -> DataFrame:
+    """For each key the arrays of ``values`` in the order of ``parts``; a missing part is null. A part that no row has is an error of the caller's list, found by ``missing_parts``."""
+    made = [F.array(*(F.max(F.when(F.col(part) == p, F.col(v))) for p in parts)).alias(v) for v in values]
+    return poses.where(F.col(part).isin(parts)).groupBy(*key).agg(*made)
+
+
+def missing_parts(poses: DataFrame, series: list[str], part: str, parts: list[str]) -> DataFrame:
+    """Required parts that a series lacks."""
+    wanted = poses.select(*series).distinct().select(*series, F.explode(F.array(*map(F.lit, parts))).alias(part))
+    return wanted.join(poses.select(*series, part).distinct(), [*series, part], "left_anti")
 
 
 def edge_layout(edges: DataFrame, spacing: float) -> DataFrame:

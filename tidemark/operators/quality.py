@@ -25,8 +25,16 @@ def validate_upsert(new: DataFrame, old: DataFrame, key: list[str]) -> DataFrame
     return new.join(had, key, "left").withColumn("status", F.when(F.col("_had").isNull(), "insert").when(equal, "same").otherwise("conflict")).select(*new.columns, "status")
 
 
-def upsert(new: DataFrame, old: DataFrame, key: list[str]) -> DataFrame:
-    """Old rows overwritten by new ones of their key, and the new keys."""
+def upsert(new: DataFrame, old: DataFrame, key: list[str], update: bool = True) -> DataFrame:
+    """Old rows overwritten by new ones of their key, and the new keys.
+
+    Without ``update``, new rows that differ from the old ones of their key are an error that tells their number;
+    it is counted when this is called.
+    """
+    if not update:
+        n = validate_upsert(new, old, key).where("status = 'conflict'").count()
+        if n:
+            raise ValueError(f"{n} rows with keys that are there, but other values")
     return old.join(new.select(*key), key, "left_anti").unionByName(new.select(*old.columns))
 
 
@@ -118,9 +126,28 @@ def sanitise(c: Column) -> Column:
 
 
 def name_parts(c: Column) -> Column:
-    """``first, last`` of "Last, First" or "First Last"; null for anything else."""
-    comma, space = F.split(c, ", ?"), F.split(F.trim(c), " +")
-    return F.when(F.size(comma) == 2, F.struct(comma[1].alias("first"), comma[0].alias("last"))).when((F.size(comma) == 1) & (F.size(space) == 2), F.struct(space[0].alias("first"), space[1].alias("last")))
+    """``first, last`` of a trimmed "Last, First" (one comma and space) or, without that, "First Last" (one space); null for anything else."""
+    c = F.trim(F.coalesce(c, F.lit("")))
+    comma, space = F.split(c, ", "), F.split(c, " ")
+    made = lambda first, last: F.struct(first.alias("first"), last.alias("last"))
+    return F.when(F.size(comma) == 2, made(comma[1], comma[0])).when(F.size(space) == 2, made(space[0], space[1]))
+
+
+def nan_default(c: Column, default: float = -1.0) -> Column:
+    """The default for NaN and null."""
+    return F.coalesce(F.when(~F.isnan(c), c), F.lit(default))
+
+
+def severity(df: DataFrame, level: str, warning: float, violation: float, message: str, most: int = 255) -> DataFrame:
+    """Adds ``severity`` by the level, and cuts the message to ``most`` printable ASCII characters."""
+    kind = F.when(F.col(level) > violation, "violation").when(F.col(level) > warning, "warning").otherwise("ok")
+    return df.withColumn("severity", kind).withColumn("message", F.substring(F.regexp_replace(message, "[^\\x20-\\x7E]", ""), 1, most))
+
+
+def labels_from_json(df: DataFrame, json: str) -> DataFrame:
+    """A row for each entry of a JSON object of numbers, ``label, value``."""
+    rows = df.withColumn("_e", F.explode(F.map_entries(F.from_json(json, "map<string,long>"))))
+    return rows.withColumn("label", F.col("_e.key")).withColumn("value", F.col("_e.value")).drop("_e")
 
 
 def unique_ids(df: DataFrame, id_: str, *order: str) -> DataFrame:

@@ -114,3 +114,10 @@ def assign_ids(new: DataFrame, old: DataFrame, by: list[str], id_: str, *order:
     last = old.groupBy(*by).agg(F.max(id_).alias("_last"))
     w = Window.partitionBy(*by).orderBy(*order)
     return new.join(last, by, "left").withColumn(id_, F.coalesce(F.col("_last") + 1, F.lit(0)) + F.row_number().over(w) - 1).drop("_last")
+
+
+def restrict_by_list(df: DataFrame, column: str, values: list) -> DataFrame:
+    """Rows with one of the values; a column that is not there is an error."""
+    if column not in df.columns:
+        raise KeyError(column)
+    return df.where(F.col(column).isin(values))

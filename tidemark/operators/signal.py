@@ -28,7 +28,7 @@ def sampling_rate(df: DataFrame, key: list[str], t: str, multiplier: float = 1.7
     """The rate in samples a second of each key, from the usual distance of its times.
 
     Differences are smoothed by a box of ten (rows -5 to 4, what is missing counts
-    as zero), their logarithms binned in 100 bins from -5 to that of three times the
+    as zero), their logarithms binned in 100 bins from -5 to that of three times their
     mean; the left edge of the first fullest bin is the usual distance, and the
     mean of the differences below ``multiplier`` times it gives the rate. Keys with
     fewer than ten differences have none.
@@ -37,7 +37,7 @@ def sampling_rate(df: DataFrame, key: list[str], t: str, multiplier: float = 1.7
     d = df.where(F.col(t).isNotNull()).withColumn("_d", (F.col(t) - F.lag(t).over(order)) / 1e6).where("_d is not null")
     d = d.withColumn("_i", F.row_number().over(order)).select(*key, "_d", "_i")
     d = d.withColumn("_s", F.sum("_d").over(_w(key, "_i", -5, 4)) / 10)
-    ends = d.groupBy(*key).agg(F.log10(3 * F.avg("_d")).alias("_top"), F.count("*").alias("_n")).where("_n >= 10")
+    ends = d.groupBy(*key).agg(F.log10(3 * F.avg("_s")).alias("_top"), F.count("*").alias("_n")).where("_n >= 10")
     step = (F.col("_top") + 5) / 100
     binned = d.where("_s > 0").join(ends, key).withColumn("_b", F.least(F.lit(99), F.floor((F.log10("_s") + 5) / step).cast("int"))).where((F.log10("_s") >= -5) & (F.log10("_s") <= F.col("_top")))
     full = binned.groupBy(*key, "_b", "_top").agg(F.count("*").alias("_k"))
@@ -48,15 +48,16 @@ def sampling_rate(df: DataFrame, key: list[str], t: str, multiplier: float = 1.7
 
 
 def valid_intervals(df: DataFrame, key: list[str], t: str, gap: Column | int, least: int = 0, slack: int = 0) -> DataFrame:
-    """Stretches without a distance above ``gap``, widened by ``slack``, longer than ``least`` (half the whole if that is shorter)."""
+    """Stretches without a distance above ``gap``, widened by ``slack``, longer than ``least``; where the whole is shorter than that, longer than half the whole."""
     order = Window.partitionBy(*key).orderBy(t)
     rows = df.where(F.col(t).isNotNull())
     d = F.col(t) - F.lag(t).over(order)
     far = d > (gap if isinstance(gap, Column) else F.lit(gap))
     runs = number_islands(rows.withColumn("_new", far), key, F.col("_new"), [t], "_g")
     found = runs.groupBy(*key, "_g").agg((F.min(t) - slack).alias("start"), (F.max(t) + slack).alias("stop")).drop("_g")
-    whole = df.groupBy(*key).agg(((F.max(t) - F.min(t)) / 2).alias("_half"))
-    return found.join(whole, key).where((F.col("stop") - F.col("start")) > F.least(F.lit(float(least)), F.col("_half"))).select(*key, "start", "stop")
+    whole = df.groupBy(*key).agg((F.max(t) - F.min(t)).alias("_whole"))
+    longer = F.when(F.col("_whole") < least, F.col("_whole") / 2).otherwise(F.lit(float(least)))
+    return found.join(whole, key).where((F.col("stop") - F.col("start")) > longer).select(*key, "start", "stop")
 
 
 def fir_small(df: DataFrame, key: list[str], order: str, value: str, taps: list[float], name: str = "filtered") -> DataFrame:
@@ -207,11 +208,22 @@ def difference_artifacts(df: DataFrame, key: list[str], channel: str, idx: str,
     return n.where(F.col("_k") >= F.ceil(F.col("_n") * share)).where(F.col(idx) > reach).select(*key, idx)
 
 
-def amplitude_artifacts(df: DataFrame, samples: DataFrame, sort_interval: DataFrame, key: list[str], channel: str, idx: str, t: str, value: str, threshold: float, window: int, share: float = 1.0) -> DataFrame:
-    """The sort interval without the widened stretches where ``share`` of the channels is beyond ``threshold``."""
-    hit = df.groupBy(*key, idx).agg(F.count("*").alias("_n"), F.count(F.when(F.abs(F.col(value)) > threshold, 1)).alias("_k")).where(F.col("_k") >= F.ceil(F.col("_n") * share))
+def amplitude_artifacts(df: DataFrame, samples: DataFrame, sort_interval: DataFrame, key: list[str], channel: str, idx: str, t: str, value: str, threshold: float | None, window: int, share: float = 1.0, z: float | None = None, least: int = 1_000_000) -> DataFrame:
+    """The sort interval without the widened stretches where ``share`` of the channels is beyond ``threshold``, or beyond ``z`` deviations of the channels' mean at that sample.
+
+    Pieces of ``least`` or less go. A key without such stretches keeps the whole of its samples.
+    """
+    at = Window.partitionBy(*key, idx)
+    beyond = F.abs(F.col(value)) > threshold if threshold is not None else F.lit(False)
+    if z is not None:
+        beyond = beyond | (F.abs(F.col(value) - F.avg(value).over(at)) > z * F.stddev_pop(value).over(at))
+    flagged = df.select(*key, channel, idx, F.coalesce(beyond, F.lit(False)).alias("_hit"))
+    hit = flagged.groupBy(*key, idx).agg(F.count("*").alias("_n"), F.count(F.when(F.col("_hit"), 1)).alias("_k")).where(F.col("_k") >= F.ceil(F.col("_n") * share))
     ranges = from_indices(hit, key, idx)
-    return consolidate(subtract(sort_interval, add_removal_window(ranges, samples, key, idx, t, window), key), key)
+    left = consolidate(subtract(sort_interval, add_removal_window(ranges, samples, key, idx, t, window), key, least), key)
+    whole = samples.groupBy(*key).agg(F.min(t).alias("start"), F.max(t).alias("stop"))
+    clean = whole.join(hit.select(*key).distinct(), key, "left_anti")
+    return left.join(clean.select(*key), key, "left_anti").unionByName(clean.select(*key, "start", "stop"))
 
 
 def zero_out(df: DataFrame, inside: DataFrame, key: list[str], idx: str, value: str) -> DataFrame:
@@ -246,6 +258,27 @@ def hilbert(df: DataFrame, key: list[str], idx: str, value: str) -> DataFrame:
     return df.select(*key, idx, value).groupBy(*key).applyInPandas(run, ", ".join(f"`{c}` {kinds[c]}" for c in [*key, idx]) + ", re double, im double")
 
 
+def hilbert_taps(reach: int) -> list[float]:
+    """Taps of a Hilbert filter with a raised-cosine window."""
+    return [0.0 if k % 2 == 0 else 2 / (math.pi * k) * (0.54 + 0.46 * math.cos(math.pi * k / (reach + 1))) for k in range(-reach, reach + 1)]
+
+
+def band_taps(low: float, high: float, rate: float, reach: int) -> list[float]:
+    """Taps of a windowed-sinc band pass between two frequencies."""
+    sinc = lambda f, k: 2 * f / rate if k == 0 else math.sin(2 * math.pi * f / rate * k) / (math.pi * k)
+    return [(sinc(high, k) - sinc(low, k)) * (0.54 + 0.46 * math.cos(math.pi * k / (reach + 1))) for k in range(-reach, reach + 1)]
+
+
+def analytic(df: DataFrame, key: list[str], idx: str, value: str, reach: int = 32, block: int = 65536) -> DataFrame:
+    """The analytic signal as ``re, im`` by a Hilbert filter on blocks, so that one long channel is many tasks.
+
+    Between the filter's band edges (a hundredth and forty-nine hundredths of the rate at
+    the reach of 32) it agrees with the transform of the whole channel.
+    """
+    im = fir_blocks(df, key, idx, value, hilbert_taps(reach), block).withColumnRenamed("filtered", "im")
+    return df.select(*key, idx, F.col(value).cast("double").alias("re")).join(im, [*key, idx])
+
+
 def phase_and_power(df: DataFrame) -> DataFrame:
     """Phase in [0, 2 pi] and squared modulus of ``re, im``."""
     return df.withColumn("phase", F.atan2("im", "re") + math.pi).withColumn("power", F.col("re") * F.col("re") + F.col("im") * F.col("im"))

@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.columns import no_nan
+from ..functions.rangejoin import points_in
+from .intervals import to_indices
+from .signal import gaussian
+
 
 def indicator(trains: DataFrame, train: str, t: str, start: int, step: int, bins: int) -> DataFrame:
     """Counts of each train on a regular grid of ``bins`` times; zeros are there too, and the last time holds no count."""
@@ -143,3 +148,176 @@ def poisson_posterior(counts: DataFrame, fields: DataFrame, time: str, unit: str
 def map_bin(posterior: DataFrame, time: str, bin_: str) -> DataFrame:
     """The most probable bin, the first of equals."""
     return posterior.groupBy(time).agg(F.max_by(bin_, F.struct("p", -F.col(bin_))).alias("map_bin"))
+
+
+def counts(trains: DataFrame, train: str) -> DataFrame:
+    """Spikes of each train."""
+    return trains.groupBy(train).agg(F.count("*").alias("n"))
+
+
+def spike_samples(spikes: DataFrame, samples: DataFrame, key: list[str], t: str) -> DataFrame:
+    """The number of samples before each spike, which is its sample; spikes after the last sample go."""
+    n = samples.groupBy(*key).agg(F.count("*").alias("_n"))
+    placed = to_indices(spikes.select(*key, F.col(t).alias("x")), samples, key, t)
+    return placed.join(n, key).where(F.col("position") < F.col("_n")).select(*key, F.col("x").alias(t), "position")
+
+
+def firing_rate(counted: DataFrame, key: list[str], bin_: str, n: str, seconds: float, sigma: float) -> DataFrame:
+    """Smoothed counts of a grid of bins as spikes a second; for a population give counts summed over its units."""
+    rows = counted.withColumn("_x", F.col(n).cast("double"))
+    return gaussian(rows, key, bin_, "_x", sigma, name="rate").withColumn("rate", F.col("rate") / seconds).drop("_x")
+
+
+def within_range(spikes: DataFrame, model: DataFrame, key: list[str], t: str) -> DataFrame:
+    """Spikes from the first to the last time of the model, both included."""
+    ends = model.groupBy(*key).agg(F.min(t).alias("_a"), F.max(t).alias("_b"))
+    return spikes.join(ends, key).where(F.col(t).between(F.col("_a"), F.col("_b"))).drop("_a", "_b")
+
+
+def annotate(units: DataFrame, notes: DataFrame, key: list[str]) -> DataFrame:
+    """Notes (``key, annotation, label, quantity``) of units that exist, each once; a note on no unit fails the job."""
+    known = units.select(*key).distinct().withColumn("_there", F.lit(True))
+    there = F.when(F.col("_there"), F.lit(True)).otherwise(F.raise_error(F.lit("a note on a unit that does not exist")).cast("boolean"))
+    return notes.distinct().join(known, key, "left").withColumn("_there", there).where("_there").drop("_there")
+
+
+def next_curations(old: DataFrame, new: DataFrame, sorting: str, order: str) -> DataFrame:
+    """Numbers new curations of a sorting after its largest ``curation_id``, in the given order, from 0; ``parent`` -1 is a root.
+
+    A sorting has one root: a further one fails the job.
+    """
+    last = old.groupBy(sorting).agg(F.max("curation_id").alias("_last"), F.count(F.when(F.col("parent") < 0, 1)).alias("_roots"))
+    n = F.row_number().over(Window.partitionBy(sorting).orderBy(order))
+    roots = F.sum(F.when(F.col("parent") < 0, 1).otherwise(0)).over(Window.partitionBy(sorting))
+    rows = new.join(last, sorting, "left").withColumn("curation_id", F.coalesce("_last", F.lit(-1)) + n).withColumn("_all", F.coalesce("_roots", F.lit(0)) + roots)
+    only = F.when(F.col("_all") <= 1, F.col("parent")).otherwise(F.raise_error(F.lit("a second root curation")).cast("int"))
+    return rows.withColumn("parent", only).drop("_last", "_roots", "_all")
+
+
+def merge_partners(pairs: DataFrame, a: str, b: str, tests: list[tuple[str, str, float]]) -> DataFrame:
+    """For each unit of ``pairs`` the units that pass any of the tests ``(metric, op, value)`` with it, in order, each once."""
+    passed = F.lit(False)
+    for metric, op, value in tests:
+        passed = passed | criterion(metric, op, value)
+    units = pairs.select(F.col(a).alias("unit")).union(pairs.select(b)).distinct()
+    hits = pairs.where((F.col(a) != F.col(b)) & passed).select(F.col(a).alias("unit"), F.col(b).alias("_o")).distinct()
+    return units.join(hits.groupBy("unit").agg(F.array_join(F.array_sort(F.collect_list("_o")), ",").alias("partners")), "unit", "left").select("unit", F.coalesce("partners", F.lit("")).alias("partners"))
+
+
+def snr(waves: DataFrame, unit: str, samples: str, channels: int, sign: str = "neg") -> DataFrame:
+    """The mean waveform's extremum over the noise of its channel: 1.4826 times the median deviation from the median of all values there."""
+    template = mean_template(waves, unit, samples)
+    peak = peak_place(template, unit, channels, sign).withColumn("place", F.col("sample") * channels + F.col("channel"))
+    at = template.join(peak.select(unit, "channel", "place"), [unit, "place"]).select(unit, F.abs("mean").alias("_peak"), "channel")
+    values = waves.select(F.posexplode(samples).alias("_p", "_x")).select((F.col("_p") % channels).alias("channel"), "_x")
+    middle = values.groupBy("channel").agg(F.percentile("_x", 0.5).alias("_med"))
+    noise = values.join(middle, "channel").groupBy("channel").agg((F.percentile(F.abs(F.col("_x") - F.col("_med")), 0.5) * 1.4826).alias("_noise"))
+    return at.join(noise, "channel").select(unit, "channel", (F.col("_peak") / F.col("_noise")).alias("snr"))
+
+
+def waveform_similarity(template: DataFrame, unit: str) -> DataFrame:
+    """Pearson's correlation of the mean waveforms of each ordered pair of units."""
+    other = template.select(F.col(unit).alias("b"), "place", F.col("mean").alias("_y"))
+    both = template.select(F.col(unit).alias("a"), "place", F.col("mean").alias("_x")).join(other, "place").where("a <> b")
+    return both.groupBy("a", "b").agg(F.corr("_x", "_y").alias("similarity"))
+
+
+def burst_pairs(template: DataFrame, trains: DataFrame, unit: str, t: str, threshold: int, window: int, width: int) -> DataFrame:
+    """For each ordered pair of units: similarity of waveforms, pooled share of short intervals, asymmetry of the correlogram."""
+    alike = waveform_similarity(template, unit)
+    isi = pooled_isi(trains, unit, t, alike.select("a", "b"), threshold).select("a", "b", F.col("fraction").alias("isi_violation"))
+    return alike.join(isi, ["a", "b"]).join(asymmetry(correlogram(trains, unit, t, window, width)), ["a", "b"], "left").withColumn("asymmetry", F.coalesce("asymmetry", F.lit(0.0)))
+
+
+def peak_amplitude(waves: DataFrame, spike: str, unit: str, samples: str, channels: int, sign: str = "neg", estimate: bool = False) -> DataFrame:
+    """The values of all channels at one sample: the middle one, or with ``estimate`` the one at which most of the unit's spikes have their extremum (the first of equals)."""
+    if not estimate:
+        peak = F.floor(F.size(samples) / channels / 2)
+        return waves.select(spike, unit, F.slice(samples, peak.cast("int") * channels + 1, channels).alias("amplitude"))
+    size = {"neg": lambda x: -x, "pos": lambda x: x, "both": F.abs}[sign]
+    best = F.array_max(F.transform(samples, lambda x, i: F.struct(size(x).alias("v"), (-i).alias("i"))))
+    peaks = waves.select(spike, unit, samples, F.floor(-best["i"] / channels).cast("int").alias("_p"))
+    modal = peaks.groupBy(unit, "_p").agg(F.count("*").alias("_n")).groupBy(unit).agg(F.max_by("_p", F.struct("_n", -F.col("_p"))).alias("_m"))
+    return peaks.join(modal, unit).select(spike, unit, F.slice(samples, F.col("_m") * channels + 1, channels).alias("amplitude"))
+
+
+def spike_location(waves: DataFrame, spike: str, samples: str, channels: int, places: list[tuple[float, float]]) -> DataFrame:
+    """Centre of mass of the channels' places, weighted by the size of the values at the middle sample."""
+    own = F.transform(F.slice(samples, (F.floor(F.size(samples) / channels / 2)).cast("int") * channels + 1, channels), lambda x: F.abs(x))
+    total = F.aggregate(own, F.lit(0.0), lambda a, x: a + x)
+    mean = lambda k: F.aggregate(F.zip_with(own, F.array(*(F.lit(float(p[k])) for p in places)), lambda w, p: w * p), F.lit(0.0), lambda a, x: a + x) / total
+    return waves.select(spike, mean(0).alias("x"), mean(1).alias("y"))
+
+
+def features(spikes: DataFrame, parts: list[DataFrame], key: list[str], t: str, start: int | None = None, stop: int | None = None) -> DataFrame:
+    """Times of spikes with the arrays ``feature`` of all parts one after the other, within the closed range."""
+    out = spikes if start is None else spikes.where(F.col(t).between(start, stop))
+    out = out.withColumn("features", F.array().cast("array<double>"))
+    for part in parts:
+        out = out.join(part.select(*key, F.col("feature").cast("array<double>").alias("_f")), key).withColumn("features", F.concat("features", "_f")).drop("_f")
+    return out
+
+
+def amplitudes_over_time(spikes: DataFrame, amplitudes: DataFrame, unit: str, t: str, order: str) -> DataFrame:
+    """The k-th time of a unit with its k-th amplitude; what the longer list has more goes."""
+    a = spikes.select(unit, t, F.row_number().over(Window.partitionBy(unit).orderBy(t)).alias("k"))
+    b = amplitudes.withColumn("k", F.row_number().over(Window.partitionBy(unit).orderBy(order)))
+    return a.join(b.drop(order), [unit, "k"])
+
+
+def units_by_field_peak(fields: DataFrame, unit: str, bin_: str) -> DataFrame:
+    """Units numbered by the bin of their highest rate (the first of equals), then by themselves; ``rank`` from 0."""
+    peak = fields.groupBy(unit).agg(F.max_by(bin_, F.struct("rate", -F.col(bin_))).alias("peak"))
+    return peak.withColumn("rank", F.row_number().over(Window.orderBy("peak", unit)) - 1)  # units, not spikes, in one task
+
+
+def sort_group_info(groups: DataFrame, electrodes: DataFrame, group: str, electrode: str) -> DataFrame:
+    """Each sort group with the columns of its first electrode."""
+    first = groups.select("sort_group", F.col("first_electrode").alias(electrode))
+    return first.join(electrodes, electrode)
+
+
+def concatenated(samples: DataFrame, iv: DataFrame, key: list[str], t: str, width: int) -> DataFrame:
+    """Samples in any of the disjoint intervals, numbered from 0 in the order of time, their times kept."""
+    inside = points_in(samples, iv, key, t, width, how="left_semi")
+    return inside.withColumn("place", F.row_number().over(Window.partitionBy(*key).orderBy(t)) - 1)
+
+
+def review_counts(units: DataFrame, by: str, reviewed: Column) -> DataFrame:
+    """Reviewed and other units of each member."""
+    return units.groupBy(by).agg(F.count(F.when(reviewed, 1)).alias("reviewed"), F.count(F.when(~F.coalesce(reviewed, F.lit(False)), 1)).alias("unreviewed"))
+
+
+def accepted_units(labels: DataFrame, metrics: DataFrame, unit: str, names: list[str], default: float, reject: str = "reject") -> DataFrame:
+    """Units without the label ``reject``: their labels joined by commas, and a column for each metric, ``default`` where it is missing.
+
+    Takes ``unit, labels`` (an array) and ``unit, metric, value``.
+    """
+    kept = labels.where(~F.array_contains("labels", reject)).select(unit, F.array_join("labels", ",").alias("labels"))
+    wide = metrics.groupBy(unit).pivot("metric", names).agg(F.first("value"))
+    return kept.join(wide, unit, "left").select(unit, "labels", *(F.coalesce(n, F.lit(default)).alias(n) for n in names))
+
+
+def waveforms(samples: DataFrame, spikes: DataFrame, key: list[str], idx: str, value: str, before: int, after: int) -> DataFrame:
+    """The samples from ``before`` ahead of each spike to ``after`` behind it (not included), by an equi-join on the sample number."""
+    places = spikes.select(*key, F.col(idx).alias("spike"), F.explode(F.sequence(F.lit(-before), F.lit(after - 1))).alias("offset")).withColumn(idx, F.col("spike") + F.col("offset"))
+    return places.join(samples.select(*key, idx, value), [*key, idx]).select(*key, "spike", "offset", value)
+
+
+def quantised(posterior: DataFrame, p: Column, steps: int = 255) -> DataFrame:
+    """Probabilities as whole steps, those of zero left out."""
+    return posterior.withColumn("q", F.floor(p * steps).cast("int")).where("q > 0")
+
+
+def training_mask(position: DataFrame, encoding: DataFrame, key: list[str], t: str, values: list[str], width: int) -> DataFrame:
+    """Adds ``is_training``: in any encoding interval, and no value missing."""
+    inside = points_in(position, encoding, key, t, width, how="left_semi").select(*key, t).distinct().withColumn("_in", F.lit(True))
+    there = F.lit(True)
+    for c in values:
+        there = there & no_nan(F.col(c).cast("double")).isNotNull()
+    return position.join(inside, [*key, t], "left").withColumn("is_training", F.coalesce("_in", F.lit(False)) & there).drop("_in")
+
+
+def signed_distance(decoded: DataFrame, place: str, at: str, heading: str) -> DataFrame:
+    """Adds ``ahead``: how far the decoded place is from the actual one, positive in the direction of the heading (its sign)."""
+    return decoded.withColumn("ahead", (F.col(place) - F.col(at)) * F.signum(heading))

@@ -5,36 +5,39 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import no_nan
 from ..operators import components as C
 from ..operators import events as E
 from ..operators import intervals as I
 from ..operators import position as P
+from ..operators import provenance as V
 from ..operators import quality as Q
+from ..operators import session as A
 from ..operators import signal as S
+from ..operators import spikes as K
 from .interval_queries import _SAMPLES, _samples
 from .signal_queries import _XY, TAPS, _xy
-from .tables import DAY, HOUR, events, read, sql
+from .tables import DAY, HOUR, above_mean, events, read, smoothed, sql
 
 
 def a9_regular_time(s, d):
-    return _samples(s, d).select("event_type", "idx", (F.lit(1000) + F.col("idx") * 33333).alias("t"))
+    return A.with_regular_time(_samples(s, d), "idx", 1000, 33333).select("event_type", "idx", "t")
 
 
 def a12_join_on_time(s, d):
-    ev = events(s, d).groupBy(F.floor(F.col("t") / HOUR).alias("hour")).pivot("event_type", ["click", "purchase"]).agg(F.count(F.lit(1)))
-    return ev.where("click is not null and purchase is not null")
+    hours = events(s, d).groupBy("event_type", F.floor(F.col("t") / HOUR).alias("hour")).agg(F.count(F.lit(1)).alias("n"))
+    one = lambda name: hours.where(F.col("event_type") == name).select("hour", F.col("n").alias(name))
+    return A.join_on_time({"click": one("click"), "purchase": one("purchase")}, "hour")
 
 
 def a13_import_bounds(s, d):
-    return events(s, d).groupBy("event_type").agg(F.min("t").alias("start"), F.max("t").alias("stop"), F.count("*").alias("n"))
+    return A.import_bounds(events(s, d), ["event_type"], "t")
 
 
 def a18_task_epochs(s, d):
-    o = read(s, d, "orders").select("o_orderkey", F.array("o_custkey", F.col("o_custkey") + 100000).alias("cameras"))
+    o = read(s, d, "orders").select("o_orderkey", F.array(F.lit(1)).alias("epochs"), F.array("o_custkey", F.col("o_custkey") + 100000).alias("cameras"))
+    intervals = o.select("o_orderkey", F.lit(1).alias("epoch"), F.lit("01").alias("interval_name"))
     known = read(s, d, "customer").select(F.col("c_custkey").alias("camera"))
-    found = o.select("o_orderkey", F.explode("cameras").alias("camera")).join(known, "camera").groupBy("o_orderkey").agg(F.array_join(F.array_sort(F.collect_list("camera")), ",").alias("cameras"))
-    return o.select("o_orderkey").join(found, "o_orderkey", "left")
+    return A.task_epochs(o, "o_orderkey", "epochs", "cameras", intervals, known).select("o_orderkey", "cameras")
 
 
 def f10_lfp_pipeline(s, d):
@@ -49,18 +52,23 @@ def f10_lfp_pipeline(s, d):
 
 
 def f17_power(s, d):
-    return S.phase_and_power(S.hilbert(_samples(s, d), ["event_type"], "idx", "value")).select("event_type", "idx", F.round("power", 6).alias("power"))
+    return S.phase_and_power(S.analytic(_samples(s, d), ["event_type"], "idx", "value", 16, 512)).select("event_type", "idx", F.round("power", 4).alias("power"))
 
 
 def e1_consensus(s, d):
-    hours = events(s, d).groupBy(F.floor(F.col("t") / HOUR).alias("idx"), "event_type").agg(F.avg("value").alias("value")).withColumn("g", F.lit(0))
-    return E.consensus_trace(hours, ["g"], "event_type", "idx", "value", 1.5).select("idx", F.round("trace", 5).alias("trace"))
+    days = events(s, d).groupBy(F.floor(F.col("t") / DAY).alias("idx"), "event_type").agg(F.round(F.avg("value"), 6).alias("value")).withColumn("g", F.lit(0))
+    return E.consensus_trace(days, ["g"], "event_type", "idx", "value", 1.5).select("idx", F.round("trace", 5).alias("trace"))
+
+
+def _hours(s, d):
+    """Counts and mean values of each event type's hours that have events, numbered."""
+    hours = events(s, d).groupBy("event_type", F.floor(F.col("t") / HOUR).alias("hour")).agg(F.count("*").cast("double").alias("n"), F.round(F.avg("value"), 6).alias("speed"))
+    return hours.withColumn("idx", F.row_number().over(Window.partitionBy("event_type").orderBy("hour")))
 
 
 def e5_high_synchrony(s, d):
-    hours = events(s, d).groupBy("event_type", F.floor(F.col("t") / HOUR).alias("hour")).agg(F.count("*").cast("double").alias("n"))
-    w = Window.partitionBy("event_type").orderBy("hour")
-    return E.high_synchrony(hours.withColumn("idx", F.row_number().over(w)), ["event_type"], "idx", "hour", "n", 2.0, 2).select("event_type", "start", "stop", "samples")
+    h = _hours(s, d)
+    return E.high_synchrony(h, ["event_type"], "idx", "hour", "n", 0.5, 1, 1.0, h, "speed", 120.0).select("event_type", "start", "stop", "samples")
 
 
 def p11_interpolate_spans(s, d):
@@ -79,13 +87,13 @@ def p21_pose_quality(s, d):
 
 
 def p26_position_group(s, d):
-    ev = events(s, d)
-    return ev.where(F.col("event_type").isin("click", "view", "purchase")).where((F.col("t") % 1000000 >= 0) & (F.col("value") > 10)).select("event_id", "t", "value")
+    ev = events(s, d).where("value > 10").select("event_id", "t", "value", "event_type")
+    return A.position_group([ev.where(F.col("event_type") == c).select("event_id", "t", "value") for c in ("click", "view", "purchase")], "t", 0)
 
 
 def k9_merge_groups(s, d):
-    li = read(s, d, "lineitem").where("l_quantity = 50").select("l_orderkey", "l_partkey")
-    pairs = li.select(F.col("l_orderkey").alias("x"), (F.col("l_partkey") + 1_000_000_000).alias("y"))
+    ev = events(s, d)  # a user and the hour of an event
+    pairs = ev.select(F.col("user_id").alias("x"), (F.floor(F.col("t") / HOUR) + 1_000_000_000).alias("y"))
     return C.merge_groups(pairs, "x", "y")
 
 
@@ -96,15 +104,15 @@ def k10_apply_merges(s, d):
 
 
 def k31_accepted_units(s, d):
-    li = read(s, d, "lineitem").where("l_returnflag <> 'R'").groupBy("l_suppkey").pivot("l_returnflag", ["A", "N"]).agg(F.sum("l_quantity").cast("long"))
-    return li.select("l_suppkey", F.coalesce("A", F.lit(0)).alias("a"), F.coalesce("N", F.lit(0)).alias("n"))
+    li = read(s, d, "lineitem")
+    metrics = li.groupBy(F.col("l_suppkey").alias("unit"), F.lower("l_returnflag").alias("metric")).agg(F.sum("l_quantity").cast("double").alias("value")).where("value > 600 or metric <> 'r'")
+    labels = read(s, d, "supplier").select(F.col("s_suppkey").alias("unit"), F.when(F.col("s_acctbal") < 0, F.array(F.lit("mua"), F.lit("reject"))).otherwise(F.array(F.lit("accept"), F.lit("near"))).alias("labels"))
+    return K.accepted_units(labels, metrics, "unit", ["a", "n", "r"], -1.0)
 
 
 def w1_waveforms(s, d):
     x = _samples(s, d)
-    spikes = x.where("value > 97").select("event_type", F.col("idx").alias("spike"))
-    places = spikes.select("event_type", "spike", F.explode(F.sequence(F.lit(-4), F.lit(5))).alias("offset")).withColumn("idx", F.col("spike") + F.col("offset"))
-    return places.join(x.select("event_type", "idx", "value"), ["event_type", "idx"]).select("event_type", "spike", "offset", "value")
+    return K.waveforms(x, x.where("value > 97"), ["event_type"], "idx", "value", 4, 6)
 
 
 def v8_content_hash(s, d):
@@ -113,24 +121,20 @@ def v8_content_hash(s, d):
 
 
 def v13_redundant(s, d):
-    o = read(s, d, "orders")
-    done = o.where("o_orderstatus = 'F'").select("o_custkey").distinct()
-    return o.where("o_orderstatus <> 'F'").join(done, "o_custkey", "left_semi").select("o_orderkey")
+    return V.redundant(read(s, d, "orders"), ["o_custkey"], F.col("o_orderstatus") == "F").select("o_orderkey")
 
 
 def v16_validation(s, d):
-    docs = read(s, d, "documents")
-    ascii_ = F.regexp_replace("text", "[^\\x20-\\x7E]", "")
-    return docs.select("doc_id", F.when(F.col("n_chars") > 3000, "violation").when(F.col("n_chars") > 1000, "warning").otherwise("ok").alias("severity"), F.substring(ascii_, 1, 255).alias("message"))
+    return Q.severity(read(s, d, "documents"), "n_chars", 1000, 3000, "text").select("doc_id", "severity", "message")
 
 
 def v22_nan_default(s, d):
     x = events(s, d).select("event_id", F.when(F.col("event_id") % 5 == 0, F.lit(float("nan"))).otherwise(F.col("value")).alias("v"))
-    return x.select("event_id", F.coalesce(no_nan(F.col("v")), F.lit(-1.0)).alias("v"))
+    return x.select("event_id", Q.nan_default(F.col("v")).alias("v"))
 
 
 def j1_curation_json(s, d):
-    return events(s, d).select("event_id", F.explode(F.map_entries(F.from_json("props", "map<string,long>"))).alias("e")).select("event_id", F.col("e.key").alias("label"), F.col("e.value").alias("value"))
+    return Q.labels_from_json(events(s, d), "props").select("event_id", "label", "value")
 
 
 def l4_edge_layout(s, d):
@@ -153,10 +157,11 @@ ORACLES = {
     "p12_smooth_interp": sql(f"{_FILL} SELECT user_id, idx, round(avg(f) OVER (PARTITION BY user_id ORDER BY idx ROWS BETWEEN 4 PRECEDING AND CURRENT ROW), 4) AS mean FROM fi"),
     "p21_pose_quality": sql("x AS (SELECT event_type, user_id, count(*) FILTER (value / 100 < 0.95) AS low, count(*) AS n FROM ev GROUP BY ALL) SELECT event_type, user_id, low, round(100 * low / n, 6) AS percent FROM x"),
     "p26_position_group": sql("x AS (SELECT event_id, t, value FROM ev WHERE event_type IN ('click', 'view', 'purchase') AND value > 10) SELECT * FROM x"),
-    "k9_merge_groups": """WITH RECURSIVE p AS (SELECT DISTINCT l_orderkey AS x, l_partkey + 1000000000 AS y FROM lineitem WHERE l_quantity = 50), e AS (SELECT x, y FROM p UNION SELECT y, x FROM p),
+    "k9_merge_groups": f"""WITH RECURSIVE p AS (SELECT DISTINCT user_id AS x, epoch_us(ts::TIMESTAMP) // {HOUR} + 1000000000 AS y FROM events WHERE user_id IS NOT NULL), e AS (SELECT x, y FROM p UNION SELECT y, x FROM p),
 r(member, c) AS (SELECT x, x FROM e UNION SELECT r.member, e.y FROM r JOIN e ON e.x = r.c) SELECT member, min(c) AS root FROM r GROUP BY member""",
     "k10_apply_merges": sql("m AS (SELECT max(user_id) AS m FROM ev), g AS (SELECT user_id AS u, row_number() OVER (ORDER BY user_id) AS k FROM (SELECT DISTINCT user_id FROM ev WHERE user_id % 4 = 0)) SELECT event_id, coalesce(m + k, user_id) AS user_id FROM ev CROSS JOIN m LEFT JOIN g ON user_id IN (u, u + 1)"),
-    "k31_accepted_units": "SELECT l_suppkey, coalesce(sum(l_quantity) FILTER (l_returnflag = 'A'), 0)::BIGINT AS a, coalesce(sum(l_quantity) FILTER (l_returnflag = 'N'), 0)::BIGINT AS n FROM lineitem WHERE l_returnflag <> 'R' GROUP BY l_suppkey",
+    "k31_accepted_units": """WITH m AS (SELECT l_suppkey AS unit, lower(l_returnflag) AS metric, sum(l_quantity)::DOUBLE AS value FROM lineitem GROUP BY ALL HAVING value > 600 OR metric <> 'r')
+SELECT s_suppkey AS unit, 'accept,near' AS labels, coalesce(max(value) FILTER (metric = 'a'), -1.0) AS a, coalesce(max(value) FILTER (metric = 'n'), -1.0) AS n, coalesce(max(value) FILTER (metric = 'r'), -1.0) AS r FROM supplier LEFT JOIN m ON unit = s_suppkey WHERE s_acctbal >= 0 GROUP BY s_suppkey""",
     "w1_waveforms": sql(f'{_SAMPLES} SELECT a.event_type, a.idx AS spike, (b.idx - a.idx)::INT AS "offset", b.value FROM sm a JOIN sm b ON a.event_type = b.event_type AND b.idx BETWEEN a.idx - 4 AND a.idx + 5 WHERE a.value > 97'),
     "v8_content_hash": "SELECT s_suppkey, sha256(concat_ws('|', s_name, s_nationkey::VARCHAR)) AS digest FROM supplier",
     "v13_redundant": "SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'F' AND o_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')",
@@ -164,4 +169,29 @@ r(member, c) AS (SELECT x, x FROM e UNION SELECT r.member, e.y FROM r JOIN e ON
     "v22_nan_default": "SELECT event_id, CASE WHEN event_id % 5 = 0 THEN -1.0 ELSE value END AS v FROM events",
     "j1_curation_json": "SELECT event_id, 'k' AS label, (props::JSON ->> 'k')::BIGINT AS value FROM events",
     "l4_edge_layout": 'SELECT n_nationkey AS edge, coalesce(sum(n_regionkey + 1 + 15.0) OVER (ORDER BY n_nationkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE AS "offset" FROM nation',
+    "f10_lfp_pipeline": sql(f"""{_SAMPLES}, g0 AS (SELECT *, t - lag(t) OVER (PARTITION BY event_type ORDER BY t) > {HOUR} AS far FROM sm), g1 AS (SELECT *, sum(coalesce(far, false)::INT) OVER (PARTITION BY event_type ORDER BY t RANGE UNBOUNDED PRECEDING) AS g FROM g0),
+w AS (SELECT event_type, max(t) - min(t) AS whole FROM sm GROUP BY 1), va AS (SELECT event_type, min(t) AS a, max(t) AS b FROM g1 GROUP BY event_type, g), vb AS (SELECT va.* FROM va JOIN w USING (event_type) WHERE b - a > CASE WHEN whole < {HOUR} THEN whole / 2 ELSE {HOUR} END),
+dy AS (SELECT DISTINCT event_type, t // {DAY} * {DAY} AS c FROM sm), us AS (SELECT event_type, greatest(a, c) AS start, least(b, c + {DAY // 2}) AS stop FROM vb JOIN dy USING (event_type) WHERE least(b, c + {DAY // 2}) > greatest(a, c)),
+i AS (SELECT sm.event_type, us.start, sm.idx, sm.value FROM sm JOIN us ON sm.event_type = us.event_type AND sm.t BETWEEN us.start AND us.stop),
+fi AS (SELECT event_type, start, idx, row_number() OVER w - 1 AS n, {" + ".join(f"coalesce({'lag' if k >= 2 else 'lead'}(value, {abs(k - 2)}) OVER w, 0) * {h}" for k, h in enumerate(TAPS))} AS y FROM i WINDOW w AS (PARTITION BY event_type, start ORDER BY idx))
+SELECT event_type, start, idx, round(y, 6) AS filtered FROM fi WHERE n % 4 = 0"""),
+    "e1_consensus": sql(f"""dm AS (SELECT t // {DAY} AS idx, event_type, round(avg(value), 6) AS value FROM ev GROUP BY ALL), c AS (SELECT count(DISTINCT event_type) AS c FROM dm), p AS (SELECT idx, sum(value * value) AS x FROM dm GROUP BY idx HAVING count(*) = (SELECT c FROM c)),
+{smoothed("p", "sg", "x", "idx", 1.5)} SELECT idx, round(sqrt(y), 5) AS trace FROM sg"""),
+    "e5_high_synchrony": sql(f"""h AS (SELECT event_type, t // {HOUR} AS hour, count(*)::DOUBLE AS x, round(avg(value), 6) AS speed FROM ev GROUP BY ALL), {smoothed("h", "sg", "x", "hour", 1.0, "event_type")},
+z AS (SELECT *, (y - avg(y) OVER (PARTITION BY event_type)) / stddev_pop(y) OVER (PARTITION BY event_type) AS z, row_number() OVER (PARTITION BY event_type ORDER BY hour) AS i FROM sg),
+{above_mean("z", "am", "event_type", "i", "hour", 0.5, 1)},
+sp AS (SELECT event_type, t // {HOUR} AS hour FROM ev GROUP BY ALL HAVING round(avg(value), 6) <= 120)
+SELECT am.* EXCLUDE (peak) FROM am WHERE EXISTS (SELECT 1 FROM sp WHERE sp.event_type = am.event_type AND sp.hour = am.start) AND EXISTS (SELECT 1 FROM sp WHERE sp.event_type = am.event_type AND sp.hour = am.stop)"""),
+    "f29_amplitude_artifacts": sql(f"""{_SAMPLES}, z AS (SELECT idx, abs(value) > 140 OR abs(value - avg(value) OVER (PARTITION BY idx)) > 1.6 * stddev_pop(value) OVER (PARTITION BY idx) AS hit FROM sm), h AS (SELECT idx FROM z GROUP BY idx HAVING count(*) FILTER (hit) >= ceil(count(*) * 0.6)),
+r0 AS (SELECT idx, idx - row_number() OVER (ORDER BY idx) AS g FROM h), r AS (SELECT min(idx) AS i, max(idx) AS j FROM r0 GROUP BY g), c AS (SELECT idx, t FROM sm WHERE event_type = 'click'), w AS (SELECT min(t) AS lo, max(t) AS hi FROM c),
+m AS (SELECT s.t - {HOUR // 2} AS a, least(e.t + {HOUR // 2}, hi) AS b FROM r JOIN c s ON s.idx = i JOIN c e ON e.idx = j, w), f AS (SELECT *, max(b) OVER (ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS far FROM m),
+k AS (SELECT *, sum((far IS NULL OR a > far)::INT) OVER (ORDER BY a, b ROWS UNBOUNDED PRECEDING) AS g FROM f), o AS (SELECT min(a) AS a, max(b) AS b FROM k GROUP BY g),
+p AS (SELECT greatest(lo, coalesce(lag(b) OVER (ORDER BY a), lo)) AS start, least(hi, a) AS stop FROM o, w UNION ALL SELECT greatest(lo, (SELECT max(b) FROM o)), hi FROM w WHERE EXISTS (SELECT 1 FROM o))
+SELECT 0 AS g, start, stop FROM p WHERE stop - start > 1000000 UNION ALL SELECT 0, lo, hi FROM w WHERE NOT EXISTS (SELECT 1 FROM h)"""),
+    "p10_inside": sql(f"""{_XY}, e AS (SELECT * FROM (VALUES (10.0, 10.0, 80.0, 20.0), (80.0, 20.0, 60.0, 90.0), (60.0, 90.0, 20.0, 70.0), (20.0, 70.0, 10.0, 10.0)) v(x1, y1, x2, y2))
+SELECT user_id, idx, count(*) FILTER ((y1 > y) <> (y2 > y) AND x < (x2 - x1) * (y - y1) / (y2 - y1) + x1) % 2 = 1 AS inside FROM xy, e GROUP BY user_id, idx"""),
+    "flagship": sql(f"""m AS (SELECT event_type, t, max(t + {2 * HOUR}) OVER (PARTITION BY event_type ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS far FROM ev), g AS (SELECT *, sum((far IS NULL OR t > far)::INT) OVER (PARTITION BY event_type ORDER BY t ROWS UNBOUNDED PRECEDING) AS g FROM m),
+va AS (SELECT event_type, min(t) AS a, max(t) + {2 * HOUR} AS b FROM g GROUP BY event_type, g), dy AS (SELECT DISTINCT event_type, t // {DAY} * {DAY} AS c FROM ev), p AS (SELECT event_type, greatest(a, c) AS start, least(b, c + {DAY // 2}) AS stop FROM va JOIN dy USING (event_type) WHERE least(b, c + {DAY // 2}) > greatest(a, c))
+SELECT p.event_type, start, stop, count(*) AS n, round(avg(value), 6) AS mean_value, round(count(*) * {HOUR} / (stop - start), 6) AS per_hour FROM p JOIN ev ON ev.event_type = p.event_type AND t BETWEEN start AND stop GROUP BY p.event_type, start, stop"""),
+    "f17_power": sql(f"{_SAMPLES} SELECT event_type, idx, round(value * value + im * im, 4) AS power FROM (SELECT event_type, idx, value, " + " + ".join(f"coalesce({'lag' if k >= 16 else 'lead'}(value, {abs(k - 16)}) OVER w, 0) * {h!r}" for k, h in enumerate(S.hilbert_taps(16)) if h) + " AS im FROM sm WINDOW w AS (PARTITION BY event_type ORDER BY idx))"),
 }

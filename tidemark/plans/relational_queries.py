@@ -84,7 +84,7 @@ def r14_top(s, d):
 
 
 def r16_value_list(s, d):
-    return read(s, d, "lineitem").where(F.col("l_returnflag").isin("A", "R")).select("l_orderkey", "l_linenumber")
+    return R.restrict_by_list(read(s, d, "lineitem"), "l_returnflag", ["A", "R"]).select("l_orderkey", "l_linenumber")
 
 
 def r17_todo(s, d):

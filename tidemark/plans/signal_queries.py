@@ -78,7 +78,7 @@ def f21_resample(s, d):
 
 
 def f23_time_grid(s, d):
-    return S.time_grid(order_intervals(s, d, 10).where("k < 200"), ["k"], 7 * DAY).select("k", "i", F.round("t", 0).cast("long").alias("t"))
+    return S.time_grid(order_intervals(s, d, 10), ["k"], 7 * DAY).select("k", "i", F.round("t", 0).cast("long").alias("t"))
 
 
 def f24_align(s, d):
@@ -108,7 +108,7 @@ def f29_amplitude_artifacts(s, d):
     x = _samples(s, d).withColumn("g", F.lit(0))
     clock = x.where("event_type = 'click'").select("g", "idx", "t")
     whole = clock.groupBy("g").agg(F.min("t").alias("start"), F.max("t").alias("stop"))
-    return S.amplitude_artifacts(x, clock, whole, ["g"], "event_type", "idx", "t", "value", 70, HOUR, 0.6)
+    return S.amplitude_artifacts(x, clock, whole, ["g"], "event_type", "idx", "t", "value", 140, HOUR, 0.6, 1.6)
 
 
 def f31_zero_out(s, d):
@@ -193,13 +193,13 @@ ORACLES = {
     "f1_sampling_rate": sql("""
 d0 AS (SELECT event_type, (t // 10000 - lag(t // 10000) OVER w) / 1e6 AS d, row_number() OVER w AS i FROM ev WINDOW w AS (PARTITION BY event_type ORDER BY t)),
 d1 AS (SELECT event_type, d, i, sum(d) OVER (PARTITION BY event_type ORDER BY i ROWS BETWEEN 5 PRECEDING AND 4 FOLLOWING) / 10 AS s FROM d0 WHERE d IS NOT NULL),
-e AS (SELECT event_type, log10(3 * avg(d)) AS top FROM d1 GROUP BY event_type HAVING count(*) >= 10),
+e AS (SELECT event_type, log10(3 * avg(s)) AS top FROM d1 GROUP BY event_type HAVING count(*) >= 10),
 b AS (SELECT event_type, top, least(99, floor((log10(s) + 5) / ((top + 5) / 100)))::INT AS b, count(*) AS k FROM d1 JOIN e USING (event_type) WHERE s > 0 AND log10(s) >= -5 AND log10(s) <= top GROUP BY ALL),
 m AS (SELECT event_type, pow(10.0, -5 + arg_max(b, (k, -b)) * (any_value(top) + 5) / 100) AS usual FROM b GROUP BY event_type)
 SELECT event_type, round(1 / avg(d)) AS rate FROM d1 JOIN m USING (event_type) WHERE d < 1.75 * usual GROUP BY event_type"""),
     "f2_valid_intervals": sql(f"""g0 AS (SELECT event_type, t, t - lag(t) OVER w > {HOUR} AS far FROM ev WINDOW w AS (PARTITION BY event_type ORDER BY t)),
 g1 AS (SELECT *, sum(coalesce(far, false)::INT) OVER (PARTITION BY event_type ORDER BY t RANGE UNBOUNDED PRECEDING) AS g FROM g0), h AS (SELECT event_type, (max(t) - min(t)) / 2 AS half FROM ev GROUP BY event_type),
-x AS (SELECT event_type, min(t) - 1 AS start, max(t) + 1 AS stop FROM g1 GROUP BY event_type, g) SELECT x.* FROM x JOIN h USING (event_type) WHERE stop - start > least(600000000, half)"""),
+x AS (SELECT event_type, min(t) - 1 AS start, max(t) + 1 AS stop FROM g1 GROUP BY event_type, g) SELECT x.* FROM x JOIN h USING (event_type) WHERE stop - start > CASE WHEN 2 * half < 600000000 THEN half ELSE 600000000 END"""),
     "f6_fir": sql(f"{_FIR} SELECT event_type, idx, round(y, 6) AS filtered FROM fi"),
     "f6_fir_blocks": sql(f"{_FIR} SELECT event_type, idx, round(y, 6) AS filtered FROM fi"),
     "f7_decimate": sql(f"{_FIR} SELECT event_type, idx, round(y, 6) AS filtered FROM fi WHERE idx % 10 = 0"),
@@ -213,7 +213,7 @@ u AS (SELECT event_type, t, max(value) AS value, max(g) AS g FROM (SELECT event_
 z AS (SELECT *, last_value(value IGNORE NULLS) OVER a AS av, last_value(CASE WHEN value IS NOT NULL THEN t END IGNORE NULLS) OVER a AS ta, first_value(value IGNORE NULLS) OVER b AS bv, first_value(CASE WHEN value IS NOT NULL THEN t END IGNORE NULLS) OVER b AS tb FROM u
 WINDOW a AS (PARTITION BY event_type ORDER BY t ROWS UNBOUNDED PRECEDING), b AS (PARTITION BY event_type ORDER BY t ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
 SELECT event_type, t, round(coalesce(value, av + (bv - av) * ((t - ta) / (tb - ta)), av), 5) AS value FROM z WHERE g = 1"""),
-    "f23_time_grid": sql(f"h AS (SELECT k, min(start) AS a, max(stop) AS b FROM oi WHERE k < 200 GROUP BY k), n AS (SELECT *, greatest(1, ceil((b - a) / {7 * DAY}))::BIGINT AS n FROM h), i AS (SELECT *, unnest(range(0, n + 1)) AS i FROM n) SELECT k, i, round(a + (b - a) * i / n, 0)::BIGINT AS t FROM i", 10),
+    "f23_time_grid": sql(f"h AS (SELECT k, min(start) AS a, max(stop) AS b FROM oi GROUP BY k), n AS (SELECT *, greatest(1, ceil((b - a) / {7 * DAY}))::BIGINT AS n FROM h), i AS (SELECT *, unnest(range(0, n + 1)) AS i FROM n) SELECT k, i, round(a + (b - a) * i / n, 0)::BIGINT AS t FROM i", 10),
     "f24_align": sql(f"gr AS (SELECT DISTINCT event_type, t // {HOUR} * {HOUR} AS t FROM ev), p AS (SELECT event_type, t // {HOUR} * {HOUR} AS c, max(value) AS value, t FROM ev GROUP BY event_type, t), m AS (SELECT event_type, c, arg_max(value, t) AS value FROM p GROUP BY ALL) SELECT gr.event_type, gr.t, m.value FROM gr LEFT JOIN m ON m.event_type = gr.event_type AND m.c = gr.t"),
     "f25_unwrap": sql(f"{_SAMPLES}, a AS (SELECT event_type, idx, value * {2 * math.pi / 100!r} AS a FROM sm), j AS (SELECT *, coalesce(round((a - lag(a) OVER (PARTITION BY event_type ORDER BY idx)) / {2 * math.pi!r}), 0) AS j FROM a) SELECT event_type, idx, round(a - {2 * math.pi!r} * sum(j) OVER (PARTITION BY event_type ORDER BY idx ROWS UNBOUNDED PRECEDING), 4) AS unwrapped FROM j"),
     "f26_zscore": sql("z AS (SELECT event_id, (value - avg(value) OVER w) / stddev_pop(value) OVER w AS z FROM ev WINDOW w AS (PARTITION BY event_type)) SELECT event_id, round(z, 6) AS z FROM z"),

@@ -14,8 +14,8 @@ RULES = [("s_acctbal", ">", 8000.0, ["rich", "accept"]), ("s_acctbal", "<", 0.0,
 
 def k2_indicator(s, d):
     ev = events(s, d)
-    a = ev.agg(F.min("t")).first()[0]
-    return K.indicator(ev, "event_type", "t", a, HOUR, 500)
+    a, bins = _grid(ev, DAY)
+    return K.indicator(ev, "event_type", "t", a, DAY, bins)
 
 
 def _grid(ev, step):
@@ -44,9 +44,9 @@ def k5_filter_by_criteria(s, d):
 
 
 def k6_group_spikes(s, d):
-    ev = events(s, d).where(F.col("t") % 2 == 0)
-    number = F.dense_rank().over(Window.partitionBy("event_type").orderBy("user_id")) - 1
-    return ev.select("event_type", number.alias("unit"), "t")
+    ev = events(s, d)
+    units = ev.where("user_id is not null").select("event_type", "user_id").distinct().withColumn("labels", F.array().cast("array<string>"))
+    return K.group_spikes(ev, units, "event_type", "user_id", "t", "labels", [], [], {})
 
 
 def k6_group_spikes_whole(s, d):
@@ -62,7 +62,7 @@ def k12_labels(s, d):
 
 
 def k14_num_spikes(s, d):
-    return events(s, d).groupBy("user_id").agg(F.count("*").alias("n"))
+    return K.counts(events(s, d), "user_id")
 
 
 def k15_isi(s, d):
@@ -128,7 +128,7 @@ def b4_map(s, d):
 
 
 def b11_quantise(s, d):
-    return events(s, d).select("event_id", F.floor(F.col("value") / 100 * 255).cast("int").alias("q")).where("q > 0")
+    return K.quantised(events(s, d), F.col("value") / 100).select("event_id", "q")
 
 
 def a1_ingest(s, d):
@@ -211,13 +211,13 @@ ll AS (SELECT hour, bin, l - r AS x FROM li JOIN si USING (bin)), ex AS (SELECT
 _CH = """o AS (SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders), nw AS (SELECT CASE WHEN o_orderkey % 10 = 2 THEN -o_orderkey ELSE o_orderkey END AS o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN lower(o_orderstatus) WHEN o_orderkey % 10 = 1 THEN 'X' ELSE o_orderstatus END AS o_orderstatus, o_orderpriority FROM orders)"""
 
 ORACLES = {
-    "k2_indicator": sql(f"""a AS (SELECT min(t) AS a FROM ev), c AS (SELECT event_type, least(498, (t - a) // {HOUR}) AS bin, count(*) AS n FROM ev, a WHERE t <= a + {HOUR} * 499 GROUP BY ALL),
-g AS (SELECT event_type, unnest(range(0, 500)) AS bin FROM (SELECT DISTINCT event_type FROM ev)) SELECT g.event_type, g.bin, coalesce(n, 0) AS n FROM g LEFT JOIN c ON c.event_type = g.event_type AND c.bin = g.bin"""),
+    "k2_indicator": sql(f"""a AS (SELECT min(t) AS a, max(t) AS b FROM ev), c AS (SELECT event_type, (t - a) // {DAY} AS bin, count(*) AS n FROM ev, a GROUP BY ALL),
+g AS (SELECT event_type, unnest(range(0, (b - a) // {DAY} + 2)) AS bin FROM (SELECT DISTINCT event_type FROM ev), a) SELECT g.event_type, g.bin, coalesce(n, 0) AS n FROM g LEFT JOIN c ON c.event_type = g.event_type AND c.bin = g.bin"""),
     "k2_indicator_whole": sql(f"""a AS (SELECT min(t) AS a, max(t) AS b FROM ev), c AS (SELECT event_type, (t - a) // {HOUR} AS bin, count(*) AS n FROM ev, a GROUP BY ALL),
 g AS (SELECT event_type, unnest(range(0, (b - a) // {HOUR} + 2)) AS bin FROM (SELECT DISTINCT event_type FROM ev), a) SELECT g.event_type, g.bin, coalesce(n, 0) AS n FROM g LEFT JOIN c ON c.event_type = g.event_type AND c.bin = g.bin"""),
     "k4_filter_by_label": "WITH u AS (SELECT p_partkey AS unit, string_split(p_type, ' ') AS l FROM part) SELECT unit FROM u WHERE list_has_any(l, ['STEEL', 'BRASS']) AND NOT list_has_any(l, ['SMALL'])",
     "k5_filter_by_criteria": "SELECT p_partkey AS unit FROM part WHERE p_partkey % 11 <> 0 AND p_retailprice > 950 AND p_retailprice <> 1000 AND p_size BETWEEN 5 AND 40 AND p_size NOT IN (7, 8)",
-    "k6_group_spikes": sql("x AS (SELECT event_type, dense_rank() OVER (PARTITION BY event_type ORDER BY user_id) - 1 AS unit, t FROM ev WHERE t % 2 = 0) SELECT * FROM x"),
+    "k6_group_spikes": sql("x AS (SELECT event_type, dense_rank() OVER (PARTITION BY event_type ORDER BY user_id) - 1 AS unit, t FROM ev WHERE user_id IS NOT NULL) SELECT * FROM x"),
     "k6_group_spikes_whole": sql(f"""a AS (SELECT min(t) + {DAY} AS a, max(t) - {DAY} AS b FROM ev), u AS (SELECT event_type, user_id FROM ev GROUP BY ALL HAVING (max(value) > 90 OR count(*) >= 20) AND NOT min(value) < 0.1 AND count(*) > 1 AND max(value) BETWEEN 50 AND 99.99),
 r AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY user_id) - 1 AS unit FROM u) SELECT r.event_type, r.unit, ev.t FROM r JOIN ev USING (event_type, user_id), a WHERE ev.t BETWEEN a AND b"""),
     "k12_labels": """WITH l AS (SELECT s_suppkey, list_concat(CASE WHEN s_acctbal > 8000 THEN ['rich', 'accept'] ELSE [] END, CASE WHEN s_acctbal < 0 THEN ['reject'] ELSE [] END, CASE WHEN s_nationkey <= 4 THEN ['near', 'accept'] ELSE [] END) AS l FROM supplier)
@@ -230,7 +230,7 @@ SELECT s_suppkey, coalesce(array_to_string(list_filter(l, lambda x, i: list_posi
     "k23_correlogram": sql(f"{_COR} SELECT * FROM co"),
     "k24_asymmetry": sql(f"{_COR} SELECT a, b, round((sum(n) FILTER (bin >= 0) - sum(n) FILTER (bin < 0)) / sum(n), 9) AS asymmetry FROM co GROUP BY a, b"),
     "w7_mark_threshold": "SELECT vec_id FROM embeddings WHERE list_max(list_transform(embedding, lambda x: abs(x)))::DOUBLE >= 0.3",
-    "w8_marks_per_bin": sql(f"a AS (SELECT min(t) AS a FROM ev), m AS (SELECT event_type, (t - a) // {DAY} AS bin, avg(value) AS mean FROM ev, a GROUP BY ALL), g AS (SELECT event_type, unnest(range(0, 31)) AS bin FROM (SELECT DISTINCT event_type FROM ev)) SELECT g.event_type, g.bin, round(mean, 6) AS mean FROM g LEFT JOIN m ON m.event_type = g.event_type AND m.bin = g.bin"),
+    "w8_marks_per_bin": sql(f"a AS (SELECT min(t) AS a FROM ev), m AS (SELECT event_type, (t - a) // {DAY} AS bin, avg(value) AS mean FROM ev, a GROUP BY ALL), g AS (SELECT event_type, unnest(range(0, (SELECT (max(t) - min(t)) // {DAY} + 2 FROM ev))) AS bin FROM (SELECT DISTINCT event_type FROM ev)) SELECT g.event_type, g.bin, round(mean, 6) AS mean FROM g LEFT JOIN m ON m.event_type = g.event_type AND m.bin = g.bin"),
     "b2_place_fields": sql(f"{_DEC} SELECT event_type, bin, round(rate, 6) AS rate FROM fd"),
     "b3_posterior": sql(f"{_POST} SELECT hour, bin, round(p, 6) AS p FROM po"),
     "b4_map": sql(f"{_POST} SELECT hour, arg_max(bin, (round(p, 9), -bin)) AS map_bin FROM po GROUP BY hour"),
