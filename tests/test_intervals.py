@@ -19,31 +19,34 @@ def rows(df):
     return sorted((r.start, r.stop) for r in df.collect())
 
 
-def test_literal_cases(spark, iv):
-    assert I.violations(iv((1, 0), (2, 3))).count() == 1
-    assert rows(I.normalise(iv((0, 1), (0, 1), (3, 4)), K)) == [(0, 1), (3, 4)]
-    assert rows(I.consolidate(iv((0, 2), (1, 3), (5, 6)), K)) == [(0, 3), (5, 6)]
-    assert rows(I.consolidate(iv((0, 3), (2, 3), (5, 8), (7, 9)), K)) == [(0, 3), (5, 9)]
-    assert rows(I.consolidate(iv((0, 1), (1, 2)), K)) == [(0, 1), (1, 2)] and rows(I.merge_touching(iv((0, 1), (1, 2)), K)) == [(0, 2)]
-    assert rows(I.consolidate(iv((0, 10), (3, 3), (5, 12)), K)) == [(0, 12)]
-    assert rows(I.intersect(iv((0, 10), (3, 5), (14, 16)), iv((10, 11), (9, 14), (13, 18)), K)) == [(9, 10), (14, 16)]
-    assert rows(I.intersect(iv((0, 10), (3, 5)), iv((11, 14)), K)) == []
-    assert rows(I.subtract(iv((0, 5), (8, 10)), iv((1, 2), (3, 4), (6, 9)), K)) == [(0, 1), (2, 3), (4, 5), (9, 10)]
-    assert rows(I.subtract(iv((0, 5), (8, 10)), iv((5, 8)), K)) == [(0, 5), (8, 10)]
-    assert rows(I.subtract(iv((0, 10)), iv((1, 3), (4, 6), (7, 9)), K)) == [(0, 1), (3, 4), (6, 7), (9, 10)]
-    assert rows(I.subtract(iv((0, 2), (4, 6)), iv((5, 8), (2, 4)), K, 1)) == [(0, 2)]
-    assert rows(I.subtract(iv((0, 5), (6, 10)), iv((4, 7)), K)) == [(0, 4), (7, 10)]
-    bounds = iv((0, 0), (0, 1), (0, 10**11))
-    assert rows(I.by_length(bounds, 0, 10)) == [(0, 1)] and rows(I.by_length(bounds, 0, 10**12)) == [(0, 1), (0, 10**11)] and rows(I.by_length(bounds, -1, 10)) == [(0, 0), (0, 1)]
-    assert rows(I.union(iv((0, 3)), iv((2, 4)), K)) == [(0, 4)] and rows(I.union(iv((1, 3), (9, 10)), iv((0, 2)), K)) == [(0, 3), (9, 10)]
-    assert rows(I.union_adjacent_index(iv((0, 1), (2, 3)), K)) == [(0, 3)] and rows(I.union_adjacent_index(iv((0, 3), (2, 4)), K)) == [(0, 3), (2, 4)]
-    points = spark.createDataFrame([(1, t) for t in (0, 1, 5, 7, 8, 9)], "k int, t long")
-    inside = I.contains(points, iv((1, 4), (6, 8)), K, "t", 3)
-    assert sorted(r.t for r in inside.collect()) == [1, 7, 8]
-    assert sorted(r.t for r in I.excludes(points, iv((1, 4), (6, 8)), K, "t", 3).collect()) == [0, 5, 9]
-    idx = spark.createDataFrame([(1, i) for i in (0, 1, 2, 3, 6, 7, 8, 9)], "k int, i long")
-    assert rows(I.from_indices(idx, K, "i")) == [(0, 3), (6, 9)]
-    assert rows(I.censor(iv((0, 2), (4, 5)), spark.createDataFrame([(1, 1), (1, 2), (1, 4)], "k int, t long"), K, "t")) == [(1, 2)]
+def test_rules_of_ends(spark, iv):
+    """Cases made from the docstrings: ends belong to an interval, touching is not overlapping, pieces without length go."""
+    assert I.violations(iv((70, 20), (20, 70), (33, 33))).count() == 1
+    assert rows(I.normalise(iv((33, 33), (33, 33), (20, 70), (70, 20)), K)) == [(20, 70), (33, 33)]
+    chain = iv((100, 140), (140, 180), (170, 260), (400, 401))
+    assert rows(I.consolidate(chain, K)) == [(100, 140), (140, 260), (400, 401)]
+    assert rows(I.merge_touching(chain, K)) == [(100, 260), (400, 401)]
+    assert rows(I.consolidate(iv((100, 900), (200, 200), (850, 1000)), K)) == [(100, 1000)]
+    met = I.intersect(iv((0, 600), (700, 900)), iv((600, 700), (550, 580), (890, 2000)), K)
+    assert rows(met) == [(550, 580), (890, 900)]
+    assert rows(I.intersect(iv((0, 600), (700, 900)), iv((550, 580), (890, 2000)), K, 10)) == [(550, 580)]
+    assert rows(I.intersect(iv((0, 100)), iv((101, 140)), K)) == []
+    held = iv((1000, 5000), (9000, 9500))
+    assert rows(I.subtract(held, iv((2000, 2001), (4900, 9100)), K)) == [(1000, 2000), (2001, 4900), (9100, 9500)]
+    assert rows(I.subtract(held, iv((5000, 9000)), K)) == [(1000, 5000), (9000, 9500)]
+    assert rows(I.subtract(held, iv((0, 1990), (2000, 9499)), K, 5)) == [(1990, 2000)]
+    assert rows(I.subtract(held, iv((0, 20000)), K)) == []
+    lengths = iv((7, 7), (7, 20), (7, 10**12))
+    assert rows(I.by_length(lengths, -1, 13)) == [(7, 7)] and rows(I.by_length(lengths, 0, 14)) == [(7, 20)] and rows(I.by_length(lengths, 13)) == [(7, 10**12)]
+    assert rows(I.union(iv((40, 60)), iv((60, 61), (10, 39)), K)) == [(10, 39), (40, 61)]
+    assert rows(I.union(iv((40, 60)), iv((60, 61), (10, 39)), K, 25)) == [(10, 39)]
+    assert rows(I.union_adjacent_index(iv((11, 14), (15, 15), (16, 30), (32, 40), (40, 41)), K)) == [(11, 30), (32, 40), (40, 41)]
+    points = spark.createDataFrame([(1, t) for t in (99, 100, 120, 140, 141)], "k int, t long")
+    assert sorted(r.t for r in I.contains(points, iv((100, 120), (120, 140)), K, "t", 7).collect()) == [100, 120, 120, 140]
+    assert sorted(r.t for r in I.excludes(points, iv((100, 120), (120, 140)), K, "t", 7).collect()) == [99, 141]
+    idx = spark.createDataFrame([(1, i) for i in (-2, -1, 0, 5, 5, 7, 8)] + [(1, None)], "k int, i long")
+    assert rows(I.from_indices(idx, K, "i")) == [(-2, 0), (5, 5), (7, 8)]
+    assert rows(I.censor(iv((0, 50), (60, 90), (95, 99)), spark.createDataFrame([(1, 30), (1, 70)], "k int, t long"), K, "t")) == [(30, 50), (60, 70)]
 
 
 def test_random_lists_against_a_grid(spark):

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.operators import events as E
 from tidemark.operators import lineage as L
 from tidemark.operators import position as P
 from tidemark.operators import quality as Q
@@ -93,6 +94,70 @@ def test_quality_and_manifest(spark, tmp_path):
     assert made.rows == 3 and made.table_name == "people"
 
 
+def test_least_length_of_valid_intervals(spark):
+    beat = spark.createDataFrame([(1, t) for t in (0, 1, 2, 3, 6, 7, 8, 9, 10)], "k int, t long")
+    spans = lambda least: sorted((r.start, r.stop) for r in S.valid_intervals(beat, ["k"], "t", 2, least).collect())
+    assert spans(0) == [(0, 3), (6, 10)] and spans(3) == [(6, 10)]
+    assert spans(8) == []  # the whole is 10 long, so the minimum holds
+    assert spans(11) == []  # the whole is shorter: half of it counts
+    assert sorted((r.start, r.stop) for r in S.valid_intervals(beat, ["k"], "t", 4, 11).collect()) == [(0, 10)]
+
+
+def test_upsert_without_update(spark):
+    old = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
+    assert Q.upsert(spark.createDataFrame([(2, "B"), (3, "c")], old.schema), old, ["id"], update=False).count() == 3
+    with pytest.raises(ValueError, match="1 rows"):
+        Q.upsert(spark.createDataFrame([(2, "x"), (3, "c")], old.schema), old, ["id"], update=False)
+
+
+def test_artifacts_by_deviation(spark):
+    rows = [(0, c, i, i * 10, 50.0 if i == 7 and c == 2 else float(c)) for c in range(4) for i in range(20)]
+    df = spark.createDataFrame(rows, "g int, c int, i long, t long, x double")
+    clock = df.where("c = 0").select("g", "i", "t")
+    whole = spark.createDataFrame([(0, 0, 190)], "g int, start long, stop long")
+    found = lambda **more: sorted((r.start, r.stop) for r in S.amplitude_artifacts(df, clock, whole, ["g"], "c", "i", "t", "x", None, 20, least=0, **more).collect())
+    assert found(z=1.7, share=0.25) == [(0, 60), (80, 190)] and found(z=1.7, share=0.5) == [(0, 190)]
+
+
+def test_events_above_the_mean(spark):
+    z = [-1, 0.5, 2, 2, 0.1, -1, 3, -1, 1, 1, 0]
+    df = spark.createDataFrame([(1, i, i * 10, float(v)) for i, v in enumerate(z)], "k int, i long, t long, z double")
+    got = lambda *a: sorted((r.start, r.stop) for r in E.above_mean(df, ["k"], "i", "t", "z", *a).collect())
+    assert got(2.0) == [(10, 40), (60, 60)] and got(2.0, 10) == [(10, 40)] and got(1.0) == [(10, 40), (60, 60), (80, 100)]
+    events = spark.createDataFrame([(1, 0, 10), (1, 12, 20), (1, 26, 30), (1, 29, 40)], "k int, start long, stop long")
+    assert sorted(r.start for r in E.apart(events, ["k"], 5).collect()) == [0, 26]
+    slow = spark.createDataFrame([(1, t, 9.0 if t == 20 else 1.0) for t in (0, 10, 12, 20, 26, 30)], "k int, t long, v double")
+    assert sorted(r.start for r in E.at_rest(events, slow, ["k"], "t", "v", 4.0).collect()) == [0, 26]
+
+
+def test_points_and_directions(spark):
+    nan = float("nan")
+    four = spark.createDataFrame([(0.0, 0.0, 2.0, 0.0, 9.0, 9.0, 9.0, 9.0), (0.0, 0.0, nan, nan, 2.0, 2.0, 2.0, -2.0), (nan, nan, nan, nan, 2.0, 2.0, 2.0, -2.0), (0.0, 0.0, nan, nan, 4.0, 0.0, nan, nan), (nan, nan, 3.0, 1.0, 4.0, 0.0, nan, nan), (0.0, 0.0, 50.0, 0.0, nan, nan, nan, nan)], ", ".join(f"{c}{k} double" for k in range(4) for c in "xy"))
+    got = [(r.cx, r.cy) for r in P.centroid(four, [(f"x{k}", f"y{k}") for k in range(4)], 10.0).collect()]
+    assert got == [(1, 0), (1, 0), (2, 0), (2, 0), (3, 1), (None, None)]
+    assert [(r.cx, r.cy) for r in P.centroid(four, [("x1", "y1")]).collect()][1] == (None, None)
+    with pytest.raises(ValueError, match="limit"):
+        P.centroid(four, [("x0", "y0"), ("x1", "y1")])
+    three = spark.createDataFrame([(1.0, 0.0, 0.0, 0.0, 0.5, 1.0), (1.0, 0.0, 0.0, 0.0, 0.5, -1.0), (0.0, 1.0, 0.0, 0.0, 0.0, 0.0)], "a double, b double, c double, d double, e double, f double")
+    turned = [r.orientation for r in P.bisector_orientation(three, ("a", "b"), ("c", "d"), ("e", "f")).collect()]
+    assert np.allclose(turned, [np.pi / 2, -np.pi / 2, np.pi])
+    level = three.withColumn("f", F.lit(0.0)).limit(1)
+    with pytest.raises(Exception, match="cannot be told"):
+        P.bisector_orientation(level, ("a", "b"), ("c", "d"), ("e", "f")).collect()
+
+
+def test_analytic_signal_of_a_wave(spark):
+    wave = spark.createDataFrame([(1, i, float(np.cos(2 * np.pi * i / 8))) for i in range(400)], "k int, i long, x double")
+    inner = [r.power for r in S.phase_and_power(S.analytic(wave, ["k"], "i", "x", 32, 64)).where("i between 40 and 360").collect()]
+    assert len(inner) == 321 and max(abs(p - 1) for p in inner) < 0.02
+
+
+def test_names_are_taken_apart(spark):
+    names = spark.createDataFrame([(" Ann Lee ",), ("Lee, Ann B",), ("Ann B Lee",), ("Lee,Ann",), (None,), ("a, b, c",)], "n string")
+    got = [tuple(r.p) if r.p else None for r in names.select(Q.name_parts(F.col("n")).alias("p")).collect()]
+    assert got == [("Ann", "Lee"), ("Ann B", "Lee"), None, None, None, None]
+
+
 def stream(spark, tmp_path, rows, schema):
     for k in range(3):
         spark.createDataFrame(rows[k::3] if k > 2 else rows[k * len(rows) // 3 : (k + 1) * len(rows) // 3], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))

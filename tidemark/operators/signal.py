@@ -80,6 +80,7 @@ def fir_blocks(df: DataFrame, key: list[str], idx: str, value: str, taps: list[f
     """
     taps_ = np.asarray(taps, dtype=float)
     delay, reach = (len(taps_) - 1) // 2, len(taps_)
+    block = max(block, reach)  # a halo reaches into the next block only
     here = F.floor(F.col(idx) / block)
     edges = F.array_distinct(F.array(here, F.floor((F.col(idx) - reach) / block), F.floor((F.col(idx) + reach) / block)))
     dealt = df.select(*key, F.col(idx).alias("_i"), F.col(value).cast("double").alias("_x"), F.explode(edges).alias("_block"))

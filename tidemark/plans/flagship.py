@@ -19,5 +19,5 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = ev.select("event_type", (F.floor(F.col("t") / DAY) * DAY).alias("start")).distinct().withColumn("stop", F.col("start") + DAY // 2)
     parts = I.intersect(valid, days, key, 0, DAY)
     met = I.contains(ev.select("event_id", "event_type", "t", "value"), parts, key, "t", DAY)
-    counted = met.groupBy("event_type", "start", "stop").agg(F.count("*").alias("n"), F.round(F.avg("value"), 6).alias("mean_value"))
+    counted = met.groupBy("event_type", "start", "stop").agg(F.count("*").alias("n"), F.round(F.avg("value"), 10).alias("mean_value"))
     return counted.withColumn("per_hour", F.round(F.col("n") * HOUR / (F.col("stop") - F.col("start")), 6))

@@ -192,6 +192,6 @@ SELECT 0 AS g, start, stop FROM p WHERE stop - start > 1000000 UNION ALL SELECT
 SELECT user_id, idx, count(*) FILTER ((y1 > y) <> (y2 > y) AND x < (x2 - x1) * (y - y1) / (y2 - y1) + x1) % 2 = 1 AS inside FROM xy, e GROUP BY user_id, idx"""),
     "flagship": sql(f"""m AS (SELECT event_type, t, max(t + {2 * HOUR}) OVER (PARTITION BY event_type ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS far FROM ev), g AS (SELECT *, sum((far IS NULL OR t > far)::INT) OVER (PARTITION BY event_type ORDER BY t ROWS UNBOUNDED PRECEDING) AS g FROM m),
 va AS (SELECT event_type, min(t) AS a, max(t) + {2 * HOUR} AS b FROM g GROUP BY event_type, g), dy AS (SELECT DISTINCT event_type, t // {DAY} * {DAY} AS c FROM ev), p AS (SELECT event_type, greatest(a, c) AS start, least(b, c + {DAY // 2}) AS stop FROM va JOIN dy USING (event_type) WHERE least(b, c + {DAY // 2}) > greatest(a, c))
-SELECT p.event_type, start, stop, count(*) AS n, round(avg(value), 6) AS mean_value, round(count(*) * {HOUR} / (stop - start), 6) AS per_hour FROM p JOIN ev ON ev.event_type = p.event_type AND t BETWEEN start AND stop GROUP BY p.event_type, start, stop"""),
+SELECT p.event_type, start, stop, count(*) AS n, round(avg(value), 10) AS mean_value, round(count(*) * {HOUR} / (stop - start), 6) AS per_hour FROM p JOIN ev ON ev.event_type = p.event_type AND t BETWEEN start AND stop GROUP BY p.event_type, start, stop"""),
     "f17_power": sql(f"{_SAMPLES} SELECT event_type, idx, round(value * value + im * im, 4) AS power FROM (SELECT event_type, idx, value, " + " + ".join(f"coalesce({'lag' if k >= 16 else 'lead'}(value, {abs(k - 16)}) OVER w, 0) * {h!r}" for k, h in enumerate(S.hilbert_taps(16)) if h) + " AS im FROM sm WINDOW w AS (PARTITION BY event_type ORDER BY idx))"),
 }
