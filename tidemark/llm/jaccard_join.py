@@ -17,11 +17,12 @@ How it stays linear when copies are many:
 * lists are ordered by a frequency class from a count sketch over all
   documents, so passages that many documents share are on the lists set aside.
   The order is a function of the shingle alone, hence the search is exact
-  whatever the sketch says; the sketch has a fixed size and only saves work;
+  whatever the sketch says; the sketch grows with the text up to a fixed size and only saves work;
 * within a short list every class is first compared with one pivot (the class
   with the fewest rare shingles, which in a group of edited copies is the
   original). Only pairs that these links leave in different components are
-  compared afterwards, so a large group costs links in proportion to its size.
+  compared afterwards, so a large group costs links in proportion to its size. They
+  meet by list and class of length, as sets of very different sizes cannot be linked.
 """
 
 from __future__ import annotations
@@ -39,7 +40,8 @@ from ._hashing import Words, mix, shingle_lists, slices, text_buffers
 from ._store import materialise
 from .components import components
 
-SKETCH_BITS = 22
+#: The sketch has a cell for so many words, and two to the power of this many at least and at most.
+_WORDS_A_CELL, LEAST_SKETCH_BITS, MOST_SKETCH_BITS = 32, 16, 26
 #: A table of ids is broadcast only if it has been counted and has so many rows at most.
 BROADCAST_ROWS = 1_000_000
 #: The bitmap of shared keys has two to the power of this many bits at most.
@@ -81,9 +83,14 @@ def _profile(shingles: np.ndarray) -> bytes:
 _PER_DOCUMENT = "doc_id long, n long, cls long, profile binary, chunk int, counts binary"
 
 
-def _summarise(size: int):
+def _sketch_bits(documents: DataFrame) -> int:
+    size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(LEAST_SKETCH_BITS, min(MOST_SKETCH_BITS, (size // 6 // _WORDS_A_CELL).bit_length()))
+
+
+def _summarise(size: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch = np.zeros(1 << SKETCH_BITS, np.uint32)
+        sketch = np.zeros(1 << bits, np.uint32)
         schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()), ("profile", pa.binary()), ("chunk", pa.int32()), ("counts", pa.binary())])
         seen: set[int] = set()
         for batch in batches:
@@ -96,7 +103,7 @@ def _summarise(size: int):
                 profile.append(_profile(s) if first else None)
                 if first:
                     seen.add(d)
-                    np.add.at(sketch, (s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
+                    np.add.at(sketch, (s >> np.uint64(64 - bits)).astype(np.int64), 1)
             rows = len(n)
             yield pa.record_batch([batch.column("doc_id").cast(pa.int64()), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(profile, pa.binary()), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())], schema=schema)
         chunks = [(k, sketch[k * _CHUNK : (k + 1) * _CHUNK]) for k in range(len(sketch) // _CHUNK)]
@@ -115,22 +122,25 @@ def _add_chunks(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Re
     yield pa.record_batch([pa.array([key[0].as_py()], pa.int32()), pa.array([zlib.compress(np.minimum(total, 0xFFFFFFFF).astype(np.uint32).tobytes(), 1)], pa.binary())], names=["chunk", "counts"])
 
 
-def _frequency_classes(summary: DataFrame) -> np.ndarray:
+def _frequency_classes(summary: DataFrame, bits: int) -> np.ndarray:
     """A class for each cell of the sketch: 0 for the common run, more for cells far above the mean.
 
-    The sketch has a fixed number of cells, so what reaches the driver is bounded.
+    The sketch has a bounded number of cells, and so has what reaches the driver.
     """
     added = summary.where("chunk is not null").select("chunk", "counts").groupBy("chunk").applyInArrow(_add_chunks, "chunk int, counts binary")
-    cells = np.zeros(1 << SKETCH_BITS, np.float64)
+    cells = np.zeros(1 << bits, np.uint32)
     for row in added.toLocalIterator():
         cells[row.chunk * _CHUNK : (row.chunk + 1) * _CHUNK] = np.frombuffer(zlib.decompress(row.counts), np.uint32)
     usual = 8 + cells.mean() + 4 * np.sqrt(cells.mean())
-    return np.where(cells < usual, 0, 1 + np.floor(np.log2(np.maximum(cells, 1) / usual))).astype(np.uint8)
+    classes = np.zeros(1 << bits, np.uint8)
+    often = np.flatnonzero(cells >= usual)
+    classes[often] = 1 + np.floor(np.log2(cells[often] / usual))
+    return classes
 
 
 def _ordered(shingles: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, float]:
     """Keys of the shingles, rarest class first, and the share of rare ones."""
-    c = classes[(shingles >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
+    c = classes[(shingles >> np.uint64(65 - len(classes).bit_length())).astype(np.int64)]
     return np.sort((c.astype(np.uint64) << np.uint64(56)) | (shingles >> np.uint64(8))), float((c == 0).mean())
 
 
@@ -160,10 +170,10 @@ def _mark_bits(bits: int):
     """A task's bitmap of the keys it sees, in chunks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        there = np.zeros(1 << bits, dtype=bool)
+        packed = np.zeros(1 << (bits - 3), np.uint8)
         for batch in batches:
-            there[_cell(batch.column("key"), bits)] = True
-        packed = np.packbits(there)
+            cell = _cell(batch.column("key"), bits)
+            np.bitwise_or.at(packed, cell >> 3, (128 >> (cell & 7)).astype(np.uint8))
         chunks = [(k, packed[k * _CHUNK : (k + 1) * _CHUNK]) for k in range(-(-len(packed) // _CHUNK))]
         chunks = [(k, zlib.compress(c.tobytes(), 1)) for k, c in chunks if c.any()]
         yield pa.record_batch([pa.array([k for k, _ in chunks], pa.int32()), pa.array([c for _, c in chunks], pa.binary())], names=["chunk", "counts"])
@@ -303,6 +313,19 @@ def _side(frame: DataFrame, name: str, *more: str) -> DataFrame:
     return frame.select("key", F.col("cls").alias(name), F.col("n").alias(f"n{name}"), F.col("at").alias(f"a{name}"), *more)
 
 
+def _by_occurrences(met: DataFrame, threshold: float) -> DataFrame:
+    """Pairs ``a, b, na, nb`` whose occurrences on short lists leave the required overlap within reach.
+
+    ``met`` has a row for each pair and list that they share. What they share up to the last such list is on short lists of both,
+    so it is counted; behind it they share at most the shorter rest.
+    """
+    need = F.ceil((F.col("na") + F.col("nb")) * F.lit(threshold / (1 + threshold)) - 1e-9)
+    first = F.col("x") < F.col("y")
+    named = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), *(F.when(first, F.col(f"{c}x")).otherwise(F.col(f"{c}y")).alias(f"{c}a") for c in "na"), *(F.when(first, F.col(f"{c}y")).otherwise(F.col(f"{c}x")).alias(f"{c}b") for c in "na"))
+    counted = named.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("k"), F.max("aa").alias("la"), F.max("ab").alias("lb"))
+    return counted.where(F.col("k") + F.least(F.col("na") - 1 - F.col("la"), F.col("nb") - 1 - F.col("lb")) >= need).select("a", "b", "na", "nb")
+
+
 def _pairs(ok: DataFrame) -> DataFrame:
     """Distinct pairs ``a < b`` of columns ``x, nx, y, ny``."""
     return ok.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.when(F.col("x") < F.col("y"), F.col("nx")).otherwise(F.col("ny")).alias("na"), F.when(F.col("x") < F.col("y"), F.col("ny")).otherwise(F.col("nx")).alias("nb")).distinct()
@@ -324,9 +347,10 @@ def jaccard_components(documents: DataFrame, size: int = 5, threshold: float = 0
     """
     spark = documents.sparkSession
     documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    summary = materialise(documents.mapInArrow(_summarise(size), _PER_DOCUMENT), "summary")
+    bits = _sketch_bits(documents)
+    summary = materialise(documents.mapInArrow(_summarise(size, bits), _PER_DOCUMENT), "summary")
     members = summary.where("chunk is null").select("doc_id", "n", "cls", "profile")
-    classes = spark.sparkContext.broadcast(_frequency_classes(summary))
+    classes = spark.sparkContext.broadcast(_frequency_classes(summary, bits))
     lists = materialise(documents.select("text").mapInArrow(_short_lists(size, threshold, classes), "key long, cls long, rare float, at int"), "lists")
     shared = materialise(lists.groupBy("key").agg(F.count("*").alias("k")).where("k > 1").select("key"), "shared")
     sized = members.where("n > 0").groupBy("cls").agg(F.first("n").alias("n"))
@@ -343,9 +367,15 @@ def jaccard_components(documents: DataFrame, size: int = 5, threshold: float = 0
     by_root = placed.groupBy("key", "root").agg(F.count("*").alias("k"))
     mixed = by_root.groupBy("key").agg(F.count("*").alias("roots"), F.max(F.struct("k", "root")).getField("root").alias("main")).where("roots > 1").select("key", "main")
     apart = placed.join(mixed, "key")
-    minor = _side(apart.where("root <> main"), "x", F.col("root").alias("rx"))
-    crossing = minor.join(_side(apart, "y", F.col("root").alias("ry")), "key").where("rx <> ry").where(_alike(threshold))
-    rest = _pairs(crossing).join(stars.select("a", "b"), ["a", "b"], "left_anti")
+    # sets whose lengths are more than one class apart cannot be linked
+    length = F.floor(F.log(F.col("n")) / -math.log(threshold)).cast("int") if threshold < 1 else F.col("n")
+    minor = _side(apart.where("root <> main"), "x", F.col("root").alias("rx"), F.explode(F.array(length - 1, length, length + 1)).alias("length"))
+    others = _side(apart, "y", F.col("root").alias("ry"), (F.col("root") == F.col("main")).alias("in_main"), length.alias("length"))
+    need = F.ceil((F.col("nx") + F.col("ny")) * F.lit(threshold / (1 + threshold)) - 1e-9)
+    # each pair once a list; at a shared list they have at most as many before it, and behind it, as the one with fewer there
+    reach = F.least("ax", "ay") + F.least(F.col("nx") - F.col("ax"), F.col("ny") - F.col("ay")) >= need
+    crossing = minor.join(others, ["key", "length"]).where("rx <> ry and (in_main or x < y)").where(reach & (F.least("nx", "ny") >= F.greatest("nx", "ny") * F.lit(threshold) - 1e-9))
+    rest = _by_occurrences(crossing, threshold).join(stars.select("a", "b"), ["a", "b"], "left_anti")
     links = links.union(verifier.links(rest))
     roots = components(links)
 
