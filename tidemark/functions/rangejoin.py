@@ -15,9 +15,15 @@ def _bucket(c: Column, width: int) -> Column:
     return F.floor(c / F.lit(width))
 
 
+#: Buckets that an interval lists at a time.
+_RUN = 4096
+
+
 def spread(iv: DataFrame, width: int, start: str = "start", stop: str = "stop") -> DataFrame:
-    """One row for each bucket that an interval touches."""
-    return iv.withColumn("_b", F.explode(F.sequence(_bucket(F.col(start), width), _bucket(F.col(stop), width))))
+    """One row for each bucket that an interval touches; a long interval is spread in runs, so no array grows with it."""
+    first, last, run = _bucket(F.col(start), width), _bucket(F.col(stop), width), F.lit(_RUN)
+    runs = iv.withColumn("_r", F.explode(F.sequence(F.floor(first / run), F.floor(last / run))))
+    return runs.withColumn("_b", F.explode(F.sequence(F.greatest(first, F.col("_r") * run), F.least(last, F.col("_r") * run + run - 1)))).drop("_r")
 
 
 def points_in(points: DataFrame, iv: DataFrame, key: list[str], t: str, width: int, how: str = "inner", closed: bool = True) -> DataFrame:

@@ -1,44 +1,59 @@
-"""Groups of rows that share members, by smallest labels passed along links."""
+"""Connected groups, by alternating large and small stars."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.store import materialise
+
+
+def _both_ways(edges: DataFrame) -> DataFrame:
+    return edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
+
 
-def _written(df: DataFrame) -> DataFrame:
-    """The table, written to the folder in spark.checkpoint.dir (one of our own where unset) and read back."""
-    spark = df.sparkSession
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = f"file://{tempfile.mkdtemp(prefix='tidemark-')}"
-        spark.conf.set("spark.checkpoint.dir", named)
-    path = f"{named.rstrip('/')}/tidemark-groups-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def _large_star(edges: DataFrame) -> DataFrame:
+    near = _both_ways(edges)
+    least = near.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+    return near.where("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
 
 
-def merge_groups(pairs: DataFrame, a: str, b: str, most_rounds: int = 60) -> DataFrame:
-    """For each member of ``pairs`` the smallest member it is linked with, as ``member, root``.
+def _small_star(edges: DataFrame) -> DataFrame:
+    down = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    least = down.groupBy("u").agg(F.min("v").alias("m"))
+    moved = down.join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
+    return moved.union(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
 
-    Each round takes the smallest label among the neighbours and then the label of that
-    label, so chains halve; rounds end when no label changes.
+
+def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+    """For each node of ``edges(a, b)`` the smallest node it is connected with.
+
+    Returns ``node, root`` for every node but the roots. Edges
+    may repeat and loop; null ends are ignored. Each round rewrites the edge
+    table in the shared folder, so lineage does not grow, and moves every edge
+    towards a star around the component's smallest node; the rounds end when
+    the edges stay the same (a number of rounds that grows with the logarithm
+    of the longest chain).
     """
-    both = pairs.select(F.col(a).alias("x"), F.col(b).alias("y")).where("x is not null and y is not null")
-    links = _written(both.union(both.select("y", "x")).distinct())
-    labels = _written(links.groupBy("x").agg(F.least(F.min("y"), F.first("x")).alias("root")).withColumnRenamed("x", "member"))
+    now = materialise(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    mark = None
     for _ in range(most_rounds):
-        near = links.join(labels.withColumnRenamed("member", "y"), "y").groupBy("x").agg(F.min("root").alias("_r"))
-        step = labels.join(near, labels.member == near.x).select("member", F.least("root", "_r").alias("root"), F.col("root").alias("_old"))
-        up = step.select(F.col("member").alias("root"), F.col("root").alias("_up"))
-        jumped = _written(step.join(up, "root").select("member", F.least("root", "_up").alias("root"), "_old"))
-        labels = jumped.select("member", "root")
-        if not jumped.where("root <> _old").limit(1).count():
-            return labels
-    raise RuntimeError("the groups did not settle")
+        found = now.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.shiftright(F.xxhash64("b", "a"), 20))).first()
+        if found == mark or not found[0]:
+            return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
+        mark = found
+        large = _large_star(now).where("a <> b").distinct()
+        small = _small_star(large).where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+        now = materialise(small, "edges")
+    raise RuntimeError("the components did not settle")
+
+
+def merge_groups(pairs: DataFrame, a: str, b: str) -> DataFrame:
+    """For each member of ``pairs`` the smallest member it is linked with, as ``member, root``; a pair with a null end is none."""
+    both = pairs.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a is not null and b is not null")
+    members = both.select(F.col("a").alias("member")).union(both.select("b")).distinct()
+    roots = components(both).withColumnRenamed("node", "member")
+    return members.join(roots, "member", "left").select("member", F.coalesce("root", "member").alias("root"))
 
 
 def apply_merges(trains: DataFrame, unit: str, groups: DataFrame) -> DataFrame:

@@ -12,6 +12,10 @@ from ..functions.islands import number_islands
 from .signal import interpolate, moving_mean
 
 
+#: Edges of a track, which is a graph of a few corridors.
+MOST_EDGES = 10_000
+
+
 def speed(df: DataFrame, key: list[str], order: str, x: str, y: str, step: float) -> DataFrame:
     """Adds ``speed`` from central differences over ``order`` times ``step``, one-sided at the ends."""
     w = Window.partitionBy(*key).orderBy(order)
@@ -196,8 +200,10 @@ def edge_layout(edges: DataFrame, spacing: float) -> DataFrame:
 def linearise(df: DataFrame, track: DataFrame, key: list[str], x: str, y: str) -> DataFrame:
     """The nearest edge of the track for each row of ``key``, and the place on the line; ties go to the first edge.
 
-    The track is a handful of edges by nature and is broadcast.
+    Every row is compared with every edge of the track, which is broadcast; a track of more than ``MOST_EDGES`` is an error.
     """
+    if track.count() > MOST_EDGES:
+        raise ValueError(f"a track has at most {MOST_EDGES} edges")
     met = df.select(*key, x, y).crossJoin(F.broadcast(track))
     dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
     share = F.greatest(F.lit(0.0), F.least(F.lit(1.0), ((F.col(x) - F.col("x1")) * dx + (F.col(y) - F.col("y1")) * dy) / (dx * dx + dy * dy)))

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
+from ..functions.store import own_folder
 from ..operators import intervals as I
 from ..operators import lineage as L
 from ..operators import provenance as V
@@ -19,12 +17,6 @@ from .tables import DAY, HOUR, events, order_intervals, read, sql
 C = ["event_type"]
 
 
-def _folder(spark) -> str:
-    """A new folder in the one that the cluster shares, or in a temporary one where none is set, as in tests."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='tidemark-')}"
-    return f"{named.rstrip('/')}/tidemark-{uuid.uuid4().hex}"
-
-
 def _loaded(s, d):
     """Nations of three regions, and all customers and orders: some have no parent."""
     frames = {"nation": read(s, d, "nation").where("n_regionkey < 3"), "customer": read(s, d, "customer").where("c_acctbal > -500"), "orders": read(s, d, "orders")}
@@ -61,7 +53,7 @@ def a14_fetch(s, d):
 
 
 def a15_register(s, d):
-    made = Q.write_result(read(s, d, "orders").where("o_orderstatus = 'F'"), f"{_folder(s)}/result", "closed_orders")
+    made = Q.write_result(read(s, d, "orders").where("o_orderstatus = 'F'"), own_folder(s, "result"), "closed_orders")
     return made.select("table_name", "rows")
 
 
@@ -73,7 +65,7 @@ def _graph(s, d):
 
 def a16_export(s, d):
     cat, graph = _graph(s, d)
-    return A.export(A.export_rows(cat, graph), _folder(s)).select("table_name", "rows")
+    return A.export(A.export_rows(cat, graph), own_folder(s, "export")).select("table_name", "rows")
 
 
 def a17_split_parts(s, d):

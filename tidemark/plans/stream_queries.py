@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import micros
+from ..functions.store import own_folder
 from ..streaming import stateful as T
 from .tables import HOUR, read, sql
 
@@ -26,8 +24,7 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _run(stream: DataFrame) -> DataFrame:
     """What the stream appends, written to a folder and read again."""
     spark = stream.sparkSession
-    named = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='tidemark-')}"
-    folder = f"{named.rstrip('/')}/tidemark-stream-{uuid.uuid4().hex}"
+    folder = own_folder(spark, "stream")
     query = stream.writeStream.format("parquet").outputMode("append").option("path", f"{folder}/rows").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
     if not query.awaitTermination(_SECONDS):
         query.stop()
