@@ -1,61 +1,13 @@
-"""Intermediate tables in the folder that the whole cluster shares."""
+"""Tables, intermediate tables and carried columns of the text operators."""
 
 from __future__ import annotations
 
-import re
-import tempfile
-import uuid
-
-import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.store import clear, materialise, own_folder, shared_folder
 
-#: Folders that this driver has written and not cleared.
-_written: list[str] = []
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names.
-
-    Where it is unset, a session whose executors are the driver itself, as in tests, gets one
-    of its own; on a cluster that is an error, as executors would not see each other's files.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
-            raise ValueError("spark.checkpoint.dir must name a folder that the whole cluster shares")
-        named = f"file://{tempfile.mkdtemp(prefix='tidemark-')}"
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named.rstrip("/")
-
-
-def own_folder(spark: SparkSession, label: str) -> str:
-    """A new name in the shared folder, which ``clear`` deletes."""
-    path = f"{shared_folder(spark)}/tidemark-{label}-{uuid.uuid4().hex}"
-    _written.append(path)
-    return path
-
-
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
-
-    This cuts the lineage: whatever executor is lost later, the rows are read
-    again from the written files instead of being computed anew, and values that
-    depend on how a task saw its input (such as its partition) stay as they are.
-    """
-    spark = df.sparkSession
-    path = own_folder(spark, label)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def clear() -> None:
-    """Deletes all intermediate tables so far; results that still read them must have been written or collected."""
-    while _written:
-        store, path = pyarrow.fs.FileSystem.from_uri(_written.pop())
-        if store.get_file_info(path).type != pyarrow.fs.FileType.NotFound:
-            store.delete_dir(path)
+__all__ = ["Carried", "clear", "materialise", "own_folder", "shared_folder", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
