@@ -152,6 +152,14 @@ def test_analytic_signal_of_a_wave(spark):
     assert len(inner) == 321 and max(abs(p - 1) for p in inner) < 0.02
 
 
+def test_whitening(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(300, 3)) @ np.array([[1, 2, 0], [0, 1, 1], [0, 0, 3]])
+    df = spark.createDataFrame([(i, "abc"[c], float(x[i, c])) for i in range(300) for c in range(3)] + [(400, "a", 1.0)], "i int, c string, x double")
+    wide = K.whiten(df, "i", "c", "x", ["a", "b", "c"]).groupBy("i").pivot("c", ["a", "b", "c"]).agg(F.first("x")).toPandas()[["a", "b", "c"]].to_numpy()
+    assert wide.shape == (300, 3) and np.allclose(np.cov(wide.T, bias=True), np.eye(3), atol=1e-6)
+
+
 def test_names_are_taken_apart(spark):
     names = spark.createDataFrame([(" Ann Lee ",), ("Lee, Ann B",), ("Ann B Lee",), ("Lee,Ann",), (None,), ("a, b, c",)], "n string")
     got = [tuple(r.p) if r.p else None for r in names.select(Q.name_parts(F.col("n")).alias("p")).collect()]

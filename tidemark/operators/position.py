@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import no_nan
 from ..functions.islands import number_islands
-from .signal import interpolate, moving_mean
+from .signal import gaussian, interpolate, moving_mean, unwrap
 
 
 #: Edges of a track, which is a graph of a few corridors.
@@ -143,6 +143,32 @@ def two_point_track(df: DataFrame, key: list[str], t: str, one: tuple[str, str],
     return n.withColumn("speed", F.sqrt(F.col("vx") * F.col("vx") + F.col("vy") * F.col("vy")))
 
 
+def orientation_track(df: DataFrame, key: list[str], order: str, angle: str, sigma: float) -> DataFrame:
+    """An orientation without turns' jumps, its gaps filled, smoothed and wrapped to half a turn either way, as ``smoothed``."""
+    rows = unwrap(df, key, order, angle, "_u")
+    rows = gaussian(interpolate(rows, key, order, "_u", "_f"), key, order, "_f", sigma, name="_s")
+    return rows.withColumn("smoothed", F.atan2(F.sin("_s"), F.cos("_s"))).drop("_u", "_f", "_s")
+
+
+def centroid_track(df: DataFrame, key: list[str], order: str, points: list[tuple[str, str]], limit: float, width: int, step: float) -> DataFrame:
+    """The centroid with gaps filled and a mean of ``width`` rows, and its speed: ``cx, cy, speed``."""
+    rows = centroid(df, points, limit)
+    for c in ("cx", "cy"):
+        rows = moving_mean(interpolate(rows, key, order, c, c), key, order, c, width, c)
+    return speed(rows, key, order, "cx", "cy", step)
+
+
+def numbered_track(track: DataFrame, key: list[str], t: str) -> DataFrame:
+    """A two-point track with the number of each row's video frame, from 0, and its speed's components named as in the later version."""
+    frames = F.row_number().over(Window.partitionBy(*key).orderBy(t)) - 1
+    return track.withColumn("video_frame", frames).withColumnsRenamed({"vx": "velocity_x", "vy": "velocity_y"})
+
+
+def behaviour_rows(df: DataFrame, key: list[str], syllable: str, values: list[str], digits: int = 4) -> DataFrame:
+    """Behaviour results as rows, their numbers rounded."""
+    return df.select(*key, syllable, *(F.round(v, digits).alias(v) for v in values))
+
+
 def frame_times(poses: DataFrame, video: DataFrame, positions: DataFrame, frame: str, t: str) -> DataFrame:
     """Poses with the time of their video frame, from the first frame at or after the first position; ``video(frame, t)`` lists the frames. Frames without a time go."""
     first = positions.agg(F.min(t).alias("_first"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -321,3 +322,38 @@ def training_mask(position: DataFrame, encoding: DataFrame, key: list[str], t: s
 def signed_distance(decoded: DataFrame, place: str, at: str, heading: str) -> DataFrame:
     """Adds ``ahead``: how far the decoded place is from the actual one, positive in the direction of the heading (its sign)."""
     return decoded.withColumn("ahead", (F.col(place) - F.col(at)) * F.signum(heading))
+
+
+def full_waveform(waves: DataFrame, spike: str, samples: str, channels: int) -> DataFrame:
+    """Each spike's samples of all channels in one array, channel by channel."""
+    places = F.sequence(F.lit(0), (F.size(samples) / channels).cast("int") - 1)
+    one = lambda k: F.transform(places, lambda i: F.col(samples)[i * channels + k])
+    return waves.select(spike, F.flatten(F.array(*(one(k) for k in range(channels)))).alias("feature"))
+
+
+def clusterless_likelihood(decode: DataFrame, encode: DataFrame, key: list[str], mark: str, bin_: str, spread: float, reach: int = 4) -> DataFrame:
+    """For each spike of ``decode`` and position bin the sum of Gaussian kernels of the marks of ``encode`` within ``reach`` spreads.
+
+    The marks meet by an equi-join on bands of that width. A bin without a mark nearby has no row.
+    """
+    width = reach * spread
+    near = encode.select(bin_, F.col(mark).alias("_m"), F.explode(F.array(*(F.floor(F.col(mark) / width) + k for k in (-1, 0, 1)))).alias("_b"))
+    met = decode.select(*key, mark, F.floor(F.col(mark) / width).alias("_b")).join(near, "_b").withColumn("_d", (F.col(mark) - F.col("_m")) / spread)
+    return met.where(F.abs("_d") <= reach).groupBy(*key, bin_).agg(F.sum(F.exp(-F.col("_d") * F.col("_d") / 2)).alias("likelihood"))
+
+
+def whiten(df: DataFrame, idx: str, channel: str, value: str, channels: list, floor: float = 1e-9) -> DataFrame:
+    """Decorrelates the channels: the covariance is summed over all samples, only its root (channels by channels) is made on the driver.
+
+    Samples that lack a channel are left out. Returns ``idx, channel, value``.
+    """
+    wide = df.groupBy(idx).pivot(channel, channels).agg(F.first(value)).dropna()
+    names = [c for c in wide.columns if c != idx]
+    sums = wide.agg(*(F.covar_pop(f"`{a}`", f"`{b}`").alias(f"c{i}_{j}") for i, a in enumerate(names) for j, b in enumerate(names)), *(F.avg(f"`{a}`").alias(f"m{i}") for i, a in enumerate(names))).first()
+    n = len(names)
+    if sums["m0"] is None:
+        return wide.select(idx, F.lit(None).cast(df.schema[channel].dataType).alias(channel), F.lit(0.0).alias(value)).limit(0)
+    values, vectors = np.linalg.eigh(np.array([[sums[f"c{i}_{j}"] for j in range(n)] for i in range(n)]))
+    root = vectors @ np.diag(1 / np.sqrt(np.maximum(values, floor))) @ vectors.T
+    made = [F.struct(F.lit(channels[i]).alias(channel), sum((F.col(f"`{b}`") - sums[f"m{j}"]) * float(root[i, j]) for j, b in enumerate(names)).alias(value)) for i in range(n)]
+    return wide.select(idx, F.inline(F.array(*made)))

@@ -228,7 +228,7 @@ def p1_two_point_track(s, d):
     w = Window.partitionBy("user_id").orderBy("idx")
     two = _xy(s, d).withColumn("x2", F.lag("x").over(w)).withColumn("y2", F.lag("y").over(w))
     track = P.two_point_track(two, ["user_id"], "idx", ("x", "y"), ("x2", "y2"), 0.5, 60.0, 40.0, 3, 1.0)
-    return track.select("user_id", "idx", *(F.round(c, 6).alias(c) for c in ("x", "y", "speed")))
+    return track.select("user_id", "idx", *(F.round(c, 10).alias(c) for c in ("x", "y", "speed")))
 
 
 def p19_cohort(s, d):
@@ -269,7 +269,47 @@ def l3_linear_slice(s, d):
     return part.select("user_id", "idx", "x").join(linear.select("user_id", "idx", "edge", F.round("linear", 5).alias("linear")), ["user_id", "idx"])
 
 
-QUERIES = {f.__name__: f for f in (k1_spike_samples, k3_firing_rate, k7_model_range, k8_annotations, k11_curations, k13_merge_candidates, k16_snr, k21_burst_pairs, w2_peak_amplitude, w2_middle_amplitude, k26_amplitudes, w4_location, w6_features, w9_electrode_marks, k27_field_order, k28_sort_group_info, k30_reviews, b1_training_mask, b5_interval_decode, b7_ahead, e2_consensus_ripples, e3_channel_ripples, e6_ripple_inputs, f15_analytic, f16_phase, f22_upsample, f33_band_pass, p6_frame_times, p14_bisector, p17_four_points, p1_two_point_track, p19_cohort, p20_with_orientation, p23_normalise, p24_keypoints, p27_pose_group, l3_linear_slice)}
+def p16_orientation(s, d):
+    a = _xy(s, d).select("user_id", "idx", F.when(F.col("idx") % 6 != 0, (F.col("x") % 100) * (2 * math.pi / 100) - math.pi).alias("a"))
+    track = P.orientation_track(a, ["user_id"], "idx", "a", 1.0)  # compared by its sine, as half a turn has two names
+    return track.select("user_id", "idx", F.round(F.sin("smoothed"), 4).alias("sine"))
+
+
+def p18_centroid_track(s, d):
+    w = Window.partitionBy("user_id").orderBy("idx")
+    two = _xy(s, d).withColumn("x2", F.lag("x").over(w)).withColumn("y2", F.lag("y").over(w))
+    return P.centroid_track(two, ["user_id"], "idx", [("x", "y"), ("x2", "y2")], 50.0, 3, 1.0).select("user_id", "idx", *(F.round(c, 10).alias(c) for c in ("cx", "cy", "speed")))
+
+
+def p22_numbered_track(s, d):
+    w = Window.partitionBy("user_id").orderBy("idx")
+    two = _xy(s, d).withColumn("x2", F.lag("x").over(w)).withColumn("y2", F.lag("y").over(w))
+    track = P.numbered_track(P.two_point_track(two, ["user_id"], "idx", ("x", "y"), ("x2", "y2"), 0.5, 60.0, 40.0, 3, 1.0), ["user_id"], "idx")
+    return track.select("user_id", "video_frame", F.round("velocity_x", 10).alias("velocity_x"))
+
+
+def p25_behaviour_rows(s, d):
+    ev = events(s, d).withColumn("heading", F.col("value") / 7).withColumn("state", F.col("value") / 3)
+    return P.behaviour_rows(ev, ["event_id"], "event_type", ["heading", "state"])
+
+
+def w3_full_waveform(s, d):
+    return K.full_waveform(_waves(s, d), "vec_id", "w", 4).select("vec_id", F.array_join("feature", ",").alias("feature"))
+
+
+def b8_clusterless(s, d):
+    ev = events(s, d).where("user_id is not null").select("event_id", (F.col("user_id") % 10).alias("bin"), "value")
+    found = K.clusterless_likelihood(ev.where("event_id % 20 = 1"), ev.where("event_id % 2 = 0"), ["event_id"], "value", "bin", 0.25)
+    return found.select("event_id", "bin", F.round("likelihood", 6).alias("likelihood"))
+
+
+def f35_whitening(s, d):
+    days = events(s, d).groupBy(F.floor(F.col("t") / DAY).alias("day"), "event_type").agg(F.avg("value").alias("value"))
+    kinds = [r[0] for r in days.select("event_type").distinct().orderBy("event_type").collect()]
+    return K.whiten(days, "day", "event_type", "value", kinds)
+
+
+QUERIES = {f.__name__: f for f in (p16_orientation, p18_centroid_track, p22_numbered_track, p25_behaviour_rows, w3_full_waveform, b8_clusterless, f35_whitening, k1_spike_samples, k3_firing_rate, k7_model_range, k8_annotations, k11_curations, k13_merge_candidates, k16_snr, k21_burst_pairs, w2_peak_amplitude, w2_middle_amplitude, k26_amplitudes, w4_location, w6_features, w9_electrode_marks, k27_field_order, k28_sort_group_info, k30_reviews, b1_training_mask, b5_interval_decode, b7_ahead, e2_consensus_ripples, e3_channel_ripples, e6_ripple_inputs, f15_analytic, f16_phase, f22_upsample, f33_band_pass, p6_frame_times, p14_bisector, p17_four_points, p1_two_point_track, p19_cohort, p20_with_orientation, p23_normalise, p24_keypoints, p27_pose_group, l3_linear_slice)}
 
 
 def _fir(taps: list[float], name: str) -> str:
@@ -354,6 +394,21 @@ a4 AS (SELECT *, {", ".join(f"last_value({v} IGNORE NULLS) OVER p AS {v}l, last_
 WINDOW p AS (PARTITION BY user_id ORDER BY idx ROWS UNBOUNDED PRECEDING), n AS (PARTITION BY user_id ORDER BY idx ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)), a5 AS (SELECT user_id, idx, {", ".join(f"coalesce({v}, {v}l + ({v}r - {v}l) * ((idx - {v}i) / ({v}j - {v}i))) AS {v}" for v in "abcd")} FROM a4),
 a6 AS (SELECT user_id, idx, {", ".join(f"avg({v}) OVER m AS {v}" for v in "abcd")} FROM a5 WINDOW m AS (PARTITION BY user_id ORDER BY idx ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)), a7 AS (SELECT user_id, idx, (a + c) / 2 AS x, (b + d) / 2 AS y, row_number() OVER (PARTITION BY user_id ORDER BY idx) AS n FROM a6),
 a8 AS (SELECT *, greatest(1, coalesce(lead(n) OVER w, n) - coalesce(lag(n) OVER w, n)) AS s, coalesce(lead(x) OVER w, x) - coalesce(lag(x) OVER w, x) AS dx, coalesce(lead(y) OVER w, y) - coalesce(lag(y) OVER w, y) AS dy FROM a7 WINDOW w AS (PARTITION BY user_id ORDER BY idx))
-SELECT user_id, idx, round(x, 6) AS x, round(y, 6) AS y, round(sqrt(dx / s * (dx / s) + dy / s * (dy / s)), 6) AS speed FROM a8"""),
+SELECT user_id, idx, round(x, 10) AS x, round(y, 10) AS y, round(sqrt(dx / s * (dx / s) + dy / s * (dy / s)), 10) AS speed FROM a8"""),
     "l3_linear_slice": SIGNAL["l1_linearise"].replace("SELECT user_id, idx, arg_min", f", q AS (SELECT min(t) + {5 * DAY} AS a, max(t) - {5 * DAY} AS b FROM ev), l AS (SELECT user_id, idx, arg_min").replace("AS linear FROM m GROUP BY user_id, idx", "AS linear FROM m GROUP BY user_id, idx) SELECT l.user_id, l.idx, xy.x, l.edge, l.linear FROM l JOIN xy ON xy.user_id = l.user_id AND xy.idx = l.idx, q WHERE t BETWEEN a AND b"),
+    "p16_orientation": sql(f"""{_XY}, a AS (SELECT user_id, idx, CASE WHEN idx % 6 <> 0 THEN (x % 100) * {2 * math.pi / 100!r} - {math.pi!r} END AS a FROM xy), l AS (SELECT *, last_value(a IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p FROM a),
+u AS (SELECT user_id, idx, a - {2 * math.pi!r} * sum(coalesce(round((a - p) / {2 * math.pi!r}), 0)) OVER (PARTITION BY user_id ORDER BY idx ROWS UNBOUNDED PRECEDING) AS u FROM l),
+z AS (SELECT *, last_value(u IGNORE NULLS) OVER q AS ul, last_value(CASE WHEN u IS NOT NULL THEN idx END IGNORE NULLS) OVER q AS ui, first_value(u IGNORE NULLS) OVER n AS ur, first_value(CASE WHEN u IS NOT NULL THEN idx END IGNORE NULLS) OVER n AS uj FROM u
+WINDOW q AS (PARTITION BY user_id ORDER BY idx ROWS UNBOUNDED PRECEDING), n AS (PARTITION BY user_id ORDER BY idx ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)), f AS (SELECT user_id, idx, coalesce(u, ul + (ur - ul) * ((idx - ui) / (uj - ui))) AS f FROM z), {smoothed("f", "sg", "f", "idx", 1.0, "user_id")} SELECT user_id, idx, round(sin(y), 4) AS sine FROM sg"""),
+    "p18_centroid_track": sql(f"""{_XY}, z AS (SELECT user_id, idx, x, y, lag(x) OVER w AS x2, lag(y) OVER w AS y2 FROM xy WINDOW w AS (PARTITION BY user_id ORDER BY idx)), q AS (SELECT *, sqrt((x - x2) * (x - x2) + (y - y2) * (y - y2)) AS far FROM z),
+c AS (SELECT user_id, idx, CASE WHEN x2 IS NULL THEN x WHEN far < 50 THEN (x + x2) / 2 END AS a, CASE WHEN x2 IS NULL THEN y WHEN far < 50 THEN (y + y2) / 2 END AS b FROM q),
+i AS (SELECT *, {", ".join(f"last_value({v} IGNORE NULLS) OVER p AS {v}l, last_value(CASE WHEN {v} IS NOT NULL THEN idx END IGNORE NULLS) OVER p AS {v}i, first_value({v} IGNORE NULLS) OVER n AS {v}r, first_value(CASE WHEN {v} IS NOT NULL THEN idx END IGNORE NULLS) OVER n AS {v}j" for v in "ab")} FROM c
+WINDOW p AS (PARTITION BY user_id ORDER BY idx ROWS UNBOUNDED PRECEDING), n AS (PARTITION BY user_id ORDER BY idx ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)), f AS (SELECT user_id, idx, {", ".join(f"coalesce({v}, {v}l + ({v}r - {v}l) * ((idx - {v}i) / ({v}j - {v}i))) AS {v}" for v in "ab")} FROM i),
+m AS (SELECT user_id, idx, avg(a) OVER w AS x, avg(b) OVER w AS y FROM f WINDOW w AS (PARTITION BY user_id ORDER BY idx ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)),
+v AS (SELECT *, nullif(coalesce(lead(idx) OVER w, idx) - coalesce(lag(idx) OVER w, idx), 0) AS s, coalesce(lead(x) OVER w, x) - coalesce(lag(x) OVER w, x) AS dx, coalesce(lead(y) OVER w, y) - coalesce(lag(y) OVER w, y) AS dy FROM m WINDOW w AS (PARTITION BY user_id ORDER BY idx))
+SELECT user_id, idx, round(x, 10) AS cx, round(y, 10) AS cy, round(sqrt(dx / s * (dx / s) + dy / s * (dy / s)), 10) AS speed FROM v"""),
+    "p25_behaviour_rows": "SELECT event_id, event_type, round(value / 7, 4) AS heading, round(value / 3, 4) AS state FROM events",
+    "w3_full_waveform": f"WITH {_W} SELECT vec_id, string_agg(x::VARCHAR, ',' ORDER BY place % 4, place) AS feature FROM w GROUP BY vec_id",
+    "b8_clusterless": "WITH e AS (SELECT user_id % 10 AS bin, value AS m FROM events WHERE user_id IS NOT NULL AND event_id % 2 = 0), d AS (SELECT event_id, value FROM events WHERE user_id IS NOT NULL AND event_id % 20 = 1) SELECT event_id, bin, round(sum(exp(-((value - m) / 0.25) * ((value - m) / 0.25) / 2)), 6) AS likelihood FROM d JOIN e ON abs((value - m) / 0.25) <= 4 GROUP BY ALL",
 }
+ORACLES["p22_numbered_track"] = ORACLES["p1_two_point_track"].replace("SELECT user_id, idx, round(x, 10) AS x, round(y, 10) AS y, round(sqrt(dx / s * (dx / s) + dy / s * (dy / s)), 10) AS speed FROM a8", "SELECT user_id, (n - 1)::INT AS video_frame, round(dx / s, 10) AS velocity_x FROM a8")
