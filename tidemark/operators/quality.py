@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.manifest import write_result  # noqa: F401
+
 #: Steps of the unit of storage.
 UNITS = ("B", "KiB", "MiB", "GiB", "TiB", "PiB")
 
@@ -159,12 +161,3 @@ def unique_ids(df: DataFrame, id_: str, *order: str) -> DataFrame:
 def delete_eligible(df: DataFrame, matched: Column, created: str, before: Column, size: str) -> DataFrame:
     """Number and total size of matched files created before a time."""
     return df.where(matched & (F.col(created) < before)).agg(F.count("*").alias("files"), F.coalesce(F.round(F.sum(size), 2), F.lit(0.0)).alias("total"))
-
-
-def write_result(df: DataFrame, path: str, table: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Writes a result as Parquet and returns its manifest row: path, table, rows and a hash free of order."""
-    writer = df.write.mode("errorifexists")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    back = df.sparkSession.read.parquet(path)
-    digest = F.bit_xor(F.xxhash64(*[F.col(c) for c in sorted(back.columns)]))
-    return back.agg(F.lit(path).alias("path"), F.lit(table).alias("table_name"), F.count("*").alias("rows"), digest.alias("contents_hash"))

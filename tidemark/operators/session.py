@@ -1,14 +1,13 @@
-"""Sessions: loading tables in order, importing series, fetching, registering and exporting results."""
+"""Sessions: loading tables in order, importing series, electrodes and groups."""
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .lineage import Catalogue, bridge
-from .quality import write_result
 from .signal import sampling_rate, valid_intervals
 
 
@@ -79,22 +78,6 @@ def task_epochs(tasks: DataFrame, key: str, epochs: str, cameras: str, intervals
     return rows.drop(cameras).join(listed, key, "left")
 
 
-def fetch(spark: SparkSession, manifest: DataFrame, key: dict[str, object]) -> DataFrame:
-    """The frame of the one manifest row that has the key's values; none or several are an error."""
-    rows = manifest
-    for name, value in key.items():
-        rows = rows.where(F.col(name) == F.lit(value))
-    found = rows.select("path").limit(2).collect()
-    if len(found) != 1:
-        raise ValueError(f"{'no' if not found else 'more than one'} entry for {key}")
-    return spark.read.parquet(found[0].path)
-
-
-def export(frames: dict[str, DataFrame], path: str) -> DataFrame:
-    """Writes each restricted table below ``path`` and returns the manifest of what was written; empty tables are written too."""
-    return reduce(DataFrame.union, (write_result(df, f"{path}/{name}", name) for name, df in sorted(frames.items())))
-
-
 def export_rows(catalogue: Catalogue, restricted: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The whole rows of the tables of a restricted graph."""
     return {n: bridge(catalogue.read(n), df, {k: k for k in catalogue.specs[n].key}) for n, df in restricted.items()}

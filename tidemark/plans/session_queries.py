@@ -11,6 +11,7 @@ from ..operators import provenance as V
 from ..operators import quality as Q
 from ..operators import session as A
 from ..operators import signal as S
+from ..sources import manifest as M
 from .interval_queries import _SAMPLES, _samples
 from .tables import DAY, HOUR, events, order_intervals, read, sql
 
@@ -49,11 +50,11 @@ def a11_position_sources(s, d):
 
 def a14_fetch(s, d):
     manifest = s.createDataFrame([(n, f"{d}/{n}.parquet") for n in ("nation", "region")], "name string, path string")
-    return A.fetch(s, manifest, {"name": "nation"})
+    return M.fetch(s, manifest, {"name": "nation"})
 
 
 def a15_register(s, d):
-    made = Q.write_result(read(s, d, "orders").where("o_orderstatus = 'F'"), own_folder(s, "result"), "closed_orders")
+    made = M.write_result(read(s, d, "orders").where("o_orderstatus = 'F'"), own_folder(s, "result"), "closed_orders")
     return made.select("table_name", "rows")
 
 
@@ -65,7 +66,7 @@ def _graph(s, d):
 
 def a16_export(s, d):
     cat, graph = _graph(s, d)
-    return A.export(A.export_rows(cat, graph), own_folder(s, "export")).select("table_name", "rows")
+    return M.export(A.export_rows(cat, graph), own_folder(s, "export")).select("table_name", "rows")
 
 
 def a17_split_parts(s, d):
