@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.blocks import blockwise
 from ..functions.islands import mask_runs
 from ..functions.rangejoin import points_in
 from .intervals import DAY, merge_touching
@@ -18,10 +19,14 @@ def threshold_events(df: DataFrame, key: list[str], idx: str, t: str, value: str
     return found.where((F.col("peak") >= high) & (F.col("samples") >= least)).drop("run")
 
 
-def peaks(df: DataFrame, key: list[str], idx: str, value: str, threshold: float, reach: int) -> DataFrame:
-    """Samples at or above ``threshold`` that none within ``reach`` exceeds."""
-    w = Window.partitionBy(*key).orderBy(idx).rowsBetween(-reach, reach)
-    return df.withColumn("_m", F.max(value).over(w)).where((F.col(value) >= threshold) & (F.col(value) == F.col("_m"))).drop("_m")
+def peaks(df: DataFrame, key: list[str], idx: str, value: str, threshold: float, reach: int, block: int | None = None) -> DataFrame:
+    """Samples at or above ``threshold`` that none within ``reach`` exceeds; with ``block``, for samples numbered without gaps, a series is worked on in blocks."""
+
+    def marked(d: DataFrame, own: list[str]) -> DataFrame:
+        return d.withColumn("_m", F.max(value).over(Window.partitionBy(*own).orderBy(idx).rowsBetween(-reach, reach)))
+
+    rows = blockwise(df, key, idx, reach, marked, block) if block else marked(df, key)
+    return rows.where((F.col(value) >= threshold) & (F.col(value) == F.col("_m"))).drop("_m")
 
 
 def consensus_trace(envelopes: DataFrame, key: list[str], channel: str, idx: str, value: str, sigma: float) -> DataFrame:

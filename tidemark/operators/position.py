@@ -7,6 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.blocks import blockwise
 from ..functions.columns import no_nan
 from ..functions.islands import number_islands
 from .signal import gaussian, interpolate, moving_mean, unwrap
@@ -16,8 +17,10 @@ from .signal import gaussian, interpolate, moving_mean, unwrap
 MOST_EDGES = 10_000
 
 
-def speed(df: DataFrame, key: list[str], order: str, x: str, y: str, step: float) -> DataFrame:
-    """Adds ``speed`` from central differences over ``order`` times ``step``, one-sided at the ends."""
+def speed(df: DataFrame, key: list[str], order: str, x: str, y: str, step: float, block: int | None = None) -> DataFrame:
+    """Adds ``speed`` from central differences over ``order`` times ``step``, one-sided at the ends; with ``block``, for an order without gaps, in blocks."""
+    if block:
+        return blockwise(df, key, order, 1, lambda d, k: speed(d, k, order, x, y, step), block)
     w = Window.partitionBy(*key).orderBy(order)
     ahead, back = (lambda c: F.coalesce(F.lead(c).over(w), F.col(c))), (lambda c: F.coalesce(F.lag(c).over(w), F.col(c)))
     span = F.nullif((ahead(order) - back(order)) * F.lit(step), F.lit(0.0))

@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.blocks import blockwise
 from ..functions.columns import no_nan
 from ..functions.islands import number_islands
 from .intervals import add_removal_window, consolidate, from_indices, subtract
@@ -60,8 +61,13 @@ def valid_intervals(df: DataFrame, key: list[str], t: str, gap: Column | int, le
     return found.join(whole, key).where((F.col("stop") - F.col("start")) > longer).select(*key, "start", "stop")
 
 
-def fir_small(df: DataFrame, key: list[str], order: str, value: str, taps: list[float], name: str = "filtered") -> DataFrame:
-    """Zero-phase FIR filter by a weighted sum of neighbours; beyond the ends samples count as zero."""
+def fir_small(df: DataFrame, key: list[str], order: str, value: str, taps: list[float], name: str = "filtered", block: int | None = None) -> DataFrame:
+    """Zero-phase FIR filter by a weighted sum of neighbours; beyond the ends samples count as zero.
+
+    With ``block``, for an order that numbers the rows without gaps, a series is worked on in blocks.
+    """
+    if block:
+        return blockwise(df, key, order, len(taps), lambda d, k: fir_small(d, k, order, value, taps, name), block)
     delay = (len(taps) - 1) // 2
     w = _w(key, order)
     total = None
@@ -101,8 +107,10 @@ def fir_blocks(df: DataFrame, key: list[str], idx: str, value: str, taps: list[f
     return dealt.groupBy(*key, "_block").applyInPandas(run, schema).withColumnRenamed("_i", idx)
 
 
-def decimate(df: DataFrame, key: list[str], order: str, every: int) -> DataFrame:
-    """Every ``every``-th row of a key, from the first."""
+def decimate(df: DataFrame, key: list[str], order: str, every: int, numbered: bool = False) -> DataFrame:
+    """Every ``every``-th row of a key, from the first; if the order numbers the rows from 0 without gaps, by that number alone."""
+    if numbered:
+        return df.where(F.col(order) % every == 0)
     return df.withColumn("_n", F.row_number().over(_w(key, order)) - 1).where(F.col("_n") % every == 0).drop("_n")
 
 
@@ -117,9 +125,14 @@ def common_reference(df: DataFrame, at: list[str], value: str) -> DataFrame:
     return df.withColumn(value, F.col(value) - F.percentile(value, 0.5).over(Window.partitionBy(*at)))
 
 
-def gaussian(df: DataFrame, key: list[str], order: str, value: str, sigma: float, truncate: float = 4.0, name: str = "smooth") -> DataFrame:
-    """Gaussian smoothing with ``sigma`` in rows; the weights are those of the rows that are there."""
+def gaussian(df: DataFrame, key: list[str], order: str, value: str, sigma: float, truncate: float = 4.0, name: str = "smooth", block: int | None = None) -> DataFrame:
+    """Gaussian smoothing with ``sigma`` in rows; the weights are those of the rows that are there.
+
+    With ``block``, for an order that numbers the rows without gaps, a series is worked on in blocks.
+    """
     reach = int(truncate * sigma + 0.5)
+    if block:
+        return blockwise(df, key, order, reach, lambda d, k: gaussian(d, k, order, value, sigma, truncate, name), block)
     weights = [math.exp(-0.5 * (k / sigma) ** 2) for k in range(-reach, reach + 1)]
     w = _w(key, order)
     top, low = None, None
@@ -130,8 +143,10 @@ def gaussian(df: DataFrame, key: list[str], order: str, value: str, sigma: float
     return df.withColumn(name, top / low)
 
 
-def moving_mean(df: DataFrame, key: list[str], order: str, value: str, width: int, name: str = "mean") -> DataFrame:
-    """Mean of this and the ``width - 1`` rows before it; NaN and null are left out."""
+def moving_mean(df: DataFrame, key: list[str], order: str, value: str, width: int, name: str = "mean", block: int | None = None) -> DataFrame:
+    """Mean of this and the ``width - 1`` rows before it; NaN and null are left out. With ``block`` as in ``gaussian``."""
+    if block:
+        return blockwise(df, key, order, width, lambda d, k: moving_mean(d, k, order, value, width, name), block)
     return df.withColumn(name, F.avg(no_nan(F.col(value))).over(_w(key, order, 1 - width, 0)))
 
 
@@ -197,14 +212,18 @@ def mad_outliers(df: DataFrame, key: list[str], value: str, threshold: float, na
     return rows.join(mad, key).withColumn(name, F.col("_dev") / scale > threshold).drop("_med", "_dev", "_mad")
 
 
-def difference_artifacts(df: DataFrame, key: list[str], channel: str, idx: str, value: str, first: float, second: float, share: float = 1.0, box: int = 15, reach: int = 3) -> DataFrame:
-    """Sample numbers where enough channels jump: the sum of successive differences over ``box`` samples is above ``first``, and so is the local range above ``second``."""
-    own = [*key, channel]
+def difference_artifacts(df: DataFrame, key: list[str], channel: str, idx: str, value: str, first: float, second: float, share: float = 1.0, box: int = 15, reach: int = 3, block: int | None = None) -> DataFrame:
+    """Sample numbers (without gaps) where enough channels jump: the sum of successive differences over ``box`` samples is above ``first``, and so is the local range above ``second``."""
     half = box // 2
-    rows = df.withColumn("_d", F.coalesce(F.col(value) - F.lag(value).over(_w(own, idx)), F.lit(0.0)))
-    rows = rows.withColumn("_s", F.abs(F.sum("_d").over(_w(own, idx, -half, half))))
-    near = _w(own, idx, -reach, reach - 1)
-    rows = rows.withColumn("_r", F.max(value).over(near) - F.min(value).over(near))
+
+    def measured(d: DataFrame, own: list[str]) -> DataFrame:
+        d = d.withColumn("_d", F.coalesce(F.col(value) - F.lag(value).over(_w(own, idx)), F.lit(0.0)))
+        d = d.withColumn("_s", F.abs(F.sum("_d").over(_w(own, idx, -half, half))))
+        near = _w(own, idx, -reach, reach - 1)
+        return d.withColumn("_r", F.max(value).over(near) - F.min(value).over(near))
+
+    own = [*key, channel]
+    rows = blockwise(df, own, idx, half + reach + 1, measured, block) if block else measured(df, own)
     n = rows.groupBy(*key, idx).agg(F.count("*").alias("_n"), F.count(F.when((F.col("_s") > first) & (F.col("_r") > second), 1)).alias("_k"))
     return n.where(F.col("_k") >= F.ceil(F.col("_n") * share)).where(F.col(idx) > reach).select(*key, idx)
 

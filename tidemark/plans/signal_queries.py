@@ -7,6 +7,7 @@ import math
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..functions.blocks import BLOCK
 from ..operators import events as E
 from ..operators import position as P
 from ..operators import signal as S
@@ -35,7 +36,7 @@ def f2_valid_intervals(s, d):
 
 
 def f6_fir(s, d):
-    return S.fir_small(_samples(s, d), C, "idx", "value", TAPS).select("event_type", "idx", F.round("filtered", 6).alias("filtered"))
+    return S.fir_small(_samples(s, d), C, "idx", "value", TAPS, block=BLOCK).select("event_type", "idx", F.round("filtered", 6).alias("filtered"))
 
 
 def f6_fir_blocks(s, d):
@@ -43,7 +44,7 @@ def f6_fir_blocks(s, d):
 
 
 def f7_decimate(s, d):
-    return S.decimate(S.fir_small(_samples(s, d), C, "idx", "value", TAPS), C, "idx", 10).select("event_type", "idx", F.round("filtered", 6).alias("filtered"))
+    return S.decimate(S.fir_small(_samples(s, d), C, "idx", "value", TAPS, block=BLOCK), C, "idx", 10, numbered=True).select("event_type", "idx", F.round("filtered", 6).alias("filtered"))
 
 
 def _hourly(s, d):
@@ -60,11 +61,11 @@ def f12_re_reference(s, d):
 
 
 def f18_gaussian(s, d):
-    return S.gaussian(_samples(s, d), C, "idx", "value", 1.5).select("event_type", "idx", F.round("smooth", 6).alias("smooth"))
+    return S.gaussian(_samples(s, d), C, "idx", "value", 1.5, block=BLOCK).select("event_type", "idx", F.round("smooth", 6).alias("smooth"))
 
 
 def f19_moving_mean(s, d):
-    return S.moving_mean(_holes(s, d), C, "idx", "value", 8).select("event_type", "idx", F.round("mean", 6).alias("mean"))
+    return S.moving_mean(_holes(s, d), C, "idx", "value", 8, block=BLOCK).select("event_type", "idx", F.round("mean", 6).alias("mean"))
 
 
 def f20_interpolate(s, d):
@@ -97,7 +98,7 @@ def f26_zscore(s, d):
 
 
 def f27_difference_artifacts(s, d):
-    return S.difference_artifacts(_samples(s, d).withColumn("g", F.lit(0)), ["g"], "event_type", "idx", "value", 60, 80, 0.4)
+    return S.difference_artifacts(_samples(s, d).withColumn("g", F.lit(0)), ["g"], "event_type", "idx", "value", 60, 80, 0.4, block=BLOCK)
 
 
 def f28_mad(s, d):
@@ -130,7 +131,7 @@ def e4_threshold_events(s, d):
 
 
 def e8_peaks(s, d):
-    return E.peaks(_samples(s, d), C, "idx", "value", 85, 3).select("event_type", "idx", "value")
+    return E.peaks(_samples(s, d), C, "idx", "value", 85, 3, BLOCK).select("event_type", "idx", "value")
 
 
 def _xy(s, d):
@@ -143,7 +144,7 @@ _XY = "xy AS (SELECT user_id, t, row_number() OVER (PARTITION BY user_id ORDER B
 
 
 def p3_speed(s, d):
-    return P.speed(_xy(s, d), ["user_id"], "idx", "x", "y", 1.0).select("user_id", "idx", F.round("speed", 5).alias("speed"))
+    return P.speed(_xy(s, d), ["user_id"], "idx", "x", "y", 1.0, BLOCK).select("user_id", "idx", F.round("speed", 5).alias("speed"))
 
 
 def p5_to_cm(s, d):
