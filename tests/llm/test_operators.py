@@ -514,6 +514,48 @@ def test_toxicity(spark, odd, empty):
     assert toxicity.score_toxicity(docs, none).agg(F.max("score")).first()[0] == 0
 
 
+def brute_toxicity(text, model):
+    """The noisy-or over sentences, n-gram by n-gram."""
+    folded = bytes(int(toxicity._FOLD[b]) for b in (text or "").encode())
+    raw, ends = (text or "").encode(), []
+    for k, byte in enumerate(raw):
+        if byte in b".!?\n":
+            ends.append(k + 1)
+    bounds = sorted({0, *ends, len(raw)})
+    clean = 1.0
+    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+        found = set()
+        for size in toxicity.GRAMS:
+            for k in range(a, b - size + 1):
+                if 0x20 in folded[k + 1 : k + size - 1]:
+                    continue
+                h = size
+                for byte in folded[k : k + size]:
+                    h = (h * 0x01000193 + byte) % (1 << 32)
+                h ^= h >> 15
+                h = h * 0x2C1B3C6D % (1 << 32)
+                h ^= h >> 13
+                found.add(h % (1 << toxicity.BUCKET_BITS))
+        for word in folded[a:b].split():
+            offsets, data = text_buffers(pa.array([word.decode("utf-8", "surrogateescape")]))
+            found.add(int(Words(offsets, data, 0, 1, fold=None).hashes()[0]) >> (64 - toxicity.BUCKET_BITS))
+        weights = [float(model.weights[x]) for x in found if model.weights[x]]
+        if weights:
+            clean *= 1 - 1 / (1 + np.exp(-(model.bias + sum(weights))))
+    return 1 - clean
+
+
+def test_toxicity_against_brute_force(spark):
+    docs, labels = labelled(spark)
+    model = toxicity.fit_toxicity(docs, labels)
+    odd = [(900 + k, t, "s") for k, t in enumerate(["", None, "a", "You are a GRUMBLEFINK!", "grumblefink\ngrumblefink? grumble fink", "é grumblefinké. ü", "w1a w2a.w3a...", "grumblefink " * 300])]
+    rows = docs.limit(60).union(spark.createDataFrame(odd, SCHEMA))
+    texts = {r.doc_id: r.text for r in rows.collect()}
+    for r in toxicity.score_toxicity(rows, model).collect():
+        expected = brute_toxicity(texts[r.doc_id], model)
+        assert abs(r.score - expected) < 1e-6 and r.predicted == int(r.score >= 0.5), r
+
+
 def brute_rules(text):
     text = text or ""
     w = WORD.findall(text)
