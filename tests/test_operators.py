@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import events as E
+from tidemark.operators import intervals as I
 from tidemark.operators import lineage as L
 from tidemark.operators import position as P
 from tidemark.operators import quality as Q
@@ -161,6 +162,10 @@ def test_blocks_agree_with_whole_series(spark):
         lambda b: S.moving_mean(df, ["k"], "i", "x", 9, block=b),
         lambda b: E.peaks(df, ["k"], "i", "x", 20, 4, b),
         lambda b: P.speed(df, ["k"], "i", "x", "y", 0.5, b),
+        lambda b: E.threshold_events(df, ["k"], "i", "i", "x", 8, 20, 2, b),
+        lambda b: I.interval_labels(df, ["k"], "i", F.col("x") < 9, b).select("k", "i", "label"),
+        lambda b: S.unwrap(df.withColumn("a", F.when(F.col("x") > 3, F.col("x"))), ["k"], "i", "a", block=b).where("a is not null").select("k", "i", "unwrapped"),
+        lambda b: S.interpolate(df.withColumn("x", F.when(F.col("x") > 22, F.col("x"))), ["k"], "i", "x", ends=True, idx="i" if b else None, block=b or 1).select("k", "i", "filled"),
         lambda b: S.difference_artifacts(df.withColumn("g", F.lit(0)), ["g"], "k", "i", "x", 9, 20, 0.5, block=b),
     ]
     plain = lambda d: sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in d.collect())

@@ -1,10 +1,13 @@
-"""Windows of bounded reach on blocks of a numbered series, so that one long series is many tasks."""
+"""Windows on blocks of a numbered series, so that one long series is many tasks.
+
+Windows of bounded reach get a halo of rows; running sums and nearest known values go over the blocks' summaries.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK = 65_536
@@ -21,3 +24,36 @@ def blockwise(df: DataFrame, key: list[str], idx: str, reach: int, work: Callabl
     around = F.array_distinct(F.array(here, F.floor((F.col(idx) - reach) / block), F.floor((F.col(idx) + reach) / block)))
     dealt = df.withColumn("_block", F.explode(around)).withColumn("_own", F.col("_block") == here)
     return work(dealt, [*key, "_block"]).where("_own").drop("_block", "_own")
+
+
+def _beside(rows: DataFrame, summary: DataFrame, key: list[str]) -> DataFrame:
+    """Joins block summaries to the rows of their block; null keys are equal."""
+    names = [*key, "_block"]
+    other = summary.withColumnsRenamed({n: f"_{n}_" for n in names})
+    on = F.lit(True)
+    for n in names:
+        on = on & F.col(n).eqNullSafe(F.col(f"_{n}_"))
+    return rows.join(other, on).drop(*(f"_{n}_" for n in names))
+
+
+def running_sum(df: DataFrame, key: list[str], idx: str, value: Column, name: str, block: int = BLOCK) -> DataFrame:
+    """Adds the sum of ``value`` up to each row: within its block, and over the sums of the blocks before it."""
+    rows = df.withColumn("_v", value).withColumn("_block", F.floor(F.col(idx) / block))
+    sums = rows.groupBy(*key, "_block").agg(F.sum("_v").alias("_t"))
+    ahead = Window.partitionBy(*key).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    before = sums.select(*key, "_block", F.coalesce(F.sum("_t").over(ahead), F.lit(0)).alias("_o"))
+    inside = Window.partitionBy(*key, "_block").orderBy(idx).rowsBetween(Window.unboundedPreceding, 0)
+    return _beside(rows.withColumn(name, F.sum("_v").over(inside)), before, key).withColumn(name, F.col(name) + F.col("_o")).drop("_v", "_block", "_o")
+
+
+def nearest_known(df: DataFrame, key: list[str], idx: str, known: Column, before: str, after: str, own: bool = True, block: int = BLOCK) -> DataFrame:
+    """Adds the last ``known`` value that is not null up to each row (before it unless ``own``) and the first one from it on, over blocks as ``running_sum``."""
+    rows = df.withColumn("_k", known).withColumn("_block", F.floor(F.col(idx) / block))
+    place = F.when(F.col("_k").isNotNull(), F.col(idx))
+    ends = rows.groupBy(*key, "_block").agg(F.max_by("_k", place).alias("_l"), F.min_by("_k", place).alias("_f"))
+    w = Window.partitionBy(*key).orderBy("_block")
+    carried = ends.select(*key, "_block", F.last("_l", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("_cl"), F.first("_f", ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing)).alias("_cf"))
+    inner = Window.partitionBy(*key, "_block").orderBy(idx)
+    rows = rows.withColumn(before, F.last("_k", ignorenulls=True).over(inner.rowsBetween(Window.unboundedPreceding, 0 if own else -1)))
+    rows = rows.withColumn(after, F.first("_k", ignorenulls=True).over(inner.rowsBetween(0, Window.unboundedFollowing)))
+    return _beside(rows, carried, key).withColumn(before, F.coalesce(before, "_cl")).withColumn(after, F.coalesce(after, "_cf")).drop("_k", "_block", "_cl", "_cf")

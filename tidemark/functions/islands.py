@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .blocks import blockwise, running_sum
+
 
 def before(key: list[str], *order: str | Column):
     return Window.partitionBy(*key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
@@ -26,9 +28,16 @@ def merge_runs(iv: DataFrame, key: list[str], starts) -> DataFrame:
     return marked.groupBy(*key, "_island").agg(F.min("start").alias("start"), F.max("stop").alias("stop")).drop("_island")
 
 
-def mask_runs(df: DataFrame, key: list[str], order: str, flag: Column) -> DataFrame:
-    """Rows where ``flag`` holds, with ``run``, the number of the stretch they are in."""
-    w = Window.partitionBy(*key).orderBy(order)
+def mask_runs(df: DataFrame, key: list[str], order: str, flag: Column, block: int | None = None) -> DataFrame:
+    """Rows where ``flag`` holds, with ``run``, the number of the stretch they are in; with ``block``, for an order without gaps, by blocks."""
+
+    def begun(d: DataFrame, own: list[str]) -> DataFrame:
+        w = Window.partitionBy(*own).orderBy(order)
+        return d.withColumn("_begin", F.col("_flag") & ~F.coalesce(F.lag("_flag").over(w), F.lit(False)))
+
     flagged = df.withColumn("_flag", F.coalesce(flag, F.lit(False)))
-    begins = F.col("_flag") & ~F.coalesce(F.lag("_flag").over(w), F.lit(False))
-    return number_islands(flagged.withColumn("_begin", begins), key, F.col("_begin"), [order], "run").where("_flag").drop("_flag", "_begin")
+    if block:
+        rows = running_sum(blockwise(flagged, key, order, 1, begun, block), key, order, F.col("_begin").cast("int"), "run", block)
+    else:
+        rows = number_islands(begun(flagged, key), key, F.col("_begin"), [order], "run")
+    return rows.where("_flag").drop("_flag", "_begin")

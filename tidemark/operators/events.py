@@ -12,9 +12,9 @@ from .intervals import DAY, merge_touching
 from .signal import gaussian, resample, zscore
 
 
-def threshold_events(df: DataFrame, key: list[str], idx: str, t: str, value: str, low: float, high: float, least: int = 1) -> DataFrame:
-    """Stretches of at least ``least`` samples at or above ``low`` that reach ``high``."""
-    runs = mask_runs(df, key, idx, F.col(value) >= low)
+def threshold_events(df: DataFrame, key: list[str], idx: str, t: str, value: str, low: float, high: float, least: int = 1, block: int | None = None) -> DataFrame:
+    """Stretches of at least ``least`` samples at or above ``low`` that reach ``high``; with ``block`` as in ``peaks``."""
+    runs = mask_runs(df, key, idx, F.col(value) >= low, block)
     found = runs.groupBy(*key, "run").agg(F.min(t).alias("start"), F.max(t).alias("stop"), F.count("*").alias("samples"), F.max(value).alias("peak"))
     return found.where((F.col("peak") >= high) & (F.col("samples") >= least)).drop("run")
 

@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.blocks import blockwise, running_sum
 from ..functions.islands import mask_runs, merge_runs, number_islands
 from ..functions.rangejoin import overlaps, points_in
 
@@ -133,9 +134,9 @@ def sample_ranges(iv: DataFrame, samples: DataFrame, key: list[str], t: str) ->
     return merge_runs(ranges.distinct(), key, lambda start, far: start > far + 1)
 
 
-def runs_of(df: DataFrame, key: list[str], t: str, flag: Column) -> DataFrame:
-    """Stretches of rows where ``flag`` holds, as first and last time."""
-    return mask_runs(df, key, t, flag).groupBy(*key, "run").agg(F.min(t).alias("start"), F.max(t).alias("stop")).drop("run")
+def runs_of(df: DataFrame, key: list[str], t: str, flag: Column, idx: str | None = None, block: int | None = None) -> DataFrame:
+    """Stretches of rows where ``flag`` holds, as first and last time; in blocks if ``idx`` numbers the rows without gaps."""
+    return mask_runs(df, key, idx or t, flag, block if idx else None).groupBy(*key, "run").agg(F.min(t).alias("start"), F.max(t).alias("stop")).drop("run")
 
 
 def dilate(df: DataFrame, key: list[str], order: str, flag: str, reach: int) -> DataFrame:
@@ -144,12 +145,17 @@ def dilate(df: DataFrame, key: list[str], order: str, flag: str, reach: int) ->
     return df.withColumn(flag, F.max(F.col(flag).cast("int")).over(w) == 1)
 
 
-def interval_labels(df: DataFrame, key: list[str], order: str, missing: Column) -> DataFrame:
-    """Adds ``label``, the number of the stretch of rows that are not missing, -1 for missing rows."""
-    w = Window.partitionBy(*key).orderBy(order)
+def interval_labels(df: DataFrame, key: list[str], order: str, missing: Column, block: int | None = None) -> DataFrame:
+    """Adds ``label``, the number of the stretch of rows that are not missing, -1 for missing rows; with ``block``, for an order without gaps, by blocks."""
+
+    def begun(d: DataFrame, own: list[str]) -> DataFrame:
+        return d.withColumn("_new", F.col("_there") & ~F.coalesce(F.lag("_there").over(Window.partitionBy(*own).orderBy(order)), F.lit(False)))
+
     rows = df.withColumn("_there", ~missing)
-    rows = rows.withColumn("_new", F.col("_there") & ~F.coalesce(F.lag("_there").over(w), F.lit(False)))
-    rows = number_islands(rows, key, F.col("_new"), [order], "_n")
+    if block:
+        rows = running_sum(blockwise(rows, key, order, 1, begun, block), key, order, F.coalesce(F.col("_new").cast("int"), F.lit(0)), "_n", block)
+    else:
+        rows = number_islands(begun(rows, key), key, F.col("_new"), [order], "_n")
     return rows.withColumn("label", F.when(F.col("_there"), F.col("_n") - 1).otherwise(-1)).drop("_there", "_new", "_n")
 
 

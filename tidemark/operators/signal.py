@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.blocks import blockwise
+from ..functions.blocks import BLOCK, blockwise, nearest_known, running_sum
 from ..functions.columns import no_nan
 from ..functions.islands import number_islands
 from .intervals import add_removal_window, consolidate, from_indices, subtract
@@ -150,12 +150,18 @@ def moving_mean(df: DataFrame, key: list[str], order: str, value: str, width: in
     return df.withColumn(name, F.avg(no_nan(F.col(value))).over(_w(key, order, 1 - width, 0)))
 
 
-def interpolate(df: DataFrame, key: list[str], x: str, value: str, name: str = "filled", ends: bool = False) -> DataFrame:
-    """Fills NaN and null linearly along ``x``; beyond the ends only if ``ends``, with the nearest value."""
+def interpolate(df: DataFrame, key: list[str], x: str, value: str, name: str = "filled", ends: bool = False, idx: str | None = None, block: int = BLOCK) -> DataFrame:
+    """Fills NaN and null linearly along ``x``; beyond the ends only if ``ends``, with the nearest value.
+
+    If ``idx`` numbers the rows in the order of ``x``, a series is worked on in blocks.
+    """
     v = no_nan(F.col(value).cast("double"))
-    back, ahead = _w(key, x, Window.unboundedPreceding, 0), _w(key, x, 0, Window.unboundedFollowing)
     known = F.when(v.isNotNull(), F.struct(F.col(x).alias("x"), v.alias("v")))
-    rows = df.withColumn("_a", F.last(known, ignorenulls=True).over(back)).withColumn("_b", F.first(known, ignorenulls=True).over(ahead))
+    if idx:
+        rows = nearest_known(df, key, idx, known, "_a", "_b", block=block)
+    else:
+        back, ahead = _w(key, x, Window.unboundedPreceding, 0), _w(key, x, 0, Window.unboundedFollowing)
+        rows = df.withColumn("_a", F.last(known, ignorenulls=True).over(back)).withColumn("_b", F.first(known, ignorenulls=True).over(ahead))
     share = (F.col(x) - F.col("_a.x")) / (F.col("_b.x") - F.col("_a.x"))
     line = F.col("_a.v") + (F.col("_b.v") - F.col("_a.v")) * share
     edge = F.coalesce("_a.v", "_b.v") if ends else F.lit(None).cast("double")
@@ -189,12 +195,17 @@ def align_to_clock(df: DataFrame, clock: DataFrame, key: list[str], t: str, valu
     return clock.select(*key, t).distinct().join(placed, [*key, t], "left")
 
 
-def unwrap(df: DataFrame, key: list[str], order: str, angle: str, name: str = "unwrapped") -> DataFrame:
-    """Adds turns so that neighbours differ by half a turn at most; NaN and null are skipped."""
+def unwrap(df: DataFrame, key: list[str], order: str, angle: str, name: str = "unwrapped", block: int | None = None) -> DataFrame:
+    """Adds turns so that neighbours differ by half a turn at most; NaN and null are skipped. With ``block``, for an order without gaps, by blocks."""
     a = no_nan(F.col(angle))
-    last = F.last(a, ignorenulls=True).over(_w(key, order, Window.unboundedPreceding, -1))
-    jump = F.coalesce(F.round((a - last) / (2 * math.pi)), F.lit(0.0))
-    return df.withColumn("_j", jump).withColumn(name, F.col(angle) - 2 * math.pi * F.sum("_j").over(_w(key, order, Window.unboundedPreceding, 0))).drop("_j")
+    turns = F.coalesce(F.round((a - F.col("_p")) / (2 * math.pi)), F.lit(0.0))
+    if block:
+        rows = nearest_known(df, key, order, a, "_p", "_q", own=False, block=block).drop("_q")
+        rows = running_sum(rows, key, order, turns, "_j", block)
+    else:
+        rows = df.withColumn("_p", F.last(a, ignorenulls=True).over(_w(key, order, Window.unboundedPreceding, -1))).withColumn("_t", turns)
+        rows = rows.withColumn("_j", F.sum("_t").over(_w(key, order, Window.unboundedPreceding, 0))).drop("_t")
+    return rows.withColumn(name, F.col(angle) - 2 * math.pi * F.col("_j")).drop("_p", "_j")
 
 
 def zscore(df: DataFrame, key: list[str], value: str, name: str = "z") -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.blocks import BLOCK
 from ..operators import intervals as I
 from .tables import DAY, HOUR, events, order_intervals, read, sql
 
@@ -128,7 +129,7 @@ def i19_points_mask(spark, d):
 
 
 def i20_labels(spark, d):
-    return I.interval_labels(_samples(spark, d).select("event_type", "idx", "value"), ["event_type"], "idx", F.col("value") <= 30).select("event_type", "idx", "label")
+    return I.interval_labels(_samples(spark, d).select("event_type", "idx", "value"), ["event_type"], "idx", F.col("value") <= 30, BLOCK).select("event_type", "idx", "label")
 
 
 def i21_concatenate(spark, d):

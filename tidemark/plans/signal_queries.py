@@ -69,7 +69,7 @@ def f19_moving_mean(s, d):
 
 
 def f20_interpolate(s, d):
-    return S.interpolate(_holes(s, d), C, "idx", "value").select("event_type", "idx", F.round("filled", 6).alias("filled"))
+    return S.interpolate(_holes(s, d), C, "idx", "value", idx="idx").select("event_type", "idx", F.round("filled", 6).alias("filled"))
 
 
 def f21_resample(s, d):
@@ -90,7 +90,7 @@ def f24_align(s, d):
 
 def f25_unwrap(s, d):
     a = _samples(s, d).withColumn("a", F.col("value") * (2 * math.pi / 100))
-    return S.unwrap(a, C, "idx", "a").select("event_type", "idx", F.round("unwrapped", 4).alias("unwrapped"))
+    return S.unwrap(a, C, "idx", "a", block=BLOCK).select("event_type", "idx", F.round("unwrapped", 4).alias("unwrapped"))
 
 
 def f26_zscore(s, d):
@@ -127,7 +127,7 @@ def f36_growth(s, d):
 
 
 def e4_threshold_events(s, d):
-    return E.threshold_events(_samples(s, d), C, "idx", "t", "value", 40, 80, 2)
+    return E.threshold_events(_samples(s, d), C, "idx", "t", "value", 40, 80, 2, BLOCK)
 
 
 def e8_peaks(s, d):
