@@ -174,6 +174,36 @@ def test_blocks_agree_with_whole_series(spark):
         assert whole and all(plain(make(b)) == whole for b in (1, 32, 65_536))
 
 
+def test_jump_rejection(spark):
+    rng = np.random.default_rng(8)
+    x, y = np.cumsum(rng.normal(0, 2, 400)) + 100.3, np.cumsum(rng.normal(0, 2, 400)) + 50.6
+    x[rng.choice(400, 40, replace=False)] += 30
+    bad = rng.random(400) < 0.15
+    bad[200:230] = True  # two spans
+    df = spark.createDataFrame([(1, i, float(x[i]), float(y[i]), bool(bad[i])) for i in range(400)], "k int, i long, x double, y double, bad boolean")
+    got = {r.i: r.rejected for r in P.reject_jumps(df, ["k"], "i", "x", "y", F.col("bad"), 10, 8.0).collect()}
+    good = [i for i in range(400) if not bad[i]]
+    spans, begin = [], good[0]
+    for a, b in zip(good, good[1:] + [10**6], strict=True):
+        if b - a - 1 > 10:
+            spans.append((begin, a))
+            begin = b
+    assert len(spans) == 2
+    rejected = {i for i in range(400) if bad[i]}
+    far = lambda k, m: any(c[k] < int(c[m] - 8) or c[k] > int(c[m] + 8) for c in (x, y))
+    for a, b in spans:
+        some = [i for i in range(a, b) if not bad[i]]
+        start = some[len(some) // 2] if len(some) < b - a else a + (b - a) // 2
+        for side in ([i for i in range(start - 1, a, -1)], [i for i in range(start + 1, b)]):
+            stayed = [start]
+            for i in side:
+                if not bad[i] and far(i, stayed[-1]):
+                    rejected.add(i)
+                elif not bad[i]:
+                    stayed.append(i)
+    assert {i for i, r in got.items() if r} == rejected and len(rejected) > sum(bad) + 20
+
+
 def test_whitening(spark):
     rng = np.random.default_rng(2)
     x = rng.normal(size=(300, 3)) @ np.array([[1, 2, 0], [0, 1, 1], [0, 0, 3]])

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.blocks import blockwise
 from ..functions.columns import no_nan
 from ..functions.islands import number_islands
+from ..functions.rangejoin import points_in
 from .signal import gaussian, interpolate, moving_mean, unwrap
 
 
@@ -46,6 +48,49 @@ def good_spans(df: DataFrame, key: list[str], idx: str, bad: Column, reach: int)
     return runs.groupBy(*key, "_g").agg(F.min(idx).alias("start"), F.max(idx).alias("stop")).drop("_g")
 
 
+def _walk(x: np.ndarray, y: np.ndarray, good: np.ndarray, most: float) -> np.ndarray:
+    """Which rows of a span jump: walking out from the middle row (the middle good one of all but the last, if some are bad), a good row outside the box around the last one that stayed.
+
+    The box reaches ``most`` either way, its edges cut to whole numbers. The first and the last row of a span are not tested.
+    """
+    n = len(x)
+    inner = np.flatnonzero(good[:-1]) if n > 1 else np.array([0])
+    middle = (n - 1) // 2 if good[:-1].all() or not len(inner) else int(inner[len(inner) // 2])
+    jumps = np.zeros(n, dtype=bool)
+    for way in (range(middle - 1, 0, -1), range(middle + 1, n - 1)):
+        last = middle
+        for k in way:
+            if not good[k]:
+                continue
+            if any(c[k] < int(c[last] - most) or c[k] > int(c[last] + most) for c in (x, y)):
+                jumps[k] = True
+            else:
+                last = k
+    return jumps
+
+
+def reject_jumps(df: DataFrame, key: list[str], idx: str, x: str, y: str, bad: Column, reach: int, most: float) -> DataFrame:
+    """Bad rows, and rows of the good spans that jump (see ``_walk``), without ``x, y``; adds ``rejected``.
+
+    Whether a row stays depends on the one before it in the walk, so a span (of ``good_spans``) is one group.
+    """
+    names = df.columns
+    rows = df.withColumn("_bad", F.coalesce(bad, F.lit(True)) | no_nan(F.col(x).cast("double")).isNull() | no_nan(F.col(y).cast("double")).isNull())
+    spans = good_spans(rows, key, idx, F.col("_bad"), reach)
+    placed = points_in(rows, spans, key, idx, 4096, how="left")
+
+    def walked(pdf):
+        pdf = pdf.sort_values(idx)
+        good = ~pdf["_bad"].to_numpy(dtype=bool)
+        jumps = _walk(pdf[x].to_numpy(dtype=float), pdf[y].to_numpy(dtype=float), good, most)
+        return pdf.assign(_bad=~good | jumps)[[*names, "_bad"]]
+
+    inside = placed.where("start is not null")
+    judged = inside.groupBy(*key, "start").applyInPandas(walked, inside.select(*names, "_bad").schema)
+    both = judged.unionByName(placed.where("start is null").select(*names, "_bad"))
+    return both.withColumns({c: F.when(~F.col("_bad"), F.col(c)) for c in (x, y)}).withColumnRenamed("_bad", "rejected")
+
+
 def inside_polygon(df: DataFrame, x: str, y: str, corners: list[tuple[float, float]]) -> DataFrame:
     """Adds ``inside`` by the parity of edge crossings of a ray to the right."""
     crossed = F.lit(0)

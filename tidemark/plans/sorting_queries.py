@@ -206,6 +206,10 @@ def p6_frame_times(s, d):
     return P.frame_times(poses, video, positions, "frame", "t").select("l_orderkey", "l_linenumber", "frame", "t")
 
 
+def p9_reject_jumps(s, d):
+    return P.reject_jumps(_xy(s, d), ["user_id"], "idx", "x", "y", F.col("x") < 5, 3, 40.0).select("user_id", "idx", "rejected")
+
+
 def _three(s, d):
     w = Window.partitionBy("user_id").orderBy("idx")
     x = _xy(s, d).withColumn("y", F.floor(F.col("y") / 10))
@@ -309,7 +313,7 @@ def f35_whitening(s, d):
     return K.whiten(days, "day", "event_type", "value", kinds)
 
 
-QUERIES = {f.__name__: f for f in (p16_orientation, p18_centroid_track, p22_numbered_track, p25_behaviour_rows, w3_full_waveform, b8_clusterless, f35_whitening, k1_spike_samples, k3_firing_rate, k7_model_range, k8_annotations, k11_curations, k13_merge_candidates, k16_snr, k21_burst_pairs, w2_peak_amplitude, w2_middle_amplitude, k26_amplitudes, w4_location, w6_features, w9_electrode_marks, k27_field_order, k28_sort_group_info, k30_reviews, b1_training_mask, b5_interval_decode, b7_ahead, e2_consensus_ripples, e3_channel_ripples, e6_ripple_inputs, f15_analytic, f16_phase, f22_upsample, f33_band_pass, p6_frame_times, p14_bisector, p17_four_points, p1_two_point_track, p19_cohort, p20_with_orientation, p23_normalise, p24_keypoints, p27_pose_group, l3_linear_slice)}
+QUERIES = {f.__name__: f for f in (p9_reject_jumps, p16_orientation, p18_centroid_track, p22_numbered_track, p25_behaviour_rows, w3_full_waveform, b8_clusterless, f35_whitening, k1_spike_samples, k3_firing_rate, k7_model_range, k8_annotations, k11_curations, k13_merge_candidates, k16_snr, k21_burst_pairs, w2_peak_amplitude, w2_middle_amplitude, k26_amplitudes, w4_location, w6_features, w9_electrode_marks, k27_field_order, k28_sort_group_info, k30_reviews, b1_training_mask, b5_interval_decode, b7_ahead, e2_consensus_ripples, e3_channel_ripples, e6_ripple_inputs, f15_analytic, f16_phase, f22_upsample, f33_band_pass, p6_frame_times, p14_bisector, p17_four_points, p1_two_point_track, p19_cohort, p20_with_orientation, p23_normalise, p24_keypoints, p27_pose_group, l3_linear_slice)}
 
 
 def _fir(taps: list[float], name: str) -> str:
