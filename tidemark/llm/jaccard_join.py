@@ -313,19 +313,6 @@ def _side(frame: DataFrame, name: str, *more: str) -> DataFrame:
     return frame.select("key", F.col("cls").alias(name), F.col("n").alias(f"n{name}"), F.col("at").alias(f"a{name}"), *more)
 
 
-def _by_occurrences(met: DataFrame, threshold: float) -> DataFrame:
-    """Pairs ``a, b, na, nb`` whose occurrences on short lists leave the required overlap within reach.
-
-    ``met`` has a row for each pair and list that they share. What they share up to the last such list is on short lists of both,
-    so it is counted; behind it they share at most the shorter rest.
-    """
-    need = F.ceil((F.col("na") + F.col("nb")) * F.lit(threshold / (1 + threshold)) - 1e-9)
-    first = F.col("x") < F.col("y")
-    named = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), *(F.when(first, F.col(f"{c}x")).otherwise(F.col(f"{c}y")).alias(f"{c}a") for c in "na"), *(F.when(first, F.col(f"{c}y")).otherwise(F.col(f"{c}x")).alias(f"{c}b") for c in "na"))
-    counted = named.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("k"), F.max("aa").alias("la"), F.max("ab").alias("lb"))
-    return counted.where(F.col("k") + F.least(F.col("na") - 1 - F.col("la"), F.col("nb") - 1 - F.col("lb")) >= need).select("a", "b", "na", "nb")
-
-
 def _pairs(ok: DataFrame) -> DataFrame:
     """Distinct pairs ``a < b`` of columns ``x, nx, y, ny``."""
     return ok.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.when(F.col("x") < F.col("y"), F.col("nx")).otherwise(F.col("ny")).alias("na"), F.when(F.col("x") < F.col("y"), F.col("ny")).otherwise(F.col("nx")).alias("nb")).distinct()
@@ -371,11 +358,8 @@ def jaccard_components(documents: DataFrame, size: int = 5, threshold: float = 0
     length = F.floor(F.log(F.col("n")) / -math.log(threshold)).cast("int") if threshold < 1 else F.col("n")
     minor = _side(apart.where("root <> main"), "x", F.col("root").alias("rx"), F.explode(F.array(length - 1, length, length + 1)).alias("length"))
     others = _side(apart, "y", F.col("root").alias("ry"), (F.col("root") == F.col("main")).alias("in_main"), length.alias("length"))
-    need = F.ceil((F.col("nx") + F.col("ny")) * F.lit(threshold / (1 + threshold)) - 1e-9)
-    # each pair once a list; at a shared list they have at most as many before it, and behind it, as the one with fewer there
-    reach = F.least("ax", "ay") + F.least(F.col("nx") - F.col("ax"), F.col("ny") - F.col("ay")) >= need
-    crossing = minor.join(others, ["key", "length"]).where("rx <> ry and (in_main or x < y)").where(reach & (F.least("nx", "ny") >= F.greatest("nx", "ny") * F.lit(threshold) - 1e-9))
-    rest = _by_occurrences(crossing, threshold).join(stars.select("a", "b"), ["a", "b"], "left_anti")
+    crossing = minor.join(others, ["key", "length"]).where("rx <> ry and (in_main or x < y)").where(_alike(threshold))
+    rest = _pairs(crossing).join(stars.select("a", "b"), ["a", "b"], "left_anti")
     links = links.union(verifier.links(rest))
     roots = components(links)
 
