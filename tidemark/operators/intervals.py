@@ -175,13 +175,14 @@ def intersect_all(lists: list[DataFrame], key: list[str]) -> DataFrame:
     return reduce(lambda a, b: intersect(a, b, key), lists)
 
 
-def containing_match(outer: DataFrame, inner: DataFrame, key: list[str], slack: int) -> DataFrame:
+def containing_match(outer: DataFrame, inner: DataFrame, key: list[str], slack: int, width: int = DAY) -> DataFrame:
     """For each outer interval the only inner one within its bounds widened by ``slack``; null where there is none or several."""
     o = outer.select(*key, F.col("start").alias("outer_start"), F.col("stop").alias("outer_stop")).distinct()
-    met = o.join(inner.select(*key, "start", "stop").distinct(), key, "left").withColumn("_in", (F.col("start") >= F.col("outer_start") - slack) & (F.col("stop") <= F.col("outer_stop") + slack))
-    found = met.groupBy(*key, "outer_start", "outer_stop").agg(F.count(F.when(F.col("_in"), 1)).alias("matches"), F.min(F.when(F.col("_in"), F.col("start"))).alias("s"), F.min(F.when(F.col("_in"), F.col("stop"))).alias("e"))
-    one = F.col("matches") == 1
-    return found.select(*key, "outer_start", "outer_stop", "matches", F.when(one, F.col("s")).alias("start"), F.when(one, F.col("e")).alias("stop"))
+    wide = o.select(*key, "outer_start", "outer_stop", (F.col("outer_start") - slack).alias("start"), (F.col("outer_stop") + slack).alias("stop"))
+    held = points_in(inner.select(*key, F.col("start").alias("_s"), F.col("stop").alias("_e")).distinct(), wide, key, "_s", width).where(F.col("_e") <= F.col("stop"))
+    found = held.groupBy(*key, "outer_start", "outer_stop").agg(F.count("*").alias("_n"), F.min("_s").alias("_s"), F.min("_e").alias("_e"))
+    one = F.col("_n") == 1
+    return o.join(found, [*key, "outer_start", "outer_stop"], "left").select(*key, "outer_start", "outer_stop", F.coalesce("_n", F.lit(0)).cast("long").alias("matches"), F.when(one, F.col("_s")).alias("start"), F.when(one, F.col("_e")).alias("stop"))
 
 
 def overlap_share(points: DataFrame, iv: DataFrame, key: list[str], t: str, least: float = 0.9, width: int = DAY) -> DataFrame:
