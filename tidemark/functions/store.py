@@ -48,9 +48,16 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def clear() -> None:
-    """Deletes all intermediate tables so far; results that still read them must have been written or collected."""
-    while _written:
-        store, path = pyarrow.fs.FileSystem.from_uri(_written.pop())
-        if store.get_file_info(path).type != pyarrow.fs.FileType.NotFound:
-            store.delete_dir(path)
+def written() -> list[str]:
+    """The folders so far that have not been cleared."""
+    return list(_written)
+
+
+def clear(paths: list[str] | None = None) -> None:
+    """Deletes these intermediate tables, or all so far; results that still read them must have been written or collected."""
+    for path in written() if paths is None else paths:
+        if path in _written:
+            _written.remove(path)
+        store, place = pyarrow.fs.FileSystem.from_uri(path)
+        if store.get_file_info(place).type != pyarrow.fs.FileType.NotFound:
+            store.delete_dir(place)
