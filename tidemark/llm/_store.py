@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.store import clear, materialise, own_folder, shared_folder
+from ..functions.store import clear, materialise, own_folder, shared_folder, written
 
-__all__ = ["Carried", "clear", "materialise", "own_folder", "shared_folder", "table"]
+__all__ = ["Carried", "clear", "materialise", "own_folder", "shared_folder", "table", "written"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
