@@ -1,13 +1,18 @@
-"""A corpus pipeline of five stages, each written as Parquet and read again by the next."""
+"""A corpus pipeline of five stages, each written as Parquet and read again by the next.
+
+A stage's result must be written before the next stage is called, which deletes the
+intermediate tables of the one before it.
+"""
 
 from __future__ import annotations
 
+import functools
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm._store import clear, materialise, shared_folder, table
+from tidemark.llm._store import clear, materialise, shared_folder, table, written
 from tidemark.llm.decontamination import contaminated
 from tidemark.llm.jaccard_join import jaccard_components
 from tidemark.llm.mixing import deal_shards, mix_sources
@@ -17,6 +22,25 @@ from tidemark.llm.toxicity import fit_toxicity, score_toxicity
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+#: Intermediate tables of the stage that was called last.
+_left: list[str] = []
+
+
+def _stage(function):
+    """A stage that first deletes what the one before it left: by then that one's result has been written."""
+
+    @functools.wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        clear(_left)
+        before = set(written())
+        out = function(spark, docs, sf_dir)
+        _left[:] = [path for path in written() if path not in before]
+        return out
+
+    return run_stage
+
+
+@_stage
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality verdict is to keep them.
 
@@ -27,6 +51,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return judge_quality(docs, field, COLUMNS).where("kept").select(*COLUMNS)
 
 
+@_stage
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not predicted toxic.
 
@@ -46,6 +71,7 @@ def _as_documents(rows: DataFrame) -> DataFrame:
     return rows.select(F.col("row_id").alias("doc_id"), "text")
 
 
+@_stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near duplicates, that of the smallest doc_id (null last), of equal ones the first row.
 
@@ -59,6 +85,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return rows.join(kept.select("row_id"), "row_id", "left_semi").select(*COLUMNS)
 
 
+@_stage
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows without a passage of the benchmark, cut off or whole.
 
@@ -70,6 +97,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return rows.join(leaks, "row_id", "left_anti").select(*COLUMNS)
 
 
+@_stage
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The copies that the mix draws, dealt into shuffled shards: the documents' columns with ``size``, ``source_size``, ``target``, ``shard``, ``taken`` (words of this copy) and ``place``.
 
@@ -92,13 +120,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on ``documents``; what a stage wrote for itself is deleted once its result is written."""
+    """All stages on ``documents``; what a stage wrote for itself is deleted once its result is written and the next begins."""
     docs = table(spark, sf_dir, "documents")
     folder = f"{shared_folder(spark)}/tidemark-pipeline-{uuid.uuid4().hex}"
     for k, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
         docs = spark.read.parquet(f"{folder}/{k}")
-        clear()
+    clear(_left)
     return docs
 
 
