@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._store import table
+from .alignment import align_documents, count_links
+from .bpe import decode_documents, encode_documents
 from .decontamination import contaminated
 from .html_extraction import extract_pages
 from .jaccard_join import jaccard_components
@@ -13,6 +15,7 @@ from .license_scan import fit_licences, scan_licences
 from .lm_scoring import lm_scores
 from .mixing import mix_sources
 from .quality_rules import fit_field, judge_quality
+from .spelling import count_words, runs, spelling_forms, without
 from .token_counts import token_counts
 from .toxicity import fit_toxicity, held_out, score_toxicity
 from .warc import archive_round_trip
@@ -64,6 +67,25 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted", "sentence_score", "sentence")
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decoded = decode_documents(encode_documents(table(spark, sf_dir, "documents")))
+    return decoded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = align_documents(table(spark, sf_dir, "documents"))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256")
+    aligned = aligned.select("doc_id", "n_a", "n_b", "n_groups", "n_links", digest, "pairs", "copies", "batch")
+    return count_links(aligned, ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256"])
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs(table(spark, sf_dir, "documents"), ["doc_id"])
+    h = F.crc32(F.concat(F.col("doc_id").cast("string"), F.lit(":"), F.col("run")))
+    word = F.when(h % 97 == 0, without(F.col("run"), h % F.char_length("run"))).otherwise(F.col("run"))
+    return spelling_forms(count_words(found.select(word.alias("word"))))
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -75,6 +97,9 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op10_quality_rules": op10_quality_rules,
     "op9_toxicity": op9_toxicity,
+    "op11_bpe": op11_bpe,
+    "op12_tokenizer_alignment": op12_tokenizer_alignment,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 _WORDS6 = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
