@@ -31,11 +31,11 @@ from ._units import units
 
 DEFAULT_PATH = public_tokenizers.path("byte_bpe_50k.json")
 #: Bytes of text whose words share a trie.
-STRETCH = 4 << 20
+STRETCH = 1 << 20
 #: Words after which a worker forgets those that it has not met since so many words before.
-KEPT = 250_000
+KEPT = 120_000
 #: Pairs of tokens that a worker keeps the answer for.
-FOLLOWING = 1_000_000
+FOLLOWING = 300_000
 #: A longer word is walked alone, so that the trie's size is bounded by its number of words.
 LONG = 512
 _NEVER = 1 << 60
@@ -245,8 +245,12 @@ class ByteBpe:
         return [b"".join(map(known.__getitem__, ws)) for ws in split]
 
     def decode(self, packed: bytes) -> str:
-        """The text of tokens; bytes that are no UTF-8 become U+FFFD."""
-        return b"".join(map(self.bytes.__getitem__, np.frombuffer(packed, "<u4").tolist())).decode("utf-8", "replace")
+        return decode(packed, self.bytes)
+
+
+def decode(packed: bytes, tokens: list[bytes]) -> str:
+    """The text of packed tokens; bytes that are no UTF-8 become U+FFFD."""
+    return b"".join(map(tokens.__getitem__, np.frombuffer(packed, "<u4").tolist())).decode("utf-8", "replace")
 
 
 @functools.lru_cache(2)
@@ -255,6 +259,12 @@ def vocabulary(path: str) -> ByteBpe:
     return ByteBpe(path)
 
 
+@functools.lru_cache(2)
+def token_bytes(path: str) -> list[bytes]:
+    """The bytes of each token of a file, which is all that decoding needs."""
+    return ByteBpe(path).bytes
+
+
 def _by_stretches(batch: pa.RecordBatch, column: pa.Array, stretch: int) -> Iterator[tuple[pa.RecordBatch, int, int]]:
     offsets, _ = text_buffers(column)
     for i, j in slices(offsets, stretch):
@@ -292,9 +302,9 @@ def decode_documents(encoded: DataFrame, path: str = DEFAULT_PATH, carry: list[s
     name, inner = carried.text, carried.inner
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = vocabulary(path)
+        tokens = token_bytes(path)
         for batch in batches:
-            texts = [bpe.decode(x or b"") for x in batch.column(name).to_pylist()]
+            texts = [decode(x or b"", tokens) for x in batch.column(name).to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in inner), pa.array(texts, pa.string())], names=[*inner, "decoded"])
 
     return carried.restore(carried.frame.mapInArrow(run, f"{carried.schema}, decoded string"))
