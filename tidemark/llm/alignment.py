@@ -16,9 +16,11 @@ and the totals return to the batches that asked.
 from __future__ import annotations
 
 import functools
+import gc
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -42,7 +44,7 @@ B_PATH = public_tokenizers.path("piece_bpe_32k.model")
 BATCH_BYTES = 16 << 20
 STRETCH = 1 << 20
 #: Units after which a worker forgets those that it has not met since so many units before.
-KEPT = 150_000
+KEPT = 300_000
 #: Links that are held at a time before equal ones are added up.
 _LINKS = 1 << 20
 _SPACE = "▁"
@@ -103,53 +105,56 @@ class Aligner:
         self.a_sizes, self.b_sizes = (np.array([len(x) for x in tokens], np.int64) for tokens in (self.a_bytes, self.b_bytes))
         self.names = [str(k) for k in range(max(len(self.a_bytes), len(self.b_bytes)))]
         self.space = self.b.piece_to_id(_SPACE)
+        #: whether the proto counts bytes or, as other versions, characters
+        self.in_bytes = self.b.encode("\u00e9", return_type="proto").pieces[-1].end == 2
         self.kept: dict[str, Unit | None] = {}
         self.older: dict[str, Unit | None] = {}
 
-    def _a_side(self, named: list[str], begin: np.ndarray, at: np.ndarray) -> list[list[tuple[int, int, int]]]:
-        """Ids and spans of each unit, from the character offsets; ``at`` has the place in bytes of each character of all units."""
-        out = []
-        for got, first in zip(self.a.encode_batch(named, add_special_tokens=False), begin[:-1].tolist(), strict=True):
-            out.append([(k, at[first + i], at[first + j]) for k, (i, j) in zip(got.ids, got.offsets, strict=True)])
-        return out
-
-    def _b_side(self, named: list[str], begin: np.ndarray, at: np.ndarray) -> list[list[tuple[int, int, int]]]:
-        """Ids and spans of each unit, from the protos. The model puts a space in front of what it is given; a unit that does not begin with one follows a line feed, which merges with nothing."""
+    def _a_side(self, named: list[str], first: np.ndarray, at: np.ndarray) -> Side:
+        """Tokens with spans from the character offsets; ``at`` has the place in bytes of each character of all units, which begin at ``first``."""
+        got = self.a.encode_batch(named, add_special_tokens=False)
+        each = [x.ids for x in got]
+        unit = np.repeat(np.arange(len(named)), [len(x) for x in each])
+        ids = np.array(list(chain.from_iterable(each)), np.int64)
+        span = np.array(list(chain.from_iterable(chain.from_iterable(x.offsets for x in got))), np.int64).reshape(-1, 2) + first[unit][:, None]
+        return Side(ids, at[span[:, 0]], at[span[:, 1]], self.a_sizes[ids], unit)
+
+    def _b_side(self, named: list[str], first: np.ndarray, at: np.ndarray) -> Side:
+        """Tokens with spans from the protos. The model puts a space in front of what it is given; a unit that does not begin with one follows a line feed, which merges with nothing."""
         given = [u[1:] if u[0] == " " else "\n" + u for u in named]
-        out = []
-        for u, text, got, first in zip(named, given, self.b.encode(given, return_type="proto", num_threads=1), begin[:-1].tolist(), strict=True):
-            said, base = [(p.id, p.begin, p.end) for p in got.pieces], int(at[first])
-            if said and said[-1][2] == len(text) and not text.isascii():  # versions that count characters
-                place = np.cumsum([0, *(len(c.encode()) for c in text)]).tolist()
-                said = [(k, place[i], place[j]) for k, i, j in said]
-            if u == " ":
-                out.append([(self.space, base, base + 1)])
-            elif u[0] == " ":
-                out.append([(k, base + i + (n > 0), base + j + 1) for n, (k, i, j) in enumerate(said)])
-            else:
-                if said[0][0] != self.space or said[1][2] != 1:
-                    raise ValueError("a line feed does not stand alone")
-                out.append([(k, base + i - 1, base + j - 1) for k, i, j in said[2:]])
-        return out
+        each = [[x for p in got.pieces for x in (p.id, p.begin, p.end)] for got in self.b.encode(given, return_type="proto", num_threads=1)]
+        unit = np.repeat(np.arange(len(named)), [len(x) // 3 for x in each])
+        flat = np.array(list(chain.from_iterable(each)), np.int64).reshape(-1, 3)
+        place = np.arange(len(unit)) - np.searchsorted(unit, unit)
+        spaced = np.array([u[0] == " " for u in named])[unit]
+        if ((flat[:, 0] != self.space) | (flat[:, 2] > 0))[~spaced & (place == 0)].any():
+            raise ValueError("a line feed does not stand alone")
+        here = spaced | (place > 1)
+        flat, unit, place, spaced = flat[here], unit[here], place[here], spaced[here]
+        start, end = flat[:, 1] + np.where(spaced, place > 0, -1), flat[:, 2] + np.where(spaced, 1, -1)
+        start, end = (at[first[unit]] + x if self.in_bytes else at[first[unit] + x] for x in (start, end))
+        return Side(flat[:, 0], start, end, self.b_sizes[flat[:, 0]], unit)
+
+    def _lost(self, side: Side, tokens: list[bytes], named: list[str], sizes: np.ndarray, joined: bytes) -> set[int]:
+        """Units whose bytes are not those of their tokens."""
+        if np.array_equal(np.bincount(side.unit, weights=side.size, minlength=len(named)), sizes) and b"".join(map(tokens.__getitem__, side.ids.tolist())) == joined:
+            return set()
+        edge = np.searchsorted(side.unit, np.arange(len(named) + 1)).tolist()
+        ids = side.ids.tolist()
+        return {n for n, u in enumerate(named) if b"".join([tokens[k] for k in ids[edge[n] : edge[n + 1]]]) != u.encode()}
 
     def align(self, named: list[str]) -> dict[str, Unit | None]:
         """Aligns units; null where the bytes of either side's tokens are not the unit's."""
         joined = "".join(named)
         code = np.frombuffer(joined.encode("utf-32-le"), "<u4")
-        at = np.concatenate([[0], np.cumsum(1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000))]).tolist()
+        at = np.concatenate([[0], np.cumsum(1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000))])
         begin = np.cumsum([0, *map(len, named)])
-        both, lost = [], set()
-        for side, tokens in ((self._a_side(named, begin, at), self.a_bytes), (self._b_side(named, begin, at), self.b_bytes)):
-            lost |= {n for n, (u, said) in enumerate(zip(named, side, strict=True)) if b"".join([tokens[k] for k, _, _ in said]) != u.encode()}
-            both.append(side)
+        a, b = self._a_side(named, begin, at), self._b_side(named, begin, at)
+        in_bytes, raw = np.diff(at[begin]), joined.encode()
+        lost = self._lost(a, self.a_bytes, named, in_bytes, raw) | self._lost(b, self.b_bytes, named, in_bytes, raw)
         if lost:
             left = [u for n, u in enumerate(named) if n not in lost]
             return {**(self.align(left) if left else {}), **{named[n]: None for n in lost}}
-        sides = []
-        for side, sizes_ in zip(both, (self.a_sizes, self.b_sizes), strict=True):
-            flat = np.array([x for said in side for x in said], np.int64).reshape(-1, 3)
-            sides.append(Side(flat[:, 0], flat[:, 1], flat[:, 2], sizes_[flat[:, 0]], np.repeat(np.arange(len(named)), [len(said) for said in side])))
-        a, b = sides
         a_end, b_end = refine(a), refine(b)
         cuts = np.intersect1d(a_end, b_end)  # each unit's end is one
         a_group, b_group = np.searchsorted(cuts, a_end), np.searchsorted(cuts, b_end)
@@ -227,25 +232,29 @@ class Aligner:
             if len(us) > 1 and us[-1] == " ":  # one space at the end belongs to no word of its own
                 us[-2:] = [us[-2] + " "]
         known = self.known(set().union(*split))
-        split = [us if all(known[u] is not None for u in set(us)) else [] for us in split]
+        lost = {u for u, x in known.items() if x is None}
+        if lost:
+            split = [us if lost.isdisjoint(us) else [] for us in split]
         names = list(set().union(*split))
         rows, place = [known[u] for u in names], {u: k for k, u in enumerate(names)}
         sizes = np.array([len(r.pairs) // 8 for r in rows], np.int64)
         first = np.cumsum(sizes) - sizes
         all_keys = np.frombuffer(b"".join([r.pairs for r in rows]), np.int64)
         all_copies = np.frombuffer(b"".join([r.copies for r in rows]), np.int64)
+        groups = [r.groups for r in rows]
         figures = np.array([r[:4] for r in rows], np.int64).reshape(-1, 4)
         out = []
         for us in split:
             if not us:
                 out.append((0, 0, 0, 0, "", b"", b""))
                 continue
-            at, times = np.unique(np.fromiter(map(place.__getitem__, us), np.int64, len(us)), return_counts=True)
+            here = [*map(place.__getitem__, us)]
+            at, times = np.unique(np.array(here, np.int64), return_counts=True)
             n = sizes[at]
             entry = np.repeat(first[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())
             keys, where = np.unique(all_keys[entry], return_inverse=True)
             copies = np.bincount(where, weights=all_copies[entry] * np.repeat(times, n), minlength=len(keys)).astype(np.int64)
-            out.append((*(times @ figures[at]).tolist(), ";".join([known[u].groups for u in us]), self.pack(keys), pack_sparse(copies - 1)))
+            out.append((*(times @ figures[at]).tolist(), ";".join(map(groups.__getitem__, here)), self.pack(keys), pack_sparse(copies - 1)))
         return out
 
     def pack(self, keys: np.ndarray) -> bytes:
@@ -295,6 +304,8 @@ def align_documents(documents: DataFrame, a_path: str = A_PATH, b_path: str = B_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both, number, size = aligner(a_path, b_path), TaskContext.get().partitionId() << 32, 0
+        gc.freeze()  # nothing here goes in circles, and looking through the kept units takes long
+        gc.disable()
         for batch in batches:
             offsets, _ = text_buffers(batch.column(name))
             for i, j in slices(offsets, STRETCH):
