@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.blocks import blockwise, running_sum
+from ..functions.blocks import block_width, blockwise, gap_islands, running_sum
 from ..functions.islands import mask_runs, merge_runs, number_islands
 from ..functions.rangejoin import overlaps, points_in
 
@@ -30,11 +30,9 @@ def normalise(iv: DataFrame, key: list[str]) -> DataFrame:
     return iv.where("start <= stop").select(*key, "start", "stop").distinct()
 
 
-def from_indices(df: DataFrame, key: list[str], idx: str) -> DataFrame:
+def from_indices(df: DataFrame, key: list[str], idx: str, width: int | None = None) -> DataFrame:
     """Maximal runs of consecutive integers, as first and last."""
-    rows = df.select(*key, F.col(idx).alias("_i")).where("_i is not null").distinct()
-    runs = rows.withColumn("_g", F.col("_i") - F.row_number().over(Window.partitionBy(*key).orderBy("_i")))
-    return runs.groupBy(*key, "_g").agg(F.min("_i").alias("start"), F.max("_i").alias("stop")).drop("_g")
+    return gap_islands(df.select(*key, F.col(idx).alias("_i")), key, "_i", F.lit(1), width)
 
 
 def by_length(iv: DataFrame, least: float = 0, most: float = 1e16) -> DataFrame:
@@ -118,12 +116,12 @@ def add_removal_window(ranges: DataFrame, samples: DataFrame, key: list[str], id
     return consolidate(wide.select(*key, (F.col("start") - half).alias("start"), F.least(F.col("stop") + half, F.col("_hi")).alias("stop")), key)
 
 
-def to_indices(bounds: DataFrame, samples: DataFrame, key: list[str], t: str, side: str = "left") -> DataFrame:
-    """For each row ``key, x`` of ``bounds`` how many samples are before it (``left``) or not after it (``right``), as ``position``."""
+def to_indices(bounds: DataFrame, samples: DataFrame, key: list[str], t: str, side: str = "left", width: int | None = None) -> DataFrame:
+    """For each row ``key, x`` of ``bounds`` how many samples are before it (``left``) or not after it (``right``), as ``position``; counted in stretches of ``width``."""
     first = 0 if side == "left" else 2
     both = bounds.select(*key, F.col("x").alias("_x"), F.lit(first).alias("_k")).unionByName(samples.select(*key, F.col(t).alias("_x"), F.lit(1).alias("_k")))
-    count = F.sum(F.when(F.col("_k") == 1, 1).otherwise(0)).over(Window.partitionBy(*key).orderBy("_x", "_k"))
-    return both.withColumn("position", count).where(F.col("_k") != 1).select(*key, F.col("_x").alias("x"), "position")
+    placed = running_sum(both, key, "_x", F.when(F.col("_k") == 1, 1).otherwise(0), "position", width or block_width(both, "_x"), ("_k",))
+    return placed.where(F.col("_k") != 1).select(*key, F.col("_x").alias("x"), "position")
 
 
 def sample_ranges(iv: DataFrame, samples: DataFrame, key: list[str], t: str) -> DataFrame:

@@ -8,9 +8,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.blocks import blockwise
+from ..functions.blocks import blockwise, gap_islands
 from ..functions.columns import no_nan
-from ..functions.islands import number_islands
 from ..functions.rangejoin import points_in
 from .signal import gaussian, interpolate, moving_mean, unwrap
 
@@ -42,10 +41,7 @@ def low_likelihood(df: DataFrame, key: list[str], likelihood: str, threshold: fl
 
 def good_spans(df: DataFrame, key: list[str], idx: str, bad: Column, reach: int) -> DataFrame:
     """Runs of good rows; runs with ``reach`` bad rows or fewer between them are one."""
-    w = Window.partitionBy(*key).orderBy(idx)
-    good = df.where(~F.coalesce(bad, F.lit(True))).withColumn("_gap", F.col(idx) - F.lag(idx).over(w) - 1)
-    runs = number_islands(good, key, F.coalesce(F.col("_gap") > reach, F.lit(False)), [idx], "_g")
-    return runs.groupBy(*key, "_g").agg(F.min(idx).alias("start"), F.max(idx).alias("stop")).drop("_g")
+    return gap_islands(df.where(~F.coalesce(bad, F.lit(True))), key, idx, F.lit(reach + 1))
 
 
 def _walk(x: np.ndarray, y: np.ndarray, good: np.ndarray, most: float) -> np.ndarray:

@@ -14,9 +14,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.blocks import BLOCK, blockwise, nearest_known, running_sum
+from ..functions import blocks
+from ..functions.blocks import BLOCK, block_width, blockwise, gap_islands, nearest_known, running_sum
 from ..functions.columns import no_nan
-from ..functions.islands import number_islands
+from ..functions.ranks import medians
 from .intervals import add_removal_window, consolidate, from_indices, subtract
 
 
@@ -25,19 +26,21 @@ def _w(key: list[str], order: str, a: int | None = None, b: int | None = None):
     return w if a is None else w.rowsBetween(a, b)
 
 
-def sampling_rate(df: DataFrame, key: list[str], t: str, multiplier: float = 1.75) -> DataFrame:
+def sampling_rate(df: DataFrame, key: list[str], t: str, multiplier: float = 1.75, width: int | None = None) -> DataFrame:
     """The rate in samples a second of each key, from the usual distance of its times.
 
     Differences are smoothed by a box of ten (rows -5 to 4, what is missing counts
     as zero), their logarithms binned in 100 bins from -5 to that of three times their
     mean; the left edge of the first fullest bin is the usual distance, and the
     mean of the differences below ``multiplier`` times it gives the rate. Keys with
-    fewer than ten differences have none.
+    fewer than ten differences have none. A series is worked on in stretches of ``width``.
     """
-    order = Window.partitionBy(*key).orderBy(t)
-    d = df.where(F.col(t).isNotNull()).withColumn("_d", (F.col(t) - F.lag(t).over(order)) / 1e6).where("_d is not null")
-    d = d.withColumn("_i", F.row_number().over(order)).select(*key, "_d", "_i")
-    d = d.withColumn("_s", F.sum("_d").over(_w(key, "_i", -5, 4)) / 10)
+    rows = df.where(F.col(t).isNotNull()).select(*key, F.col(t).alias("_t"))
+    width = width or block_width(rows, "_t")
+    d = nearest_known(rows, key, "_t", F.col("_t"), "_p", "_q", own=False, block=width).withColumn("_d", (F.col("_t") - F.col("_p")) / 1e6).where("_d is not null")
+    # of equal times the first has the distance from the time before, the others none
+    d = blocks.numbered(d.select(*key, "_t", "_d", (-F.col("_d")).alias("_later")), key, ["_t", "_later"], "_i", 1, width).select(*key, "_d", "_i")
+    d = blockwise(d, key, "_i", 5, lambda x, k: x.withColumn("_s", F.sum("_d").over(_w(k, "_i", -5, 4)) / 10))
     ends = d.groupBy(*key).agg(F.log10(3 * F.avg("_s")).alias("_top"), F.count("*").alias("_n")).where("_n >= 10")
     step = (F.col("_top") + 5) / 100
     binned = d.where("_s > 0").join(ends, key).withColumn("_b", F.least(F.lit(99), F.floor((F.log10("_s") + 5) / step).cast("int"))).where((F.log10("_s") >= -5) & (F.log10("_s") <= F.col("_top")))
@@ -48,14 +51,10 @@ def sampling_rate(df: DataFrame, key: list[str], t: str, multiplier: float = 1.7
     return near.groupBy(*key).agg(F.round(1 / F.avg("_d")).alias("rate"))
 
 
-def valid_intervals(df: DataFrame, key: list[str], t: str, gap: Column | int, least: int = 0, slack: int = 0) -> DataFrame:
+def valid_intervals(df: DataFrame, key: list[str], t: str, gap: Column | int, least: int = 0, slack: int = 0, width: int | None = None) -> DataFrame:
     """Stretches without a distance above ``gap``, widened by ``slack``, longer than ``least``; where the whole is shorter than that, longer than half the whole."""
-    order = Window.partitionBy(*key).orderBy(t)
-    rows = df.where(F.col(t).isNotNull())
-    d = F.col(t) - F.lag(t).over(order)
-    far = d > (gap if isinstance(gap, Column) else F.lit(gap))
-    runs = number_islands(rows.withColumn("_new", far), key, F.col("_new"), [t], "_g")
-    found = runs.groupBy(*key, "_g").agg((F.min(t) - slack).alias("start"), (F.max(t) + slack).alias("stop")).drop("_g")
+    found = gap_islands(df, key, t, gap if isinstance(gap, Column) else F.lit(gap), width)
+    found = found.select(*key, (F.col("start") - slack).alias("start"), (F.col("stop") + slack).alias("stop"))
     whole = df.groupBy(*key).agg((F.max(t) - F.min(t)).alias("_whole"))
     longer = F.when(F.col("_whole") < least, F.col("_whole") / 2).otherwise(F.lit(float(least)))
     return found.join(whole, key).where((F.col("stop") - F.col("start")) > longer).select(*key, "start", "stop")
@@ -111,7 +110,7 @@ def decimate(df: DataFrame, key: list[str], order: str, every: int, numbered: bo
     """Every ``every``-th row of a key, from the first; if the order numbers the rows from 0 without gaps, by that number alone."""
     if numbered:
         return df.where(F.col(order) % every == 0)
-    return df.withColumn("_n", F.row_number().over(_w(key, order)) - 1).where(F.col("_n") % every == 0).drop("_n")
+    return blocks.numbered(df, key, [order], "_n").where(F.col("_n") % every == 0).drop("_n")
 
 
 def re_reference(df: DataFrame, at: list[str], channel: str, value: str, references: DataFrame) -> DataFrame:
@@ -150,10 +149,10 @@ def moving_mean(df: DataFrame, key: list[str], order: str, value: str, width: in
     return df.withColumn(name, F.avg(no_nan(F.col(value))).over(_w(key, order, 1 - width, 0)))
 
 
-def interpolate(df: DataFrame, key: list[str], x: str, value: str, name: str = "filled", ends: bool = False, idx: str | None = None, block: int = BLOCK) -> DataFrame:
+def interpolate(df: DataFrame, key: list[str], x: str, value: str, name: str = "filled", ends: bool = False, idx: str | None = None, block: int = BLOCK, last: str | None = None) -> DataFrame:
     """Fills NaN and null linearly along ``x``; beyond the ends only if ``ends``, with the nearest value.
 
-    If ``idx`` numbers the rows in the order of ``x``, a series is worked on in blocks.
+    If ``idx`` has the order of ``x``, a series is worked on in blocks of it. ``last`` adds the last value up to each row.
     """
     v = no_nan(F.col(value).cast("double"))
     known = F.when(v.isNotNull(), F.struct(F.col(x).alias("x"), v.alias("v")))
@@ -165,17 +164,19 @@ def interpolate(df: DataFrame, key: list[str], x: str, value: str, name: str = "
     share = (F.col(x) - F.col("_a.x")) / (F.col("_b.x") - F.col("_a.x"))
     line = F.col("_a.v") + (F.col("_b.v") - F.col("_a.v")) * share
     edge = F.coalesce("_a.v", "_b.v") if ends else F.lit(None).cast("double")
+    if last:
+        rows = rows.withColumn(last, F.col("_a.v"))
     return rows.withColumn(name, F.when(v.isNotNull(), v).when(F.col("_a").isNotNull() & F.col("_b").isNotNull(), line).otherwise(edge)).drop("_a", "_b")
 
 
-def resample(df: DataFrame, grid: DataFrame, key: list[str], t: str, value: str, by: str = "time") -> DataFrame:
-    """Values at the times of ``grid``, linear between neighbours by time or by row; after the last value it stays, before the first there is none."""
+def resample(df: DataFrame, grid: DataFrame, key: list[str], t: str, value: str, by: str = "time", width: int | None = None) -> DataFrame:
+    """Values at the times of ``grid``, linear between neighbours by time or by row; after the last value it stays, before the first there is none. A series is worked on in stretches of ``width``."""
     both = df.select(*key, t, F.col(value).cast("double").alias("_v"), F.lit(False).alias("_g")).unionByName(grid.select(*key, t, F.lit(None).cast("double").alias("_v"), F.lit(True).alias("_g")))
     rows = both.groupBy(*key, t).agg(F.max("_v").alias("_v"), F.max("_g").alias("_g"))
-    x = t
+    width, x = width or block_width(both, t), t
     if by == "row":
-        rows, x = rows.withColumn("_r", F.row_number().over(_w(key, t))), "_r"
-    filled = interpolate(rows, key, x, "_v", "_f").withColumn("_last", F.last("_v", ignorenulls=True).over(_w(key, t, Window.unboundedPreceding, 0)))
+        rows, x = blocks.numbered(rows, key, [t], "_r", 1, width), "_r"
+    filled = interpolate(rows, key, x, "_v", "_f", idx=x, block=BLOCK if by == "row" else width, last="_last")
     return filled.where("_g").select(*key, t, F.coalesce("_f", "_last").alias(value))
 
 
@@ -187,11 +188,12 @@ def time_grid(iv: DataFrame, key: list[str], step: int) -> DataFrame:
     return rows.select(*key, "i", (F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("i") / F.col("_n")).alias("t"))
 
 
-def align_to_clock(df: DataFrame, clock: DataFrame, key: list[str], t: str, value: str) -> DataFrame:
-    """Puts each value at the last clock time not after it; the latest wins, clock times without a value have none."""
+def align_to_clock(df: DataFrame, clock: DataFrame, key: list[str], t: str, value: str, width: int | None = None) -> DataFrame:
+    """Puts each value at the last clock time not after it; the latest wins, clock times without a value have none. A series is worked on in stretches of ``width``."""
     both = df.select(*key, F.col(t).alias("_t"), F.col(value).alias("_v"), F.lit(1).alias("_k")).unionByName(clock.select(*key, F.col(t).alias("_t"), F.lit(None).cast("double").alias("_v"), F.lit(0).alias("_k")))
-    at = F.last(F.when(F.col("_k") == 0, F.col("_t")), ignorenulls=True).over(Window.partitionBy(*key).orderBy("_t", "_k").rowsBetween(Window.unboundedPreceding, 0))
-    placed = both.withColumn(t, at).where(f"_k = 1 and {t} is not null").groupBy(*key, t).agg(F.max_by("_v", "_t").alias(value))
+    tick = F.when(F.col("_k") == 0, F.col("_t"))
+    placed = nearest_known(both, key, "_t", tick, t, "_q", block=width or block_width(both, "_t"), then=("_k",))
+    placed = placed.where(f"_k = 1 and {t} is not null").groupBy(*key, t).agg(F.max_by("_v", "_t").alias(value))
     return clock.select(*key, t).distinct().join(placed, [*key, t], "left")
 
 
@@ -216,9 +218,8 @@ def zscore(df: DataFrame, key: list[str], value: str, name: str = "z") -> DataFr
 
 def mad_outliers(df: DataFrame, key: list[str], value: str, threshold: float, name: str = "outlier") -> DataFrame:
     """Whether a value is further from the median than ``threshold`` scaled median deviations (1 where that is zero)."""
-    med = df.groupBy(*key).agg(F.percentile(value, 0.5).alias("_med"))
-    rows = df.join(med, key).withColumn("_dev", F.abs(F.col(value) - F.col("_med")))
-    mad = rows.groupBy(*key).agg((F.percentile("_dev", 0.5) * 1.4826).alias("_mad"))
+    rows = df.join(medians(df, key, value, "_med"), key).withColumn("_dev", F.abs(F.col(value) - F.col("_med")))
+    mad = medians(rows, key, "_dev", "_mad").withColumn("_mad", F.col("_mad") * 1.4826)
     scale = F.when(F.col("_mad") > 0, F.col("_mad")).otherwise(1.0)
     return rows.join(mad, key).withColumn(name, F.col("_dev") / scale > threshold).drop("_med", "_dev", "_mad")
 

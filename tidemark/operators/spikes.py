@@ -6,8 +6,10 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.blocks import numbered
 from ..functions.columns import no_nan
 from ..functions.rangejoin import points_in
+from ..functions.ranks import medians
 from .intervals import to_indices
 from .signal import gaussian
 
@@ -211,8 +213,8 @@ def snr(waves: DataFrame, unit: str, samples: str, channels: int, sign: str = "n
     peak = peak_place(template, unit, channels, sign).withColumn("place", F.col("sample") * channels + F.col("channel"))
     at = template.join(peak.select(unit, "channel", "place"), [unit, "place"]).select(unit, F.abs("mean").alias("_peak"), "channel")
     values = waves.select(F.posexplode(samples).alias("_p", "_x")).select((F.col("_p") % channels).alias("channel"), "_x")
-    middle = values.groupBy("channel").agg(F.percentile("_x", 0.5).alias("_med"))
-    noise = values.join(middle, "channel").groupBy("channel").agg((F.percentile(F.abs(F.col("_x") - F.col("_med")), 0.5) * 1.4826).alias("_noise"))
+    away = values.join(medians(values, ["channel"], "_x", "_med"), "channel").select("channel", F.abs(F.col("_x") - F.col("_med")).alias("_dev"))
+    noise = medians(away, ["channel"], "_dev", "_noise").withColumn("_noise", F.col("_noise") * 1.4826)
     return at.join(noise, "channel").select(unit, "channel", (F.col("_peak") / F.col("_noise")).alias("snr"))
 
 
@@ -281,7 +283,7 @@ def sort_group_info(groups: DataFrame, electrodes: DataFrame, group: str, electr
 def concatenated(samples: DataFrame, iv: DataFrame, key: list[str], t: str, width: int) -> DataFrame:
     """Samples in any of the disjoint intervals, numbered from 0 in the order of time, their times kept."""
     inside = points_in(samples, iv, key, t, width, how="left_semi")
-    return inside.withColumn("place", F.row_number().over(Window.partitionBy(*key).orderBy(t)) - 1)
+    return numbered(inside, key, [t], "place")
 
 
 def review_counts(units: DataFrame, by: str, reviewed: Column) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.blocks import BLOCK
+from ..functions.blocks import BLOCK, numbered
 from ..operators import intervals as I
 from .tables import DAY, HOUR, events, order_intervals, read, sql
 
@@ -80,10 +80,7 @@ def i11_adjacent(spark, d):
 
 def _samples(spark, d):
     """Events of a type numbered by time."""
-    from pyspark.sql import Window
-
-    ev = events(spark, d)
-    return ev.select("event_type", "event_id", "t", "value", (F.row_number().over(Window.partitionBy("event_type").orderBy("t", "event_id")) - 1).cast("long").alias("idx"))
+    return numbered(events(spark, d).select("event_type", "event_id", "t", "value"), ["event_type"], ["t", "event_id"], "idx")
 
 
 _SAMPLES = "sm AS (SELECT event_type, event_id, t, value, row_number() OVER (PARTITION BY event_type ORDER BY t, event_id) - 1 AS idx FROM ev)"
