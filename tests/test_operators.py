@@ -24,16 +24,20 @@ def test_restrict(spark):
 
 
 def test_criteria(spark):
-    nan = float("nan")
-    units = spark.createDataFrame([(0, "CA1", 5.0, 1000), (1, "CA1", 1.0, 10), (2, "CA3", 4.0, 500), (3, "CA3", nan, 300)], "u int, region string, snr double, n int")
-    got = lambda **c: [r.u for r in K.filter_by_criteria(units, c).orderBy("u").collect()]
-    assert got(snr=[(">", 3)]) == [0, 2] and got(snr=[("<=", 4)]) == [1, 2] and got(snr=[("!=", 4)]) == [0, 1] and got(snr=[("notin", [9.0])]) == [0, 1, 2]
-    assert got(n=[("==", 10)]) == [1] and got(snr=[("between", (4, 5))]) == [0, 2] and got(snr=[("outside", (4, 5))]) == [1]
-    assert got(snr=[(">", 3), ("<", 4.5)], region=[("isin", ["CA1", "CA3"])]) == [2]
-    with pytest.raises(ValueError, match="no such columns"):
-        got(zzz=[(">", 1)])
-    with pytest.raises(ValueError, match="unknown operator"):
-        got(snr=[("~", 1)])
+    """Every test against plain Python on made-up values, of which some are missing."""
+    values = [-2.5, 0.0, None, 7.25, float("nan"), 7.25, 12.0, -40.0]
+    frame = spark.createDataFrame([(k, v, k % 3) for k, v in enumerate(values)], "u int, depth double, layer int")
+    plain = {
+        ">": (0.0, lambda v: v > 0), ">=": (7.25, lambda v: v >= 7.25), "<": (0.0, lambda v: v < 0), "<=": (-2.5, lambda v: v <= -2.5), "==": (7.25, lambda v: v == 7.25), "!=": (7.25, lambda v: v != 7.25),
+        "between": ((-2.5, 7.25), lambda v: -2.5 <= v <= 7.25), "outside": ((-2.5, 7.25), lambda v: v < -2.5 or v > 7.25), "isin": ([12.0, 0.0], lambda v: v in (12, 0)), "notin": ([12.0, 0.0], lambda v: v not in (12, 0)),
+    }
+    got = lambda **c: [r.u for r in K.filter_by_criteria(frame, c).orderBy("u").collect()]
+    for op, (value, test) in plain.items():
+        assert got(depth=[(op, value)]) == [k for k, v in enumerate(values) if v is not None and v == v and test(v)], op
+    assert got(depth=[(">", -10), ("<", 10)], layer=[("==", 0)]) == [0, 3]
+    for wrong, said in ((("nothing", [(">", 1)]), "no such columns"), (("depth", [("=~", 1)]), "unknown operator")):
+        with pytest.raises(ValueError, match=said):
+            got(**dict([wrong]))
 
 
 def test_fir_blocks_equal_convolution(spark):
@@ -63,29 +67,42 @@ def test_signal_small_cases(spark):
     assert max(abs(r.power - 1) for r in z) < 1e-9
 
 
-def test_position_cases(spark):
-    bad = spark.createDataFrame([(1, i, b == "T") for i, b in enumerate("TFFTFFT")], "k int, i long, bad boolean")
-    spans = lambda df, k: [(r.start, r.stop) for r in P.good_spans(df, ["k"], "i", F.col("bad"), k).orderBy("start").collect()]
-    assert spans(bad, 50) == [(1, 5)] and spans(bad, 0) == [(1, 2), (4, 5)]
-    xy = spark.createDataFrame([(0.5, 0.5), (2.0, 0.5)], "x double, y double")
-    assert [r.inside for r in P.inside_polygon(xy, "x", "y", [(0, 0), (1, 0), (1, 1), (0, 1)]).collect()] == [True, False]
+def test_good_spans_and_polygon(spark):
+    """Bridged spans against a walk over random rows; points by the corners of an L."""
+    rng = np.random.default_rng(8)
+    bad = rng.random(120) < 0.4
+    rows = spark.createDataFrame([(1, k, bool(b)) for k, b in enumerate(bad)], "k int, i long, bad boolean")
+    for reach in (0, 1, 3):
+        spans = []
+        for k in np.flatnonzero(~bad).tolist():
+            if spans and k - spans[-1][1] - 1 <= reach:
+                spans[-1][1] = k
+            else:
+                spans.append([k, k])
+        assert [[r.start, r.stop] for r in P.good_spans(rows, ["k"], "i", F.col("bad"), reach).orderBy("start").collect()] == spans
+    corner = [(0, 0), (4, 0), (4, 1), (1, 1), (1, 3), (0, 3)]
+    places = {(0.5, 2.5): True, (3.5, 0.5): True, (2.0, 2.0): False, (-0.1, 1.0): False}
+    xy = spark.createDataFrame(list(places), "x double, y double")
+    assert {(r.x, r.y): r.inside for r in P.inside_polygon(xy, "x", "y", corner).collect()} == places
 
 
 def test_lineage(spark):
+    """Shelves hold boxes, labels name a box by another column: three levels, with known contents."""
     frames = {
-        "a": spark.createDataFrame([(i, 10 + i) for i in range(5)], "a_id int, a_attr int"),
-        "b": spark.createDataFrame([(i, i // 2, 20 + i) for i in range(10)], "b_id int, a_id int, b_attr int"),
-        "c": spark.createDataFrame([(i, i, 30 + i) for i in range(10)], "c_id int, other_b int, c_attr int"),
+        "shelf": spark.createDataFrame([("top", 2.1), ("mid", 1.2), ("low", 0.3)], "shelf string, height double"),
+        "box": spark.createDataFrame([(7, "top", "red"), (8, "low", "red"), (9, "low", "blue")], "box int, shelf string, colour string"),
+        "label": spark.createDataFrame([("x", 7, 1), ("y", 7, 2), ("z", 9, 3)], "label string, on_box int, size int"),
     }
-    cat = L.Catalogue([L.TableSpec("a", ["a_id"]), L.TableSpec("b", ["b_id"], {"a": {"a_id": "a_id"}}), L.TableSpec("c", ["c_id"], {"b": {"other_b": "b_id"}})], frames.get)
-    assert L.restrict_by(cat, "c", "a_attr > 12", {"a_attr"}).count() == 4
-    assert L.restrict_by(cat, "a", "c_attr > 36", {"c_attr"}, "down").count() == 2
-    assert L.restrict_by(cat, "c", "a_attr > 12", {"a_attr"}, ban=("b",)) is None
-    up = L.cascade(cat, {"c": frames["c"].where("c_id = 3")})
-    assert [up[n].count() for n in "abc"] == [1, 1, 1]
-    both = L.merge_graphs(cat, up, L.cascade(cat, {"b": frames["b"].where("b_id > 7")}), "or")
-    assert both["a"].count() == 2 and both["b"].count() == 3
-    assert L.content_hash(frames["a"]).first() == L.content_hash(frames["a"].orderBy(F.desc("a_id"))).first()
+    cat = L.Catalogue([L.TableSpec("shelf", ["shelf"]), L.TableSpec("box", ["box"], {"shelf": {"shelf": "shelf"}}), L.TableSpec("label", ["label"], {"box": {"on_box": "box"}})], frames.get)
+    names = lambda df, c: sorted(r[c] for r in df.select(c).collect())
+    assert names(L.restrict_by(cat, "label", "height > 1", {"height"}), "label") == ["x", "y"]
+    assert names(L.restrict_by(cat, "shelf", "size > 2", {"size"}, "down"), "shelf") == ["low"]
+    assert L.restrict_by(cat, "label", "height > 1", {"height"}, ban=("box",)) is None
+    up = L.cascade(cat, {"label": frames["label"].where("label = 'z'")})
+    assert names(up["box"], "box") == [9] and names(up["shelf"], "shelf") == ["low"]
+    both = L.merge_graphs(cat, up, L.cascade(cat, {"box": frames["box"].where("colour = 'red'")}), "or")
+    assert names(both["shelf"], "shelf") == ["low", "top"] and names(both["box"], "box") == [7, 8, 9]
+    assert L.content_hash(frames["box"]).first() == L.content_hash(frames["box"].orderBy(F.desc("box"))).first()
 
 
 def test_quality_and_manifest(spark, tmp_path):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -16,6 +17,7 @@ from .more_queries import _hours
 from .signal_queries import _XY, EDGES, _xy
 from .signal_queries import ORACLES as SIGNAL
 from .tables import DAY, HOUR, above_mean, events, read, smoothed, sql
+from .unit_queries import _POST, _decode
 
 C = ["event_type"]
 
@@ -313,7 +315,35 @@ def f35_whitening(s, d):
     return K.whiten(days, "day", "event_type", "value", kinds)
 
 
-QUERIES = {f.__name__: f for f in (p9_reject_jumps, p16_orientation, p18_centroid_track, p22_numbered_track, p25_behaviour_rows, w3_full_waveform, b8_clusterless, f35_whitening, k1_spike_samples, k3_firing_rate, k7_model_range, k8_annotations, k11_curations, k13_merge_candidates, k16_snr, k21_burst_pairs, w2_peak_amplitude, w2_middle_amplitude, k26_amplitudes, w4_location, w6_features, w9_electrode_marks, k27_field_order, k28_sort_group_info, k30_reviews, b1_training_mask, b5_interval_decode, b7_ahead, e2_consensus_ripples, e3_channel_ripples, e6_ripple_inputs, f15_analytic, f16_phase, f22_upsample, f33_band_pass, p6_frame_times, p14_bisector, p17_four_points, p1_two_point_track, p19_cohort, p20_with_orientation, p23_normalise, p24_keypoints, p27_pose_group, l3_linear_slice)}
+def _walk_chances(places, share):
+    """Chances to step between places: near ones more often, and ``share`` of the steps go anywhere."""
+    x = np.asarray(places, float)
+    near = np.exp(-0.5 * (x[:, None] - x) ** 2)
+    return (1 - share) * near / near.sum(axis=1, keepdims=True) + share / len(x)
+
+
+def b6_smoother(s, d):
+    from ..functions.blocks import numbered
+    from ..operators import chains
+
+    ev, fields = _decode(s, d)
+    post = K.poisson_posterior(ev.groupBy("hour", "event_type").agg(F.count("*").alias("n")), fields, "hour", "event_type", "bin")
+    bins = [r.bin for r in fields.select("bin").distinct().orderBy("bin").collect()]  # ten at most
+    seen = post.groupBy("hour").agg(F.transform(F.array_sort(F.collect_list(F.struct("bin", "p"))), lambda x: F.log(x.p)).alias("seen")).withColumn("g", F.lit(0))
+    found = chains.smooth(numbered(seen, ["g"], ["hour"], "idx"), ["g"], "idx", "seen", _walk_chances(bins, 0.1))
+    named = found.join(numbered(seen, ["g"], ["hour"], "idx").select("idx", "hour"), "idx")
+    both = named.select("hour", F.posexplode(F.arrays_zip("causal", "acausal")).alias("k", "p"))
+    return both.select("hour", F.element_at(F.array(*map(F.lit, bins)), F.col("k") + 1).cast("long").alias("bin"), F.round("p.causal", 6).alias("causal"), F.round("p.acausal", 6).alias("acausal"))
+
+
+def l2_chain(s, d):
+    from ..operators import chains
+
+    ends = [(x1, y1, x2, y2) for _, x1, y1, x2, y2 in EDGES]
+    return chains.edges_by_chain(_xy(s, d), ends, ["user_id"], "idx", "x", "y", sensor=20.0, scaling=30.0)
+
+
+QUERIES = {f.__name__: f for f in (b6_smoother, l2_chain, p9_reject_jumps, p16_orientation, p18_centroid_track, p22_numbered_track, p25_behaviour_rows, w3_full_waveform, b8_clusterless, f35_whitening, k1_spike_samples, k3_firing_rate, k7_model_range, k8_annotations, k11_curations, k13_merge_candidates, k16_snr, k21_burst_pairs, w2_peak_amplitude, w2_middle_amplitude, k26_amplitudes, w4_location, w6_features, w9_electrode_marks, k27_field_order, k28_sort_group_info, k30_reviews, b1_training_mask, b5_interval_decode, b7_ahead, e2_consensus_ripples, e3_channel_ripples, e6_ripple_inputs, f15_analytic, f16_phase, f22_upsample, f33_band_pass, p6_frame_times, p14_bisector, p17_four_points, p1_two_point_track, p19_cohort, p20_with_orientation, p23_normalise, p24_keypoints, p27_pose_group, l3_linear_slice)}
 
 
 def _fir(taps: list[float], name: str) -> str:
@@ -336,6 +366,14 @@ WHEN NOT f AND NOT c AND l AND r AND {_DIST(2, 3)} THEN ({c}2 + {c}3) / 2 WHEN f
 
 
 ORACLES = {
+    "b6_smoother": sql(f"""{_POST}, pv AS (SELECT hour, list(p ORDER BY bin) AS l, row_number() OVER (ORDER BY hour) AS i FROM po GROUP BY hour), bn AS (SELECT list(bin ORDER BY bin) AS b FROM (SELECT DISTINCT bin FROM fd)),
+tm AS (SELECT b, list_transform(b, lambda x: list_transform(b, lambda y: 0.9 * exp(-0.5 * (x - y) * (x - y)) / list_sum(list_transform(b, lambda z: exp(-0.5 * (x - z) * (x - z)))) + 0.1 / len(b))) AS m FROM bn),
+fw(i, a) AS (SELECT i, list_transform(l, lambda x: x / list_sum(l)) FROM pv WHERE i = 1
+  UNION ALL SELECT i, list_transform(u, lambda x: x / list_sum(u)) FROM (SELECT pv.i, list_transform(range(1, len(b) + 1), lambda j: l[j] * list_sum(list_transform(range(1, len(b) + 1), lambda k: a[k] * m[k][j]))) AS u FROM fw JOIN pv ON pv.i = fw.i + 1, tm)),
+bw(i, a) AS (SELECT max(i), list_transform(any_value(b), lambda x: 1.0::DOUBLE) FROM pv, tm
+  UNION ALL SELECT i, list_transform(u, lambda x: x / list_sum(u)) FROM (SELECT pv.i - 1 AS i, list_transform(range(1, len(b) + 1), lambda k: list_sum(list_transform(range(1, len(b) + 1), lambda j: m[k][j] * l[j] * a[j]))) AS u FROM bw JOIN pv ON pv.i = bw.i, tm WHERE pv.i > 1)),
+z AS (SELECT hour, b, fw.a AS f, list_transform(range(1, len(b) + 1), lambda k: fw.a[k] * bw.a[k]) AS g FROM pv JOIN fw USING (i) JOIN bw USING (i), tm)
+SELECT hour, b[k] AS bin, round(f[k], 6) AS causal, round(g[k] / list_sum(g), 6) AS acausal FROM (SELECT *, unnest(range(1, len(b) + 1)) AS k FROM z)""").replace("WITH ", "WITH RECURSIVE ", 1),
     "k1_spike_samples": sql(f"""s AS (SELECT event_type, t FROM ev WHERE event_id % 2 = 0), n AS (SELECT event_type, count(*) AS n FROM s GROUP BY 1), u AS (SELECT event_type, t + {HOUR} AS x, 0 AS k FROM ev UNION ALL SELECT event_type, t, 1 FROM s),
 c AS (SELECT *, sum(k) OVER (PARTITION BY event_type ORDER BY x, k RANGE UNBOUNDED PRECEDING) AS p FROM u) SELECT c.event_type, x AS t, p::BIGINT AS position FROM c JOIN n USING (event_type) WHERE k = 0 AND p < n"""),
     "k3_firing_rate": sql(f"""a AS (SELECT min(t) AS a, max(t) AS b FROM ev), c AS (SELECT event_type, (t - a) // {DAY} AS bin, count(*) AS n FROM ev, a GROUP BY ALL), g AS (SELECT event_type, unnest(range(0, (b - a) // {DAY} + 2)) AS bin FROM (SELECT DISTINCT event_type FROM ev), a),
