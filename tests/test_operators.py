@@ -229,6 +229,31 @@ def test_whitening(spark):
     assert wide.shape == (300, 3) and np.allclose(np.cov(wide.T, bias=True), np.eye(3), atol=1e-6)
 
 
+def test_whitening_of_many_channels(spark, monkeypatch):
+    """More channels than a plan could spell out, moments joined in a tree."""
+    monkeypatch.setattr(K, "_MERGED", 2)
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 150)) @ rng.normal(size=(150, 150)) + 5
+    df = spark.createDataFrame([(i, c, float(x[i, c])) for i in range(400) for c in range(150)], "i int, c int, x double")
+    out = K.whiten(df.repartition(7), "i", "c", "x", list(range(150))).groupBy("i").agg(F.array_sort(F.collect_list(F.struct("c", "x"))).x.alias("x")).toPandas()
+    assert np.allclose(np.cov(np.stack(out["x"].tolist()).T, bias=True), np.eye(150), atol=1e-6)
+    assert K.whiten(df.where("c < 3"), "i", "c", "x", [0, 1, 2, 3]).count() == 0
+
+
+def test_clusterless_marks_stay_on_their_electrode(spark):
+    rng = np.random.default_rng(6)
+    spikes = [(k, int(rng.integers(2)), [float(v) for v in rng.normal(0, 6, 3)], int(rng.integers(4))) for k in range(150)] + [(900, 0, None, 1), (901, 0, [1.0, float("nan"), 2.0], 1)]
+    df = spark.createDataFrame(spikes, "spike int, electrode int, mark array<double>, bin int")
+    got = {(r.spike, r.bin): r.likelihood for r in K.clusterless_likelihood(df, df, ["spike"], ["electrode"], "mark", "bin", 3.0, fine=2, reach=2).collect()}
+    want, whole = {}, [(k, e, np.floor(np.array(m) * 2 / 3.0), b) for k, e, m, b in spikes[:150]]
+    for k, e, m, _ in whole:
+        for _, e2, m2, b2 in whole:
+            q = ((m - m2) ** 2).sum()
+            if e == e2 and q <= 16:
+                want[k, b2] = want.get((k, b2), 0) + np.exp(-q / 8)
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
 def test_names_are_taken_apart(spark):
     names = spark.createDataFrame([(" Ann Lee ",), ("Lee, Ann B",), ("Ann B Lee",), ("Lee,Ann",), (None,), ("a, b, c",)], "n string")
     got = [tuple(r.p) if r.p else None for r in names.select(Q.name_parts(F.col("n")).alias("p")).collect()]

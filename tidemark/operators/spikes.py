@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from ..functions.blocks import numbered
 from ..functions.columns import no_nan
 from ..functions.rangejoin import points_in
 from ..functions.ranks import medians
+from ..functions.store import materialise
 from .intervals import to_indices
 from .signal import gaussian
 
@@ -333,29 +336,104 @@ def full_waveform(waves: DataFrame, spike: str, samples: str, channels: int) ->
     return waves.select(spike, F.flatten(F.array(*(one(k) for k in range(channels)))).alias("feature"))
 
 
-def clusterless_likelihood(decode: DataFrame, encode: DataFrame, key: list[str], mark: str, bin_: str, spread: float, reach: int = 4) -> DataFrame:
-    """For each spike of ``decode`` and position bin the sum of Gaussian kernels of the marks of ``encode`` within ``reach`` spreads.
+def _coarse(cell: Column, reach: int) -> Column:
+    return F.transform(cell, lambda c: F.floor(c / reach))
 
-    The marks meet by an equi-join on bands of that width. A bin without a mark nearby has no row.
+
+def clusterless_likelihood(decode: DataFrame, encode: DataFrame, key: list[str], electrode: list[str], mark: str, bin_: str, spread: float, fine: int = 2, reach: int = 3) -> DataFrame:
+    """For each spike of ``decode`` and position bin the sum of Gaussian kernels of the marks of ``encode`` on the same electrode.
+
+    ``mark`` is an array of as many numbers as the electrode has features. Marks are counted in cells of a ``fine``-th of ``spread`` and
+    stand at their cell's centre; cells further apart than ``reach`` spreads do not count. Only occupied cells meet, by an
+    equi-join on blocks of cells, so the work grows with these and not with pairs of spikes. A bin without a mark nearby has no row;
+    nor have spikes whose mark or electrode is null.
     """
-    width = reach * spread
-    near = encode.select(bin_, F.col(mark).alias("_m"), F.explode(F.array(*(F.floor(F.col(mark) / width) + k for k in (-1, 0, 1)))).alias("_b"))
-    met = decode.select(*key, mark, F.floor(F.col(mark) / width).alias("_b")).join(near, "_b").withColumn("_d", (F.col(mark) - F.col("_m")) / spread)
-    return met.where(F.abs("_d") <= reach).groupBy(*key, bin_).agg(F.sum(F.exp(-F.col("_d") * F.col("_d") / 2)).alias("likelihood"))
+    far = fine * reach
+    cell = F.transform(mark, lambda x: F.floor(x.cast("double") * fine / spread))
+    whole = lambda df: df.where(F.col(mark).isNotNull() & ~F.exists(mark, lambda x: x.isNull() | F.isnan(x)))
+    known = whole(encode).groupBy(*electrode, cell.alias("_e"), bin_).agg(F.count("*").alias("_n")).withColumn("_b", _coarse(F.col("_e"), far))
+    asked = whole(decode).select(*key, *electrode, cell.alias("_d"))
+    around = F.transform("_b0", lambda b: F.array(b - 1, b, b + 1))
+    # all blocks next to the cell's own, a feature at a time
+    grown = F.aggregate(around, F.array(F.array().cast("array<bigint>")), lambda made, three: F.flatten(F.transform(made, lambda m: F.transform(three, lambda x: F.concat(m, F.array(x))))))
+    cells = asked.select(*electrode, "_d").distinct().withColumn("_b0", _coarse(F.col("_d"), far))
+    met = cells.select(*electrode, "_d", F.explode(grown).alias("_b")).join(known, [*electrode, "_b"])
+    square = F.aggregate(F.zip_with("_d", "_e", lambda x, y: (x - y) * (x - y)), F.lit(0).cast("bigint"), lambda a, x: a + x)
+    near = met.withColumn("_q", square).where(F.col("_q") <= far * far)
+    weight = F.exp(F.col("_q") / (-2.0 * fine * fine)) * F.col("_n")
+    fields = near.groupBy(*electrode, "_d", bin_).agg(F.sum(weight).alias("likelihood"))
+    return asked.join(fields, [*electrode, "_d"]).select(*key, bin_, "likelihood")
+
+
+def _add_moments(parts: list[tuple[int, np.ndarray, np.ndarray]]) -> tuple[int, np.ndarray, np.ndarray]:
+    """Joins numbers of rows, means and sums of outer products about the mean."""
+    n, mean, outer = parts[0]
+    for m, other, more in parts[1:]:
+        gap = other - mean
+        outer = outer + more + np.outer(gap, gap) * (n * m / (n + m))
+        mean, n = mean + gap * (m / (n + m)), n + m
+    return n, mean, outer
+
+
+_MOMENTS = "part long, n long, mean binary, outer binary"
+_MERGED = 16
+
+
+def moments(rows: DataFrame, values: str, size: int) -> tuple[int, np.ndarray, np.ndarray] | None:
+    """Number of rows, mean and covariance (by the number) of an array column of ``size`` numbers; none without rows.
+
+    Each task adds up one array of ``size`` by ``size``; these are joined in a tree, so that the driver gets a few.
+    """
+
+    def told(part: int, found: tuple[int, np.ndarray, np.ndarray]) -> pd.DataFrame:
+        return pd.DataFrame({"part": [part], "n": [found[0]], "mean": [found[1].tobytes()], "outer": [found[2].tobytes()]})
+
+    def read(rows: pd.DataFrame) -> list[tuple[int, np.ndarray, np.ndarray]]:
+        return [(int(n), np.frombuffer(m), np.frombuffer(o).reshape(size, size)) for n, m, o in zip(rows["n"], rows["mean"], rows["outer"], strict=True)]
+
+    def of_task(batches):
+        now = []
+        for batch in batches:
+            if len(batch):
+                x = np.stack(batch[values].tolist()).astype(float)
+                mean = x.mean(axis=0)
+                now = [_add_moments([*now, (len(x), mean, (x - mean).T @ (x - mean))])]
+        if now:
+            yield told(TaskContext.get().partitionId(), now[0])
+
+    parts = materialise(rows.select(values).mapInPandas(of_task, _MOMENTS), "moments")
+    while parts.count() > _MERGED:
+        parts = parts.withColumn("part", F.floor(F.col("part") / _MERGED))
+        parts = materialise(parts.groupBy("part").applyInPandas(lambda x: told(int(x["part"].iloc[0]), _add_moments(read(x))), _MOMENTS), "moments")
+    found = read(parts.toPandas())  # a few
+    if not found:
+        return None
+    n, mean, outer = _add_moments(found)
+    return n, mean, outer / n
 
 
 def whiten(df: DataFrame, idx: str, channel: str, value: str, channels: list, floor: float = 1e-9) -> DataFrame:
-    """Decorrelates the channels: the covariance is summed over all samples, only its root (channels by channels) is made on the driver.
+    """Decorrelates the channels by the root of the inverse covariance over all samples; only that (channels by channels) is made on the driver.
 
-    Samples that lack a channel are left out. Returns ``idx, channel, value``.
+    Samples that lack a channel, or have one twice, are left out; so are other channels. Returns ``idx, channel, value``.
     """
-    wide = df.groupBy(idx).pivot(channel, channels).agg(F.first(value)).dropna()
-    names = [c for c in wide.columns if c != idx]
-    sums = wide.agg(*(F.covar_pop(f"`{a}`", f"`{b}`").alias(f"c{i}_{j}") for i, a in enumerate(names) for j, b in enumerate(names)), *(F.avg(f"`{a}`").alias(f"m{i}") for i, a in enumerate(names))).first()
-    n = len(names)
-    if sums["m0"] is None:
-        return wide.select(idx, F.lit(None).cast(df.schema[channel].dataType).alias(channel), F.lit(0.0).alias(value)).limit(0)
-    values, vectors = np.linalg.eigh(np.array([[sums[f"c{i}_{j}"] for j in range(n)] for i in range(n)]))
-    root = vectors @ np.diag(1 / np.sqrt(np.maximum(values, floor))) @ vectors.T
-    made = [F.struct(F.lit(channels[i]).alias(channel), sum((F.col(f"`{b}`") - sums[f"m{j}"]) * float(root[i, j]) for j, b in enumerate(names)).alias(value)) for i in range(n)]
-    return wide.select(idx, F.inline(F.array(*made)))
+    n = len(channels)
+    names = F.array(*map(F.lit, channels))
+    rows = df.where(F.col(value).isNotNull()).select(idx, (F.array_position(names, F.col(channel)) - 1).alias("_c"), F.col(value).cast("double").alias("_v")).where("_c >= 0")
+    wide = rows.groupBy(idx).agg(F.array_sort(F.collect_list(F.struct("_c", "_v"))).alias("_x"), F.countDistinct("_c").alias("_k"))
+    wide = materialise(wide.where((F.col("_k") == n) & (F.size("_x") == n)).select(idx, F.col("_x._v").alias("_x")), "wide")
+    found = moments(wide, "_x", n)
+    kind = df.schema[channel].dataType.simpleString()
+    if found is None:
+        return wide.select(idx, F.lit(None).cast(kind).alias(channel), F.lit(0.0).alias(value)).limit(0)
+    _, mean, covariance = found
+    values, vectors = np.linalg.eigh(covariance)
+    root = (vectors / np.sqrt(np.maximum(values, floor))) @ vectors.T
+
+    def turned(batches):
+        for batch in batches:
+            x = (np.stack(batch["_x"].tolist()) - mean) @ root if len(batch) else np.zeros((0, n))
+            yield batch[[idx]].assign(_x=list(x))
+
+    made = wide.mapInPandas(turned, f"{idx} {wide.schema[idx].dataType.simpleString()}, _x array<double>")
+    return made.select(idx, F.posexplode("_x").alias("_c", value)).select(idx, F.element_at(names, F.col("_c") + 1).cast(kind).alias(channel), value)

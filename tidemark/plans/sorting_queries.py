@@ -304,8 +304,8 @@ def w3_full_waveform(s, d):
 
 
 def b8_clusterless(s, d):
-    ev = events(s, d).where("user_id is not null").select("event_id", (F.col("user_id") % 10).alias("bin"), "value")
-    found = K.clusterless_likelihood(ev.where("event_id % 20 = 1"), ev.where("event_id % 2 = 0"), ["event_id"], "value", "bin", 0.25)
+    ev = events(s, d).where("user_id is not null").select("event_id", "event_type", (F.col("user_id") % 10).alias("bin"), F.array("value", (F.col("event_id") % 100).cast("double")).alias("mark"))
+    found = K.clusterless_likelihood(ev, ev, ["event_id"], C, "mark", "bin", 4.0)
     return found.select("event_id", "bin", F.round("likelihood", 6).alias("likelihood"))
 
 
@@ -451,6 +451,9 @@ v AS (SELECT *, nullif(coalesce(lead(idx) OVER w, idx) - coalesce(lag(idx) OVER
 SELECT user_id, idx, round(x, 10) AS cx, round(y, 10) AS cy, round(sqrt(dx / s * (dx / s) + dy / s * (dy / s)), 10) AS speed FROM v"""),
     "p25_behaviour_rows": "SELECT event_id, event_type, round(value / 7, 4) AS heading, round(value / 3, 4) AS state FROM events",
     "w3_full_waveform": f"WITH {_W} SELECT vec_id, string_agg(x::VARCHAR, ',' ORDER BY place % 4, place) AS feature FROM w GROUP BY vec_id",
-    "b8_clusterless": "WITH e AS (SELECT user_id % 10 AS bin, value AS m FROM events WHERE user_id IS NOT NULL AND event_id % 2 = 0), d AS (SELECT event_id, value FROM events WHERE user_id IS NOT NULL AND event_id % 20 = 1) SELECT event_id, bin, round(sum(exp(-((value - m) / 0.25) * ((value - m) / 0.25) / 2)), 6) AS likelihood FROM d JOIN e ON abs((value - m) / 0.25) <= 4 GROUP BY ALL",
+    "b8_clusterless": """WITH e AS (SELECT event_id, event_type, user_id % 10 AS bin, floor(value / 2)::BIGINT AS x, floor((event_id % 100) / 2)::BIGINT AS y FROM events WHERE user_id IS NOT NULL AND value IS NOT NULL),
+h AS (SELECT event_type, x, y, bin, count(*) AS n FROM e GROUP BY ALL), c AS (SELECT DISTINCT event_type, x, y FROM e),
+q AS (SELECT c.event_type, c.x, c.y, h.bin, sum(n * exp(-((c.x - h.x) * (c.x - h.x) + (c.y - h.y) * (c.y - h.y)) / 8.0)) AS likelihood FROM c JOIN h ON c.event_type = h.event_type AND h.x BETWEEN c.x - 6 AND c.x + 6
+WHERE (c.x - h.x) * (c.x - h.x) + (c.y - h.y) * (c.y - h.y) <= 36 GROUP BY ALL) SELECT event_id, q.bin, round(likelihood, 6) AS likelihood FROM e JOIN q USING (event_type, x, y)""",
 }
 ORACLES["p22_numbered_track"] = ORACLES["p1_two_point_track"].replace("SELECT user_id, idx, round(x, 10) AS x, round(y, 10) AS y, round(sqrt(dx / s * (dx / s) + dy / s * (dy / s)), 10) AS speed FROM a8", "SELECT user_id, (n - 1)::INT AS video_frame, round(dx / s, 10) AS velocity_x FROM a8")
