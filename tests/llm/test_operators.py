@@ -357,6 +357,18 @@ def test_html_names_only_move_weights():
     assert html_extraction.main_text(f'<article>{body}<ul><li><a href="/1">More one</a></li><li><a href="/2">More two</a></li></ul></article>') == both
 
 
+def test_html_keeps_what_is_short():
+    """Short blocks of the article stay, links and named parts go, whatever the container is."""
+    short = [("<p class=byline>By A. Miller</p>", "By A. Miller"), ("<h2>Depths</h2><ul><li>3 m</li><li>4 m</li></ul>", "Depths\n3 m\n4 m"), ("<table><tr><th>Day</th><td>2</td></tr></table>", "Day\n2"), ("<pre>x = 1</pre>", "x = 1"), ("<figure><figcaption>The mill</figcaption></figure>", "The mill"), ('<p class="social-history">Who met whom.</p>', "Who met whom."), ('<div id="newsletter-history"><p>Print came late.</p></div>', "Print came late.")]
+    out = '<div class="comments-list"><p>Nice</p></div><ul><li><a href=/>Other</a></li></ul><div class="ad-slot">Buy</div><div class="cookie-notice">We use</div>'
+    for piece, text in short:
+        page = f"<article><p>{LONG}</p>{piece}<p>{LONG}</p>{out}<p>{LONG}</p>{piece}</article><div class=footer-links>Imprint</div>"
+        assert html_extraction.main_text(page) == "\n".join([LONG, text, LONG, LONG, text])
+        for name in ("main", "section", "div id=story"):
+            page = f"<body><ul><li>Top</li></ul><{name}><p>{LONG}</p>{piece}<p>{LONG}</p>{out}<p>{LONG}</p></{name.split()[0]}><div class=footer-links>Imprint</div></body>"
+            assert html_extraction.main_text(page) == "\n".join([LONG, text, LONG, LONG])
+
+
 def test_html_that_does_not_close():
     body, both = f"<p>{LONG}</p>", f"{LONG}\n{LONG}"
     for name in ("video", "audio", "canvas", "object", "svg"):

@@ -9,8 +9,10 @@ a threshold is content. What a page says about itself only moves weights: an ele
 named like another part of a page (an advert, comments and so on) weighs less with
 all that is in it; where the page has an article (or else a main) element, paths
 inside weigh more and paths outside less; a path without text beyond its links
-stays at zero. A heading is content if the block after it is. Elements that
-are never an article's text (menus, footers, forms and so on) are left out.
+stays at zero. A heading is content if the block after it is. Short blocks (list items, cells,
+code, captions, bylines) share their path with no long text, so they follow their surroundings: with unlinked
+text and no name of another part, one inside the article, or between two content blocks of one container, is
+content. Elements that are never an article's text (menus, footers, forms and so on) are left out.
 """
 
 from __future__ import annotations
@@ -41,6 +43,8 @@ PARTS = frozenset("nav navbar navigation menu sidebar footer masthead advert adv
 #: Names that mean another part if they stand alone, and may do so within a longer name.
 VAGUE = frozenset("side aside ad ads adv promo banner notice notices reply replies share social related widget legal skip".split())
 WITHOUT = frozenset("no not non has with without hide".split())
+#: Words behind a name that do not change what it means.
+GENERIC = frozenset("area bar block body bottom box button buttons card cards container content group holder icons inner item items left link links list main media outer panel post posts region right row section slot stories text title top unit widget widgets wrap wrapper zone".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "thead": set(), "tbody": {"tr", "td", "th", "thead"}}
 _PUNCTUATION = re.compile(r"[.,;:!?、。，！？]")
 
@@ -54,11 +58,12 @@ PART, DOUBT = 0.02, 0.1
 
 
 class _Element:
-    __slots__ = ("apart", "doubtful", "factor", "heading", "name", "parent", "path", "within")
+    __slots__ = ("apart", "depth", "doubtful", "factor", "heading", "name", "parent", "path", "within")
 
     def __init__(self, name: str, parent: _Element | None, path: int, apart: bool = False, factor: float = 1.0, part: bool = False):
         self.name, self.parent, self.path, self.apart = name, parent, path, apart
         self.factor = factor * (parent.factor if parent else 1.0)
+        self.depth = parent.depth + 1 if parent else 0
         self.heading = name in HEADINGS or (parent is not None and parent.heading)
         #: The outermost article with the name of another part that this is in, and which of article and main it is in, or is.
         self.doubtful = (parent.doubtful if parent else None) or (self if part else None)
@@ -78,12 +83,17 @@ def _factor(value: str) -> float:
     """What a class or id leaves of the weight."""
     left = 1.0
     for token in value.lower().split():
-        words = re.split(r"[_-]+", token)
-        if words[0] in WITHOUT:
+        words = [w for w in re.split(r"[_-]+", token) if w]
+        if not words or words[0] in WITHOUT:
             continue
-        if any(w in PARTS for w in words) or token in VAGUE:
+        if token in PARTS or token in VAGUE:
             return PART
-        if words[0] in VAGUE or words[-1] in VAGUE:
+        # what a longer name is of stands last, but for words that every part may have
+        while len(words) > 1 and words[-1] in GENERIC:
+            words.pop()
+        if words[-1] in PARTS:
+            return PART
+        if words[-1] in VAGUE:
             left = DOUBT
     return left
 
@@ -274,6 +284,61 @@ def _weights(parts: list[_Block]) -> list[float]:
     return [math.sqrt(w * most) if own in b.element.within else w / 2 for b, w in zip(parts, weights, strict=True)]
 
 
+_WHOLE = frozenset(("", "html", "body"))
+#: How far up an element's container is looked for, so that time stays in proportion to the page.
+_UP = 64
+
+
+def _holds(outer: _Element, inner: _Element) -> bool:
+    for _ in range(_UP):
+        if inner is None or inner.depth < outer.depth:
+            return False
+        if inner is outer:
+            return True
+        inner = inner.parent
+    return False
+
+
+def _near(a: _Element, b: _Element) -> _Element | None:
+    """The innermost element that holds both; none if it is far up from either."""
+    if abs(a.depth - b.depth) > _UP:
+        return None
+    low = min(a.depth, b.depth)
+    while a.depth > low:
+        a = a.parent
+    while b.depth > low:
+        b = b.parent
+    for _ in range(_UP):
+        if a is b:
+            return a
+        a, b = a.parent, b.parent
+    return None
+
+
+def _lift(parts: list[_Block], content: list[bool]) -> list[bool]:
+    """Content with the short blocks that go with it."""
+    doubted = _doubted(parts)
+    plain = [b.element.factor == 1.0 and b.element.doubtful not in doubted and 2 * b.links <= len(b.text) for b in parts]
+    within = lambda b: "article" in b.element.within
+    in_article = any(good and within(b) for b, good in zip(parts, content, strict=True))
+    after: list[int | None] = [None] * len(parts)
+    following = None
+    for k in reversed(range(len(parts))):
+        after[k] = following
+        following = k if content[k] else following
+    out, before = list(content), None
+    for k, b in enumerate(parts):
+        if content[k]:
+            before = k
+        elif plain[k]:
+            if in_article and within(b):
+                out[k] = True
+            elif before is not None and after[k] is not None:
+                shared = _near(parts[before].element, parts[after[k]].element)
+                out[k] = shared is not None and shared.name not in _WHOLE and _holds(shared, b.element)
+    return out
+
+
 def main_text(page: str | None) -> str:
     """The content's blocks, one a line; empty if the page has none."""
     parts = blocks(page or "")
@@ -283,7 +348,7 @@ def main_text(page: str | None) -> str:
     mean = sum(weights) / len(weights)
     spread = math.sqrt(sum((w - mean) ** 2 for w in weights) / len(weights))
     limit = min(THRESHOLD * spread, max(weights))
-    content = [w >= max(limit, LEAST) for w in weights]
+    content = _lift(parts, [w >= max(limit, LEAST) for w in weights])
     for k in reversed(range(len(parts) - 1)):
         if parts[k].element.heading and parts[k].element.factor >= parts[k + 1].element.factor:
             content[k] = content[k] or content[k + 1]
