@@ -5,10 +5,12 @@ import random
 import statistics
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.blocks import block_width, gap_islands, numbered
 from tidemark.functions.ranks import medians
+from tidemark.operators import events as E
 from tidemark.operators import intervals as I
 from tidemark.operators import signal as S
 
@@ -103,3 +105,21 @@ def test_medians_by_any_bins(spark):
 
 def test_width_of_an_empty_series(spark):
     assert block_width(spark.createDataFrame([], "t long"), "t") == 1
+
+
+def test_events_by_blocks(spark):
+    """Detectors find the same in blocks, where numbers of samples are missing as well."""
+    rnd = random.Random(12)
+    at = [k for k in range(400) if rnd.random() < 0.9]
+    rows = [(c, k, k * 10, rnd.gauss(0, 1) + 4 * (k % 60 < 6)) for k in at for c in "xy" if c == "x" or rnd.random() < 0.97]
+    df = spark.createDataFrame([("a", *r) for r in rows], "k string, c string, i long, t long, v double").cache()
+    rest = spark.createDataFrame([("a", k * 10, float(k % 7)) for k in at], "k string, t long, speed double")
+    for block in (3, 1000):
+        for found in (
+            lambda b: E.consensus_events(df, rest, ["k"], "c", "i", "t", "v", "speed", 2.0, 1.0, gap=50, block=b),
+            lambda b: E.channel_events(df, rest, ["k"], "c", "i", "t", "v", "speed", 2.0, 1.0, block=b),
+            lambda b: E.high_synchrony(df.where("c = 'x'"), ["k"], "i", "t", "v", 1.0, 20, 2.0, block=b),
+            lambda b: I.dilate(df.where("c = 'x'").withColumn("i", F.dense_rank().over(Window.orderBy("i")) + 0).select("k", "i", (F.col("v") > 3).alias("f")), ["k"], "i", "f", 2, b),
+        ):
+            plain, blocks = ([tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in found(b).collect()] for b in (None, block))
+            assert sorted(plain) == sorted(blocks) and plain

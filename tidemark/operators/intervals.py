@@ -137,8 +137,10 @@ def runs_of(df: DataFrame, key: list[str], t: str, flag: Column, idx: str | None
     return mask_runs(df, key, idx or t, flag, block if idx else None).groupBy(*key, "run").agg(F.min(t).alias("start"), F.max(t).alias("stop")).drop("run")
 
 
-def dilate(df: DataFrame, key: list[str], order: str, flag: str, reach: int) -> DataFrame:
-    """Extends true stretches of ``flag`` by ``reach`` rows either way."""
+def dilate(df: DataFrame, key: list[str], order: str, flag: str, reach: int, block: int | None = None) -> DataFrame:
+    """Extends true stretches of ``flag`` by ``reach`` rows either way; with ``block``, for an order without gaps, by blocks."""
+    if block:
+        return blockwise(df, key, order, reach, lambda d, k: dilate(d, k, order, flag, reach), block)
     w = Window.partitionBy(*key).orderBy(order).rowsBetween(-reach, reach)
     return df.withColumn(flag, F.max(F.col(flag).cast("int")).over(w) == 1)
 

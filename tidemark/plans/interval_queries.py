@@ -111,12 +111,12 @@ def i16_merge_closed(spark, d):
 
 
 def i17_mask_runs(spark, d):
-    return I.runs_of(_samples(spark, d), ["event_type"], "idx", F.col("value") > 50)
+    return I.runs_of(_samples(spark, d), ["event_type"], "idx", F.col("value") > 50, "idx", BLOCK)
 
 
 def i18_dilate(spark, d):
     s = _samples(spark, d).select("event_type", "idx", (F.col("value") > 90).alias("flag"))
-    return I.dilate(s, ["event_type"], "idx", "flag", 3)
+    return I.dilate(s, ["event_type"], "idx", "flag", 3, BLOCK)
 
 
 def i19_points_mask(spark, d):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..functions.blocks import BLOCK
 from ..operators import components as C
 from ..operators import events as E
 from ..operators import intervals as I
@@ -57,7 +58,7 @@ def f17_power(s, d):
 
 def e1_consensus(s, d):
     days = events(s, d).groupBy(F.floor(F.col("t") / DAY).alias("idx"), "event_type").agg(F.round(F.avg("value"), 6).alias("value")).withColumn("g", F.lit(0))
-    return E.consensus_trace(days, ["g"], "event_type", "idx", "value", 1.5).select("idx", F.round("trace", 5).alias("trace"))
+    return E.consensus_trace(days, ["g"], "event_type", "idx", "value", 1.5, BLOCK).select("idx", F.round("trace", 5).alias("trace"))
 
 
 def _hours(s, d):
@@ -68,18 +69,18 @@ def _hours(s, d):
 
 def e5_high_synchrony(s, d):
     h = _hours(s, d)
-    return E.high_synchrony(h, ["event_type"], "idx", "hour", "n", 0.5, 1, 1.0, h, "speed", 120.0).select("event_type", "start", "stop", "samples")
+    return E.high_synchrony(h, ["event_type"], "idx", "hour", "n", 0.5, 1, 1.0, h, "speed", 120.0, block=BLOCK).select("event_type", "start", "stop", "samples")
 
 
 def p11_interpolate_spans(s, d):
     bad = _xy(s, d).withColumn("x", F.when(F.col("x") >= 20, F.col("x")))
-    return S.interpolate(bad, ["user_id"], "t", "x").select("user_id", "idx", F.round("filled", 5).alias("filled"))
+    return S.interpolate(bad, ["user_id"], "t", "x", idx="idx").select("user_id", "idx", F.round("filled", 5).alias("filled"))
 
 
 def p12_smooth_interp(s, d):
     bad = _xy(s, d).withColumn("x", F.when(F.col("x") >= 20, F.col("x")))
-    filled = S.interpolate(bad, ["user_id"], "t", "x")
-    return S.moving_mean(filled, ["user_id"], "idx", "filled", 5).select("user_id", "idx", F.round("mean", 4).alias("mean"))
+    filled = S.interpolate(bad, ["user_id"], "t", "x", idx="idx")
+    return S.moving_mean(filled, ["user_id"], "idx", "filled", 5, block=BLOCK).select("user_id", "idx", F.round("mean", 4).alias("mean"))
 
 
 def p21_pose_quality(s, d):

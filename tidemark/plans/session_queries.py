@@ -91,7 +91,7 @@ def f11_band_pipeline(s, d):
 
 def f13_electrodes(s, d):
     known = read(s, d, "supplier").select(F.col("s_suppkey").alias("electrode"))
-    wanted = read(s, d, "supplier").where("s_acctbal > 0").select(F.col("s_suppkey").alias("electrode"), F.when(F.col("s_suppkey") % 3 == 0, F.col("s_suppkey")).alias("reference"))
+    wanted = read(s, d, "supplier").select(F.col("s_suppkey").alias("electrode"), F.when(F.col("s_suppkey") % 3 == 0, F.col("s_suppkey")).alias("reference"))
     return A.select_electrodes(known, wanted.union(wanted), "electrode", "reference")
 
 
@@ -213,7 +213,7 @@ SELECT i.*, 'pos ' || epoch || ' valid times' AS interval_name FROM i JOIN e USI
     "g10_tables_with_rows": f"WITH {_GRAPH}, t AS (SELECT 'orders' AS table_name, count(*) AS rows FROM o UNION ALL SELECT 'customer', count(*) FROM c UNION ALL SELECT 'nation', count(*) FROM n) SELECT * FROM t WHERE rows > 0",
     "f11_band_pipeline": sql(f"""hm AS (SELECT t // {HOUR} AS hour, event_type, round(avg(value), 6) AS value FROM ev GROUP BY ALL), r AS (SELECT a.hour, a.event_type, a.value - CASE WHEN a.event_type = 'click' THEN 0 ELSE coalesce(b.value, 0) END AS v FROM hm a LEFT JOIN hm b ON a.hour = b.hour AND b.event_type = 'click'),
 y AS (SELECT event_type, hour, coalesce(lag(v) OVER w, 0) * 0.2 + v * 0.6 + coalesce(lead(v) OVER w, 0) * 0.2 AS y, row_number() OVER w - 1 AS n FROM r WINDOW w AS (PARTITION BY event_type ORDER BY hour)) SELECT event_type, hour, round(y, 5) AS filtered FROM y WHERE n % 4 = 0"""),
-    "f13_electrodes": "SELECT s_suppkey AS electrode, CASE WHEN s_suppkey % 3 = 0 THEN s_suppkey ELSE -1 END AS reference FROM supplier WHERE s_acctbal > 0",
+    "f13_electrodes": "SELECT s_suppkey AS electrode, CASE WHEN s_suppkey % 3 = 0 THEN s_suppkey ELSE -1 END AS reference FROM supplier",
     "f14_electrode_index": "SELECT o_custkey, o_orderkey + CASE WHEN o_orderkey % 5 = 0 THEN 1000000000 ELSE 0 END AS electrode, CASE WHEN o_orderkey % 5 <> 0 THEN row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 END AS position FROM orders",
     "f34_sort_interval": sql(f"""b0 AS (SELECT o_custkey AS k, epoch_us(o_orderdate::TIMESTAMP) + 45 * {DAY} AS start, epoch_us(o_orderdate::TIMESTAMP) + 105 * {DAY} AS stop FROM orders),
 m1 AS (SELECT *, max(stop) OVER (PARTITION BY k ORDER BY start, stop ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS far FROM (SELECT DISTINCT * FROM oi)), g1 AS (SELECT *, sum((far IS NULL OR start >= far)::INT) OVER (PARTITION BY k ORDER BY start, stop ROWS UNBOUNDED PRECEDING) AS g FROM m1), a AS (SELECT k, min(start) AS a, max(stop) AS b FROM g1 GROUP BY k, g),

@@ -8,6 +8,7 @@ import numpy as np
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..functions.blocks import BLOCK
 from ..operators import events as E
 from ..operators import position as P
 from ..operators import signal as S
@@ -24,7 +25,7 @@ C = ["event_type"]
 
 def k1_spike_samples(s, d):
     ev = events(s, d)
-    return K.spike_samples(ev.select("event_type", (F.col("t") + HOUR).alias("t")), ev.where("event_id % 2 = 0"), C, "t")
+    return K.spike_samples(ev.select("event_type", (F.col("t") + HOUR).alias("t")), ev, C, "t")
 
 
 def k3_firing_rate(s, d):
@@ -162,12 +163,12 @@ def _speed(s, d):
 
 
 def e2_consensus_ripples(s, d):
-    found = E.consensus_events(_envelopes(s, d), _speed(s, d), ["g"], "event_type", "idx", "t", "value", "speed", 1.5, 1.0, 1, 6)
+    found = E.consensus_events(_envelopes(s, d), _speed(s, d), ["g"], "event_type", "idx", "t", "value", "speed", 1.5, 1.0, 1, 6, block=BLOCK)
     return found.select("start", "stop", "samples", F.round("peak", 5).alias("peak"))
 
 
 def e3_channel_ripples(s, d):
-    return E.channel_events(_envelopes(s, d), _speed(s, d), ["g"], "event_type", "idx", "t", "value", "speed", 1.5, 1.5, 0, 6).select("start", "stop")
+    return E.channel_events(_envelopes(s, d), _speed(s, d), ["g"], "event_type", "idx", "t", "value", "speed", 1.5, 1.5, 0, 6, block=BLOCK).select("start", "stop")
 
 
 def e6_ripple_inputs(s, d):
@@ -374,7 +375,7 @@ bw(i, a) AS (SELECT max(i), list_transform(any_value(b), lambda x: 1.0::DOUBLE)
   UNION ALL SELECT i, list_transform(u, lambda x: x / list_sum(u)) FROM (SELECT pv.i - 1 AS i, list_transform(range(1, len(b) + 1), lambda k: list_sum(list_transform(range(1, len(b) + 1), lambda j: m[k][j] * l[j] * a[j]))) AS u FROM bw JOIN pv ON pv.i = bw.i, tm WHERE pv.i > 1)),
 z AS (SELECT hour, b, fw.a AS f, list_transform(range(1, len(b) + 1), lambda k: fw.a[k] * bw.a[k]) AS g FROM pv JOIN fw USING (i) JOIN bw USING (i), tm)
 SELECT hour, b[k] AS bin, round(f[k], 6) AS causal, round(g[k] / list_sum(g), 6) AS acausal FROM (SELECT *, unnest(range(1, len(b) + 1)) AS k FROM z)""").replace("WITH ", "WITH RECURSIVE ", 1),
-    "k1_spike_samples": sql(f"""s AS (SELECT event_type, t FROM ev WHERE event_id % 2 = 0), n AS (SELECT event_type, count(*) AS n FROM s GROUP BY 1), u AS (SELECT event_type, t + {HOUR} AS x, 0 AS k FROM ev UNION ALL SELECT event_type, t, 1 FROM s),
+    "k1_spike_samples": sql(f"""s AS (SELECT event_type, t FROM ev), n AS (SELECT event_type, count(*) AS n FROM s GROUP BY 1), u AS (SELECT event_type, t + {HOUR} AS x, 0 AS k FROM ev UNION ALL SELECT event_type, t, 1 FROM s),
 c AS (SELECT *, sum(k) OVER (PARTITION BY event_type ORDER BY x, k RANGE UNBOUNDED PRECEDING) AS p FROM u) SELECT c.event_type, x AS t, p::BIGINT AS position FROM c JOIN n USING (event_type) WHERE k = 0 AND p < n"""),
     "k3_firing_rate": sql(f"""a AS (SELECT min(t) AS a, max(t) AS b FROM ev), c AS (SELECT event_type, (t - a) // {DAY} AS bin, count(*) AS n FROM ev, a GROUP BY ALL), g AS (SELECT event_type, unnest(range(0, (b - a) // {DAY} + 2)) AS bin FROM (SELECT DISTINCT event_type FROM ev), a),
 i AS (SELECT g.event_type, g.bin, coalesce(n, 0)::DOUBLE AS x FROM g LEFT JOIN c ON c.event_type = g.event_type AND c.bin = g.bin), {smoothed("i", "sg", "x", "bin", 1.5, "event_type")} SELECT event_type, bin, round(y / 86400 * 1000, 6) AS rate FROM sg"""),
