@@ -8,6 +8,7 @@ from tidemark.operators import events as E
 from tidemark.operators import intervals as I
 from tidemark.operators import lineage as L
 from tidemark.operators import position as P
+from tidemark.operators import provenance as V
 from tidemark.operators import quality as Q
 from tidemark.operators import relational as R
 from tidemark.operators import signal as S
@@ -254,6 +255,17 @@ def test_clusterless_marks_stay_on_their_electrode(spark):
     assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
 
 
+def test_export_follows_all_steps(spark):
+    """A long way up, a circle, a file that nothing came from, and a list of what may be exported."""
+    edges = [(k, k + 1) for k in range(12)] + [(12, 10), (50, 51), (51, None), (60, 60)]
+    up = spark.createDataFrame(edges, "file int, source int")
+    exports = spark.createDataFrame([("p", 1), ("p", 2), ("q", 3)], "paper string, export int")
+    log = spark.createDataFrame([(1, 60), (2, 0), (2, 50), (3, 11), (3, 99), (3, 99), (3, None)], "export int, file int")
+    got = lambda **x: sorted((r.paper, r.file) for r in V.export_set(exports, log, up, "paper", "export", "file", **x).collect() if r.file is not None)
+    assert got() == sorted([("p", k) for k in [*range(13), 50, 51]] + [("q", k) for k in (10, 11, 12, 99)])
+    assert got(included=spark.createDataFrame([(51,), (99,)], "file int")) == [("p", 50), ("p", 51), ("q", 99)]
+
+
 def test_names_are_taken_apart(spark):
     names = spark.createDataFrame([(" Ann Lee ",), ("Lee, Ann B",), ("Ann B Lee",), ("Lee,Ann",), (None,), ("a, b, c",)], "n string")
     got = [tuple(r.p) if r.p else None for r in names.select(Q.name_parts(F.col("n")).alias("p")).collect()]

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.store import materialise
+
 CHUNK = 2048
 
 
@@ -22,11 +24,39 @@ def last_exports(exports: DataFrame, paper: str, export: str) -> DataFrame:
     return exports.groupBy(paper).agg(F.max(export).alias(export))
 
 
-def export_set(exports: DataFrame, log: DataFrame, upstream: DataFrame, paper: str, export: str, file: str) -> DataFrame:
-    """The files of each paper's last export: those logged, and all that they come from (``file, source``, given transitively)."""
+#: Written steps that are read side by side before they become one table.
+_STEPS = 8
+
+
+def reached(start: DataFrame, edges: DataFrame, key: list[str], node: str, source: str) -> DataFrame:
+    """All that the nodes of ``start(key, node)`` come from by any number of ``edges(node, source)``, with themselves, as ``key, node``.
+
+    Each step joins only what the last one found for the first time and writes what is new; it ends when nothing is, so
+    circles end too. Rows with a null in ``key`` or ``node`` lead nowhere.
+    """
+    names = [*key, node]
+    edges = materialise(edges.select(node, F.col(source).alias("_s")).where(F.col("_s").isNotNull()).distinct(), "edges")
+    new = materialise(start.select(*names).distinct(), "reached")
+    steps = [new]
+    while True:
+        found = reduce(DataFrame.union, steps)
+        further = new.join(edges, node).select(*key, F.col("_s").alias(node)).distinct()
+        new = materialise(further.join(found, names, "left_anti").select(*names), "reached")
+        if new.isEmpty():
+            return found
+        steps = [*steps, new] if len(steps) < _STEPS else [materialise(found, "reached"), new]
+
+
+def export_set(exports: DataFrame, log: DataFrame, upstream: DataFrame, paper: str, export: str, file: str, included: DataFrame | None = None) -> DataFrame:
+    """The files of each paper's last export: those logged, and all that they come from by any number of steps of ``upstream(file, source)``.
+
+    With ``included(file)`` only logged files count that are among these or come from them.
+    """
     logged = last_exports(exports, paper, export).join(log.select(export, file).distinct(), export).select(paper, file)
-    above = logged.join(upstream.select(file, F.col("source").alias("_s")), file).select(paper, F.col("_s").alias(file))
-    return logged.unionByName(above).distinct()
+    if included is not None:
+        down = upstream.select(F.col("source").alias(file), F.col(file).alias("_made"))
+        logged = logged.join(reached(included.select(file), down, [], file, "_made"), file, "left_semi").select(paper, file)
+    return reached(logged, upstream, [paper], file, "source")
 
 
 def replace_linked(files: DataFrame, links: DataFrame, file: str) -> DataFrame:

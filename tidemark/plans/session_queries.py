@@ -132,6 +132,16 @@ def v2_export_set(s, d):
     return V.export_set(exports, log, up, "paper", "export", "file")
 
 
+def v2_export_cascade(s, d):
+    """Three steps up: parts come from suppliers, these from nations, these from regions; only what comes from one region is exported."""
+    o = read(s, d, "orders")
+    exports = o.select(F.col("o_custkey").alias("paper"), F.col("o_orderkey").alias("export"))
+    log = read(s, d, "lineitem").select(F.col("l_orderkey").alias("export"), F.col("l_partkey").alias("file"))
+    edge = lambda t, a, x, b, y: read(s, d, t).select((F.col(a) + x).alias("file"), (F.col(b) + y).alias("source"))
+    up = edge("lineitem", "l_partkey", 0, "l_suppkey", 10**9).union(edge("supplier", "s_suppkey", 10**9, "s_nationkey", 2 * 10**9)).union(edge("nation", "n_nationkey", 2 * 10**9, "n_regionkey", 3 * 10**9))
+    return V.export_set(exports, log, up, "paper", "export", "file", s.createDataFrame([(3 * 10**9 + 1,)], "file long"))
+
+
 def v3_linked_files(s, d):
     files = read(s, d, "part").select(F.col("p_partkey").alias("file"))
     links = read(s, d, "lineitem").where("l_partkey % 7 = 0").select(F.col("l_partkey").alias("file"), (F.col("l_suppkey") + 10**9).alias("target"))
@@ -186,7 +196,7 @@ def v24_regions(s, d):
     return V.look_up_or_add(new.union(new), known, ["region_name", "subregion_name"], "region_id")
 
 
-QUERIES = {f.__name__: f for f in (a7_load_session, a8_import_rate, a8_import_times, a11_position_sources, a14_fetch, a15_register, a16_export, a17_split_parts, g10_tables_with_rows, f11_band_pipeline, f13_electrodes, f14_electrode_index, f34_sort_interval, b10_epoch_inputs, k29_concatenated, v1_access_log, v2_export_set, v3_linked_files, v4_file_issues, v5_tables_with_issues, v6_untracked, v14_environments, v17_subjects, v18_names, v24_regions)}
+QUERIES = {f.__name__: f for f in (a7_load_session, a8_import_rate, a8_import_times, a11_position_sources, a14_fetch, a15_register, a16_export, a17_split_parts, g10_tables_with_rows, f11_band_pipeline, f13_electrodes, f14_electrode_index, f34_sort_interval, b10_epoch_inputs, k29_concatenated, v1_access_log, v2_export_set, v2_export_cascade, v3_linked_files, v4_file_issues, v5_tables_with_issues, v6_untracked, v14_environments, v17_subjects, v18_names, v24_regions)}
 
 _RATES = """d0 AS (SELECT event_type, t // 10000 AS t, (t // 10000 - lag(t // 10000) OVER w) / 1e6 AS d, row_number() OVER w AS i FROM ev WHERE event_type <> 'click' WINDOW w AS (PARTITION BY event_type ORDER BY t)),
 d1 AS (SELECT event_type, d, i, sum(d) OVER (PARTITION BY event_type ORDER BY i ROWS BETWEEN 5 PRECEDING AND 4 FOLLOWING) / 10 AS s FROM d0 WHERE d IS NOT NULL),
@@ -222,6 +232,9 @@ SELECT k, greatest(a, c) AS start, least(b, d) AS stop FROM a JOIN b USING (k) W
     "b10_epoch_inputs": sql(f"p AS (SELECT DISTINCT event_type, t // {DAY} * {DAY} + {4 * HOUR} AS a, t // {DAY} * {DAY} + {16 * HOUR} AS b FROM ev) SELECT event_id, p.event_type, dense_rank() OVER (PARTITION BY p.event_type ORDER BY a) - 1 AS epoch FROM p JOIN ev ON ev.event_type = p.event_type AND t BETWEEN a AND b"),
     "k29_concatenated": sql(f"{_SAMPLES} SELECT event_type, idx, row_number() OVER (PARTITION BY event_type ORDER BY t) - 1 AS place FROM sm WHERE t % {DAY} <= {DAY // 3}"),
     "v1_access_log": f"WITH r AS (SELECT DISTINCT source, lang, coalesce(text, '') AS text FROM documents), p AS (SELECT *, unnest(range(0, greatest(0, (length(text) - 1) // {V.CHUNK}) + 1)) AS piece FROM r) SELECT source, lang, piece::INT AS piece, md5(substring(text, piece * {V.CHUNK} + 1, {V.CHUNK})) AS digest FROM p",
+    "v2_export_cascade": """WITH RECURSIVE ed AS (SELECT DISTINCT l_partkey AS file, l_suppkey + 1000000000 AS source FROM lineitem UNION SELECT s_suppkey + 1000000000, s_nationkey + 2000000000 FROM supplier UNION SELECT n_nationkey + 2000000000, n_regionkey + 3000000000 FROM nation),
+dn(file) AS (SELECT 3000000001 UNION SELECT ed.file FROM ed JOIN dn ON ed.source = dn.file), e AS (SELECT o_custkey AS paper, max(o_orderkey) AS x FROM orders GROUP BY 1),
+up(paper, file) AS (SELECT DISTINCT paper, l_partkey FROM e JOIN lineitem ON l_orderkey = x WHERE l_partkey IN (SELECT file FROM dn) UNION SELECT paper, ed.source FROM up JOIN ed USING (file)) SELECT paper, file FROM up""",
     "v2_export_set": "WITH e AS (SELECT o_custkey AS paper, max(o_orderkey) AS x FROM orders GROUP BY 1), f AS (SELECT DISTINCT paper, l_partkey AS file FROM e JOIN lineitem ON l_orderkey = x) SELECT * FROM f UNION SELECT paper, l_suppkey + 1000000000 FROM f JOIN lineitem ON l_partkey = file",
     "v3_linked_files": "SELECT DISTINCT CASE WHEN l_suppkey IS NULL THEN p_partkey ELSE l_suppkey + 1000000000 END AS file FROM part LEFT JOIN lineitem ON l_partkey = p_partkey AND l_partkey % 7 = 0",
     "v4_file_issues": f"WITH {_ISSUES} SELECT * FROM i",
