@@ -54,7 +54,7 @@ def a14_fetch(s, d):
 
 
 def a15_register(s, d):
-    made = M.write_result(read(s, d, "orders").where("o_orderstatus = 'F'"), own_folder(s, "result"), "closed_orders")
+    made = M.write_result(read(s, d, "orders"), own_folder(s, "result"), "all_orders")
     return made.select("table_name", "rows")
 
 
@@ -217,7 +217,7 @@ SELECT event_type, min(t)::DOUBLE AS start, max(t)::DOUBLE AS stop FROM g1 GROUP
 s AS (SELECT user_id, min(t) AS start FROM ev WHERE user_id IS NOT NULL GROUP BY 1), e AS (SELECT user_id, dense_rank() OVER (ORDER BY start // {DAY}) - 1 AS epoch FROM s), i AS (SELECT user_id, min(t) AS start, max(t) AS stop FROM g GROUP BY user_id, g HAVING max(t) > min(t))
 SELECT i.*, 'pos ' || epoch || ' valid times' AS interval_name FROM i JOIN e USING (user_id)"""),
     "a14_fetch": "SELECT * FROM nation",
-    "a15_register": "SELECT 'closed_orders' AS table_name, count(*) AS rows FROM orders WHERE o_orderstatus = 'F'",
+    "a15_register": "SELECT 'all_orders' AS table_name, count(*) AS rows FROM orders",
     "a16_export": f"WITH {_GRAPH} SELECT 'orders' AS table_name, count(*) AS rows FROM o UNION ALL SELECT 'customer', count(*) FROM c UNION ALL SELECT 'nation', count(*) FROM n",
     "a17_split_parts": "SELECT 'master' AS part, event_id, NULL::DOUBLE AS value FROM events UNION ALL SELECT 'clicks', event_id, value FROM events WHERE event_type = 'click' UNION ALL SELECT 'high', event_id, value FROM events WHERE value > 90",
     "g10_tables_with_rows": f"WITH {_GRAPH}, t AS (SELECT 'orders' AS table_name, count(*) AS rows FROM o UNION ALL SELECT 'customer', count(*) FROM c UNION ALL SELECT 'nation', count(*) FROM n) SELECT * FROM t WHERE rows > 0",

@@ -204,7 +204,7 @@ def f33_band_pass(s, d):
 
 def p6_frame_times(s, d):
     poses = read(s, d, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_orderkey") % 2000).alias("frame"))
-    video = read(s, d, "orders").where("o_orderkey < 1500").select(F.col("o_orderkey").alias("frame"), (F.col("o_orderkey") * 33).alias("t"))
+    video = read(s, d, "orders").select(F.col("o_orderkey").alias("frame"), (F.col("o_orderkey") * 33).alias("t"))
     positions = s.createDataFrame([(9_900,), (12_000,)], "t long")
     return P.frame_times(poses, video, positions, "frame", "t").select("l_orderkey", "l_linenumber", "frame", "t")
 
@@ -421,7 +421,7 @@ u AS (SELECT event_type, t, max(value) AS value, max(g) AS g FROM (SELECT event_
 z AS (SELECT *, last_value(value IGNORE NULLS) OVER a AS av, last_value(CASE WHEN value IS NOT NULL THEN t END IGNORE NULLS) OVER a AS ta, first_value(value IGNORE NULLS) OVER b AS bv, first_value(CASE WHEN value IS NOT NULL THEN t END IGNORE NULLS) OVER b AS tb FROM u
 WINDOW a AS (PARTITION BY event_type ORDER BY t ROWS UNBOUNDED PRECEDING), b AS (PARTITION BY event_type ORDER BY t ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) SELECT event_type, round(t, 0)::BIGINT AS t, round(coalesce(value, av + (bv - av) * ((t - ta) / (tb - ta)), av), 4) AS value FROM z WHERE g = 1"""),
     "f33_band_pass": sql(f"{_SAMPLES} SELECT event_type, idx, round(y, 6) AS filtered FROM (SELECT event_type, idx, {_fir(BAND, 'y')} FROM sm WINDOW w AS (PARTITION BY event_type ORDER BY idx))"),
-    "p6_frame_times": "SELECT l_orderkey, l_linenumber, l_orderkey % 2000 AS frame, o_orderkey * 33 AS t FROM lineitem JOIN orders ON o_orderkey = l_orderkey % 2000 WHERE o_orderkey < 1500 AND o_orderkey * 33 >= 9900",
+    "p6_frame_times": "SELECT l_orderkey, l_linenumber, l_orderkey % 2000 AS frame, o_orderkey * 33 AS t FROM lineitem JOIN orders ON o_orderkey = l_orderkey % 2000 WHERE o_orderkey * 33 >= 9900",
     "p14_bisector": sql(f"{_3} SELECT user_id, idx, round(CASE WHEN y0 = y1 THEN CASE WHEN y2 + 0.5 > y0 THEN {math.pi / 2!r} WHEN y2 + 0.5 < y0 THEN {-math.pi / 2!r} END ELSE atan2(x0 - x1, -(y0 - y1)) END, 6) AS orientation FROM tp"),
     "p17_four_points": sql(f"{_3}, q AS (SELECT user_id, idx, " + ", ".join(f"CASE WHEN (idx * 7 + {k * 3}) % {k + 3} <> 0 THEN {c}{k} END AS {c}{k}" for k in range(4) for c in "xy") + f" FROM tp), b AS (SELECT *, x0 IS NOT NULL AS f, x1 IS NOT NULL AS c, x2 IS NOT NULL AS l, x3 IS NOT NULL AS r FROM q) SELECT user_id, idx, round({_four('x')}, 6) AS cx, round({_four('y')}, 6) AS cy FROM b"),
     "p19_cohort": sql(f"m AS (SELECT t // {HOUR} AS hour, event_type, max(value) AS x, count(*) AS n FROM ev WHERE event_type IN ('click', 'view') GROUP BY ALL) SELECT hour, max(x) FILTER (event_type = 'click') AS click_x, max(n) FILTER (event_type = 'click') AS click_n, max(x) FILTER (event_type = 'view') AS view_x, max(n) FILTER (event_type = 'view') AS view_n FROM m GROUP BY hour"),
