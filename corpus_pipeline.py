@@ -7,12 +7,11 @@ intermediate tables of the one before it.
 from __future__ import annotations
 
 import functools
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm._store import clear, materialise, shared_folder, table, written
+from tidemark.llm._store import clear, materialise, own_folder, table, written
 from tidemark.llm.decontamination import contaminated
 from tidemark.llm.jaccard_join import jaccard_components
 from tidemark.llm.mixing import deal_shards, mix_sources
@@ -120,13 +119,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on ``documents``; what a stage wrote for itself is deleted once its result is written and the next begins."""
-    docs = table(spark, sf_dir, "documents")
-    folder = f"{shared_folder(spark)}/tidemark-pipeline-{uuid.uuid4().hex}"
+    """All stages on ``documents``; what a stage wrote for itself, and the result it started from, are deleted once its own is written."""
+    docs, before = table(spark, sf_dir, "documents"), []
     for k, (_, stage) in enumerate(STAGES):
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
-        docs = spark.read.parquet(f"{folder}/{k}")
-    clear(_left)
+        result = own_folder(spark, f"stage{k}")
+        stage(spark, docs, sf_dir).write.parquet(result)
+        clear(_left)
+        clear(before)
+        docs, before = spark.read.parquet(result), [result]
     return docs
 
 
