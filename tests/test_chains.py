@@ -88,3 +88,44 @@ def test_the_chain_keeps_to_an_arm(spark, block, fanout):
     df = spark.createDataFrame([("a", n, 60.0 + 5 * n, v) for n, v in enumerate(y)], "k string, i long, x double, y double")
     found = C.edges_by_chain(df, arms, ["k"], "i", "x", "y", block=block, fanout=fanout).orderBy("i").collect()
     assert [r.edge for r in found] == [0] * len(y)
+
+
+def test_ahead_on_a_track_with_a_loop(spark):
+    """A triangle with a tail, against a graph of small steps with the animal taken out of it."""
+    edges = [(0, 0, 30, 0), (30, 0, 30, 40), (30, 40, 0, 0), (0, 0, -20, 0)]
+    steps = [np.linspace(0, 1, int(n) + 1) for n in (30, 40, 50, 20)]
+    dots = [tuple(np.round(np.array(e[:2]) + s * (np.array(e[2:]) - e[:2]), 9) + 0.0) for e, line in zip(edges, steps, strict=True) for s in line]
+    links = {}
+    for e, line in zip(edges, steps, strict=True):
+        on = [tuple(np.round(np.array(e[:2]) + s * (np.array(e[2:]) - e[:2]), 9) + 0.0) for s in line]
+        for a, b in zip(on, on[1:], strict=False):
+            links.setdefault(a, set()).add(b)
+            links.setdefault(b, set()).add(a)
+
+    def ways(start, without=None):
+        far, now = {start: 0}, [start]
+        while now:
+            now = [b for a in now for b in links[a] if b not in far and b != without and not far.update({b: far[a] + 1})]
+        return far
+
+    rows, want = [], []
+    for k in range(150):
+        e = k % 4
+        s = steps[e][1 + int(RNG.integers(len(steps[e]) - 2))]
+        at = tuple(np.round(np.array(edges[e][:2]) + s * (np.array(edges[e][2:]) - edges[e][:2]), 9) + 0.0)
+        to = dots[int(RNG.integers(len(dots)))]
+        forward = bool(RNG.integers(2))
+        head = edges[e][2:] if forward else edges[e][:2]
+        angle = np.arctan2(head[1] - at[1], head[0] - at[0]) + RNG.uniform(-1.5, 1.5)
+        rows.append((k, *map(float, at), *map(float, to), float(angle)))
+        head = tuple(np.array(head, float) + 0.0)
+        back = ways(head).get(to)
+        around = ways(head, at).get(to)
+        tie = around is not None and around == ways(head)[at] + ways(at).get(to, 0)
+        want.append((ways(at)[to], None if tie else (1 if around is not None and around == back else -1)))
+    rows += [(900, None, 0.0, 1.0, 1.0, 0.0), (901, 1.0, 0.0, 1.0, 1.0, None)]
+    made = {r.id: r.ahead for r in C.ahead_on_track(spark.createDataFrame(rows, "id long, x double, y double, mx double, my double, h double"), edges, "x", "y", "mx", "my", "h").collect()}
+    assert made.pop(900) is None and made.pop(901) is None
+    for k, (far, sign) in enumerate(want):
+        assert abs(made[k]) == pytest.approx(far, abs=1e-6)
+        assert sign is None or far == 0 or np.sign(made[k]) == sign

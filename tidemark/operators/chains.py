@@ -315,3 +315,48 @@ def edges_by_chain(df: DataFrame, edges: list[tuple[float, float, float, float]]
     rows = nearest_known(rows, key, idx, F.struct("_x", "_y"), "_before", "_after", own=False)
     rows = rows.withColumn("_px", F.col("_before._x")).withColumn("_py", F.col("_before._y"))
     return best_path(rows, key, idx, ["_x", "_y", "_px", "_py"], len(track.length), moves, block=block, fanout=fanout).withColumnRenamed("state", "edge")
+
+
+def ahead_on_track(df: DataFrame, edges: list[tuple[float, float, float, float]], x: str, y: str, decoded_x: str, decoded_y: str, heading: str) -> DataFrame:
+    """Adds ``ahead``: how far along the track the decoded place is from the actual one, row by row, so nothing is shuffled.
+
+    Both places are taken to the nearest edge (ties: the first), and the distance is the shortest way between them. The animal
+    faces the end of its edge that its ``heading`` (radians) points to, the second where it points across. The distance is
+    negative (behind) if the shortest way from the end faced to the decoded place leads back over the animal. A missing
+    place or heading gives null. ``edges`` are known to every task; a track of more than ``MOST_NODES`` nodes is an error.
+    """
+    track = Track(edges)
+    way = track.ends[:, 1] - track.ends[:, 0]
+
+    def to_ends(share: np.ndarray, edge: np.ndarray) -> np.ndarray:
+        return np.stack([share, 1 - share], axis=1) * track.length[edge][:, None]
+
+    def told(part: pd.DataFrame) -> np.ndarray:
+        at, to, look = part[["_x", "_y"]].to_numpy(float), part[["_dx", "_dy"]].to_numpy(float), part["_h"].to_numpy(float)
+        out, there = np.full(len(part), np.nan), ~np.isnan(np.column_stack([at, to, look])).any(axis=1)
+        line = np.arange(there.sum())
+        (share, off), (goal, goal_off) = track.project(*at[there].T), track.project(*to[there].T)
+        edge, target = off.argmin(axis=1), goal_off.argmin(axis=1)
+        share, goal = share[line, edge], goal[line, target]
+        here, end = to_ends(share, edge), to_ends(goal, target)
+        # the shortest way from each end of the animal's edge
+        from_end = (track.far[track.at[edge][:, :, None], track.at[target][:, None, :]] + end[:, None, :]).min(axis=2)
+        faced = (np.cos(look[there]) * way[edge, 0] + np.sin(look[there]) * way[edge, 1] >= -1e-9 * track.length[edge]).astype(int)
+        leaving, same = here + from_end, edge == target
+        direct, side = np.abs(goal - share) * track.length[edge], (goal > share).astype(int)
+        on = np.flatnonzero(same)
+        leaving[on, side[on]] = np.minimum(leaving[on, side[on]], direct[on])
+        far = leaving.min(axis=1)
+        over = here[line, faced] + leaving[line, 1 - faced]
+        behind = over <= from_end[line, faced] + 1e-9 * (1 + over)
+        out[there] = np.where(behind, -far, far) + 0.0
+        return out
+
+    def run(batches):
+        for batch in batches:
+            yield batch.drop(columns=["_x", "_y", "_dx", "_dy", "_h"]).assign(ahead=told(batch))
+
+    places = {"_x": x, "_y": y, "_dx": decoded_x, "_dy": decoded_y, "_h": heading}
+    rows = df.withColumns({c: F.col(f"`{of}`").cast("double") for c, of in places.items()})
+    made = rows.mapInPandas(run, f"{_kinds(df, df.columns)}ahead double")
+    return made.withColumn("ahead", F.when(~F.isnan("ahead"), F.col("ahead")))

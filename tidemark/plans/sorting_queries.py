@@ -9,6 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.blocks import BLOCK
+from ..operators import chains, neighbours
 from ..operators import events as E
 from ..operators import position as P
 from ..operators import signal as S
@@ -152,6 +153,14 @@ def b7_ahead(s, d):
     return K.signed_distance(rows, "place", "at", "heading").select("user_id", "idx", F.round("ahead", 6).alias("ahead"))
 
 
+def b7_ahead_on_track(s, d):
+    w = Window.partitionBy("user_id").orderBy("idx")
+    step = lambda c: F.lead(c).over(w) - F.col(c)
+    rows = _xy(s, d).select("user_id", "idx", "x", "y", F.col("y").alias("mx"), F.col("x").alias("my"), F.atan2(step("y"), step("x")).alias("heading"))
+    made = chains.ahead_on_track(rows, [e[1:] for e in EDGES], "x", "y", "mx", "my", "heading")
+    return made.select("user_id", "idx", F.round("ahead", 6).alias("ahead"))
+
+
 def _envelopes(s, d):
     x = _samples(s, d).select(F.lit(0).alias("g"), "event_type", "idx", "t", "value")
     clock = x.where("event_type = 'click'").select("idx", F.col("t").alias("clock"))
@@ -338,13 +347,17 @@ def b6_smoother(s, d):
 
 
 def l2_chain(s, d):
-    from ..operators import chains
-
     ends = [(x1, y1, x2, y2) for _, x1, y1, x2, y2 in EDGES]
     return chains.edges_by_chain(_xy(s, d), ends, ["user_id"], "idx", "x", "y", sensor=20.0, scaling=30.0)
 
 
-QUERIES = {f.__name__: f for f in (b6_smoother, l2_chain, p9_reject_jumps, p16_orientation, p18_centroid_track, p22_numbered_track, p25_behaviour_rows, w3_full_waveform, b8_clusterless, f35_whitening, k1_spike_samples, k3_firing_rate, k7_model_range, k8_annotations, k11_curations, k13_merge_candidates, k16_snr, k21_burst_pairs, w2_peak_amplitude, w2_middle_amplitude, k26_amplitudes, w4_location, w6_features, w9_electrode_marks, k27_field_order, k28_sort_group_info, k30_reviews, b1_training_mask, b5_interval_decode, b7_ahead, e2_consensus_ripples, e3_channel_ripples, e6_ripple_inputs, f15_analytic, f16_phase, f22_upsample, f33_band_pass, p6_frame_times, p14_bisector, p17_four_points, p1_two_point_track, p19_cohort, p20_with_orientation, p23_normalise, p24_keypoints, p27_pose_group, l3_linear_slice)}
+def k18_isolation(s, d):
+    v = F.transform("embedding", lambda x: F.round(x.cast("double") * 1000))
+    spikes = read(s, d, "embeddings").select("vec_id", "label", v.alias("v"))
+    return neighbours.isolation(spikes, [], "label", "vec_id", "v", 5, noise=9).select("label", *(F.round(c, 9).alias(c) for c in ("isolation", "noise_overlap")))
+
+
+QUERIES = {f.__name__: f for f in (k18_isolation, b7_ahead_on_track, b6_smoother, l2_chain, p9_reject_jumps, p16_orientation, p18_centroid_track, p22_numbered_track, p25_behaviour_rows, w3_full_waveform, b8_clusterless, f35_whitening, k1_spike_samples, k3_firing_rate, k7_model_range, k8_annotations, k11_curations, k13_merge_candidates, k16_snr, k21_burst_pairs, w2_peak_amplitude, w2_middle_amplitude, k26_amplitudes, w4_location, w6_features, w9_electrode_marks, k27_field_order, k28_sort_group_info, k30_reviews, b1_training_mask, b5_interval_decode, b7_ahead, e2_consensus_ripples, e3_channel_ripples, e6_ripple_inputs, f15_analytic, f16_phase, f22_upsample, f33_band_pass, p6_frame_times, p14_bisector, p17_four_points, p1_two_point_track, p19_cohort, p20_with_orientation, p23_normalise, p24_keypoints, p27_pose_group, l3_linear_slice)}
 
 
 def _fir(taps: list[float], name: str) -> str:
@@ -403,6 +416,18 @@ SELECT si.a, si.b, round(si.s, 6) AS similarity, round(f, 6) AS isi_violation, r
 fd AS (SELECT u.event_type, oc.bin, (coalesce(n, 0) + 1e-3) / o AS rate FROM (SELECT DISTINCT event_type FROM de) u CROSS JOIN oc LEFT JOIN ct ON ct.event_type = u.event_type AND ct.bin = oc.bin), la AS (SELECT dense_rank() OVER (ORDER BY start) - 1 AS label, event_type FROM de JOIN cl ON t BETWEEN start AND stop),
 cn AS (SELECT label, event_type, count(*) AS n FROM la GROUP BY ALL), li AS (SELECT label, bin, sum(n * ln(rate)) AS l FROM cn JOIN fd USING (event_type) GROUP BY ALL), si AS (SELECT bin, sum(rate) AS r FROM fd GROUP BY bin), ll AS (SELECT label, bin, l - r AS x FROM li JOIN si USING (bin)),
 ex AS (SELECT label, bin, exp(x - max(x) OVER (PARTITION BY label)) AS e FROM ll), po AS (SELECT label, bin, round(e / sum(e) OVER (PARTITION BY label), 9) AS p FROM ex) SELECT label::INT AS label, arg_max(bin, (p, -bin)) AS map_bin FROM po GROUP BY label"""),
+    # the track is one line of three edges, so a place on it is a number and the way is a difference
+    "b7_ahead_on_track": sql(f"""{_XY}, h AS (SELECT *, atan2(lead(y) OVER w - y, lead(x) OVER w - x) AS h FROM xy WINDOW w AS (PARTITION BY user_id ORDER BY idx)), e(e, x1, y1, ex, ey) AS (VALUES (0, 0, 0, 100, 0), (1, 100, 0, 0, 100), (2, 100, 100, -100, 0)),
+p AS (SELECT user_id, idx, h, x, y, 'at' AS what FROM h UNION ALL SELECT user_id, idx, h, y, x, 'to' FROM h), s AS (SELECT *, greatest(0, least(1, ((x - x1) * ex + (y - y1) * ey) / 10000)) AS s FROM p, e),
+n AS (SELECT *, sqrt(pow(x - x1 - s * ex, 2) + pow(y - y1 - s * ey, 2)) AS far FROM s QUALIFY row_number() OVER (PARTITION BY user_id, idx, what ORDER BY far, e) = 1),
+b AS (SELECT user_id, idx, max(100 * (e + s)) FILTER (what = 'to') - max(100 * (e + s)) FILTER (what = 'at') AS gone, max(cos(h) * ex + sin(h) * ey) FILTER (what = 'at') AS ahead FROM n GROUP BY ALL)
+SELECT user_id, idx, round(CASE WHEN ahead >= -1e-7 THEN gone WHEN ahead < -1e-7 THEN -gone END, 6) + 0.0 AS ahead FROM b"""),
+    # neighbours of each vector in each label, then among its own label and one other
+    "k18_isolation": """WITH v AS (SELECT vec_id AS i, label AS l, list_transform(embedding, lambda x: round(x::DOUBLE * 1000)) AS v FROM embeddings),
+d AS (SELECT a.i, a.l AS own, b.l, b.i AS j, round(pow(list_distance(a.v, b.v), 2)) AS d FROM v a JOIN v b ON a.i <> b.i), n AS (SELECT * FROM d QUALIFY row_number() OVER (PARTITION BY i, l ORDER BY d, j) <= 5),
+p AS (SELECT n.*, o.l AS other FROM n JOIN (SELECT DISTINCT l FROM v) o ON o.l <> n.own AND n.l IN (n.own, o.l)), t AS (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY i, other ORDER BY d, j) <= 5),
+s AS (SELECT i, own, other, avg((l = own)::INT) AS s FROM t GROUP BY ALL), m AS (SELECT own, least(own, other) AS a, greatest(own, other) AS b, avg(s) AS s FROM s GROUP BY ALL), q AS (SELECT a, b, avg(s) AS s FROM m GROUP BY ALL),
+e AS (SELECT a AS label, b AS o, s FROM q UNION ALL SELECT b, a, s FROM q) SELECT label, round(min(s) FILTER (o <> 9), 9) AS isolation, round(1 - min(s) FILTER (o = 9), 9) AS noise_overlap FROM e WHERE label <> 9 GROUP BY label""",
     "b7_ahead": sql(f"{_XY} SELECT user_id, idx, round((y - x) * sign(lead(x) OVER w - x), 6) AS ahead FROM xy WINDOW w AS (PARTITION BY user_id ORDER BY idx)"),
     "e2_consensus_ripples": sql(f"""{_ENV}, nc AS (SELECT count(DISTINCT event_type) AS n FROM en), p AS (SELECT 0 AS g, idx, t, sum(value * value) AS x FROM en GROUP BY ALL HAVING count(*) = (SELECT n FROM nc)), {smoothed("p", "sg", "x", "idx", 1.5)},
 z AS (SELECT *, (sqrt(y) - avg(sqrt(y)) OVER ()) / stddev_pop(sqrt(y)) OVER () AS z FROM sg), {above_mean("z", "am", "g", "idx", "t", 1.0, 1)}, sl AS (SELECT t FROM ck WHERE speed <= 6)
