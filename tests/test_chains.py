@@ -129,3 +129,23 @@ def test_ahead_on_a_track_with_a_loop(spark):
     for k, (far, sign) in enumerate(want):
         assert abs(made[k]) == pytest.approx(far, abs=1e-6)
         assert sign is None or far == 0 or np.sign(made[k]) == sign
+
+
+@pytest.mark.parametrize("whole", [False, True])
+def test_decoding_by_interval(spark, seen, whole):
+    times, like = seen["a"]
+    rows = spark.createDataFrame([("a", t, x.tolist()) for t, x in zip(times, like, strict=True)] + [("b", 1, [0.0] * N)], "k string, i long, x array<double>")
+    spans = [(-3, 9), (5, 12), (30, 30), (50, 400), (20, 10), (900, 950), (-3, 9)]
+    iv = spark.createDataFrame([("a", *s) for s in spans] + [(None, 0, 9)], "k string, start long, stop long")
+    made = {(r.start, r.stop, r.i): r.acausal for r in C.decode_intervals(rows, iv, ["k"], "i", "x", MOVES, 16, whole, block=7, fanout=3).collect()}
+    inside = {t for a, b in spans for t in times if a <= t <= b}
+    every = dict(zip(times, recursion(np.array([x if t in inside else np.zeros(N) for t, x in zip(times, like, strict=True)]))[1], strict=True)) if whole else {}
+    want = {}
+    for a, b in set(spans):
+        own = [k for k, t in enumerate(times) if a <= t <= b]
+        if own:
+            found = [every[times[k]] for k in own] if whole else recursion(like[own])[1]
+            want |= {(a, b, times[k]): p for k, p in zip(own, found, strict=True)}
+    assert made.keys() == want.keys()
+    for k, p in want.items():
+        assert made[k] == pytest.approx(list(p), abs=1e-9)

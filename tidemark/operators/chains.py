@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.blocks import nearest_known
+from ..functions.rangejoin import points_in
 from ..functions.store import materialise
 
 BLOCK = 4096
@@ -185,6 +186,24 @@ def smooth(df: DataFrame, key: list[str], idx: str, log_likelihood: str, transit
     return done.withColumnRenamed("_i", idx)
 
 
+def decode_intervals(df: DataFrame, intervals: DataFrame, key: list[str], idx: str, log_likelihood: str, transition: np.ndarray, width: int, whole: bool = False, initial: np.ndarray | None = None, block: int = BLOCK, fanout: int = FANOUT) -> DataFrame:
+    """The probability of each state at the rows within ``intervals`` (``key, start, stop``, both ends in), as ``smooth`` gives it, with the interval.
+
+    Each interval is a sequence of its own. With ``whole`` a key's rows are one sequence, in which those outside
+    of all intervals tell nothing about the state; only rows inside come back. A row in several intervals comes
+    back for each. Intervals without rows have none; repeated ones count once. ``width`` is that of time buckets for the join.
+    """
+    own = intervals.select(*key, "start", "stop").where(F.col("start") <= F.col("stop")).distinct()
+    rows = df.select(*key, idx, log_likelihood)
+    if not whole:
+        inside = points_in(rows, own, key, idx, width).select(*key, "start", "stop", idx, log_likelihood)
+        return smooth(inside, [*key, "start", "stop"], idx, log_likelihood, transition, initial, block, fanout)
+    met = points_in(rows.select(*key, idx), own, key, idx, width, how="left_semi").select(*key, idx).withColumn("_in", F.lit(True))
+    seen = rows.join(met, [*key, idx], "left").withColumn(log_likelihood, F.when(F.col("_in"), F.col(log_likelihood))).drop("_in")
+    made = smooth(seen, key, idx, log_likelihood, transition, initial, block, fanout)
+    return points_in(made, own, key, idx, width).select(*key, "start", "stop", idx, "causal", "acausal")
+
+
 def best_path(df: DataFrame, key: list[str], idx: str, columns: list[str], states: int, moves: Callable[[pd.DataFrame], tuple[np.ndarray, np.ndarray]], initial: np.ndarray | None = None, block: int = BLOCK, fanout: int = FANOUT) -> DataFrame:
     """The most probable state of each row, as ``key, idx, state``.
 

@@ -78,27 +78,27 @@ def isi_violations(trains: DataFrame, train: str, t: str, threshold: int) -> Dat
     return rows.groupBy(train).agg(F.count("*").alias("n"), F.count(F.when(F.col("_d") < threshold, 1)).alias("violations")).where("n > 1").withColumn("fraction", F.col("violations") / (F.col("n") - 1))
 
 
-def pooled_isi(trains: DataFrame, train: str, t: str, pairs: DataFrame, threshold: int) -> DataFrame:
-    """For pairs ``a, b`` the share of neighbours of both trains together that are closer than ``threshold``."""
-    both = pairs.withColumn(train, F.explode(F.array("a", "b"))).join(trains.select(train, t), train)
-    d = F.col(t) - F.lag(t).over(Window.partitionBy("a", "b").orderBy(t))
-    return both.withColumn("_d", d).groupBy("a", "b").agg(F.count("*").alias("n"), F.count(F.when(F.col("_d") < threshold, 1)).alias("close")).withColumn("fraction", F.col("close") / F.col("n"))
+def pooled_isi(trains: DataFrame, train: str, t: str, pairs: DataFrame, threshold: int, key: tuple[str, ...] = ()) -> DataFrame:
+    """For pairs ``a, b`` of a key the share of neighbours of both trains together that are closer than ``threshold``."""
+    both = pairs.withColumn(train, F.explode(F.array("a", "b"))).join(trains.select(*key, train, t), [*key, train])
+    d = F.col(t) - F.lag(t).over(Window.partitionBy(*key, "a", "b").orderBy(t))
+    return both.withColumn("_d", d).groupBy(*key, "a", "b").agg(F.count("*").alias("n"), F.count(F.when(F.col("_d") < threshold, 1)).alias("close")).withColumn("fraction", F.col("close") / F.col("n"))
 
 
-def correlogram(trains: DataFrame, train: str, t: str, window: int, width: int) -> DataFrame:
-    """Histogram of time differences within half of ``window`` between each ordered pair of trains, by bins of ``width``."""
+def correlogram(trains: DataFrame, train: str, t: str, window: int, width: int, key: tuple[str, ...] = ()) -> DataFrame:
+    """Histogram of time differences within half of ``window`` between each ordered pair of trains of a key, by bins of ``width``."""
     half = window // 2
-    left = trains.select(F.col(train).alias("a"), F.col(t).alias("_ta"), F.floor(F.col(t) / half).alias("_b"))
+    left = trains.select(*key, F.col(train).alias("a"), F.col(t).alias("_ta"), F.floor(F.col(t) / half).alias("_b"))
     near = F.explode(F.array(*[F.floor(F.col(t) / half) + k for k in (-1, 0, 1)]))
-    right = trains.select(F.col(train).alias("b"), F.col(t).alias("_tb"), near.alias("_b"))
-    met = left.join(right, "_b").where("a <> b").withColumn("_d", F.col("_tb") - F.col("_ta")).where((F.col("_d") >= -half) & (F.col("_d") < half))
-    return met.groupBy("a", "b", F.floor(F.col("_d") / width).alias("bin")).agg(F.count("*").alias("n"))
+    right = trains.select(*key, F.col(train).alias("b"), F.col(t).alias("_tb"), near.alias("_b"))
+    met = left.join(right, [*key, "_b"]).where("a <> b").withColumn("_d", F.col("_tb") - F.col("_ta")).where((F.col("_d") >= -half) & (F.col("_d") < half))
+    return met.groupBy(*key, "a", "b", F.floor(F.col("_d") / width).alias("bin")).agg(F.count("*").alias("n"))
 
 
-def asymmetry(correl: DataFrame) -> DataFrame:
+def asymmetry(correl: DataFrame, key: tuple[str, ...] = ()) -> DataFrame:
     """(right - left) / (right + left) of a correlogram; 0 where empty."""
     right, left = F.sum(F.when(F.col("bin") >= 0, F.col("n")).otherwise(0)), F.sum(F.when(F.col("bin") < 0, F.col("n")).otherwise(0))
-    return correl.groupBy("a", "b").agg(right.alias("_r"), left.alias("_l")).select("a", "b", F.when(F.col("_r") + F.col("_l") > 0, (F.col("_r") - F.col("_l")) / (F.col("_r") + F.col("_l"))).otherwise(0.0).alias("asymmetry"))
+    return correl.groupBy(*key, "a", "b").agg(right.alias("_r"), left.alias("_l")).select(*key, "a", "b", F.when(F.col("_r") + F.col("_l") > 0, (F.col("_r") - F.col("_l")) / (F.col("_r") + F.col("_l"))).otherwise(0.0).alias("asymmetry"))
 
 
 def sort_groups(electrodes: DataFrame, group: str, shank: str, electrode: str) -> DataFrame:
@@ -132,28 +132,33 @@ def marks_per_bin(df: DataFrame, key: str, t: str, value: str, start: int, step:
     return grid.join(means, [key, "bin"], "left")
 
 
-def place_fields(df: DataFrame, spikes: DataFrame, unit: str, bin_: str) -> DataFrame:
-    """Spikes of each unit in a position bin over the samples of that bin."""
-    occupancy = df.groupBy(bin_).agg(F.count("*").alias("occupancy"))
-    grid = spikes.select(unit).distinct().crossJoin(occupancy)  # units by position bins: the size of the result
-    counts = spikes.groupBy(unit, bin_).agg(F.count("*").alias("n"))
-    return grid.join(counts, [unit, bin_], "left").withColumn("rate", (F.coalesce("n", F.lit(0)) + 1e-3) / F.col("occupancy")).select(unit, bin_, "rate")
+def _each(left: DataFrame, right: DataFrame, key: tuple[str, ...]) -> DataFrame:
+    """All pairs of rows within a key, which are the size of the result."""
+    return left.join(right, list(key)) if key else left.crossJoin(right)
 
 
-def poisson_posterior(counts: DataFrame, fields: DataFrame, time: str, unit: str, bin_: str) -> DataFrame:
-    """Posterior over the position bins at each time, uniform prior, from ``time, unit, n``."""
-    silent = fields.groupBy(bin_).agg(F.sum("rate").alias("_sum"))
-    fired = counts.where("n > 0").join(fields, unit).groupBy(time, bin_).agg(F.sum(F.col("n") * F.log("rate")).alias("_l"))
-    grid = counts.select(time).distinct().crossJoin(silent)  # times by position bins: the size of the result
-    ll = grid.join(fired, [time, bin_], "left").withColumn("_ll", F.coalesce("_l", F.lit(0.0)) - F.col("_sum"))
-    w = Window.partitionBy(time)
+def place_fields(df: DataFrame, spikes: DataFrame, unit: str, bin_: str, key: tuple[str, ...] = ()) -> DataFrame:
+    """Spikes of each unit in a position bin over the samples of that bin, by ``key``."""
+    occupancy = df.groupBy(*key, bin_).agg(F.count("*").alias("occupancy"))
+    grid = _each(spikes.select(*key, unit).distinct(), occupancy, key)
+    counts = spikes.groupBy(*key, unit, bin_).agg(F.count("*").alias("n"))
+    return grid.join(counts, [*key, unit, bin_], "left").withColumn("rate", (F.coalesce("n", F.lit(0)) + 1e-3) / F.col("occupancy")).select(*key, unit, bin_, "rate")
+
+
+def poisson_posterior(counts: DataFrame, fields: DataFrame, time: str, unit: str, bin_: str, key: tuple[str, ...] = ()) -> DataFrame:
+    """Posterior over the position bins at each time of a key, uniform prior, from ``key, time, unit, n``."""
+    silent = fields.groupBy(*key, bin_).agg(F.sum("rate").alias("_sum"))
+    fired = counts.where("n > 0").join(fields, [*key, unit]).groupBy(*key, time, bin_).agg(F.sum(F.col("n") * F.log("rate")).alias("_l"))
+    grid = _each(counts.select(*key, time).distinct(), silent, key)
+    ll = grid.join(fired, [*key, time, bin_], "left").withColumn("_ll", F.coalesce("_l", F.lit(0.0)) - F.col("_sum"))
+    w = Window.partitionBy(*key, time)
     p = ll.withColumn("_e", F.exp(F.col("_ll") - F.max("_ll").over(w)))
-    return p.withColumn("p", F.col("_e") / F.sum("_e").over(w)).select(time, bin_, "p")
+    return p.withColumn("p", F.col("_e") / F.sum("_e").over(w)).select(*key, time, bin_, "p")
 
 
-def map_bin(posterior: DataFrame, time: str, bin_: str) -> DataFrame:
+def map_bin(posterior: DataFrame, time: str, bin_: str, key: tuple[str, ...] = ()) -> DataFrame:
     """The most probable bin, the first of equals."""
-    return posterior.groupBy(time).agg(F.max_by(bin_, F.struct("p", -F.col(bin_))).alias("map_bin"))
+    return posterior.groupBy(*key, time).agg(F.max_by(bin_, F.struct("p", -F.col(bin_))).alias("map_bin"))
 
 
 def counts(trains: DataFrame, train: str) -> DataFrame:
@@ -221,18 +226,23 @@ def snr(waves: DataFrame, unit: str, samples: str, channels: int, sign: str = "n
     return at.join(noise, "channel").select(unit, "channel", (F.col("_peak") / F.col("_noise")).alias("snr"))
 
 
-def waveform_similarity(template: DataFrame, unit: str) -> DataFrame:
-    """Pearson's correlation of the mean waveforms of each ordered pair of units."""
-    other = template.select(F.col(unit).alias("b"), "place", F.col("mean").alias("_y"))
-    both = template.select(F.col(unit).alias("a"), "place", F.col("mean").alias("_x")).join(other, "place").where("a <> b")
-    return both.groupBy("a", "b").agg(F.corr("_x", "_y").alias("similarity"))
+def waveform_similarity(template: DataFrame, unit: str, key: tuple[str, ...] = ()) -> DataFrame:
+    """Pearson's correlation of the mean waveforms of each ordered pair of units of a key."""
+    other = template.select(*key, F.col(unit).alias("b"), "place", F.col("mean").alias("_y"))
+    both = template.select(*key, F.col(unit).alias("a"), "place", F.col("mean").alias("_x")).join(other, [*key, "place"]).where("a <> b")
+    return both.groupBy(*key, "a", "b").agg(F.corr("_x", "_y").alias("similarity"))
 
 
-def burst_pairs(template: DataFrame, trains: DataFrame, unit: str, t: str, threshold: int, window: int, width: int) -> DataFrame:
-    """For each ordered pair of units: similarity of waveforms, pooled share of short intervals, asymmetry of the correlogram."""
-    alike = waveform_similarity(template, unit)
-    isi = pooled_isi(trains, unit, t, alike.select("a", "b"), threshold).select("a", "b", F.col("fraction").alias("isi_violation"))
-    return alike.join(isi, ["a", "b"]).join(asymmetry(correlogram(trains, unit, t, window, width)), ["a", "b"], "left").withColumn("asymmetry", F.coalesce("asymmetry", F.lit(0.0)))
+def burst_pairs(template: DataFrame, trains: DataFrame, unit: str, t: str, threshold: int, window: int, width: int, key: tuple[str, ...] = ()) -> DataFrame:
+    """For each ordered pair of units of a key (a sorting): similarity of waveforms, pooled share of short intervals, asymmetry of the correlogram.
+
+    ``template`` has ``key, unit, place, mean``. Units of different keys never meet.
+    """
+    pair = [*key, "a", "b"]
+    alike = waveform_similarity(template, unit, key)
+    isi = pooled_isi(trains, unit, t, alike.select(*pair), threshold, key).select(*pair, F.col("fraction").alias("isi_violation"))
+    skew = asymmetry(correlogram(trains, unit, t, window, width, key), key)
+    return alike.join(isi, pair).join(skew, pair, "left").withColumn("asymmetry", F.coalesce("asymmetry", F.lit(0.0)))
 
 
 def peak_amplitude(waves: DataFrame, spike: str, unit: str, samples: str, channels: int, sign: str = "neg", estimate: bool = False) -> DataFrame:

@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions.blocks import BLOCK
+from ..functions.blocks import BLOCK, numbered
 from ..operators import chains, neighbours
 from ..operators import events as E
 from ..operators import position as P
@@ -83,6 +83,14 @@ def k21_burst_pairs(s, d):
     return pairs.select("a", "b", *(F.round(c, 6).alias(c) for c in ("similarity", "isi_violation", "asymmetry")))
 
 
+def k21_burst_pairs_by_session(s, d):
+    waves = _waves(s, d).withColumn("session", F.col("vec_id") % 3)
+    template = waves.select("session", "label", F.posexplode("w").alias("place", "x")).groupBy("session", "label", "place").agg(F.avg("x").alias("mean"))
+    trains = events(s, d).where("user_id is not null").select((F.col("user_id") % 10).cast("int").alias("label"), "t", (F.col("event_id") % 3).alias("session"))
+    pairs = K.burst_pairs(template, trains, "label", "t", HOUR, HOUR, HOUR // 10, ("session",))
+    return pairs.select("session", "a", "b", *(F.round(c, 6).alias(c) for c in ("similarity", "isi_violation", "asymmetry")))
+
+
 def w2_peak_amplitude(s, d):
     return K.peak_amplitude(_waves(s, d), "vec_id", "label", "w", 4, "neg", True).select("vec_id", F.array_join("amplitude", ",").alias("amplitude"))
 
@@ -332,14 +340,26 @@ def _walk_chances(places, share):
     return (1 - share) * near / near.sum(axis=1, keepdims=True) + share / len(x)
 
 
-def b6_smoother(s, d):
-    from ..functions.blocks import numbered
-    from ..operators import chains
-
+def _hours_seen(s, d):
+    """The position bins, and each hour's chances of them as logarithms."""
     ev, fields = _decode(s, d)
     post = K.poisson_posterior(ev.groupBy("hour", "event_type").agg(F.count("*").alias("n")), fields, "hour", "event_type", "bin")
     bins = [r.bin for r in fields.select("bin").distinct().orderBy("bin").collect()]  # ten at most
     seen = post.groupBy("hour").agg(F.transform(F.array_sort(F.collect_list(F.struct("bin", "p"))), lambda x: F.log(x.p)).alias("seen")).withColumn("g", F.lit(0))
+    return bins, seen
+
+
+def b5_sequences(s, d):
+    bins, seen = _hours_seen(s, d)
+    start = F.floor(F.col("hour") / 24) * 24
+    halves = seen.select("g", start.alias("start"), (start + 11).alias("stop")).distinct()
+    found = chains.decode_intervals(seen, halves, ["g"], "hour", "seen", _walk_chances(bins, 0.1), 24)
+    both = found.select("hour", F.posexplode(F.arrays_zip("causal", "acausal")).alias("k", "p"))
+    return both.select("hour", F.element_at(F.array(*map(F.lit, bins)), F.col("k") + 1).cast("long").alias("bin"), F.round("p.causal", 6).alias("causal"), F.round("p.acausal", 6).alias("acausal"))
+
+
+def b6_smoother(s, d):
+    bins, seen = _hours_seen(s, d)
     found = chains.smooth(numbered(seen, ["g"], ["hour"], "idx"), ["g"], "idx", "seen", _walk_chances(bins, 0.1))
     named = found.join(numbered(seen, ["g"], ["hour"], "idx").select("idx", "hour"), "idx")
     both = named.select("hour", F.posexplode(F.arrays_zip("causal", "acausal")).alias("k", "p"))
@@ -357,7 +377,7 @@ def k18_isolation(s, d):
     return neighbours.isolation(spikes, [], "label", "vec_id", "v", 5, noise=9).select("label", *(F.round(c, 9).alias(c) for c in ("isolation", "noise_overlap")))
 
 
-QUERIES = {f.__name__: f for f in (k18_isolation, b7_ahead_on_track, b6_smoother, l2_chain, p9_reject_jumps, p16_orientation, p18_centroid_track, p22_numbered_track, p25_behaviour_rows, w3_full_waveform, b8_clusterless, f35_whitening, k1_spike_samples, k3_firing_rate, k7_model_range, k8_annotations, k11_curations, k13_merge_candidates, k16_snr, k21_burst_pairs, w2_peak_amplitude, w2_middle_amplitude, k26_amplitudes, w4_location, w6_features, w9_electrode_marks, k27_field_order, k28_sort_group_info, k30_reviews, b1_training_mask, b5_interval_decode, b7_ahead, e2_consensus_ripples, e3_channel_ripples, e6_ripple_inputs, f15_analytic, f16_phase, f22_upsample, f33_band_pass, p6_frame_times, p14_bisector, p17_four_points, p1_two_point_track, p19_cohort, p20_with_orientation, p23_normalise, p24_keypoints, p27_pose_group, l3_linear_slice)}
+QUERIES = {f.__name__: f for f in (k18_isolation, b5_sequences, b7_ahead_on_track, b6_smoother, l2_chain, p9_reject_jumps, p16_orientation, p18_centroid_track, p22_numbered_track, p25_behaviour_rows, w3_full_waveform, b8_clusterless, f35_whitening, k1_spike_samples, k3_firing_rate, k7_model_range, k8_annotations, k11_curations, k13_merge_candidates, k16_snr, k21_burst_pairs, k21_burst_pairs_by_session, w2_peak_amplitude, w2_middle_amplitude, k26_amplitudes, w4_location, w6_features, w9_electrode_marks, k27_field_order, k28_sort_group_info, k30_reviews, b1_training_mask, b5_interval_decode, b7_ahead, e2_consensus_ripples, e3_channel_ripples, e6_ripple_inputs, f15_analytic, f16_phase, f22_upsample, f33_band_pass, p6_frame_times, p14_bisector, p17_four_points, p1_two_point_track, p19_cohort, p20_with_orientation, p23_normalise, p24_keypoints, p27_pose_group, l3_linear_slice)}
 
 
 def _fir(taps: list[float], name: str) -> str:
@@ -380,6 +400,15 @@ WHEN NOT f AND NOT c AND l AND r AND {_DIST(2, 3)} THEN ({c}2 + {c}3) / 2 WHEN f
 
 
 ORACLES = {
+    # as b6, but the first half of each day begins anew
+    "b5_sequences": sql(f"""{_POST}, pv AS (SELECT hour, list(p ORDER BY bin) AS l, row_number() OVER (ORDER BY hour) AS i, lag(hour // 24) OVER (ORDER BY hour) IS DISTINCT FROM hour // 24 AS f FROM po WHERE hour % 24 < 12 GROUP BY hour), bn AS (SELECT list(bin ORDER BY bin) AS b FROM (SELECT DISTINCT bin FROM fd)),
+tm AS (SELECT b, list_transform(b, lambda x: list_transform(b, lambda y: 0.9 * exp(-0.5 * (x - y) * (x - y)) / list_sum(list_transform(b, lambda z: exp(-0.5 * (x - z) * (x - z)))) + 0.1 / len(b))) AS m FROM bn),
+fw(i, a) AS (SELECT i, list_transform(l, lambda x: x / list_sum(l)) FROM pv WHERE i = 1
+  UNION ALL SELECT i, list_transform(u, lambda x: x / list_sum(u)) FROM (SELECT pv.i, list_transform(range(1, len(b) + 1), lambda j: l[j] * CASE WHEN f THEN 1.0 ELSE list_sum(list_transform(range(1, len(b) + 1), lambda k: a[k] * m[k][j])) END) AS u FROM fw JOIN pv ON pv.i = fw.i + 1, tm)),
+bw(i, a) AS (SELECT max(i), list_transform(any_value(b), lambda x: 1.0::DOUBLE) FROM pv, tm
+  UNION ALL SELECT i, list_transform(u, lambda x: x / list_sum(u)) FROM (SELECT pv.i - 1 AS i, list_transform(range(1, len(b) + 1), lambda k: CASE WHEN f THEN 1.0 ELSE list_sum(list_transform(range(1, len(b) + 1), lambda j: m[k][j] * l[j] * a[j])) END) AS u FROM bw JOIN pv ON pv.i = bw.i, tm WHERE pv.i > 1)),
+z AS (SELECT hour, b, fw.a AS f, list_transform(range(1, len(b) + 1), lambda k: fw.a[k] * bw.a[k]) AS g FROM pv JOIN fw USING (i) JOIN bw USING (i), tm)
+SELECT hour, b[k] AS bin, round(f[k], 6) AS causal, round(g[k] / list_sum(g), 6) AS acausal FROM (SELECT *, unnest(range(1, len(b) + 1)) AS k FROM z)""").replace("WITH ", "WITH RECURSIVE ", 1),
     "b6_smoother": sql(f"""{_POST}, pv AS (SELECT hour, list(p ORDER BY bin) AS l, row_number() OVER (ORDER BY hour) AS i FROM po GROUP BY hour), bn AS (SELECT list(bin ORDER BY bin) AS b FROM (SELECT DISTINCT bin FROM fd)),
 tm AS (SELECT b, list_transform(b, lambda x: list_transform(b, lambda y: 0.9 * exp(-0.5 * (x - y) * (x - y)) / list_sum(list_transform(b, lambda z: exp(-0.5 * (x - z) * (x - z)))) + 0.1 / len(b))) AS m FROM bn),
 fw(i, a) AS (SELECT i, list_transform(l, lambda x: x / list_sum(l)) FROM pv WHERE i = 1
@@ -402,6 +431,10 @@ SELECT p.sorting, o_orderkey, CASE WHEN n IS NOT NULL OR k > 1 THEN 0 ELSE -1 EN
 d AS (SELECT a, b, t - lag(t) OVER (PARTITION BY a, b ORDER BY t) AS d FROM si JOIN tr ON label IN (a, b)), i AS (SELECT a, b, count(*) FILTER (d < {HOUR}) / count(*) AS f FROM d GROUP BY ALL),
 c AS (SELECT a.label AS a, b.label AS b, (count(*) FILTER (b.t >= a.t) - count(*) FILTER (b.t < a.t)) / count(*) AS s FROM tr a JOIN tr b ON a.label <> b.label AND b.t - a.t >= {-HOUR // 2} AND b.t - a.t < {HOUR // 2} GROUP BY ALL)
 SELECT si.a, si.b, round(si.s, 6) AS similarity, round(f, 6) AS isi_violation, round(coalesce(c.s, 0), 6) AS asymmetry FROM si JOIN i ON i.a = si.a AND i.b = si.b LEFT JOIN c ON c.a = si.a AND c.b = si.b"""),
+    "k21_burst_pairs_by_session": sql(f"""{_W}, m AS (SELECT vec_id % 3 AS session, label, place, avg(x) AS m FROM w GROUP BY ALL), si AS (SELECT a.session, a.label AS a, b.label AS b, corr(a.m, b.m) AS s FROM m a JOIN m b ON a.session = b.session AND a.place = b.place AND a.label <> b.label GROUP BY ALL),
+tr AS (SELECT event_id % 3 AS session, (user_id % 10)::INT AS label, t FROM ev WHERE user_id IS NOT NULL), d AS (SELECT si.session, a, b, t - lag(t) OVER (PARTITION BY si.session, a, b ORDER BY t) AS d FROM si JOIN tr ON tr.session = si.session AND label IN (a, b)), i AS (SELECT session, a, b, count(*) FILTER (d < {HOUR}) / count(*) AS f FROM d GROUP BY ALL),
+c AS (SELECT a.session, a.label AS a, b.label AS b, (count(*) FILTER (b.t >= a.t) - count(*) FILTER (b.t < a.t)) / count(*) AS s FROM tr a JOIN tr b ON a.session = b.session AND a.label <> b.label AND b.t - a.t >= {-HOUR // 2} AND b.t - a.t < {HOUR // 2} GROUP BY ALL)
+SELECT session, a, b, round(si.s, 6) AS similarity, round(f, 6) AS isi_violation, round(coalesce(c.s, 0), 6) AS asymmetry FROM si JOIN i USING (session, a, b) LEFT JOIN c USING (session, a, b)"""),
     "w2_peak_amplitude": f"WITH {_MODAL} SELECT vec_id, string_agg(x::VARCHAR, ',' ORDER BY place) AS amplitude FROM am GROUP BY vec_id",
     "w2_middle_amplitude": f"WITH {_W} SELECT vec_id, string_agg(x::VARCHAR, ',' ORDER BY place) AS amplitude FROM w WHERE place // 4 = 8 GROUP BY vec_id",
     "k26_amplitudes": sql(f"{_MODAL}, a0 AS (SELECT vec_id, label, min(x) AS amplitude FROM am GROUP BY ALL), a AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS k FROM a0), {_TR}, n AS (SELECT label, t, row_number() OVER (PARTITION BY label ORDER BY t) AS k FROM tr) SELECT n.label, k::INT AS k, t, amplitude FROM n JOIN a USING (label, k)"),

@@ -95,6 +95,10 @@ def k24_asymmetry(s, d):
     return K.asymmetry(K.correlogram(events(s, d), "event_type", "t", HOUR, HOUR // 10)).select("a", "b", F.round("asymmetry", 9).alias("asymmetry"))
 
 
+def k23_correlogram_by_session(s, d):
+    return K.correlogram(events(s, d).withColumn("session", F.col("event_id") % 4), "event_type", "t", HOUR, HOUR // 10, ("session",))
+
+
 def w7_mark_threshold(s, d):
     return K.mark_threshold(read(s, d, "embeddings"), "embedding", 0.3, "both").select("vec_id")
 
@@ -120,6 +124,13 @@ def b3_posterior(s, d):
     return K.poisson_posterior(counts, fields, "hour", "event_type", "bin").select("hour", "bin", F.round("p", 6).alias("p"))
 
 
+def b3_posterior_by_session(s, d):
+    ev = events(s, d).select((F.col("event_id") % 4).alias("session"), "event_type", F.floor(F.col("t") / HOUR).alias("hour"), F.least(F.lit(9), F.floor(F.col("value") / 10)).alias("bin"))
+    counts, key = ev.groupBy("session", "hour", "event_type").agg(F.count("*").alias("n")), ("session",)
+    post = K.poisson_posterior(counts, K.place_fields(ev, ev, "event_type", "bin", key), "hour", "event_type", "bin", key)
+    return post.select("session", "hour", "bin", F.round("p", 6).alias("p"))
+
+
 def b4_map(s, d):
     ev, fields = _decode(s, d)
     counts = ev.groupBy("hour", "event_type").agg(F.count("*").alias("n"))
@@ -201,7 +212,7 @@ def v20_unique(s, d):
     return Q.unique_ids(read(s, d, "orders").select(F.col("o_custkey").alias("id"), "o_orderkey"), "id", "o_orderkey")
 
 
-QUERIES = {f.__name__: f for f in (k2_indicator, k2_indicator_whole, k4_filter_by_label, k5_filter_by_criteria, k6_group_spikes, k6_group_spikes_whole, k12_labels, k14_num_spikes, k15_isi, k17_peak, k20_sort_groups, k22_pooled_isi, k23_correlogram, k24_asymmetry, w7_mark_threshold, w8_marks_per_bin, b2_place_fields, b3_posterior, b4_map, b11_quantise, a1_ingest, a2_select_objects, a3_overlay, a4_require, a5_validate, a6_upsert, a10_epochs, v7_storage, v9_content, v10_diff, v11_tag, v12_eligible, v19_sanitise, v20_unique)}
+QUERIES = {f.__name__: f for f in (k23_correlogram_by_session, b3_posterior_by_session, k2_indicator, k2_indicator_whole, k4_filter_by_label, k5_filter_by_criteria, k6_group_spikes, k6_group_spikes_whole, k12_labels, k14_num_spikes, k15_isi, k17_peak, k20_sort_groups, k22_pooled_isi, k23_correlogram, k24_asymmetry, w7_mark_threshold, w8_marks_per_bin, b2_place_fields, b3_posterior, b4_map, b11_quantise, a1_ingest, a2_select_objects, a3_overlay, a4_require, a5_validate, a6_upsert, a10_epochs, v7_storage, v9_content, v10_diff, v11_tag, v12_eligible, v19_sanitise, v20_unique)}
 
 _COR = f"co AS (SELECT a.event_type AS a, b.event_type AS b, floor((b.t - a.t) / {HOUR // 10})::BIGINT AS bin, count(*) AS n FROM ev a JOIN ev b ON a.event_type <> b.event_type AND b.t - a.t >= {-HOUR // 2} AND b.t - a.t < {HOUR // 2} GROUP BY ALL)"
 _DEC = f"""de AS (SELECT event_type, t // {HOUR} AS hour, least(9, floor(value / 10))::BIGINT AS bin FROM ev), oc AS (SELECT bin, count(*) AS o FROM de GROUP BY bin), ct AS (SELECT event_type, bin, count(*) AS n FROM de GROUP BY ALL),
@@ -228,6 +239,11 @@ SELECT s_suppkey, coalesce(array_to_string(list_filter(l, lambda x, i: list_posi
     "k20_sort_groups": "SELECT s_nationkey, count(*) AS n, min(s_suppkey) AS first_electrode, row_number() OVER (ORDER BY s_nationkey) - 1 AS sort_group FROM supplier GROUP BY s_nationkey HAVING count(*) > 1",
     "k22_pooled_isi": sql(f"u AS (SELECT DISTINCT event_type FROM ev), p AS (SELECT a.event_type AS a, b.event_type AS b FROM u a, u b WHERE a.event_type < b.event_type), x AS (SELECT a, b, t - lag(t) OVER (PARTITION BY a, b ORDER BY t) AS d FROM p JOIN ev ON event_type IN (a, b)) SELECT a, b, count(*) AS n, count(*) FILTER (d < {HOUR // 12}) AS close, round(count(*) FILTER (d < {HOUR // 12}) / count(*), 9) AS fraction FROM x GROUP BY a, b"),
     "k23_correlogram": sql(f"{_COR} SELECT * FROM co"),
+    "k23_correlogram_by_session": sql(f"co AS (SELECT a.event_id % 4 AS session, a.event_type AS a, b.event_type AS b, floor((b.t - a.t) / {HOUR // 10})::BIGINT AS bin, count(*) AS n FROM ev a JOIN ev b ON a.event_id % 4 = b.event_id % 4 AND a.event_type <> b.event_type AND b.t - a.t >= {-HOUR // 2} AND b.t - a.t < {HOUR // 2} GROUP BY ALL) SELECT * FROM co"),
+    "b3_posterior_by_session": sql(f"""de AS (SELECT event_id % 4 AS session, event_type, t // {HOUR} AS hour, least(9, floor(value / 10))::BIGINT AS bin FROM ev), oc AS (SELECT session, bin, count(*) AS o FROM de GROUP BY ALL), ct AS (SELECT session, event_type, bin, count(*) AS n FROM de GROUP BY ALL),
+fd AS (SELECT u.session, u.event_type, oc.bin, (coalesce(n, 0) + 1e-3) / o AS rate FROM (SELECT DISTINCT session, event_type FROM de) u JOIN oc USING (session) LEFT JOIN ct ON ct.session = u.session AND ct.event_type = u.event_type AND ct.bin = oc.bin),
+cn AS (SELECT session, hour, event_type, count(*) AS n FROM de GROUP BY ALL), li AS (SELECT session, hour, bin, sum(n * ln(rate)) AS l FROM cn JOIN fd USING (session, event_type) GROUP BY ALL), si AS (SELECT session, bin, sum(rate) AS r FROM fd GROUP BY ALL),
+ll AS (SELECT session, hour, bin, l - r AS x FROM li JOIN si USING (session, bin)), ex AS (SELECT session, hour, bin, exp(x - max(x) OVER (PARTITION BY session, hour)) AS e FROM ll) SELECT session, hour, bin, round(e / sum(e) OVER (PARTITION BY session, hour), 6) AS p FROM ex"""),
     "k24_asymmetry": sql(f"{_COR} SELECT a, b, round((sum(n) FILTER (bin >= 0) - sum(n) FILTER (bin < 0)) / sum(n), 9) AS asymmetry FROM co GROUP BY a, b"),
     "w7_mark_threshold": "SELECT vec_id FROM embeddings WHERE list_max(list_transform(embedding, lambda x: abs(x)))::DOUBLE >= 0.3",
     "w8_marks_per_bin": sql(f"a AS (SELECT min(t) AS a FROM ev), m AS (SELECT event_type, (t - a) // {DAY} AS bin, avg(value) AS mean FROM ev, a GROUP BY ALL), g AS (SELECT event_type, unnest(range(0, (SELECT (max(t) - min(t)) // {DAY} + 2 FROM ev))) AS bin FROM (SELECT DISTINCT event_type FROM ev)) SELECT g.event_type, g.bin, round(mean, 6) AS mean FROM g LEFT JOIN m ON m.event_type = g.event_type AND m.bin = g.bin"),
