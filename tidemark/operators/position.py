@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from ..functions.blocks import blockwise, gap_islands
 from ..functions.columns import no_nan
 from ..functions.rangejoin import points_in
-from .signal import gaussian, interpolate, moving_mean, unwrap
+from ..functions.ranks import medians
+from ..functions.store import materialise
+from .signal import gaussian, interpolate, moving_mean, resample, time_grid, unwrap
 
 
 #: Edges of a track, which is a graph of a few corridors.
@@ -162,6 +164,16 @@ def centroid(df: DataFrame, points: list[tuple[str, str]], limit: float | None =
     return df
 
 
+def _with_velocity(rows: DataFrame, key: list[str], t: str, step) -> DataFrame:
+    """Adds ``vx, vy, speed`` from the rows before and after, ``step`` seconds apart (a number or a column)."""
+    w = Window.partitionBy(*key).orderBy(t)
+    n = rows.withColumn("_n", F.row_number().over(w))
+    v = F.greatest(F.lit(1), F.coalesce(F.lead("_n").over(w), F.col("_n")) - F.coalesce(F.lag("_n").over(w), F.col("_n"))) * step
+    slope = lambda c: (F.coalesce(F.lead(c).over(w), F.col(c)) - F.coalesce(F.lag(c).over(w), F.col(c))) / v
+    n = n.withColumn("vx", slope("x")).withColumn("vy", slope("y")).drop("_n")
+    return n.withColumn("speed", F.sqrt(F.col("vx") * F.col("vx") + F.col("vy") * F.col("vy")))
+
+
 def two_point_track(df: DataFrame, key: list[str], t: str, one: tuple[str, str], two: tuple[str, str], cm: float, apart: float, most_speed: float, width: int, step: float) -> DataFrame:
     """Position, orientation and speed from two tracked points: ``x, y, orientation, vx, vy, speed`` by ``key, t``.
 
@@ -180,11 +192,51 @@ def two_point_track(df: DataFrame, key: list[str], t: str, one: tuple[str, str],
     for c in names:
         rows = moving_mean(interpolate(rows, key, t, c, c), key, t, c, width, c)
     rows = two_point_orientation(rows, one, two).select(*key, t, ((F.col(one[0]) + F.col(two[0])) / 2).alias("x"), ((F.col(one[1]) + F.col(two[1])) / 2).alias("y"), "orientation")
-    n = rows.withColumn("_n", F.row_number().over(w))
-    v = F.greatest(F.lit(1), F.coalesce(F.lead("_n").over(w), F.col("_n")) - F.coalesce(F.lag("_n").over(w), F.col("_n"))) * step
-    slope = lambda c: (F.coalesce(F.lead(c).over(w), F.col(c)) - F.coalesce(F.lag(c).over(w), F.col(c))) / v
-    n = n.withColumn("vx", slope("x")).withColumn("vy", slope("y")).drop("_n")
-    return n.withColumn("speed", F.sqrt(F.col("vx") * F.col("vx") + F.col("vy") * F.col("vy")))
+    return _with_velocity(rows, key, t, step)
+
+
+def two_point_position(df: DataFrame, key: list[str], t: str, one: tuple[str, str], two: tuple[str, str], cm: float, apart: float, most_speed: float, seconds: float, upsampled: float | None = None, ticks: int = 1_000_000) -> DataFrame:
+    """As ``two_point_track``, with each key's own rate: the median time between its rows (``ticks`` of ``t`` a second).
+
+    The mean covers the rows of ``seconds``, one at least. ``upsampled``, in rows a second, puts the smoothed points on an even
+    grid from a key's first time to its last, linear between neighbours. Times are distinct within a key. A key whose points are all too far apart is an error, as that is
+    mostly one point tracked by mistake for two. Rows without a key or a time go; a key of one row has no velocity to speak of (0).
+    """
+    w = Window.partitionBy(*key).orderBy(t)
+    names = [*one, *two]
+    rows = df.dropna(subset=[*key, t]).select(*key, t, *(no_nan(F.col(c) * cm).alias(c) for c in names))
+    rows = materialise(rows.withColumn("_far", F.coalesce(~_near(one, two, apart), F.lit(False))).withColumn("_gap", (F.col(t) - F.lag(t).over(w)) / ticks), "points")
+    lost = rows.groupBy(*key).agg(F.bool_and("_far").alias("_all")).where("_all").first()
+    if lost:
+        raise ValueError(f"all points are {apart} or more apart in {lost[: len(key)]}")
+    width = F.greatest(F.lit(1), F.coalesce(F.floor(F.lit(seconds) * (1 / F.col("_step"))), F.lit(1))).cast("int")
+    step = materialise(medians(rows, key, "_gap", "_step").withColumn("_w", width), "steps")
+    most = step.agg(F.max("_w")).first()[0] or 1
+    rows = rows.join(step, key, "left").select(*key, t, "_step", F.coalesce("_w", F.lit(1)).alias("_w"), *(F.when(~F.col("_far"), F.col(c)).alias(c) for c in names))
+    jump = lambda p: F.coalesce(F.sqrt((F.col(p[0]) - F.lag(p[0]).over(w)) ** 2 + (F.col(p[1]) - F.lag(p[1]).over(w)) ** 2) / F.col("_step") > most_speed, F.lit(False))
+    rows = rows.withColumn("_fast", jump(one) | jump(two)).select(*key, t, "_step", "_w", *(F.when(~F.col("_fast"), F.col(c)).alias(c) for c in names))
+    for c in names:
+        rows = interpolate(rows, key, t, c, c)
+    # keys differ in width, so each row takes the last of its own from the widest window
+    last = F.collect_list(F.struct(*names)).over(w.rowsBetween(1 - most, 0))
+    rows = rows.withColumn("_l", last).withColumn("_l", F.slice("_l", F.greatest(F.lit(1), F.size("_l") - F.col("_w") + 1), F.col("_w")))
+    mean = lambda c: F.when(F.size(_there(c)) > 0, F.aggregate(_there(c), F.lit(0.0), lambda a, x: a + x) / F.size(_there(c)))
+    rows = rows.select(*key, t, "_step", *(mean(c).alias(c) for c in names))
+    if upsampled:
+        rows = materialise(rows, "smoothed")
+        ends = rows.groupBy(*key).agg(F.min(t).alias("start"), F.max(t).alias("stop"))
+        grid = time_grid(ends, key, round(ticks / upsampled)).select(*key, F.round("t").cast(df.schema[t].dataType).alias(t)).distinct()
+        made = grid.withColumn("_step", F.lit(1 / upsampled))
+        for c in names:
+            made = made.join(resample(rows, grid, key, t, c), [*key, t])
+        rows = made
+    middle = lambda k: ((F.col(one[k]) + F.col(two[k])) / 2).alias("xy"[k])
+    rows = two_point_orientation(rows, one, two).select(*key, t, middle(0), middle(1), "orientation", F.coalesce("_step", F.lit(1.0)).alias("_step"))
+    return _with_velocity(rows, key, t, F.col("_step")).drop("_step")
+
+
+def _there(name: str) -> Column:
+    return F.filter(F.transform("_l", lambda x: x[name]), lambda v: v.isNotNull())
 
 
 def orientation_track(df: DataFrame, key: list[str], order: str, angle: str, sigma: float) -> DataFrame:

@@ -248,6 +248,13 @@ def p17_four_points(s, d):
     return P.centroid(rows, [(f"x{k}", f"y{k}") for k in range(4)], 60.0).select("user_id", "idx", F.round("cx", 6).alias("cx"), F.round("cy", 6).alias("cy"))
 
 
+def p1_two_point_position(s, d):
+    w = Window.partitionBy("user_id").orderBy("idx")
+    two = _xy(s, d).withColumn("x2", F.lag("x").over(w)).withColumn("y2", F.lag("y").over(w))
+    made = P.two_point_position(two, ["user_id"], "t", ("x", "y"), ("x2", "y2"), 0.5, 60.0, 3.0, 24.0, ticks=HOUR)
+    return made.select("user_id", "t", *(F.round(c, 7).alias(c) for c in ("x", "y", "speed")))
+
+
 def p1_two_point_track(s, d):
     w = Window.partitionBy("user_id").orderBy("idx")
     two = _xy(s, d).withColumn("x2", F.lag("x").over(w)).withColumn("y2", F.lag("y").over(w))
@@ -377,7 +384,7 @@ def k18_isolation(s, d):
     return neighbours.isolation(spikes, [], "label", "vec_id", "v", 5, noise=9).select("label", *(F.round(c, 9).alias(c) for c in ("isolation", "noise_overlap")))
 
 
-QUERIES = {f.__name__: f for f in (k18_isolation, b5_sequences, b7_ahead_on_track, b6_smoother, l2_chain, p9_reject_jumps, p16_orientation, p18_centroid_track, p22_numbered_track, p25_behaviour_rows, w3_full_waveform, b8_clusterless, f35_whitening, k1_spike_samples, k3_firing_rate, k7_model_range, k8_annotations, k11_curations, k13_merge_candidates, k16_snr, k21_burst_pairs, k21_burst_pairs_by_session, w2_peak_amplitude, w2_middle_amplitude, k26_amplitudes, w4_location, w6_features, w9_electrode_marks, k27_field_order, k28_sort_group_info, k30_reviews, b1_training_mask, b5_interval_decode, b7_ahead, e2_consensus_ripples, e3_channel_ripples, e6_ripple_inputs, f15_analytic, f16_phase, f22_upsample, f33_band_pass, p6_frame_times, p14_bisector, p17_four_points, p1_two_point_track, p19_cohort, p20_with_orientation, p23_normalise, p24_keypoints, p27_pose_group, l3_linear_slice)}
+QUERIES = {f.__name__: f for f in (k18_isolation, b5_sequences, b7_ahead_on_track, b6_smoother, l2_chain, p9_reject_jumps, p16_orientation, p18_centroid_track, p22_numbered_track, p25_behaviour_rows, w3_full_waveform, b8_clusterless, f35_whitening, k1_spike_samples, k3_firing_rate, k7_model_range, k8_annotations, k11_curations, k13_merge_candidates, k16_snr, k21_burst_pairs, k21_burst_pairs_by_session, w2_peak_amplitude, w2_middle_amplitude, k26_amplitudes, w4_location, w6_features, w9_electrode_marks, k27_field_order, k28_sort_group_info, k30_reviews, b1_training_mask, b5_interval_decode, b7_ahead, e2_consensus_ripples, e3_channel_ripples, e6_ripple_inputs, f15_analytic, f16_phase, f22_upsample, f33_band_pass, p6_frame_times, p14_bisector, p17_four_points, p1_two_point_track, p1_two_point_position, p19_cohort, p20_with_orientation, p23_normalise, p24_keypoints, p27_pose_group, l3_linear_slice)}
 
 
 def _fir(taps: list[float], name: str) -> str:
@@ -516,3 +523,19 @@ q AS (SELECT c.event_type, c.x, c.y, h.bin, sum(n * exp(-((c.x - h.x) * (c.x - h
 WHERE (c.x - h.x) * (c.x - h.x) + (c.y - h.y) * (c.y - h.y) <= 36 GROUP BY ALL) SELECT event_id, q.bin, round(likelihood, 6) AS likelihood FROM e JOIN q USING (event_type, x, y)""",
 }
 ORACLES["p22_numbered_track"] = ORACLES["p1_two_point_track"].replace("SELECT user_id, idx, round(x, 10) AS x, round(y, 10) AS y, round(sqrt(dx / s * (dx / s) + dy / s * (dy / s)), 10) AS speed FROM a8", "SELECT user_id, (n - 1)::INT AS video_frame, round(dx / s, 10) AS velocity_x FROM a8")
+
+# as p1 above, with each user's median step in hours, time in place of row numbers, and a mean of as many rows as a day has steps
+_OWN = ORACLES["p1_two_point_track"]
+for _old, _new in (
+    ("a0 AS (SELECT user_id, idx,", "st AS (SELECT user_id, median(g) AS step, greatest(1, floor(24.0 * (1 / median(g))))::BIGINT AS wide FROM (SELECT user_id, (t - lag(t) OVER (PARTITION BY user_id ORDER BY idx)) / %d AS g FROM xy WHERE user_id IS NOT NULL) GROUP BY user_id HAVING median(g) IS NOT NULL), a0 AS (SELECT user_id, t AS idx," % HOUR),
+    ("a2 AS (SELECT *,", "a2 AS (SELECT a1.*,"),
+    ("pow(a - lag(a) OVER w, 2) + pow(b - lag(b) OVER w, 2)) > 40", "pow(a - lag(a) OVER w, 2) + pow(b - lag(b) OVER w, 2)) / step > 3"),
+    ("pow(c - lag(c) OVER w, 2) + pow(d - lag(d) OVER w, 2)) > 40", "pow(c - lag(c) OVER w, 2) + pow(d - lag(d) OVER w, 2)) / step > 3"),
+    ("FROM a1 WINDOW w AS (PARTITION BY user_id ORDER BY idx))", "FROM a1 LEFT JOIN st USING (user_id) WHERE user_id IS NOT NULL WINDOW w AS (PARTITION BY user_id ORDER BY idx))"),
+    *((f"avg({v}) OVER m AS {v}", f"list_avg((list({v}) OVER m)[-coalesce(wide, 1):]) AS {v}") for v in "abcd"),
+    ("FROM a5 WINDOW m AS (PARTITION BY user_id ORDER BY idx ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)", "FROM a5 LEFT JOIN st USING (user_id) WINDOW m AS (PARTITION BY user_id ORDER BY idx ROWS UNBOUNDED PRECEDING)"),
+    ("SELECT user_id, idx, round(x, 10) AS x, round(y, 10) AS y, round(sqrt(dx / s * (dx / s) + dy / s * (dy / s)), 10) AS speed FROM a8", "SELECT user_id, idx AS t, round(x, 7) AS x, round(y, 7) AS y, round(sqrt(pow(dx / (s * coalesce(step, 1)), 2) + pow(dy / (s * coalesce(step, 1)), 2)), 7) AS speed FROM a8 LEFT JOIN st USING (user_id)"),
+):
+    assert _old in _OWN, _old
+    _OWN = _OWN.replace(_old, _new)
+ORACLES["p1_two_point_position"] = _OWN
