@@ -220,7 +220,7 @@ def two_point_position(df: DataFrame, key: list[str], t: str, one: tuple[str, st
     # keys differ in width, so each row takes the last of its own from the widest window
     last = F.collect_list(F.struct(*names)).over(w.rowsBetween(1 - most, 0))
     rows = rows.withColumn("_l", last).withColumn("_l", F.slice("_l", F.greatest(F.lit(1), F.size("_l") - F.col("_w") + 1), F.col("_w")))
-    mean = lambda c: F.when(F.size(_there(c)) > 0, F.aggregate(_there(c), F.lit(0.0), lambda a, x: a + x) / F.size(_there(c)))
+    mean = lambda c: F.when(F.size(_gathered(c)) > 0, F.aggregate(_gathered(c), F.lit(0.0), lambda a, x: a + x) / F.size(_gathered(c)))
     rows = rows.select(*key, t, "_step", *(mean(c).alias(c) for c in names))
     if upsampled:
         rows = materialise(rows, "smoothed")
@@ -235,7 +235,7 @@ def two_point_position(df: DataFrame, key: list[str], t: str, one: tuple[str, st
     return _with_velocity(rows, key, t, F.col("_step")).drop("_step")
 
 
-def _there(name: str) -> Column:
+def _gathered(name: str) -> Column:
     return F.filter(F.transform("_l", lambda x: x[name]), lambda v: v.isNotNull())
 
 
