@@ -4,6 +4,7 @@ import gzip
 import hashlib
 import re
 import time
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -427,6 +428,53 @@ def test_lm_scores(odd, empty):
     assert lm_scoring.lm_scores(empty).count() == 0
 
 
+def test_lm_counts_by_shares(monkeypatch):
+    """Adding up a share of the hashes at a time gives what adding up all at once does."""
+    monkeypatch.setattr(lm_scoring, "_SHARE", 7)
+    monkeypatch.setattr(lm_scoring, "_SHARE_BYTES", 50)
+    rng = np.random.default_rng(3)
+    top = 2**64 - 1
+    for lists in ([[top]], [[0], [0, 1, top], [1, top]], [sorted({int(x) for x in rng.integers(0, 50, 30)}) for _ in range(20)]):
+        counts = [rng.integers(1, 999, len(g)) for g in lists]
+        total = Counter()
+        for g, c in zip(lists, counts, strict=True):
+            total.update(dict(zip(g, c.tolist(), strict=True)))
+        asked = {"grams": [lm_scoring.pack_sorted(np.array(g, np.uint64)) for g in lists], "counts": [lm_scoring.pack_sparse(c - 1) for c in counts]}
+        got = lm_scoring._count((), pa.table({"batch": range(len(lists)), "bucket": [0] * len(lists), **asked})).column("others").to_pylist()
+        for g, c, others in zip(lists, counts, got, strict=True):
+            assert lm_scoring.unpack_sparse(others, len(g)).tolist() == [total[x] - k for x, k in zip(g, c.tolist(), strict=True)]
+    texts = ["a b c a b", None, "", " ", "A b " * 40, "c"]
+    batch = lm_scoring._Batch(pa.table({"text": texts}), 3, 44)
+    ws = [words(t) for t in texts]
+    grams = Counter(tuple(w[i : i + n]) for w in ws for n in (1, 2, 3) for i in range(len(w) - n + 1))
+    assert (np.diff(batch.h.astype(np.int64)) > 0).all() and sorted(batch.counts.tolist()) == sorted(grams.values())
+    for empty in ([], [None, " "]):
+        assert len(lm_scoring._Batch(pa.table({"text": pa.array(empty, pa.string())}), 3, 44).h) == 0
+
+
+def test_lm_tasks_take_little_memory():
+    """A task's arrays stay in proportion to its texts; sorting all of a batch at once took nearly twice as much."""
+    rng = np.random.default_rng(7)
+    texts = [" ".join(f"w{x:x}" for x in (60000 * rng.random(1000) ** 3).astype(int)) for _ in range(1500)]
+    documents, key, size = pa.table({"row": range(len(texts)), "text": texts}), (pa.scalar(0),), sum(map(len, texts))
+
+    def peak(f, *args):
+        tracemalloc.start()
+        try:
+            return f(key, *args), tracemalloc.get_traced_memory()[1] / size
+        finally:
+            tracemalloc.stop()
+
+    asked, ask = peak(lm_scoring._ask(3, 16, 48), documents)
+    one = asked.slice(0, 1)
+    for _ in range(4):
+        one = pa.concat_tables([one, one])
+    answers, count = peak(lm_scoring._count, one)
+    _, score = peak(lm_scoring._score(3, 16, 48, 1500000), documents, pa.table({"bucket": asked.column("bucket"), "others": [lm_scoring.pack_sparse(np.zeros(len(lm_scoring.unpack_sorted(g.as_py())), int)) for g in asked.column("grams")]}))
+    assert answers.num_rows == 16
+    assert ask < 22 and count < 13 and score < 22
+
+
 def test_warc_round_trip(spark):
     long = "x" * 1500
     pages = [(1, "http://a/", long), (2, "http://a/ b\n", long), (3, None, "short"), (4, "u", "short"), (5, "u", None), (None, "u", long), (2, "u", long), (6, "u", "é" * 400)]

@@ -20,6 +20,8 @@ its score after the history without the first word, and at last c(w) / N, or
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,6 +34,9 @@ BACKOFF = 0.4
 BATCH_BYTES = 16 << 20
 #: An n-gram's hash has so many bits more than the logarithm of the corpus' words (64 at most).
 _SPARE_BITS = 24
+#: A range of the count table adds up about so many n-grams at a time, a batch those of a share for each so many bytes of text; sorting takes little memory beside the lists.
+_SHARE = 1 << 18
+_SHARE_BYTES = 1 << 20
 _NO_GRAM = np.uint64(0)
 _BIG = 255
 
@@ -92,36 +97,50 @@ def unpack_sorted(raw: bytes) -> np.ndarray:
     return np.cumsum(gaps, dtype=np.uint64)
 
 
-def _add_up(h: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct hashes in order, and the sum of the counts of each."""
+def _add_up(h: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct hashes of some lists in order, the sum of the counts of each, and which of them each entry is, list by list."""
+    h, counts = np.concatenate(h), np.concatenate(counts)
     order = np.argsort(h, kind="stable")
-    h, counts = h[order], counts[order]
-    first = np.flatnonzero(np.diff(h, prepend=~h[:1]) != 0)
-    return h[first], np.add.reduceat(counts, first) if len(first) else counts
+    h = h[order]
+    new = np.diff(h, prepend=~h[:1]) != 0
+    first = np.flatnonzero(new)
+    own = np.empty(len(h), np.int64)
+    own[order] = np.cumsum(new) - 1
+    return h[first], np.add.reduceat(counts[order], first, dtype=np.int64) if len(first) else counts.astype(np.int64), own
 
 
 class _Batch:
-    """The n-grams of a batch of texts: those of each slice of documents, and the distinct ones of all with their counts."""
+    """The n-grams of a batch of texts: the distinct ones of all with their counts, and on demand those of each slice of documents."""
 
     def __init__(self, documents: pa.Table, order: int, bits: int):
-        offsets, data = text_buffers(documents.column("text"))
-        self.rows, self.order, self.bits = len(offsets) - 1, order, bits
-        #: for each slice: first row, rows, document of each word, place among the slice's n-grams of the n-gram ending at each word by order (-1: none), the slice's n-grams
-        self.slices = []
-        hashes, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-        for i, j in slices(offsets):
-            words = Words(offsets, data, i, j)
+        self.offsets, self.data = text_buffers(documents.column("text"))
+        self.rows, self.order, self.bits = len(self.offsets) - 1, order, bits
+        n = int(self.offsets[-1] - self.offsets[0]) // _SHARE_BYTES + 1
+        shares, begins = [[] for _ in range(n)], np.array([_begin(k, n, bits) for k in range(n)], np.uint64)
+        for _, _, _, grams in self.slices():
+            own, k = np.unique(grams, return_counts=True)
+            edges = np.append(np.searchsorted(own, np.maximum(begins, np.uint64(1))), len(own))
+            for share, i, j in zip(shares, edges[:-1], edges[1:], strict=True):
+                share.append((own[i:j].copy(), k[i:j].astype(np.int32)))
+        most, at = sum(len(own) for share in shares for own, _ in share), 0
+        self.h, self.counts = np.empty(most, np.uint64), np.empty(most, np.int64)
+        for k in range(n if most else 0):
+            known, total, _ = _add_up(*zip(*shares[k], strict=True))
+            shares[k] = None  # copies, so that their memory is free now
+            self.h[at : at + len(known)], self.counts[at : at + len(known)] = known, total
+            at += len(known)
+        self.h, self.counts = self.h[:at], self.counts[:at]
+
+    def slices(self) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """Of each slice: first row, rows, row in it of each word, hash of the n-gram ending at each word by order (0: none).
+
+        They are made again for each use, as those of all slices take more memory than the distinct n-grams.
+        """
+        for i, j in slices(self.offsets):
+            words = Words(self.offsets, self.data, i, j)
             h = words.hashes()
             doc = np.repeat(np.arange(j - i, dtype=np.int32), np.diff(words.first))
-            grams = np.stack([self._grams(h, doc, n) for n in range(1, order + 1)])
-            own, place, k = np.unique(grams, return_inverse=True, return_counts=True)
-            place = place.reshape(grams.shape).astype(np.int32)
-            if len(own) and own[0] == _NO_GRAM:
-                own, place, k = own[1:], place - 1, k[1:]
-            self.slices.append((i, j - i, doc, place, own))
-            hashes.append(own)
-            counts.append(k)
-        self.h, self.counts = _add_up(np.concatenate(hashes), np.concatenate(counts))
+            yield i, j - i, doc, np.stack([self._grams(h, doc, n) for n in range(1, self.order + 1)])
 
     def _grams(self, h: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
         """The hash of the n-gram that ends at each word, 0 where the text has not begun."""
@@ -160,10 +179,17 @@ def _ask(order: int, buckets: int, bits: int):
 
 def _count(key: tuple, requests: pa.Table) -> pa.Table:
     """One range of the count table: adds up all lists, and answers each with the counts of the other batches."""
-    grams = [unpack_sorted(g) for g in requests.column("grams").to_pylist()]
-    counts = [unpack_sparse(c, len(g)) + 1 for c, g in zip(requests.column("counts").to_pylist(), grams, strict=True)]
-    known, total = _add_up(np.concatenate(grams), np.concatenate(counts))
-    answers = [pack_sparse(total[np.searchsorted(known, g)] - c) for g, c in zip(grams, counts, strict=True)]
+    grams = [unpack_sorted(g.as_py()) for g in requests.column("grams")]
+    counts = [unpack_sparse(c.as_py(), len(g)) + 1 for c, g in zip(requests.column("counts"), grams, strict=True)]
+    top, n = max(int(g[-1]) for g in grams) + 1, sum(map(len, grams)) // _SHARE + 1
+    begins = np.array([k * top // n for k in range(n)], np.uint64)
+    cuts = np.array([np.append(np.searchsorted(g, begins), len(g)) for g in grams]).T
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        parts = [slice(i, j) for i, j in zip(a, b, strict=True)]
+        _, total, own = _add_up([g[p] for g, p in zip(grams, parts, strict=True)], [c[p] for c, p in zip(counts, parts, strict=True)])
+        for c, p, x in zip(counts, parts, np.split(total[own], np.cumsum(b - a)[:-1]), strict=True):
+            c[p] = x - c[p]
+    answers = [pack_sparse(c) for c in counts]
     return pa.table({"batch": requests.column("batch"), "bucket": requests.column("bucket"), "others": pa.array(answers, pa.binary())})
 
 
@@ -176,10 +202,13 @@ def _score(order: int, buckets: int, bits: int, words: int):
         for k, raw in zip(answers.column("bucket").to_pylist(), answers.column("others").to_pylist(), strict=True):
             totals[edges[k] : edges[k + 1]] += unpack_sparse(raw, int(edges[k + 1] - edges[k]))
         n_words, total = np.zeros(batch.rows, np.int64), np.zeros(batch.rows)
-        for first, rows, doc, place, own in batch.slices:
-            n = np.bincount(doc, minlength=rows)
+        for first, rows, doc, grams in batch.slices():
+            own, place = np.unique(grams, return_inverse=True)
+            none = int(len(own) > 0 and own[0] == _NO_GRAM)
+            n, place = np.bincount(doc, minlength=rows), place.reshape(grams.shape) - none
             n_words[first : first + rows] = n
-            total[first : first + rows] = np.bincount(doc, weights=_word_scores(doc, place, totals[np.searchsorted(batch.h, own)], words - n[doc]), minlength=rows)
+            scores = _word_scores(doc, place, totals[np.searchsorted(batch.h, own[none:])], words - n[doc])
+            total[first : first + rows] = np.bincount(doc, weights=scores, minlength=rows)
         mean = np.where(n_words > 0, total / np.maximum(n_words, 1), np.nan)
         return pa.table({"row": documents.column("row"), "n_words": pa.array(n_words), "log_score": pa.array(total), "mean_log_score": pa.array(mean, from_pandas=True)})
 
@@ -209,6 +238,14 @@ def _word_scores(doc: np.ndarray, place: np.ndarray, totals: np.ndarray, others:
     return score
 
 
+def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bytes and words of each batch of texts."""
+    for batch in batches:
+        offsets, data = text_buffers(batch.column(0))
+        words = sum(len(Words(offsets, data, i, j, None).start) for i, j in slices(offsets))
+        yield pa.RecordBatch.from_pydict({"b": pa.array([int(offsets[-1] - offsets[0])], pa.int64()), "w": pa.array([words], pa.int64())})
+
+
 def lm_scores(documents: DataFrame, order: int = ORDER, carry: list[str] | None = None, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """Scores every document by the other documents of the table.
 
@@ -227,7 +264,7 @@ def lm_scores(documents: DataFrame, order: int = ORDER, carry: list[str] | None
     """
     names = carry or ["doc_id"]
     documents = documents.select(F.struct(*(F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names))).alias("row"), "text")
-    size = documents.select(F.sum(F.octet_length("text")).alias("b"), F.sum(F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"))).alias("w")).first()
+    size = documents.select("text").mapInArrow(_sizes, "b long, w long").agg(F.sum("b").alias("b"), F.sum("w").alias("w")).first()
     parts, words = max(1, -(-(size.b or 0) // batch_bytes)), int(size.w or 0)
     bits = min(64, max(40, words.bit_length() + _SPARE_BITS))
     dealt = documents.withColumn("batch", F.pmod(F.xxhash64("row", "text", F.spark_partition_id()), F.lit(parts).cast("long")))
