@@ -53,16 +53,25 @@ def running_sum(df: DataFrame, key: list[str], idx: str, value: Column, name: st
     return _beside(rows.withColumn(name, F.sum("_sum_v").over(inside)), before, key).withColumn(name, F.col(name) + F.col("_sum_o")).drop("_sum_v", "_block", "_sum_o")
 
 
+def around(df: DataFrame, own: list[str], order: list[str], known: str, before: str, after: str, itself: bool = True) -> DataFrame:
+    """Adds the last ``known`` value that is not null up to each row of ``own`` (before it unless ``itself``) and the first one from it on.
+
+    Spark goes over all later rows again for every row of a window that ends with the last one, so that way is a window in the turned order of the rows' numbers.
+    """
+    ahead = Window.partitionBy(*own).orderBy(*order)
+    rows = df.withColumn("_around_n", F.row_number().over(ahead)).withColumn(before, F.last(known, ignorenulls=True).over(ahead.rowsBetween(Window.unboundedPreceding, 0 if itself else -1)))
+    back = Window.partitionBy(*own).orderBy(F.desc("_around_n")).rowsBetween(Window.unboundedPreceding, 0)
+    return rows.withColumn(after, F.last(known, ignorenulls=True).over(back)).drop("_around_n")
+
+
 def nearest_known(df: DataFrame, key: list[str], idx: str, known: Column, before: str, after: str, own: bool = True, block: int = BLOCK, then: tuple[str, ...] = ()) -> DataFrame:
     """Adds the last ``known`` value that is not null up to each row (before it unless ``own``) and the first one from it on, over blocks as ``running_sum``."""
     rows = df.withColumn("_near_k", known).withColumn("_block", F.floor(F.col(idx) / block))
     place = F.when(F.col("_near_k").isNotNull(), F.struct(idx, *then) if then else F.col(idx))
     ends = rows.groupBy(*key, "_block").agg(F.max_by("_near_k", place).alias("_near_l"), F.min_by("_near_k", place).alias("_near_f"))
-    w = Window.partitionBy(*key).orderBy("_block")
-    carried = ends.select(*key, "_block", F.last("_near_l", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("_near_cl"), F.first("_near_f", ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing)).alias("_near_cf"))
-    inner = Window.partitionBy(*key, "_block").orderBy(idx, *then)
-    rows = rows.withColumn(before, F.last("_near_k", ignorenulls=True).over(inner.rowsBetween(Window.unboundedPreceding, 0 if own else -1)))
-    rows = rows.withColumn(after, F.first("_near_k", ignorenulls=True).over(inner.rowsBetween(0, Window.unboundedFollowing)))
+    w, back = (Window.partitionBy(*key).orderBy(o).rowsBetween(Window.unboundedPreceding, -1) for o in ("_block", F.desc("_block")))
+    carried = ends.select(*key, "_block", F.last("_near_l", ignorenulls=True).over(w).alias("_near_cl"), F.last("_near_f", ignorenulls=True).over(back).alias("_near_cf"))
+    rows = around(rows, [*key, "_block"], [idx, *then], "_near_k", before, after, own)
     return _beside(rows, carried, key).withColumn(before, F.coalesce(before, "_near_cl")).withColumn(after, F.coalesce(after, "_near_cf")).drop("_near_k", "_block", "_near_cl", "_near_cf")
 
 

@@ -159,8 +159,7 @@ def interpolate(df: DataFrame, key: list[str], x: str, value: str, name: str = "
     if idx:
         rows = nearest_known(df, key, idx, known, "_a", "_b", block=block)
     else:
-        back, ahead = _w(key, x, Window.unboundedPreceding, 0), _w(key, x, 0, Window.unboundedFollowing)
-        rows = df.withColumn("_a", F.last(known, ignorenulls=True).over(back)).withColumn("_b", F.first(known, ignorenulls=True).over(ahead))
+        rows = blocks.around(df.withColumn("_known", known), key, [x], "_known", "_a", "_b").drop("_known")
     share = (F.col(x) - F.col("_a.x")) / (F.col("_b.x") - F.col("_a.x"))
     line = F.col("_a.v") + (F.col("_b.v") - F.col("_a.v")) * share
     edge = F.coalesce("_a.v", "_b.v") if ends else F.lit(None).cast("double")
