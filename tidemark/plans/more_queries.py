@@ -35,9 +35,11 @@ def a13_import_bounds(s, d):
 
 
 def a18_task_epochs(s, d):
-    o = read(s, d, "orders").select("o_orderkey", F.array(F.lit(1)).alias("epochs"), F.array("o_custkey", F.col("o_custkey") + 100000).alias("cameras"))
+    own = F.col("o_custkey").cast("string")
+    # the second camera is one that no customer has, however many there are
+    o = read(s, d, "orders").select("o_orderkey", F.array(F.lit(1)).alias("epochs"), F.array(own, F.concat(own, F.lit("x"))).alias("cameras"))
     intervals = o.select("o_orderkey", F.lit(1).alias("epoch"), F.lit("01").alias("interval_name"))
-    known = read(s, d, "customer").select(F.col("c_custkey").alias("camera"))
+    known = read(s, d, "customer").select(F.col("c_custkey").cast("string").alias("camera"))
     return A.task_epochs(o, "o_orderkey", "epochs", "cameras", intervals, known).select("o_orderkey", "cameras")
 
 
