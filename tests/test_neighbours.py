@@ -61,3 +61,21 @@ def test_empty_and_alone(spark):
     assert N.nearest(rows.withColumnRenamed("id", "q"), none, ["g"], "q", "id", "v", 4).count() == 0
     assert N.nearest(none.withColumnRenamed("id", "q"), rows, ["g"], "q", "id", "v", 4).count() == 0
     assert [tuple(r) for r in N.isolation(rows.where("unit = 1 and g = 'hot'"), [], "unit", "id", "v", 4).collect()] == [(1, None)]
+
+
+def test_vectors_are_written_once_however_many_cells_are_visited(spark, monkeypatch):
+    written = {}
+
+    def kept(df, label, write=N.materialise):
+        out = write(df, label)
+        written[label] = out.count()
+        return out
+
+    monkeypatch.setattr(N, "materialise", kept)
+    x = np.random.default_rng(3).normal(size=(300, 12))  # without structure: nearly all cells are visited
+    rows = spark.createDataFrame([("one", i, [float(v) for v in p]) for i, p in enumerate(x)], "g string, id long, v array<double>")
+    made = N.nearest(rows.withColumnRenamed("id", "q"), rows, ["g"], "q", "id", "v", 3, False, 25, 100).collect()
+    assert written["away"] <= 300
+    square = ((x[:, None] - x) ** 2).sum(axis=2)
+    np.fill_diagonal(square, np.inf)
+    assert {(r.q, r["rank"]): r.id for r in made} == {(q, n + 1): i for q in range(300) for n, i in enumerate(np.argsort(square[q])[:3])}

@@ -2,8 +2,9 @@
 
 A few rows are taken as pivots, and every row belongs to the cell of its nearest one. A query looks at its own
 cell first; the distance of its last neighbour there, or another bound, then tells which other cells can hold a nearer row:
-those that the plane between two pivots and the cell's radius do not rule out. Cells and the queries
-that visit them are cut in slices of bounded size, so no task holds a cell.
+those that the plane between two pivots and the cell's radius do not rule out. Small cells are put together and large
+ones cut, on both sides, to slices of bounded size; a query goes once to each slice that it has to see, so copies of its
+vector do not grow with the number of cells, and no task holds a cell.
 """
 
 from __future__ import annotations
@@ -72,33 +73,91 @@ def _in_cells(rows: DataFrame, names: list[str], pivots: np.ndarray) -> DataFram
     return rows.mapInPandas(run, f"{_kinds(rows, names)}_v array<double>, _cell long, _d double")
 
 
-def _compare(key: list[str], query: str, row: str, k: int, itself: bool) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
+def _candidates(a: np.ndarray, x: np.ndarray, k: int, never: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs that may be among the ``k`` nearest, ties with the last included, as places in ``a`` and ``x`` with the squared distance.
+
+    A matrix product tells them, with room for its rounding; their distances are then made a coordinate at a time.
+    """
+    size_a, size_x = (a * a).sum(axis=1), (x * x).sum(axis=1)
+    if np.isfinite(size_a).all() and np.isfinite(size_x).all():
+        far = size_a[:, None] + size_x - 2 * (a @ x.T)
+        room = 16 * (a.shape[1] + 8) * np.finfo(float).eps * (size_a + size_x.max())
+    else:
+        far, room = _squares(a, x), np.zeros(len(a))
+    far[never] = np.inf
+    least = np.partition(far, min(k, len(x)) - 1, axis=1)[:, min(k, len(x)) - 1]
+    q, r = np.nonzero((far <= (least + room)[:, None]) & np.isfinite(far))
+    exact = np.zeros(len(q))
+    for c, y in zip(a.T, x.T, strict=True):
+        exact += (c[q] - y[r]) ** 2
+    return q, r, exact
+
+
+def _compare(key: list[str], query: str, row: str, k: int, itself: bool, away: bool = False) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
+    """``away``: rows of a query's own cell do not count."""
     columns = [*key, query, "_row", "_q"]
 
     def run(asked: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         if not len(asked) or not len(known):
             return pd.DataFrame(columns=columns)
         known = known.sort_values(row, kind="stable")
-        ids, x = known[row].to_numpy(), np.stack(known["_v"].tolist())
+        ids, x, cells = known[row].to_numpy(), np.stack(known["_v"].tolist()), known["_cell"].to_numpy()
         made = []
         for start in range(0, len(asked), 256):
             some = asked.iloc[start : start + 256]
-            far = _squares(np.stack(some["_v"].tolist()), x)
-            if not itself:
-                far[some[query].to_numpy()[:, None] == ids] = np.inf
+            never = np.zeros((len(some), len(ids)), bool) if itself else some[query].to_numpy()[:, None] == ids
+            if away:
+                never |= some["_cell"].to_numpy()[:, None] == cells
             # all that are no further than the k-th, then the first of these by distance and row
-            least = np.partition(far, min(k, len(ids)) - 1, axis=1)[:, min(k, len(ids)) - 1]
-            q, r = np.nonzero((far <= least[:, None]) & np.isfinite(far))
-            order = np.lexsort((r, far[q, r], q))
-            q, r = q[order], r[order]
+            q, r, far = _candidates(np.stack(some["_v"].tolist()), x, k, never)
+            order = np.lexsort((r, far, q))
+            q, r, far = q[order], r[order], far[order]
             rank = np.arange(len(q)) - np.searchsorted(q, q)
-            q, r = q[rank < k], r[rank < k]
-            made.append(some[[*key, query]].iloc[q].assign(_row=ids[r], _q=far[q, r]))
+            q, r, far = q[rank < k], r[rank < k], far[rank < k]
+            made.append(some[[*key, query]].iloc[q].assign(_row=ids[r], _q=far))
         return pd.concat(made)[columns]
 
     return run
 
 
+def _packed(df: DataFrame, key: list[str], size: int) -> DataFrame:
+    """Cells of a key in packs of neighbouring ones, of about ``size`` rows each; the rows of a larger cell are dealt over ``_parts`` parts."""
+    before = Window.partitionBy(*key).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = df.groupBy(*key, "_cell").agg(F.count("*").alias("_n"))
+    ahead = F.coalesce(F.sum("_n").over(before), F.lit(0))
+    return materialise(cells.select(*key, "_cell", F.floor(ahead / size).alias("_pack"), F.ceil(F.col("_n") / size).alias("_parts")), "packs")
+
+
+def _slices(packs: DataFrame, key: list[str]) -> DataFrame:
+    """For each key its slices (a part of a pack), each with the cells that have rows in it, as one array."""
+    each = packs.select(*key, "_cell", "_pack", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1)).alias("_part"))
+    held = each.groupBy(*key, "_pack", "_part").agg(F.collect_list("_cell").alias("_in"))
+    return held.groupBy(*key).agg(F.collect_list(F.struct("_pack", "_part", "_in")).alias("_slices"))
+
+
+def _dealt(df: DataFrame, packs: DataFrame, key: list[str], name: str) -> DataFrame:
+    """Rows with the pack and the part of their cell that they are in."""
+    return df.join(_small(packs), [*key, "_cell"]).withColumn("_part", F.pmod(F.xxhash64(name), "_parts")).drop("_parts")
+
+
+def _visit_slices(more: DataFrame, known: DataFrame, key: list[str], query: str, row: str, k: int, itself: bool, size: int) -> DataFrame:
+    """The ``k`` nearest rows outside of its own cell for each query and slice that has a cell of its ``_cells``."""
+    packs = _packed(known, key, size)
+    slices = _slices(packs, key)
+    if not key or packs.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST:
+        slices = F.broadcast(slices)
+    met = more.join(slices, key) if key else more.crossJoin(slices)
+    to = F.transform(F.filter("_slices", lambda s: F.arrays_overlap("_cells", s["_in"])), lambda s: F.struct(s["_pack"].alias("_pack"), s["_part"].alias("_part")))
+    # written with each vector once; what is dealt out from here on is read again from it
+    away = materialise(met.select(*key, query, "_v", "_cell", "_qpack", "_qpart", to.alias("_to")).where(F.size("_to") > 0), "away")
+    each = away.withColumn("_to", F.explode("_to")).select(*key, "_qpack", "_qpart", "_to._pack", "_to._part", "_cell", query, "_v")
+    by = [*key, "_qpack", "_qpart", "_pack", "_part"]
+    pairs = _small(materialise(each.select(*by).distinct(), "pairs"))
+    rows = _dealt(known, packs, key, row).join(pairs, [*key, "_pack", "_part"]).select(*by, "_cell", row, "_v")
+    kinds = f"{_kinds(each, [*key, query])}_row {known.schema[row].dataType.simpleString()}, _q double"
+    return each.groupBy(*by).cogroup(rows.groupBy(*by)).applyInPandas(_compare(key, query, row, k, itself, away=True), kinds)
+
+
 def _visit(asked: DataFrame, known: DataFrame, key: list[str], query: str, row: str, k: int, itself: bool, size: int) -> DataFrame:
     """The ``k`` nearest rows for each query and slice of a cell that it visits."""
     cell = [*key, "_cell"]
@@ -159,11 +218,12 @@ def nearest(queries: DataFrame, rows: DataFrame, key: list[str], query: str, row
             room = (most * (1 + _ROOM) + _ROOM * (1 + far.max(axis=1)))[:, None]
             go = (far - radius <= room) & (np.nan_to_num(plane, nan=0.0) <= room) & (radius >= 0)
             go[np.arange(len(own)), own] = False
-            yield batch[[*key, query, "_v"]].assign(_cells=[np.flatnonzero(g) for g in go])
+            yield batch[kept].assign(_cells=[np.flatnonzero(g) for g in go])
 
-    more = bound.mapInPandas(others, f"{_kinds(asked, [*key, query])}_v array<double>, _cells array<long>")
-    away = materialise(more.select(*key, query, "_v", F.explode("_cells").alias("_cell")), "away")
-    found = home.drop("rank").unionByName(_visit(away, known, key, query, row, k, itself, size))
+    bound = _dealt(bound, _packed(asked, key, size), key, query).withColumnsRenamed({"_pack": "_qpack", "_part": "_qpart"})
+    kept = [*key, query, "_v", "_cell", "_qpack", "_qpart"]
+    more = bound.mapInPandas(others, f"{_kinds(bound, [*key, query])}_v array<double>, _cell long, _qpack long, _qpart long, _cells array<long>")
+    found = home.drop("rank").unionByName(_visit_slices(more, known, key, query, row, k, itself, size))
     return best(found).select(*key, query, F.col("_row").alias(row), "rank", F.col("_q").alias("square"))
 
 
