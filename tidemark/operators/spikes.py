@@ -8,7 +8,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.blocks import numbered
+from ..functions.blocks import BLOCK, block_width, numbered
 from ..functions.columns import no_nan
 from ..functions.rangejoin import points_in
 from ..functions.ranks import medians
@@ -78,21 +78,131 @@ def isi_violations(trains: DataFrame, train: str, t: str, threshold: int) -> Dat
     return rows.groupBy(train).agg(F.count("*").alias("n"), F.count(F.when(F.col("_d") < threshold, 1)).alias("violations")).where("n > 1").withColumn("fraction", F.col("violations") / (F.col("n") - 1))
 
 
-def pooled_isi(trains: DataFrame, train: str, t: str, pairs: DataFrame, threshold: int, key: tuple[str, ...] = ()) -> DataFrame:
-    """For pairs ``a, b`` of a key the share of neighbours of both trains together that are closer than ``threshold``."""
-    both = pairs.withColumn(train, F.explode(F.array("a", "b"))).join(trains.select(*key, train, t), [*key, train])
-    d = F.col(t) - F.lag(t).over(Window.partitionBy(*key, "a", "b").orderBy(t))
-    return both.withColumn("_d", d).groupBy(*key, "a", "b").agg(F.count("*").alias("n"), F.count(F.when(F.col("_d") < threshold, 1)).alias("close")).withColumn("fraction", F.col("close") / F.col("n"))
+def _moments_of(trains: DataFrame, train: str, t: str, key: tuple[str, ...]) -> DataFrame:
+    """The times of each train of a key, each once with its number of spikes, as ``key, _u, _t, _n``; nulls are left out."""
+    rows = trains.select(*key, F.col(train).alias("_u"), F.col(t).alias("_t")).where(F.col("_t").isNotNull() & F.col("_u").isNotNull())
+    return rows.groupBy(*key, "_u", "_t").agg(F.count("*").alias("_n"))
 
 
-def correlogram(trains: DataFrame, train: str, t: str, window: int, width: int, key: tuple[str, ...] = ()) -> DataFrame:
-    """Histogram of time differences within half of ``window`` between each ordered pair of trains of a key, by bins of ``width``."""
+def _in_stretches(moments: DataFrame, back: int, ahead: int, width: int) -> DataFrame:
+    """Times with each stretch of ``width`` that needs them: their own, and those that begin less than ``ahead`` later or ended less than ``back`` before."""
+    at = lambda shift: F.floor((F.col("_t") + shift) / width)
+    dealt = moments.withColumn("_b", F.explode(F.array_distinct(F.array(at(0), at(-back), at(ahead)))))
+    return dealt.withColumn("_own", F.col("_b") == at(0))
+
+
+def _kinds_of(df: DataFrame, names: dict[str, str]) -> str:
+    return "".join(f"`{to}` {df.schema[of].dataType.simpleString()}, " for of, to in names.items())
+
+
+def pooled_isi(trains: DataFrame, train: str, t: str, pairs: DataFrame, threshold: int, key: tuple[str, ...] = (), stretch: int | None = None) -> DataFrame:
+    """For pairs ``a, b`` of a key the share of neighbours of both trains together that are closer than ``threshold``.
+
+    Both trains are merged in each stretch of time, which also gets the times up to ``threshold`` before it; a pair is done once, whichever way round.
+    """
+    found = _close_neighbours(_moments_of(trains, train, t, key), pairs, threshold, key, stretch or block_width(trains, t))
+    total = trains.groupBy(*key, train).agg(F.count("*").alias("_k"))
+    of = lambda c: total.select(*key, F.col(train).alias(c), F.col("_k").alias(f"_{c}"))
+    each = pairs.select(*key, "a", "b").distinct().join(of("a"), [*key, "a"], "left").join(of("b"), [*key, "b"], "left")
+    each = each.withColumn("n", F.coalesce("_a", F.lit(0)) + F.coalesce("_b", F.lit(0))).where("n > 0").withColumn("_lo", F.least("a", "b")).withColumn("_hi", F.greatest("a", "b"))
+    rows = each.join(found, [*key, "_lo", "_hi"], "left").select(*key, "a", "b", "n", F.coalesce("close", F.lit(0)).cast("long").alias("close"))
+    return rows.withColumn("fraction", F.col("close") / F.col("n"))
+
+
+def _close_neighbours(moments: DataFrame, pairs: DataFrame, threshold: int, key: tuple[str, ...], width: int) -> DataFrame:
+    """How many spikes of both trains of a pair come less than ``threshold`` after the one before, as ``key, _lo, _hi, close``."""
+    rows = _in_stretches(moments, 0, max(threshold, 0), max(width, threshold, 1))
+    wanted = pairs.select(*key, F.least("a", "b").alias("_lo"), F.greatest("a", "b").alias("_hi")).distinct()
+    stretches = materialise(rows.select(*key, "_b").distinct(), "stretches")
+    wanted = wanted.join(stretches, list(key)) if key else wanted.crossJoin(stretches)  # pairs in each stretch, which are its results
+    names = [*key, "_lo", "_hi", "close"]
+
+    def merged(times: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+        of, none, made = {}, (np.array([], times["_t"].dtype), np.array([], bool), 0), []
+        for unit, part in times.sort_values("_t").groupby("_u", sort=False):
+            of[unit] = part["_t"].to_numpy(), part["_own"].to_numpy(bool), int(part["_n"][part["_own"]].sum())
+        for lo, hi in zip(asked["_lo"], asked["_hi"], strict=True):
+            (x, own_x, n_x), (y, own_y, n_y) = of.get(lo, none), of.get(hi, none)
+            if not n_x + n_y:
+                continue
+            at, own = np.concatenate([x, y]), np.concatenate([own_x, own_y])
+            order = np.argsort(at, kind="stable")  # two sorted runs
+            at, own = at[order], own[order]
+            gap = np.diff(at)
+            apart = np.append(True, gap > 0)  # the first spike of its moment
+            near = own[1:] & (gap > 0) & (gap < threshold)
+            again = n_x + n_y - int((own & apart).sum()) if threshold > 0 else 0
+            made.append((lo, hi, again + int(near.sum())))
+        out = pd.DataFrame(made, columns=["_lo", "_hi", "close"])
+        for k in key:
+            out[k] = asked[k].iloc[0] if len(asked) else None
+        return out[names]
+
+    by = [*key, "_b"]
+    kinds = _kinds_of(wanted, {k: k for k in [*key, "_lo", "_hi"]}) + "close long"
+    counted = rows.groupBy(*by).cogroup(wanted.groupBy(*by)).applyInPandas(merged, kinds)
+    return counted.groupBy(*key, "_lo", "_hi").agg(F.sum("close").alias("close"))
+
+
+#: Pairs of times that are looked at together where trains are sparse.
+_PAIRS = 1 << 21
+
+
+def _differences(unit: np.ndarray, at: np.ndarray, n: np.ndarray, own: np.ndarray, units: int, half: int, width: int) -> np.ndarray:
+    """Counts of differences by ``unit, other unit, bin``, from own times to all times (sorted) of the stretch.
+
+    Where trains are dense, spikes are counted between the bins' edges by their running numbers; where they are sparse,
+    pairs are listed, some at a time. Neither makes an array of all pairs.
+    """
+    low = -half // width
+    bins = (half - 1) // width - low + 1
+    edges = np.clip(np.arange(low, low + bins + 1) * width, -half, half)
+    out = np.zeros((units, units, bins), np.int64)
+    mine = np.flatnonzero(own)
+    first, last = np.searchsorted(at, at[mine] - half), np.searchsorted(at, at[mine] + half)
+    if (last - first).sum() <= len(mine) * len(edges) * units:
+        ends = np.cumsum(last - first)
+        for cut in np.split(np.arange(len(mine)), np.searchsorted(ends, np.arange(_PAIRS, ends[-1], _PAIRS))) if len(mine) else []:
+            many = last[cut] - first[cut]
+            a = np.repeat(mine[cut], many)
+            b = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(first[cut], many)
+            place = (unit[a] * units + unit[b]) * bins + (at[b] - at[a]) // width - low
+            np.add.at(out.reshape(-1), place, n[a] * n[b])
+    else:
+        for other in range(units):
+            there = unit == other
+            x, upto = at[there], np.append(0, np.cumsum(n[there]))
+            for cut in np.array_split(mine, len(mine) // BLOCK + 1):
+                counts = np.diff(upto[np.searchsorted(x, at[cut, None] + edges)], axis=1) * n[cut, None]
+                for k in range(bins):
+                    np.add.at(out[:, other, k], unit[cut], counts[:, k])
+    return out
+
+
+def correlogram(trains: DataFrame, train: str, t: str, window: int, width: int, key: tuple[str, ...] = (), stretch: int | None = None) -> DataFrame:
+    """Histogram of time differences within half of ``window`` between each ordered pair of trains of a key, by bins of ``width``.
+
+    Times are whole numbers. They are counted in stretches of time, which also get the times up to half of ``window`` on either side;
+    spikes at one time are one row with their number.
+    """
     half = window // 2
-    left = trains.select(*key, F.col(train).alias("a"), F.col(t).alias("_ta"), F.floor(F.col(t) / half).alias("_b"))
-    near = F.explode(F.array(*[F.floor(F.col(t) / half) + k for k in (-1, 0, 1)]))
-    right = trains.select(*key, F.col(train).alias("b"), F.col(t).alias("_tb"), near.alias("_b"))
-    met = left.join(right, [*key, "_b"]).where("a <> b").withColumn("_d", F.col("_tb") - F.col("_ta")).where((F.col("_d") >= -half) & (F.col("_d") < half))
-    return met.groupBy(*key, "a", "b", F.floor(F.col("_d") / width).alias("bin")).agg(F.count("*").alias("n"))
+    moments = _moments_of(trains, train, t, key)
+    rows = _in_stretches(moments, half, half, max(stretch or block_width(trains, t), half, 1))
+
+    def counted(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("_t")
+        unit, names = pd.factorize(part["_u"])
+        at, n = part["_t"].to_numpy(np.int64), part["_n"].to_numpy(np.int64)
+        found = _differences(unit, at, n, part["_own"].to_numpy(bool), len(names), half, width)
+        found[np.arange(len(names)), np.arange(len(names))] = 0
+        a, b, k = np.nonzero(found)
+        out = pd.DataFrame({"a": names[a], "b": names[b], "bin": k + (-half // width), "n": found[a, b, k]})
+        for c in key:
+            out[c] = part[c].iloc[0]
+        return out[[*key, "a", "b", "bin", "n"]]
+
+    kinds = _kinds_of(moments, {k: k for k in key}) + _kinds_of(moments, {"_u": "a"}) + _kinds_of(moments, {"_u": "b"}) + "bin long, n long"
+    return rows.groupBy(*key, "_b").applyInPandas(counted, kinds).groupBy(*key, "a", "b", "bin").agg(F.sum("n").alias("n"))
 
 
 def asymmetry(correl: DataFrame, key: tuple[str, ...] = ()) -> DataFrame:
@@ -240,8 +350,9 @@ def burst_pairs(template: DataFrame, trains: DataFrame, unit: str, t: str, thres
     """
     pair = [*key, "a", "b"]
     alike = waveform_similarity(template, unit, key)
-    isi = pooled_isi(trains, unit, t, alike.select(*pair), threshold, key).select(*pair, F.col("fraction").alias("isi_violation"))
-    skew = asymmetry(correlogram(trains, unit, t, window, width, key), key)
+    stretch = block_width(trains, t)
+    isi = pooled_isi(trains, unit, t, alike.select(*pair), threshold, key, stretch).select(*pair, F.col("fraction").alias("isi_violation"))
+    skew = asymmetry(correlogram(trains, unit, t, window, width, key, stretch), key)
     return alike.join(isi, pair).join(skew, pair, "left").withColumn("asymmetry", F.coalesce("asymmetry", F.lit(0.0)))
 
 
