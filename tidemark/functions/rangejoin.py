@@ -40,6 +40,26 @@ def points_in(points: DataFrame, iv: DataFrame, key: list[str], t: str, width: i
     return joined.drop("_b", "_b2", *[f"_{k}" for k in key])
 
 
+def points_by_length(points: DataFrame, iv: DataFrame, key: list[str], t: str) -> DataFrame:
+    """Every interval with the points of its key that it holds, ends included, or once without: a left join of intervals.
+
+    Intervals are told apart by length, to a power of four; those of a level have buckets as wide as its longest, so
+    each is in two at most, however long it is. A point goes to its bucket on each level that occurs.
+    """
+    length = F.greatest(F.col("stop") - F.col("start"), F.lit(1))
+    level = F.ceil(F.ceil(F.log2(length.cast("double")) + 1e-9) / 2).cast("int")  # rounded up, so that no interval is longer than its buckets
+    held = iv.withColumn("_l", level)
+    levels = sorted(r._l for r in held.where("_l is not null").select("_l").distinct().collect())  # at most 32
+    at = lambda x, l: F.floor(x / F.pow(F.lit(4.0), l))  # noqa: E731, E741
+    right = held.withColumn("_b", F.explode_outer(F.array_distinct(F.array(at(F.col("start"), F.col("_l")), at(F.col("stop"), F.col("_l"))))))
+    left = points.withColumn("_l2", F.explode(F.array(*map(F.lit, levels)).cast("array<int>"))).withColumn("_b2", at(F.col(t), F.col("_l2")))
+    left = left.withColumnsRenamed({k: f"_{k}" for k in key})
+    on = (F.col("_l") == F.col("_l2")) & (F.col("_b") == F.col("_b2")) & F.col(t).between(F.col("start"), F.col("stop"))
+    for k in key:
+        on = on & (F.col(k) == F.col(f"_{k}"))
+    return right.join(left, on, "left").drop("_l", "_b", "_l2", "_b2", *[f"_{k}" for k in key])
+
+
 def overlaps(a: DataFrame, b: DataFrame, key: list[str], width: int) -> DataFrame:
     """Pairs of intervals that share more than a point, as ``key, start, stop, start2, stop2``."""
     left = spread(a.select(*key, "start", "stop"), width)

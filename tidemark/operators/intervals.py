@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from ..functions.blocks import block_width, blockwise, gap_islands, running_sum
 from ..functions.islands import mask_runs, merge_runs, number_islands
-from ..functions.rangejoin import overlaps, points_in
+from ..functions.rangejoin import overlaps, points_by_length, points_in
+from ..functions.store import materialise
 
 DAY = 86_400_000_000
 
@@ -175,14 +176,16 @@ def intersect_all(lists: list[DataFrame], key: list[str]) -> DataFrame:
     return reduce(lambda a, b: intersect(a, b, key), lists)
 
 
-def containing_match(outer: DataFrame, inner: DataFrame, key: list[str], slack: int, width: int = DAY) -> DataFrame:
+def containing_match(outer: DataFrame, inner: DataFrame, key: list[str], slack: int) -> DataFrame:
     """For each outer interval the only inner one within its bounds widened by ``slack``; null where there is none or several."""
-    o = outer.select(*key, F.col("start").alias("outer_start"), F.col("stop").alias("outer_stop")).distinct()
-    wide = o.select(*key, "outer_start", "outer_stop", (F.col("outer_start") - slack).alias("start"), (F.col("outer_stop") + slack).alias("stop"))
-    held = points_in(inner.select(*key, F.col("start").alias("_s"), F.col("stop").alias("_e")).distinct(), wide, key, "_s", width).where(F.col("_e") <= F.col("stop"))
-    found = held.groupBy(*key, "outer_start", "outer_stop").agg(F.count("*").alias("_n"), F.min("_s").alias("_s"), F.min("_e").alias("_e"))
-    one = F.col("_n") == 1
-    return o.join(found, [*key, "outer_start", "outer_stop"], "left").select(*key, "outer_start", "outer_stop", F.coalesce("_n", F.lit(0)).cast("long").alias("matches"), F.when(one, F.col("_s")).alias("start"), F.when(one, F.col("_e")).alias("stop"))
+    bounds = [*key, "outer_start", "outer_stop"]
+    o = materialise(outer.select(*key, F.col("start").alias("outer_start"), F.col("stop").alias("outer_stop")).distinct(), "outer")
+    wide = o.withColumn("start", F.col("outer_start") - slack).withColumn("stop", F.col("outer_stop") + slack)
+    met = points_by_length(inner.select(*key, F.col("start").alias("_s"), F.col("stop").alias("_e")).distinct(), wide, key, "_s")
+    in_it = F.col("_s").isNotNull() & (F.col("_e") <= F.col("stop"))
+    found = met.groupBy(*bounds).agg(F.count(F.when(in_it, 1)).alias("matches"), F.min(F.when(in_it, F.col("_s"))).alias("_s"), F.min(F.when(in_it, F.col("_e"))).alias("_e"))
+    one = F.col("matches") == 1
+    return found.select(*bounds, "matches", F.when(one, F.col("_s")).alias("start"), F.when(one, F.col("_e")).alias("stop"))
 
 
 def overlap_share(points: DataFrame, iv: DataFrame, key: list[str], t: str, least: float = 0.9, width: int = DAY) -> DataFrame:
