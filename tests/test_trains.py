@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__
 from tidemark.operators import spikes as K
 
 
@@ -60,3 +61,9 @@ def test_copies_of_spikes_make_no_pairs(spark):
     one = {tuple(r)[:4]: r.n for r in K.correlogram(df.dropDuplicates(["s", "u", "t"]).join(df.groupBy("s", "u", "t").count(), ["s", "u", "t"]).where(F.col("count") == 30), "u", "t", 40, 7, ("s",)).collect()}
     got = {tuple(r)[:4]: r.n for r in made.collect()}
     assert all(got[k] >= 900 * n for k, n in one.items())
+
+
+@pytest.mark.parametrize("name", ["k24_asymmetry"])
+def test_queries_pair_no_spikes(spark, name):
+    plan = __spark_entry__.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "_ta" not in plan and "lag(" not in plan
