@@ -63,7 +63,7 @@ def test_copies_of_spikes_make_no_pairs(spark):
     assert all(got[k] >= 900 * n for k, n in one.items())
 
 
-@pytest.mark.parametrize("name", ["k24_asymmetry", "k23_correlogram_by_session", "k21_burst_pairs"])
+@pytest.mark.parametrize("name", ["k24_asymmetry", "k23_correlogram_by_session", "k21_burst_pairs", "k21_burst_pairs_by_session"])
 def test_queries_pair_no_spikes(spark, name):
     plan = __spark_entry__.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "_ta" not in plan and "lag(" not in plan
