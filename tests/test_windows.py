@@ -38,6 +38,6 @@ def test_whole_series_are_filled_in_one_pass(spark):
     assert sorted((r.x, r.filled) for r in made.collect()) == [(float(i), float(min(i, 36))) for i in range(40)]
 
 
-@pytest.mark.parametrize("name", ["e6_ripple_inputs", "f22_upsample", "f20_interpolate"])
+@pytest.mark.parametrize("name", ["e6_ripple_inputs", "f22_upsample", "f20_interpolate", "f21_resample"])
 def test_no_window_over_all_later_rows(spark, name):
     assert not ends_last(__spark_entry__.queries()[name](spark, SF))
