@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.operators import chains as C
 
@@ -149,3 +150,19 @@ def test_decoding_by_interval(spark, seen, whole):
     assert made.keys() == want.keys()
     for k, p in want.items():
         assert made[k] == pytest.approx(list(p), abs=1e-9)
+
+
+def test_short_series_go_side_by_side(spark, monkeypatch):
+    """Many series of one block, one of several: all as one by one, and the short ones make no products."""
+    rng = np.random.default_rng(9)
+    rows = [(k, i, *(float(v) for v in rng.uniform(0, 100, 2))) for k, many in [*((f"s{j}", 1 + j) for j in range(12)), ("long", 45)] for i in range(many)]
+    df = spark.createDataFrame(rows, "k string, i long, x double, y double")
+    edges = [(0.0, 0.0, 100.0, 0.0), (100.0, 0.0, 100.0, 100.0), (100.0, 100.0, 0.0, 100.0)]
+    asked = []
+    monkeypatch.setattr(C, "_by_block", lambda rows, *rest, f=C._by_block: (asked.append({r.k for r in rows.collect()}), f(rows, *rest))[1])
+    many = {(r.k, r.i): r.edge for r in C.edges_by_chain(df, edges, ["k"], "i", "x", "y", sensor=20.0, scaling=30.0, block=20, fanout=2).collect()}
+    assert asked == [{"long"}]
+    assert len(many) == len(rows)
+    monkeypatch.undo()
+    blocks = C.edges_by_chain(df, edges, ["k"], "i", "x", "y", sensor=20.0, scaling=30.0, block=3, fanout=2)
+    assert {(r.k, r.i): r.edge for r in blocks.collect()} == many

@@ -253,7 +253,42 @@ def best_path(df: DataFrame, key: list[str], idx: str, columns: list[str], state
             now = int(p[now])
         return part.assign(state=out[::-1])[[*key, "_i", "state"]]
 
+    def whole(part: pd.DataFrame) -> pd.DataFrame:
+        """Series of one block each, side by side: a step of all of them at a time."""
+        part = part.sort_values([*key, "_i"]).reset_index(drop=True)
+        starts = np.flatnonzero(part["_first"].to_numpy(bool))
+        long, out = np.diff(np.append(starts, len(part))), np.zeros(len(part), np.int64)
+        most = max(BLOCK, (1 << 22) // states**2)  # rows whose steps are there at once; a series has no more than a block
+        for some in np.split(np.arange(len(starts)), np.flatnonzero(np.diff((np.cumsum(long) - 1) // most)) + 1):
+            some = some[np.argsort(-long[some], kind="stable")]
+            low, high = starts[some].min(), (starts[some] + long[some]).max()
+            step = steps(part.iloc[low:high])
+            back = np.zeros((high - low, states), np.int64)
+            v, now = np.tile(begin, (len(some), 1)), np.zeros(len(some), np.int64)
+            for n in range(long[some[0]]):
+                going = int((long[some] > n).sum())
+                at = starts[some[:going]] - low + n
+                total = v[:going, :, None] + step[at]
+                back[at], v[:going] = total.argmax(axis=1), total.max(axis=1)
+            now[:] = v.argmax(axis=1)
+            for n in range(long[some[0]] - 1, -1, -1):
+                going = int((long[some] > n).sum())
+                at = starts[some[:going]] - low + n
+                out[at + low] = now[:going]
+                now[:going] = back[at, now[:going]]
+        return part.assign(state=out)[[*key, "_i", "state"]]
+
     rows = _dealt(df, key, idx, [F.col(c) for c in columns], block)
+    kinds = f"{_kinds(rows, key)}_i {rows.schema['_i'].dataType.simpleString()}, state long"
+    short = None
+    if key:
+        ends = rows.groupBy(*key).agg(F.min("_block").alias("_low"), F.max("_block").alias("_high")).where("_low = _high").select(*key)
+        ends = materialise(ends, "short")
+        parts = -(-rows.count() // (16 * BLOCK))
+        short = rows.join(ends, key, "left_semi").withColumn("_part", F.pmod(F.xxhash64(*key), F.lit(parts))).groupBy("_part").applyInPandas(whole, kinds) if parts else None
+        rows = rows.join(ends, key, "left_anti")
+        if short is not None and rows.isEmpty():
+            return short.withColumnRenamed("_i", idx)
     entered = materialise(_entries(_by_block(rows, key, product, begin.tobytes()), key, ahead, fanout), "entries")
     cut = rows.groupBy(*key, "_block").cogroup(entered.groupBy(*key, "_block"))
     found = materialise(cut.applyInPandas(tables, f"{_kinds(rows, key)}_block long, _item binary, _start binary"), "tables")
@@ -262,7 +297,8 @@ def best_path(df: DataFrame, key: list[str], idx: str, columns: list[str], state
     ended = found.drop("_start").join(last, key) if key else found.drop("_start").crossJoin(last)  # one row
     exits = _entries(materialise(ended, "ended"), key, back, fanout).withColumnRenamed("_entry", "_exit")
     both = materialise(entered.join(exits, [*key, "_block"]), "exits")
-    done = rows.groupBy(*key, "_block").cogroup(both.groupBy(*key, "_block")).applyInPandas(finish, f"{_kinds(rows, key)}_i {rows.schema['_i'].dataType.simpleString()}, state long")
+    done = rows.groupBy(*key, "_block").cogroup(both.groupBy(*key, "_block")).applyInPandas(finish, kinds)
+    done = done if short is None else done.unionByName(short)
     return done.withColumnRenamed("_i", idx)
 
 
